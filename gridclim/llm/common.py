@@ -6,8 +6,10 @@ can neither clash with nor leak into its result.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,15 @@ _INV = pow(_BASE, -1, 2**64)
 _POW = {_BASE: np.ones(1, U64), _INV: np.ones(1, U64)}
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers find this package where it lies (or was shipped) beside the driver's."""
+    here, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if here not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (here, env.get("PYTHONPATH")) if x)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from .gif import op1_gif_media
+from .langid import op5_language_id
+from .setsketch import op9_setsketch_near_duplicates
 from .tokens import op2_token_counts, op6_token_files
 
 QUERIES = {
     "op1_gif_media": op1_gif_media,
     "op2_token_counts": op2_token_counts,
+    "op5_language_id": op5_language_id,
     "op6_token_files": op6_token_files,
+    "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates,
 }
 ORACLES: dict[str, str] = {}

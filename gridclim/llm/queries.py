@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import op10_suffix_array_decontamination
 from .gif import op1_gif_media
 from .langid import op5_language_id
 from .setsketch import op9_setsketch_near_duplicates
@@ -13,5 +14,6 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_token_files": op6_token_files,
     "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates,
+    "op10_suffix_array_decontamination": op10_suffix_array_decontamination,
 }
 ORACLES: dict[str, str] = {}

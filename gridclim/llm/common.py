@@ -156,3 +156,13 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
     """Sorted distinct hashes of the word shingles; the whole sequence as one if it is shorter; empty without words."""
     hashes = words(text, "space")[0]
     return np.unique(windows(hashes, min(size, len(hashes)))) if len(hashes) else hashes
+
+
+def count_words(text: bytes) -> int:
+    """Words between ASCII white space."""
+    total, before = 0, False
+    for at in range(0, len(text), _BLOCK):
+        inside = IN_WORD["space"][np.frombuffer(text[at : at + _BLOCK], np.uint8)]
+        total += int(np.count_nonzero(inside[1:] & ~inside[:-1])) + bool(inside[0] and not before)
+        before = inside[-1]
+    return total

@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontaminate import op10_suffix_array_decontamination
 from .gif import op1_gif_media
 from .langid import op5_language_id
+from .mixing import OP7_SQL, op7_golden_mixture
 from .setsketch import op9_setsketch_near_duplicates
 from .tokens import op2_token_counts, op6_token_files
 
@@ -13,7 +14,8 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op5_language_id": op5_language_id,
     "op6_token_files": op6_token_files,
+    "op7_golden_mixture": op7_golden_mixture,
     "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates,
     "op10_suffix_array_decontamination": op10_suffix_array_decontamination,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_golden_mixture": OP7_SQL}

@@ -8,6 +8,7 @@ from .langid import op5_language_id
 from .mixing import OP7_SQL, op7_golden_mixture
 from .setsketch import op9_setsketch_near_duplicates
 from .tokens import op2_token_counts, op6_token_files
+from .toxicity import op8_toxicity_chain
 
 QUERIES = {
     "op1_gif_media": op1_gif_media,
@@ -15,6 +16,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_token_files": op6_token_files,
     "op7_golden_mixture": op7_golden_mixture,
+    "op8_toxicity_chain": op8_toxicity_chain,
     "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates,
     "op10_suffix_array_decontamination": op10_suffix_array_decontamination,
 }

@@ -7,12 +7,14 @@ from .gif import op1_gif_media
 from .langid import op5_language_id
 from .mixing import OP7_SQL, op7_golden_mixture
 from .setsketch import op9_setsketch_near_duplicates
+from .suffixes import op4_repeated_strings
 from .tokens import op2_token_counts, op6_token_files
 from .toxicity import op8_toxicity_chain
 
 QUERIES = {
     "op1_gif_media": op1_gif_media,
     "op2_token_counts": op2_token_counts,
+    "op4_repeated_strings": op4_repeated_strings,
     "op5_language_id": op5_language_id,
     "op6_token_files": op6_token_files,
     "op7_golden_mixture": op7_golden_mixture,

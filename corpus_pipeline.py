@@ -1,11 +1,55 @@
-"""The corpus pipeline: documents in, token files out."""
+"""The corpus pipeline: documents in, token files out.
 
-STAGES = []
+Each stage takes what its predecessor kept, written as Parquet and read again, and returns the columns of documents;
+the last returns a row for each document of the token files.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridclim.llm.common import Scratch, read_table
+from gridclim.llm.decontaminate import drop_contaminated
+from gridclim.llm.mixing import mixed_documents
+from gridclim.llm.setsketch import near_duplicates
+from gridclim.llm.tokens import token_files
+from gridclim.llm.toxicity import drop_toxic, train
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the classifier chain calls toxic."""
+    return drop_toxic(docs, train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near-duplicates (five words, a similarity of 0.8)."""
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept"))
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a benchmark item's passage."""
+    return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats or leaves out documents to bring the sources to their target weights."""
+    return mixed_documents(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the token files and reads them back."""
+    return token_files(docs, "pipeline-tokens")
+
+
+STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mixing", mixing), ("tokens", tokens)]
+#: The classifier, the sketches and the tokenizer have no SQL; tests/llm holds each stage against a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, scratch = read_table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.save(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -149,10 +149,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     is one window. Nulls have no words; repeated items match alike. The benchmark is broadcast in blocks of a bounded
     size; every block is searched in the one pass over the documents.
     """
-    spark = docs.sparkSession
-    blocks = []
-    for items in benchmark_blocks(benchmark, item_col, item_text_col):
-        blocks.append(spark.sparkContext.broadcast(([i for i, _ in items], test_suffixes(items, window))))
+    blocks = _broadcast(benchmark, item_col, item_text_col, window)
     span = pa.struct([("item", pa.int64()), ("test_word", pa.int64()), ("doc_word", pa.int64()), ("n_words", pa.int64())])
 
     def run(batches):
@@ -172,6 +169,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, n_words long, spans array<struct<item: long, test_word: long, doc_word: long, n_words: long>>")
 
 
+def _broadcast(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> list:
+    context = benchmark.sparkSession.sparkContext
+    return [context.broadcast(([i for i, _ in items], test_suffixes(items, window))) for items in benchmark_blocks(benchmark, item_col, text_col)]
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """The rows, with all their columns, that have no match with any item, as `matches` finds them."""
+    blocks = _broadcast(benchmark, item_col, item_text_col, window)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            texts = list(column_bytes(batch.column(at)))
+            for shard in _shards(texts):
+                clean = np.ones(len(texts[shard]), bool)
+                for _, test in (b.value for b in blocks):
+                    clean[shard_matches(texts[shard], test)["doc"]] = False
+                yield batch.slice(shard.start, shard.stop - shard.start).filter(pa.array(clean))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _shards(texts: list[bytes], most: int = 8 << 20):
     """Slices of about `most` bytes."""
     start, size = 0, 0

@@ -142,6 +142,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return Mixture(targets, slots, out)
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows, with all their columns, each as often as the mixture takes it, rounded to whole documents.
+
+    Rows that share an id are taken equally often.
+    """
+    taken = mix(docs, id_col, **options).taken.groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size")).where("taken > 0")
+    copies = taken.select(F.col("doc_id").alias("_of"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_copies")).where("_copies > 0")
+    columns = [F.col(f"d.`{c}`") for c in docs.columns]
+    often = docs.alias("d").join(copies.alias("c"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("c._of"))).select(*columns, F.explode(F.sequence(F.lit(1), F.col("c._copies"))).alias("_copy"))
+    return often.drop("_copy")
+
+
 def op7_golden_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).taken.select("doc_id", "size", "source_size", "target", "taken")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat import OP3_SQL, op3_perspective_rotation
 from .decontaminate import op10_suffix_array_decontamination
 from .gif import op1_gif_media
 from .langid import op5_language_id
@@ -14,6 +15,7 @@ from .toxicity import op8_toxicity_chain
 QUERIES = {
     "op1_gif_media": op1_gif_media,
     "op2_token_counts": op2_token_counts,
+    "op3_perspective_rotation": op3_perspective_rotation,
     "op4_repeated_strings": op4_repeated_strings,
     "op5_language_id": op5_language_id,
     "op6_token_files": op6_token_files,
@@ -22,4 +24,4 @@ QUERIES = {
     "op9_setsketch_near_duplicates": op9_setsketch_near_duplicates,
     "op10_suffix_array_decontamination": op10_suffix_array_decontamination,
 }
-ORACLES: dict[str, str] = {"op7_golden_mixture": OP7_SQL}
+ORACLES: dict[str, str] = {"op3_perspective_rotation": OP3_SQL, "op7_golden_mixture": OP7_SQL}

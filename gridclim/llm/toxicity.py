@@ -174,22 +174,10 @@ def score(docs: DataFrame, model: Chain | None, id_col: str = "doc_id", text_col
     One row for each input row. A null or empty text has no features. Without a model: null probabilities, not toxic.
     """
     names = [f"p_{n}" for n in (model.names if model else [n for n, _, _ in CHAIN])]
-    key = id(model) if model is None else zlib.crc32(repr([sorted(model.index.items()), [w.tobytes() for w in model.weights]]).encode())
 
     def run(batches):
-        look = _LOADED.get(key)
-        if look is None and model:
-            look = _LOADED[key] = feature_lookup(model.index)
         for batch in batches:
-            if not model:
-                p = np.full((batch.num_rows, len(names)), np.nan)
-            else:
-                x = np.zeros((batch.num_rows, len(model.index)), np.float32)
-                for i, text in enumerate(column_bytes(batch.column(1))):
-                    for w in text_words(text):
-                        for j in look(w):
-                            x[i, j] = 1
-                p = 1 / (1 + np.exp(-model.logits(x)))
+            p = probabilities(model, batch.column(1)) if model else np.full((batch.num_rows, len(names)), np.nan)
             columns = [pa.array(np.round(p[:, k], 9), pa.float64(), from_pandas=True) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(p[:, -1] >= threshold, pa.bool_())], [id_col, *names, "toxic"])
 
@@ -197,6 +185,31 @@ def score(docs: DataFrame, model: Chain | None, id_col: str = "doc_id", text_col
     return docs.select(id_col, text_col).mapInArrow(run, T.StructType(fields))
 
 
+def probabilities(model: Chain, texts: pa.Array) -> np.ndarray:
+    """A column for each category."""
+    key = zlib.crc32(repr([sorted(model.index.items()), [w.tobytes() for w in model.weights]]).encode())
+    look = _LOADED.get(key) or _LOADED.setdefault(key, feature_lookup(model.index))
+    x = np.zeros((len(texts), len(model.index)), np.float32)
+    for i, text in enumerate(column_bytes(texts)):
+        for w in text_words(text):
+            for j in look(w):
+                x[i, j] = 1
+    return 1 / (1 + np.exp(-model.logits(x)))
+
+
+def drop_toxic(docs: DataFrame, model: Chain | None, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows, with all their columns, that score does not call toxic; all rows without a model."""
+    if model is None:
+        return docs
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(probabilities(model, batch.column(at))[:, -1] < threshold, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return score(docs, train(docs, read_table(spark, sf_dir, "labels")))

@@ -6,7 +6,7 @@ similarity. Bands of registers give candidates; a joint likelihood over greater,
 with the known set sizes, drops those that cannot be similar enough; full sets confirm the rest.
 
 Documents with equal sets are one class throughout. Within a bucket, members first meet the bucket's least
-member; the pairs of members that are then still in different components follow, none left out.
+member; what then is in different components of one bucket is compared in blocks, none left out.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ _ODD = _rng.integers(0, 2**32, (REGISTERS, 1), dtype=np.uint32) | np.uint32(1)
 CUT = 12.5
 #: Node numbers from here on stand for documents without an id.
 NO_ID = 1 << 62
+#: Nodes of a block of the last, exhaustive comparison.
+BLOCK = 1024
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -143,6 +145,76 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold_percent: int) -> Dat
     return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
+def _links_of_rest(rest: DataFrame, sets: DataFrame, scratch: Scratch, threshold_percent: int) -> DataFrame:
+    """All links between members of different components that share a bucket, of rest (band, node, leader, label).
+
+    Buckets that share members make a cluster. A cluster is cut into blocks of about BLOCK nodes, so that a large
+    component has blocks of its own and small ones share some; each two blocks but those of one component meet in a
+    task, which counts all common shingles by matrix products. What a task holds stays the same for any cluster.
+    """
+    cluster = components(rest.select(F.col("node").alias("a"), F.col("leader").alias("b")), scratch, "clusters").withColumnRenamed("label", "cluster")
+    nodes = scratch.save(rest.select("node", "label").distinct().join(cluster, "node"), "clustered")
+    by_label = nodes.groupBy("cluster", "label").agg(F.count("*").alias("n"))
+    pool = by_label.groupBy("cluster").agg(F.sum(F.when(F.col("n") < BLOCK, F.col("n"))).alias("pool"))
+    large = F.col("n") >= BLOCK
+    own = F.when(large, F.col("label"))
+    part = F.when(large, F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("pool") / BLOCK)))
+    placed = scratch.save(nodes.join(by_label, ["cluster", "label"]).join(pool, "cluster").select("cluster", "node", "label", own.alias("own"), F.xxhash64(F.coalesce(own, F.lit(-1)), part).alias("block")), "placed")
+    blocks = placed.select("cluster", "own", "block").distinct()
+    other = blocks.select("cluster", F.col("own").alias("own_2"), F.col("block").alias("block_2"))
+    meet = blocks.join(other, "cluster").where("block <= block_2 and not (own is not null and own <=> own_2)").select("cluster", "block", "block_2", F.xxhash64("cluster", "block", "block_2").alias("task"))
+    meet = scratch.save(meet, "meet")
+    sides = meet.select("cluster", "block", "task", F.lit(0).alias("side")).unionAll(meet.where("block < block_2").select("cluster", F.col("block_2").alias("block"), "task", F.lit(1).alias("side")))
+    held = placed.select("cluster", "block", "node", "label").join(sets, "node").join(sides, ["cluster", "block"]).select("task", "side", "node", "label", "shingles")
+
+    def run(batches):
+        for group in _groups(batches):
+            found = [x for x in _similar(*group, threshold_percent)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return held.repartition("task").sortWithinPartitions("task", "side", "node").mapInArrow(run, "a long, b long").distinct()
+
+
+def _groups(batches):
+    """side, node, label and sets of each task, from rows sorted by it."""
+    now, rows = None, []
+    for batch in batches:
+        for task, *row in zip(*(batch.column(k).to_pylist() for k in range(4)), column_bytes(batch.column(4)), strict=True):
+            if task != now and rows:
+                yield tuple(zip(*rows, strict=True))
+                rows = []
+            now = task
+            rows.append(row)
+    if rows:
+        yield tuple(zip(*rows, strict=True))
+
+
+def _similar(side, node, label, sets, threshold_percent: int):
+    """Pairs of nodes with different labels whose sets are similar, between side 0 and side 1 or, with one side, within."""
+    arrays = [np.frombuffer(x, U64) for x in sets]
+    size = np.array([len(x) for x in arrays])
+    _, column, count = np.unique(np.concatenate(arrays), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(arrays)), size)
+    kept = count[column] > 1
+    column, owner = (np.cumsum(count > 1) - 1)[column[kept]], owner[kept]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    first = side.index(1) if 1 in side else 0
+    left, right = (slice(0, first), slice(first, None)) if first else (slice(None), slice(None))
+    common = np.zeros((len(arrays[left]), len(arrays[right])), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        low, high = np.searchsorted(column, (at, at + 4096))
+        part = np.zeros((len(arrays), 4096), np.float32)
+        part[owner[low:high], column[low:high] - at] = 1
+        common += part[left] @ part[right].T
+    total = size[left][:, None] + size[right][None, :] - common
+    labels = np.array(label)
+    similar = (100 * common >= threshold_percent * total) & (labels[left][:, None] != labels[right][None, :])
+    for i, j in np.argwhere(similar).tolist():
+        yield node[i], node[j + first]
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold_percent: int = 80) -> DataFrame:
     """id, n_shingles, component_id, kept, one row for each input row.
 
@@ -188,14 +260,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = links.unionAll(s.save(_confirmed(second, sets, threshold_percent), "links-2"))
     label = components(links, s, "cc-2")
 
-    labelled = members.join(label, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    labelled = members.join(label, "node", "left").select("band", "node", "leader", F.coalesce("label", "node").alias("label"))
     mixed = labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n")).where("least < most and n > 2").select("band")
-    rest = s.save(labelled.join(mixed, "band").join(nodes.select("node", "n_shingles"), "node"), "rest")
-    other = rest.select("band", *(F.col(c).alias(f"{c}_b") for c in ("node", "label", "n_shingles")))
-    apart = rest.join(other, "band").where((F.col("label") != F.col("label_b")) & (F.col("node") > F.col("node_b")) & (F.least("n_shingles", "n_shingles_b") * 100 >= F.greatest("n_shingles", "n_shingles_b") * threshold_percent))
-    third = apart.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-    third = s.save(_likely(third, nodes, threshold), "third")
-    links = links.unionAll(s.save(_confirmed(third, sets, threshold_percent), "links-3"))
+    rest = s.save(labelled.join(mixed, "band"), "rest")
+    links = links.unionAll(s.save(_links_of_rest(rest, sets, s, threshold_percent), "links-3"))
     label = components(links, s, "cc-3")
 
     of_class = classes.select("k1", "k2", F.col("node").alias("rep")).join(label.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("label", "rep").alias("label"))

@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from .common import Scratch, column_bytes, read_table
 
-CACHED = 600_000
+#: Pieces that a worker keeps: at most about 250 MB for ids, 100 MB for counts.
+CACHED = 1_000_000
 _LOADED: dict = {}
 
 
@@ -66,7 +67,7 @@ class PieceCounter:
         if not self.splits:
             return [len(x) for x in self._ids(texts)]
         split = [self.pretokens(t) if t else [] for t in texts]
-        rest = list({w for words in split for w in words if w not in self.known})
+        rest = list(set().union(*split).difference(self.known))
         fresh = {}
         for at in range(0, len(rest), 20_000):
             part = rest[at : at + 20_000]
@@ -192,28 +193,30 @@ class ByteEncoder:
                 yield c, data[start * step : end * step]
                 start = end + 1
 
-    def chunks(self, text: str) -> list[str]:
+    def chunks(self, text: str) -> tuple[str, list[str]]:
+        """The first chunk, and the others without the space they begin with."""
         if not self.splits:
-            return [text]
+            return text, []
         if _HARD.search(text):
-            return _CUT.split(text)
+            first, *rest = _CUT.split(text)
+            return first, [c[1:] for c in rest]
         first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
+        return first, rest
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.chunks(t) for t in texts]
-        rest = list({c for chunks in split for c in chunks if c not in self.known})
+        rest = list(set().union(*(words for _, words in split)).difference(self.known))
         fresh = {}
         for at in range(0, len(rest), 20_000):
-            part = rest[at : at + 20_000]
-            fresh.update(self._ids(part))
+            fresh.update((c[1:], ids) for c, ids in self._ids([" " + w for w in rest[at : at + 20_000]]))
         if len(self.known) + len(fresh) > CACHED:
             look = {**self.known, **fresh}
             self.known = {}
         else:
             self.known.update(fresh)
             look = self.known
-        return [b"".join(map(look.__getitem__, chunks)) for chunks in split]
+        firsts = dict(self._ids(list({first for first, _ in split})))
+        return [firsts[first] + b"".join(map(look.__getitem__, words)) for first, words in split]
 
 
 class Store:

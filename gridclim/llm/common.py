@@ -68,6 +68,24 @@ def column_bytes(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+_KEPT: dict[str, tuple] = {}
+
+
+def kept(name: str, key, make):
+    """A worker's one object of a name, made anew when the key changes, so that earlier ones can go."""
+    if name not in _KEPT or _KEPT[name][0] != key:
+        _KEPT.pop(name, None)
+        _KEPT[name] = (key, make())
+    return _KEPT[name][1]
+
+
+def slices(batches, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows, so that what a step builds from a part stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def powers(base: int, n: int) -> np.ndarray:
     have = _POW[base]
     if len(have) < n:

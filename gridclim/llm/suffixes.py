@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, byte_values, column_bytes, mix, prefix_hash, read_table, span_hash
+from .common import U64, Scratch, byte_values, column_bytes, mix, prefix_hash, read_table, slices, span_hash
 
 LENGTH, Q = 400, 64
 #: Runs of a bucket beyond which it is cut by window hashes, and bytes that a task sorts at a time.
-CROWDED, SORTED_BYTES = 20_000, 4 << 20
+CROWDED, SORTED_BYTES = 20_000, 1 << 20
 _BYTES, _MORE_BYTES = byte_values(41), byte_values(43)
 _PIECE, _PLACE = 1 << 22, U64((1 << 23) - 1)
 
@@ -137,7 +137,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
 
     def cut(batches):
         names = ["d", "h", "bucket", "first", "done", "crowded", "bytes"]
-        for batch in batches:
+        for batch in slices(batches):
             out = {k: [] for k in names}
             for d, h, own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), column_bytes(batch.column(3)), strict=True):
                 for r in own:
@@ -170,7 +170,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
         spans = spans.unionAll(_crowded_spans(pieces.where("crowded"), s, length))
 
     def unite(batches):
-        for batch in batches:
+        for batch in slices(batches):
             each = [merged(np.array([x["start"] for x in own], np.int64), np.array([x["end"] for x in own], np.int64)) for own in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([a.tolist() for a, _ in each], pa.list_(pa.int64())), pa.array([b.tolist() for _, b in each], pa.list_(pa.int64()))], ["d", "h", "starts", "ends"])
 
@@ -180,7 +180,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
 def _by_bucket(batches, most: int = SORTED_BYTES):
     """Columns of whole buckets, of about `most` bytes together, from rows sorted by bucket."""
     rows, size, last = [], 0, None
-    for batch in batches:
+    for batch in slices(batches):
         for bucket, *row in zip(*(batch.column(k).to_pylist() for k in range(5)), column_bytes(batch.column(5)), strict=True):
             if bucket != last and size >= most:
                 yield tuple(map(list, zip(*rows, strict=True)))
@@ -221,7 +221,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = keyed.join(spans, ["d", "h"], "left").select("id", "text", "starts", "ends")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             size, kept = [], []
             for text, starts, ends in zip(column_bytes(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 size.append(len(text))

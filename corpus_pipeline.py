@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridclim.llm.common import Scratch, read_table
+from gridclim.llm.common import Scratch, read_table, small_batches
 from gridclim.llm.decontaminate import drop_contaminated
 from gridclim.llm.mixing import mixed_documents
 from gridclim.llm.setsketch import near_duplicates
@@ -19,27 +19,32 @@ from gridclim.llm.toxicity import drop_toxic, train
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the classifier chain calls toxic."""
+    small_batches(spark)
     return drop_toxic(docs, train(docs, read_table(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near-duplicates (five words, a similarity of 0.8)."""
+    small_batches(spark)
     kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept"))
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item's passage."""
+    small_batches(spark)
     return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or leaves out documents to bring the sources to their target weights."""
+    small_batches(spark)
     return mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the token files and reads them back."""
+    small_batches(spark)
     return token_files(docs, "pipeline-tokens")
 
 

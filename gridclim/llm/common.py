@@ -6,6 +6,7 @@ can neither clash with nor leak into its result.
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -28,6 +29,14 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (here, env.get("PYTHONPATH")) if x)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
+    """Bounds the Arrow batches that go to Python workers. For jobs of many stages in one session, whose executors hold
+    off-heap what a batch needs on top of a heap that earlier stages have filled."""
+    importable(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -42,7 +51,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -72,13 +81,21 @@ _KEPT: dict[str, tuple] = {}
 
 
 def kept(name: str, key, make):
-    """A worker's one object of a name, made anew when the key changes, so that earlier ones can go."""
+    """A worker's object of a name, made anew when the key changes. A worker keeps one object at a time."""
     if name not in _KEPT or _KEPT[name][0] != key:
-        _KEPT.pop(name, None)
+        release()
         _KEPT[name] = (key, make())
     return _KEPT[name][1]
 
 
+def release() -> None:
+    """Frees what an earlier operator left in this worker; steps that keep nothing begin with it."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def slices(batches, rows: int = 500) -> Iterator[pa.RecordBatch]:
     """The batches in parts of so many rows, so that what a step builds from a part stays small."""
     for batch in batches:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, column_bytes, read_table, windows, words
+from .common import U64, column_bytes, read_table, release, windows, words
 
 WINDOW = 10
 #: Words of test items that one broadcast holds; a larger benchmark goes in several.
@@ -153,6 +153,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     span = pa.struct([("item", pa.int64()), ("test_word", pa.int64()), ("doc_word", pa.int64()), ("n_words", pa.int64())])
 
     def run(batches):
+        release()
         for batch in batches:
             texts = list(column_bytes(batch.column(1)))
             for shard in _shards(texts):
@@ -180,6 +181,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     at = docs.columns.index(text_col)
 
     def run(batches):
+        release()
         for batch in batches:
             texts = list(column_bytes(batch.column(at)))
             for shard in _shards(texts):

@@ -14,14 +14,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_bytes, read_table
+from .common import column_bytes, kept, read_table
 
 #: Bounds of the learned sample: documents, bytes taken from each, and bytes of the dictionary, for each language.
 SAMPLE_DOCS, DOC_BYTES, DICT_BYTES = 400, 512, 1 << 17
 #: Texts of up to SHORT bytes meet PARTS small parts of each dictionary in turn: nearer matches cost fewer bits.
 CHUNK, LEVEL, SHORT, PARTS, PART_BYTES, PART_LEVEL, MARGIN = 512, 3, 600, 8, 8192, 9, 0.01
 _LETTER = re.compile(r"[^\W\d_]")
-_LOADED: dict = {}
 
 
 def held_out(id_col: str = "doc_id"):
@@ -110,7 +109,7 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_i
     key = zlib.crc32(repr(sorted(dictionaries.items())).encode())
 
     def run(batches):
-        model = _LOADED.get(key) or _LOADED.setdefault(key, Classifier(dictionaries))
+        model = kept("languages", key, lambda: Classifier(dictionaries))
         for batch in batches:
             found = [model.predict(text) for text in column_bytes(batch.column(1))]
             lang, score, gap = zip(*found, strict=True) if found else ((), (), ())

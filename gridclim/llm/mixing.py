@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, column_bytes, count_words, read_table
+from .common import Scratch, column_bytes, count_words, read_table, release
 
 WEIGHTS, MOST_PASSES, BLOCK_WORDS = (5, 2, 1), 3, 256
 #: Slots of a chunk, within which ranks are counted; chunks add up by prefix sums.
@@ -38,6 +38,7 @@ def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
     """doc_id, source, size: the number of words (null: 0)."""
 
     def run(batches):
+        release()
         for batch in batches:
             n = [count_words(t) for t in column_bytes(batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["doc_id", "source", "size"])

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, Scratch, column_bytes, mix, read_table, shingle_set
+from .common import U64, Scratch, column_bytes, mix, read_table, release, shingle_set
 from .components import components
 
 #: At a similarity of 0.8 all 32 bands of 4 registers differ with a probability of 5e-8.
@@ -86,6 +86,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
     """id, node, n_shingles, a 128-bit key of the shingle set (null if empty) and its registers."""
 
     def run(batches):
+        release()
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), {k: [] for k in _SKETCH.names[1:]}
             for doc, text in zip(ids, column_bytes(batch.column(1)), strict=True):
@@ -203,9 +204,9 @@ def _similar(side, node, label, sets, threshold_percent: int):
     first = side.index(1) if 1 in side else 0
     left, right = (slice(0, first), slice(first, None)) if first else (slice(None), slice(None))
     common = np.zeros((len(arrays[left]), len(arrays[right])), np.float32)
-    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
-        low, high = np.searchsorted(column, (at, at + 4096))
-        part = np.zeros((len(arrays), 4096), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+        low, high = np.searchsorted(column, (at, at + 2048))
+        part = np.zeros((len(arrays), 2048), np.float32)
         part[owner[low:high], column[low:high] - at] = 1
         common += part[left] @ part[right].T
     total = size[left][:, None] + size[right][None, :] - common

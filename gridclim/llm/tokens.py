@@ -17,11 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, column_bytes, read_table
+from .common import Scratch, column_bytes, kept, read_table
 
 #: Pieces that a worker keeps: at most about 250 MB for ids, 100 MB for counts.
 CACHED = 1_000_000
-_LOADED: dict = {}
 
 
 def tokenizer_file(name: str) -> str:
@@ -88,12 +87,6 @@ class PieceCounter:
         return text.split(" ")
 
 
-def _once(key, make):
-    if key not in _LOADED:
-        _LOADED[key] = make()
-    return _LOADED[key]
-
-
 def _slices(texts: list[str], most: int = 4 << 20):
     """Runs of texts of about `most` characters."""
     part, size = [], 0
@@ -117,7 +110,7 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = (zlib.crc32(model), len(model))
 
     def run(batches):
-        counter = _once(key, lambda: PieceCounter(model))
+        counter = kept("pieces", key, lambda: PieceCounter(model))
         for batch in batches:
             texts = [x.decode() for x in column_bytes(batch.column(1))]
             n = [c for part in _slices(texts) for c in counter.counts(part)]
@@ -274,7 +267,7 @@ def write_token_files(df: DataFrame, folder: str, id_col: str = "doc_id", text_c
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder, store = _once(key, lambda: ByteEncoder(definition, width)), Store(folder)
+        encoder, store = kept("ids", key, lambda: ByteEncoder(definition, width)), Store(folder)
         ids, nulls, sizes = [], [], []
         end = np.array([end_id], width).tobytes()
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, column_bytes, read_table
+from .common import Scratch, column_bytes, kept, read_table, release
 
 #: Bound of the labelled rows learned from, features taken for each category, and the least number of rows with one.
 SAMPLE, FEATURES, LEAST_ROWS, FOLDS, L2 = 8000, 200, 4, 4, 0.3
@@ -25,8 +25,7 @@ PREFIXES = (4, 5, 6)
 #: The chain: category, column of labels, value that means the category holds.
 CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHED = 500_000
-_LOADED: dict = {}
+_CACHED = 300_000
 
 
 def word_features(word: str) -> list[str]:
@@ -109,6 +108,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ys = [f"y{k}" for k in range(len(chain))]
 
     def count(batches):
+        release()
         total: Counter = Counter()
         by = [Counter() for _ in ys]
         for batch in batches:
@@ -188,7 +188,7 @@ def score(docs: DataFrame, model: Chain | None, id_col: str = "doc_id", text_col
 def probabilities(model: Chain, texts: pa.Array) -> np.ndarray:
     """A column for each category."""
     key = zlib.crc32(repr([sorted(model.index.items()), [w.tobytes() for w in model.weights]]).encode())
-    look = _LOADED.get(key) or _LOADED.setdefault(key, feature_lookup(model.index))
+    look = kept("toxicity", key, lambda: feature_lookup(model.index))
     x = np.zeros((len(texts), len(model.index)), np.float32)
     for i, text in enumerate(column_bytes(texts)):
         for w in text_words(text):

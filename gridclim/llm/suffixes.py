@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, byte_values, column_bytes, mix, prefix_hash, read_table, slices, span_hash
+from .common import U64, Scratch, byte_values, column_bytes, mix, prefix_hash, read_table, release, slices, span_hash
 
 LENGTH, Q = 400, 64
-#: Runs of a bucket beyond which it is cut by window hashes, and bytes that a task sorts at a time.
-CROWDED, SORTED_BYTES = 20_000, 1 << 20
+#: Runs of a bucket beyond which it is cut by window hashes, so that no task sorts more than some 3 MB at a time; and
+#: bytes of smaller buckets that a task sorts together.
+CROWDED, SORTED_BYTES = 5000, 1 << 20
 _BYTES, _MORE_BYTES = byte_values(41), byte_values(43)
 _PIECE, _PLACE = 1 << 22, U64((1 << 23) - 1)
 
@@ -116,6 +117,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     keyed = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("d"), F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text"))
 
     def find(batches):
+        release()
         for batch in batches:
             ids, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             rows = [runs(t, length, q) for t in column_bytes(batch.column(2))]
@@ -132,8 +134,10 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     s.drop("runs")
     whole = judged.where("n_alike is not null").select("d", "h", F.col("first").alias("start"), "end")
     open_ = judged.where("n_alike is null").select("bucket").distinct()
-    going = judged.where("n_alike is null or one").join(open_, "bucket", "left_semi")
-    by_doc = going.groupBy("d", "h").agg(F.collect_list(F.struct("bucket", "first", "end", F.coalesce("one", F.lit(False)).alias("done"), (F.col("n_bucket") > CROWDED).alias("crowded"))).alias("runs"))
+    going = s.save(judged.where("n_alike is null or one").join(open_, "bucket", "left_semi").select("d", "h", "bucket", "first", "end", F.coalesce("one", F.lit(False)).alias("done")), "going")
+    crowds = going.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).select("bucket", F.lit(True).alias("crowded"))
+    going = going.join(crowds, "bucket", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    by_doc = going.groupBy("d", "h").agg(F.collect_list(F.struct("bucket", "first", "end", "done", "crowded")).alias("runs"))
 
     def cut(batches):
         names = ["d", "h", "bucket", "first", "done", "crowded", "bytes"]

@@ -34,13 +34,17 @@ def point_rain(alt: DataFrame, at: grid.Place, code: int) -> DataFrame:
     return alt.where((F.col("fparent_id") == at.fparent_id) & (F.col("fine_id") == at.fine_id) & (F.col("source") == code)).select("date", F.col("precip").alias("rain"))
 
 
-def weighted_rain(alt: DataFrame, weights: DataFrame, code: int, null_aware: bool = False) -> DataFrame:
-    """child_id, date, rain, coverage: area-weighted means over coarse cells. The weight of a null value counts unless null_aware."""
-    rows = alt.where(F.col("source") == code).join(F.broadcast(weights) if _small(weights) else weights, "fine_id")
+def weighted_rain(alt: DataFrame, weights: DataFrame, code: int | None = None, null_aware: bool = False) -> DataFrame:
+    """child_id, date, source, rain, coverage, n_fine: area-weighted means over coarse cells, of one source or of each.
+
+    The weight of a null value counts unless null_aware. One shuffle, partial sums first.
+    """
+    rows = alt if code is None else alt.where(F.col("source") == code)
+    rows = rows.join(F.broadcast(weights) if _small(weights) else weights, "fine_id")
     value, weight = F.col("precip").cast("double"), F.col("weight").cast("double")
     counted = F.when(value.isNotNull(), weight) if null_aware else weight
-    found = rows.groupBy("child_id", "date").agg(F.sum(value * weight).alias("_p"), F.sum(counted).alias("coverage"))
-    return found.select("child_id", "date", F.try_divide("_p", "coverage").alias("rain"), "coverage")
+    found = rows.groupBy("child_id", "date", "source").agg(F.sum(value * weight).alias("_p"), F.sum(counted).alias("coverage"), F.count("*").alias("n_fine"))
+    return found.select("child_id", "date", "source", F.try_divide("_p", "coverage").alias("rain"), "coverage", "n_fine")
 
 
 def _small(rows: DataFrame, most: int = 32 << 20) -> bool:
@@ -122,8 +126,6 @@ def compare_rain(rows: DataFrame, keys: list[str], period: str = "date") -> Data
 
 def precip_compare(stored: DataFrame, alt: DataFrame, weights: DataFrame) -> DataFrame:
     """The record's rain beside each product's area-weighted rain: child_id, date, source, own, other, coverage, n."""
-    rows = alt.join(weights, "fine_id")
-    value, weight = F.col("precip").cast("double"), F.col("weight").cast("double")
-    other = rows.groupBy("child_id", "date", "source").agg(F.sum(value * weight).alias("_p"), F.sum(weight).alias("coverage"), F.count("*").alias("n_fine"))
+    other = weighted_rain(alt, weights).withColumnRenamed("rain", "alt_precip")
     own = stored.select("child_id", "date", F.col("precip").alias("own_precip"))
-    return other.join(own, ["child_id", "date"]).select("child_id", "date", "source", "own_precip", F.try_divide("_p", "coverage").alias("alt_precip"), "coverage", "n_fine")
+    return other.join(own, ["child_id", "date"]).select("child_id", "date", "source", "own_precip", "alt_precip", "coverage", "n_fine")

@@ -281,9 +281,7 @@ def _(spark, d):
 def _(spark, d):
     alt = P.alt_rain(spark, d)
     weights = spatial.area_weights(alt.select("fine_id").distinct())
-    parts = [series.weighted_rain(alt, weights, code).withColumn("source", F.lit(code)) for code in (2, 3, 4)]
-    n = alt.join(weights, "fine_id").groupBy("child_id", "date", "source").agg(F.count("*").alias("n_fine"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).join(n, ["child_id", "date", "source"]).select("child_id", "date", "source", *r6("rain", "coverage"), "n_fine")
+    return series.weighted_rain(alt, weights).select("child_id", "date", "source", *r6("rain", "coverage"), "n_fine")
 
 
 @query("j_compare_sources", ["alt_rain"], "SELECT u, date_trunc('month', date)::DATE AS month, sum(precip) FILTER (source = 2) AS chirps_v2, sum(precip) FILTER (source = 3) AS chirps_v3_rnl, sum(precip) FILTER (source = 4) AS chirps_v3_sat FROM alt_rain GROUP BY ALL")

@@ -42,6 +42,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table just read, in partitions enough for all cores: a small one in a single file is dealt out, larger ones are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Scratch:
     """Intermediate tables in the folder that all executors share (spark.checkpoint.dir).
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, column_bytes, read_table, release, windows, words
+from .common import U64, column_bytes, read_table, release, spread, windows, words
 
 WINDOW = 10
 #: Words of test items that one broadcast holds; a larger benchmark goes in several.
@@ -219,5 +219,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def op10_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    found = decontaminate(spread(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_bytes, read_table
+from .common import column_bytes, read_table, spread
 
 ROW, FRAME_ROWS, DELAY_CS, BINS = 192, 256, 10, 8
 GREY = bytes(x for i in range(256) for x in (i, i, i))
@@ -280,7 +280,7 @@ def timed_frames(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def op1_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    media = decode_gif(store_gif(read_table(spark, sf_dir, "documents")))
+    media = decode_gif(store_gif(spread(read_table(spark, sf_dir, "documents"))))
     levels = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.aggregate("frames", F.lit(0).cast("long"), lambda a, f: a + F.get(f["hist_r"], i)).cast("string"))
     last = F.element_at("frames", -1)
     return media.select(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_bytes, kept, read_table
+from .common import column_bytes, kept, read_table, spread
 
 #: Bounds of the learned sample: documents, bytes taken from each, and bytes of the dictionary, for each language.
 SAMPLE_DOCS, DOC_BYTES, DICT_BYTES = 400, 512, 1 << 17
@@ -120,6 +120,6 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_i
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     found = identify(docs, learn_dictionaries(docs.where(~held_out())))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, column_bytes, count_words, read_table, release
+from .common import Scratch, column_bytes, count_words, read_table, release, spread
 
 WEIGHTS, MOST_PASSES, BLOCK_WORDS = (5, 2, 1), 3, 256
 #: Slots of a chunk, within which ranks are counted; chunks add up by prefix sums.
@@ -156,7 +156,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
 
 
 def op7_golden_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(read_table(spark, sf_dir, "documents")).taken.select("doc_id", "size", "source_size", "target", "taken")
+    return mix(spread(read_table(spark, sf_dir, "documents"))).taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP7_SQL = r"""

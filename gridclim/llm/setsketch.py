@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, Scratch, column_bytes, mix, read_table, release, shingle_set
+from .common import U64, Scratch, column_bytes, mix, read_table, release, shingle_set, spread
 from .components import components
 
 #: At a similarity of 0.8 all 32 bands of 4 registers differ with a probability of 5e-8.
@@ -288,4 +288,4 @@ def _texts_without_id(df: DataFrame, id_col: str, text_col: str, shingle: int) -
 
 
 def op9_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4)
+    return near_duplicates(spread(read_table(spark, sf_dir, "documents")), shingle=4)

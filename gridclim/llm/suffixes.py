@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, byte_values, column_bytes, mix, prefix_hash, read_table, release, slices, span_hash
+from .common import U64, Scratch, byte_values, column_bytes, mix, prefix_hash, read_table, release, slices, span_hash, spread
 
 LENGTH, Q = 400, 64
 #: Runs of a bucket beyond which it is cut by window hashes, so that no task sorts more than some 3 MB at a time; and
@@ -241,5 +241,5 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = remove_repeats(read_table(spark, sf_dir, "documents"))
+    found = remove_repeats(spread(read_table(spark, sf_dir, "documents")))
     return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"), F.coalesce(F.size("starts"), F.lit(0)).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

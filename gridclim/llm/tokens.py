@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, column_bytes, kept, read_table
+from .common import Scratch, column_bytes, kept, read_table, spread
 
 #: Pieces that a worker keeps: at most about 250 MB for ids, 100 MB for counts.
 CACHED = 1_000_000
@@ -122,7 +122,7 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(read_table(spark, sf_dir, "documents"))
+    return count_tokens(spread(read_table(spark, sf_dir, "documents")))
 
 
 #: A space after which the next character is white space: there, a text is not cut at every space.

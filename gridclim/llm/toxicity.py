@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, column_bytes, kept, read_table, release
+from .common import Scratch, column_bytes, kept, read_table, release, spread
 
 #: Bound of the labelled rows learned from, features taken for each category, and the least number of rows with one.
-SAMPLE, FEATURES, LEAST_ROWS, FOLDS, L2 = 8000, 200, 4, 4, 0.3
+SAMPLE, FEATURES, LEAST_ROWS, FOLDS, L2 = 8000, 200, 4, 4, 0.1
 PREFIXES = (4, 5, 6)
 #: The chain: category, column of labels, value that means the category holds.
 CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
@@ -38,22 +38,25 @@ def text_words(text: bytes) -> set[str]:
 
 @dataclass
 class Chain:
-    """names: categories in order; index: feature to column; weights: for each category the features', the earlier logits', the constant's."""
+    """names: categories in order; index: feature to column; own: for each category the columns of its own
+    features; weights: for each category those features', the earlier probabilities', the constant's; threshold: of the last."""
 
     names: list[str]
     index: dict[str, int]
+    own: list[list[int]]
     weights: list[np.ndarray]
+    threshold: float
 
-    def logits(self, x: np.ndarray) -> np.ndarray:
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
         """A column for each category, from rows of features."""
         found = np.zeros((len(x), 0))
-        for w in self.weights:
-            found = np.column_stack([found, _linear(np.column_stack([x, found]), w)])
+        for own, w in zip(self.own, self.weights, strict=True):
+            found = np.column_stack([found, _probability(np.column_stack([x[:, own], found]), w)])
         return found
 
 
-def _linear(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return np.clip(x @ w[:-1] + w[-1], -30, 30)
+def _probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
 
 
 def fit_linear(x: np.ndarray, y: np.ndarray, l2: float = L2, steps: int = 12) -> np.ndarray:
@@ -76,18 +79,31 @@ def fit_linear(x: np.ndarray, y: np.ndarray, l2: float = L2, steps: int = 12) ->
     return w
 
 
-def fit_chain(names: list[str], index: dict[str, int], x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> Chain:
-    """x: rows of features; y: a column of labels for each category; fold: each row's fold."""
+def fit_chain(names: list[str], index: dict[str, int], own: list[list[int]], x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> Chain:
+    """x: rows of features; own: each category's columns; y: a column of labels for each category; fold: each row's fold."""
     weights, outside = [], np.zeros((len(x), 0))
     for k in range(len(names)):
-        seen = np.column_stack([x, outside])
+        seen = np.column_stack([x[:, own[k]], outside])
         found = np.zeros(len(x))
         for f in np.unique(fold):
-            own = fold == f
-            found[own] = _linear(seen[own], fit_linear(seen[~own], y[~own, k])) if (~own).any() else 0
+            out = fold == f
+            found[out] = _probability(seen[out], fit_linear(seen[~out], y[~out, k])) if (~out).any() else 0.5
         weights.append(fit_linear(seen, y[:, k]))
         outside = np.column_stack([outside, found])
-    return Chain(names, index, weights)
+    return Chain(names, index, own, weights, best_threshold(outside[:, -1], y[:, -1]))
+
+
+def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+    """The probability that parts out-of-fold predictions best (by F1), halfway in log odds between its neighbours; of equal ones the lowest."""
+    if not y.any() or y.all():
+        return 0.5
+    order = np.argsort(-p, kind="stable")
+    p, hit = p[order], np.cumsum(y[order])
+    last = np.append(p[1:] < p[:-1], False)
+    f1 = np.where(last, 2 * hit / (np.arange(1, len(p) + 1) + hit[-1]), -1.0)
+    k = len(p) - 1 - int(np.argmax(f1[::-1]))
+    odds = np.log(p[[k, k + 1]] / (1 - p[[k, k + 1]])) if last[k] else np.zeros(2)
+    return float(1 / (1 + np.exp(-odds.mean())))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain=CHAIN, sample: int = SAMPLE) -> Chain | None:
@@ -128,13 +144,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     size, *positive = texts.agg(F.count("*"), *[F.sum(y) for y in ys]).first()
     counted = s.save(sums.where(F.col("n") >= LEAST_ROWS), "features")
     picked: dict[str, int] = {}
+    own: list[list[int]] = []
     for y, p in zip(ys, positive, strict=True):
+        own.append([])
         if not p or p == size:
             continue
         more = F.col(y) * float(size) - F.col("n") * float(p)
         chi2 = more * more / (F.col("n").cast("double") * F.greatest(F.lit(1e-9), size - F.col("n").cast("double")))
         for row in counted.orderBy(chi2.desc(), "feature").limit(FEATURES).select("feature").collect():
-            picked.setdefault(row[0], len(picked))
+            own[-1].append(picked.setdefault(row[0], len(picked)))
 
     look = feature_lookup(picked)
 
@@ -149,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     for i, r in enumerate(rows):
         x[i, r.features] = 1
     fold = np.array([zlib.crc32(str(r[0]).encode()) % FOLDS for r in rows])
-    return fit_chain([n for n, _, _ in chain], picked, x, y, fold) if rows else None
+    return fit_chain([n for n, _, _ in chain], picked, own, x, y, fold) if rows else None
 
 
 def feature_lookup(index: dict[str, int]):
@@ -168,18 +186,19 @@ def feature_lookup(index: dict[str, int]):
     return look
 
 
-def score(docs: DataFrame, model: Chain | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """id, p_<category> for each category in the chain's order, and toxic (the last one's probability reaches the threshold).
+def score(docs: DataFrame, model: Chain | None, id_col: str = "doc_id", text_col: str = "text", threshold: float | None = None) -> DataFrame:
+    """id, p_<category> for each category in the chain's order, and toxic: the last one's probability reaches the threshold, the model's own unless given.
 
     One row for each input row. A null or empty text has no features. Without a model: null probabilities, not toxic.
     """
+    least = threshold if threshold is not None else model.threshold if model else 0.5
     names = [f"p_{n}" for n in (model.names if model else [n for n, _, _ in CHAIN])]
 
     def run(batches):
         for batch in batches:
             p = probabilities(model, batch.column(1)) if model else np.full((batch.num_rows, len(names)), np.nan)
             columns = [pa.array(np.round(p[:, k], 9), pa.float64(), from_pandas=True) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(p[:, -1] >= threshold, pa.bool_())], [id_col, *names, "toxic"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(p[:, -1] >= least, pa.bool_())], [id_col, *names, "toxic"])
 
     fields = [T.StructField(id_col, docs.schema[id_col].dataType), *[T.StructField(n, T.DoubleType()) for n in names], T.StructField("toxic", T.BooleanType())]
     return docs.select(id_col, text_col).mapInArrow(run, T.StructType(fields))
@@ -194,22 +213,23 @@ def probabilities(model: Chain, texts: pa.Array) -> np.ndarray:
         for w in text_words(text):
             for j in look(w):
                 x[i, j] = 1
-    return 1 / (1 + np.exp(-model.logits(x)))
+    return model.probabilities(x)
 
 
-def drop_toxic(docs: DataFrame, model: Chain | None, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def drop_toxic(docs: DataFrame, model: Chain | None, text_col: str = "text", threshold: float | None = None) -> DataFrame:
     """The rows, with all their columns, that score does not call toxic; all rows without a model."""
     if model is None:
         return docs
     at = docs.columns.index(text_col)
+    least = model.threshold if threshold is None else threshold
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(probabilities(model, batch.column(at))[:, -1] < threshold, pa.bool_()))
+            yield batch.filter(pa.array(probabilities(model, batch.column(at))[:, -1] < least, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
 
 def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     return score(docs, train(docs, read_table(spark, sf_dir, "labels")))

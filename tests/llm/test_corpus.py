@@ -279,7 +279,7 @@ def test_toxicity(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic string")
     marks = spark.createDataFrame([*labels[:400], (1, None, 1), (None, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
     model = toxicity.train(docs, marks)
-    assert model.names == ["low_quality", "toxic"] and len(model.weights[1]) == len(model.index) + 2
+    assert model.names == ["low_quality", "toxic"] and len(model.weights[1]) == len(model.own[1]) + 2
     got = toxicity.score(docs, model).collect()
     held = {r.doc_id: r for r in got if r.doc_id is not None and 400 <= r.doc_id < 500}
     assert all(held[k].toxic == (k % 5 == 0) for k in held)
@@ -297,6 +297,6 @@ def test_chain_sees_out_of_fold_predictions():
     x = rng.integers(0, 2, (400, 6)).astype(float)
     first = (x[:, 0] + rng.normal(0, 0.4, 400) > 0.5).astype(float)
     y = np.column_stack([first, ((first + x[:, 1]) > 1).astype(float)])
-    model = toxicity.fit_chain(["a", "b"], {str(k): k for k in range(6)}, x, y, np.arange(400) % 4)
-    p = 1 / (1 + np.exp(-model.logits(x)))
+    model = toxicity.fit_chain(["a", "b"], {str(k): k for k in range(6)}, [list(range(6))] * 2, x, y, np.arange(400) % 4)
+    p = model.probabilities(x)
     assert ((p[:, 1] > 0.5) == (y[:, 1] > 0.5)).mean() > 0.85 and model.weights[1][6] > 0.3

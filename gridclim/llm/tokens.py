@@ -6,6 +6,7 @@ they have met in a bounded per-worker cache.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -151,21 +152,31 @@ class ByteEncoder:
 
     Chunks begin at a space before a non-space character, where the byte-level pre-tokeniser always starts
     a new pre-token, so the ids of the chunks in a row are the ids of the text.
+
+    With `added`, the strings of added tokens (such as <|endoftext|>) become these tokens wherever a text holds them, as
+    the library does by itself: texts are first split at them, each part a text of its own. Where an added token has
+    options of its own (stripping, single words), whole texts go to the library. Without `added`, strings of special
+    tokens are text like any other.
     """
 
-    def __init__(self, definition: str, width: str):
+    def __init__(self, definition: str, width: str, added: bool = False):
         from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model = Tokenizer.from_str(definition)
-        self.model.encode_special_tokens = True
+        self.model.encode_special_tokens = not added
         self.width = width
-        self.splits = type(self.model.pre_tokenizer).__name__ == "ByteLevel" and self.model.normalizer is None
+        entries = self.model.get_added_tokens_decoder() if added else {}
+        self.added = {t.content: np.array([i], width).tobytes() for i, t in entries.items() if t.content}
+        plain = len({t.normalized for t in entries.values()}) < 2 and not any(t.single_word or t.lstrip or t.rstrip for t in entries.values())
+        self.cut = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})")
+        self.splits = type(self.model.pre_tokenizer).__name__ == "ByteLevel" and self.model.normalizer is None and plain
         self.known: dict[str, bytes] = {}
         vocabulary = self.model.get_vocab()
         self.mark = vocabulary.get(_SPELLED[0])
         self.joint = self.splits and self.mark is not None and [t for t in vocabulary if _SPELLED[0] in t] == [_SPELLED[0]]
-        self.merger = Tokenizer.from_str(definition)
+        # in bytes' spelling no added token is to be found: what a text holds of them is cut out before
+        self.merger = Tokenizer.from_str(json.dumps(json.loads(definition) | {"added_tokens": []}) if added else definition)
         self.merger.encode_special_tokens = True
         self.merger.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
 
@@ -197,6 +208,13 @@ class ByteEncoder:
         return first, rest
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not (self.splits and self.added):
+            return self._encode(texts)
+        parts = [self.cut.split(t) if any(a in t for a in self.added) else [t] for t in texts]
+        found = iter(self._encode([x for p in parts for x in p[::2]]))
+        return [b"".join(self.added[x] if k % 2 else next(found) for k, x in enumerate(p)) for p in parts]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [self.chunks(t) for t in texts]
         rest = list(set().union(*(words for _, words in split)).difference(self.known))
         fresh = {}
@@ -245,13 +263,14 @@ class Store:
 _MANIFEST = T.StructType([T.StructField("part", T.LongType()), T.StructField("n_docs", T.LongType()), T.StructField("n_ids", T.LongType())])
 
 
-def write_token_files(df: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = 2, partitions: int | None = None) -> DataFrame:
+def write_token_files(df: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = 2, partitions: int | None = None, added: bool = False) -> DataFrame:
     """Writes flat files in ascending id order and returns their manifest (part, n_docs, n_ids, base_doc, base_id).
 
     Documents are dealt by ranges of the id and sorted within; equal ids go by text, null ids come first, null
     texts are empty. part-N.bin holds unsigned 16-bit (or, for larger vocabularies, 32-bit) little-endian ids,
     part-N.idx a 64-bit count n, n + 1 offsets within the part, n ids and n null flags. Bases are prefix sums
-    over the manifest, of one row for each file.
+    over the manifest, of one row for each file. With `added`, strings of added tokens in a text become these tokens,
+    the library's default; else they are spelled out.
     """
     with open(path or tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as f:
         definition = f.read()
@@ -259,7 +278,7 @@ def write_token_files(df: DataFrame, folder: str, id_col: str = "doc_id", text_c
 
     largest = max(Tokenizer.from_str(definition).get_vocab_size() - 1, end_id)
     width = "<u2" if largest < 1 << 16 else "<u4"
-    key = (zlib.crc32(definition.encode()), width)
+    key = (zlib.crc32(definition.encode()), width, added)
     spark = df.sparkSession
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
@@ -267,7 +286,7 @@ def write_token_files(df: DataFrame, folder: str, id_col: str = "doc_id", text_c
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder, store = kept("ids", key, lambda: ByteEncoder(definition, width)), Store(folder)
+        encoder, store = kept("ids", key, lambda: ByteEncoder(definition, width, added)), Store(folder)
         ids, nulls, sizes = [], [], []
         end = np.array([end_id], width).tobytes()
 
@@ -321,9 +340,9 @@ def read_token_files(manifest: DataFrame, folder: str, id_col: str = "doc_id", w
 
 
 def token_files(df: DataFrame, name: str = "tokens") -> DataFrame:
-    """Writes the token files of df to the shared folder and reads them back."""
+    """Writes the token files of df, ids as by the library's default, to the shared folder and reads them back."""
     folder = Scratch(df.sparkSession, name).path("files")
-    return read_token_files(write_token_files(df, folder), folder)
+    return read_token_files(write_token_files(df, folder, added=True), folder)
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

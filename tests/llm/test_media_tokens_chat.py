@@ -116,6 +116,19 @@ def test_token_files(spark, docs, tmp_path):
     assert tokens.read_token_files(tokens.write_token_files(empty(docs), f"{tmp_path}/e"), f"{tmp_path}/e").count() == 0
 
 
+def test_token_files_know_added_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", f"a  {end}  b", f"{end}{end}", f"x\n {end}'s <|endoftext", f"日本{end} é\0 {end}", "none"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    model, at = Tokenizer.from_file(tokens.tokenizer_file("byte_bpe_50k.json")), 0
+    for r, t in zip(sorted(tokens.op6_token_files(spark, str(tmp_path)).collect()), texts, strict=True):
+        ids = model.encode(t, add_special_tokens=False).ids + [2]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+
 def test_rotation(spark):
     rows = [(1, 0, "ann", "hi"), (1, 1, "bob", None), (1, 2000, "ann", "bye"), (1, None, None, "x"), (None, 0, "zoe", ""), (2, 0, None, "nobody"), (3, 1, "a", "same"), (3, 1, "a", "same")]
     got = chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), block_turns=4).collect()

@@ -74,11 +74,16 @@ def soil_at(sites: DataFrame, soil: DataFrame, max_km: float | None = None) -> D
     return hit.unionByName(found).unionByName(none.join(found.select("key"), "key", "left_anti"))
 
 
-def soil_bridge(soil: DataFrame, cells: DataFrame) -> DataFrame:
-    """child_id, cell5m, soil_id, dist_deg, is_nearest: soil points of each coarse cell and the one nearest its centre."""
+def soil_bridge(soil: DataFrame, cells: DataFrame, order: str = "scaled") -> DataFrame:
+    """child_id, cell5m, soil_id, dist_deg, is_nearest: soil points of each coarse cell and the one nearest its centre.
+
+    dist_deg has the longitude term scaled by the cosine of the point's latitude; order='planar' leaves that out.
+    """
     met = soil.join(cells.select("child_id", F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon")), "child_id")
     turn = F.abs(F.col("lon") - F.col("c_lon"))
-    met = met.withColumn("dist_deg", F.sqrt(F.pow(F.col("lat") - F.col("c_lat"), F.lit(2.0)) + F.pow(F.least(turn, 360.0 - turn), F.lit(2.0))))
+    turn = F.least(turn, 360.0 - turn)
+    east = turn * F.cos(F.radians("lat")) if order == "scaled" else turn
+    met = met.withColumn("dist_deg", F.sqrt(F.pow(F.col("lat") - F.col("c_lat"), F.lit(2.0)) + F.pow(east, F.lit(2.0))))
     first = F.row_number().over(Window.partitionBy("child_id").orderBy("dist_deg", "cell5m")) == 1
     return met.select("child_id", "cell5m", "soil_id", "dist_deg", first.alias("is_nearest"))
 

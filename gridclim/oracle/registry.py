@@ -489,6 +489,15 @@ def _soil_cells(spark, d):
 
 
 @query("n_nearest_point", ["soil"], f"SELECT s.child_id, s.cell5m, round({_PLANAR}, 6) AS dist_deg, row_number() OVER (PARTITION BY s.child_id ORDER BY {_PLANAR}, cell5m) = 1 AS is_nearest FROM soil s JOIN ({_COARSE_OF}) g USING (child_id)")
+def _(spark, d):
+    soil, cells = _soil_cells(spark, d)
+    return spatial.soil_bridge(soil, cells, "planar").select("child_id", "cell5m", *r6("dist_deg"), "is_nearest")
+
+
+_SCALED = "sqrt(pow(s.lat - g.c_lat, 2) + pow(least(abs(s.lon - g.c_lon), 360 - abs(s.lon - g.c_lon)) * cos(radians(s.lat)), 2))"
+
+
+@query("n_nearest_point_scaled", ["soil"], f"SELECT s.child_id, s.cell5m, round({_SCALED}, 6) AS dist_deg, row_number() OVER (PARTITION BY s.child_id ORDER BY {_SCALED}, cell5m) = 1 AS is_nearest FROM soil s JOIN ({_COARSE_OF}) g USING (child_id)")
 def _(spark, d):
     soil, cells = _soil_cells(spark, d)
     return spatial.soil_bridge(soil, cells).select("child_id", "cell5m", *r6("dist_deg"), "is_nearest")

@@ -253,6 +253,14 @@ def test_soil_ring_equals_brute_force(spark):
     assert got == {k: (c, round(km, 6)) for k, (km, c) in want.items()} and len(got) > 20
 
 
+def test_bridge_measures_on_the_ground(spark):
+    soil = spark.createDataFrame([("c", 1, "far", 60.0 + 3 / 24, 10.0 + 1 / 24), ("c", 2, "near", 60.0 + 1 / 24, 10.0 + 3 / 24)], "child_id string, cell5m long, soil_id string, lat double, lon double")
+    cells = spark.createDataFrame([("c", 60.0, 10.0)], "child_id string, lat double, lon double")
+    got = {r.soil_id: r for r in spatial.soil_bridge(soil, cells).collect()}
+    assert got["near"].is_nearest and not got["far"].is_nearest
+    assert got["near"].dist_deg == pytest.approx(np.hypot(1 / 24, 3 / 24 * np.cos(np.radians(60 + 1 / 24))), abs=1e-12)
+
+
 def test_batches_equal_a_plain_loop(spark):
     rng = np.random.default_rng(2)
     start = np.sort(rng.uniform(0, 20000, 200))

@@ -47,11 +47,14 @@ def soil_nearest(sites: DataFrame, soil: DataFrame, max_km: float, order: str =
     """For each site (key, lat, lon) its nearest soil point within max_km, with dist_km; sites without one drop out.
 
     Candidates are the soil cells of the rings around the site's own cell, joined by number; the rings widen with
-    latitude. Ties go to the smaller cell number. order='planar' ranks by degrees instead of kilometres.
+    latitude, to all columns where the circle reaches a pole. Ties go to the smaller cell number. order='planar' ranks by
+    degrees instead of kilometres.
     """
     ring = _cells_within(max_km)
     here = sites.withColumns({"_row": F.floor((90.0 - F.col("lat")) * grid.SOIL_PER_DEGREE), "_col": F.floor(F.pmod(F.col("lon") + 180.0, F.lit(360.0)) * grid.SOIL_PER_DEGREE)})
-    wide = F.least(F.lit(grid.SOIL_COLS // 2), F.ceil(ring / F.greatest(F.lit(0.02), F.cos(F.radians(F.abs("lat") + ring / grid.SOIL_PER_DEGREE))))).cast("int")
+    edge = F.abs("lat") + ring / grid.SOIL_PER_DEGREE
+    half = F.lit(grid.SOIL_COLS // 2)
+    wide = F.when(edge >= 90.0, half).otherwise(F.least(half, F.ceil(ring / F.greatest(F.lit(1e-3), F.cos(F.radians(edge)))))).cast("int")
     near = here.withColumn("_dr", F.explode(F.sequence(F.lit(-ring), F.lit(ring)))).withColumn("_dc", F.explode(F.sequence(-wide, wide)))
     near = near.withColumn("cell5m", F.when((F.col("_row") + F.col("_dr")).between(0, grid.SOIL_ROWS - 1), (F.col("_row") + F.col("_dr")) * grid.SOIL_COLS + F.pmod(F.col("_col") + F.col("_dc"), F.lit(grid.SOIL_COLS))))
     points = soil.select("cell5m", "soil_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))

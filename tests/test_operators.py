@@ -253,6 +253,19 @@ def test_soil_ring_equals_brute_force(spark):
     assert got == {k: (c, round(km, 6)) for k, (km, c) in want.items()} and len(got) > 20
 
 
+def test_soil_ring_reaches_over_the_poles(spark):
+    places = [(y, x) for y in (89.0, 89.5, 89.7, 89.97, 90.0, -89.5, -90.0) for x in (-180.0, 3.0, 179.0)]
+    sites = spark.createDataFrame([(k, *p) for k, p in enumerate(places)], "key long, lat double, lon double")
+    points = spark.createDataFrame([(s * (89.6 - k % 3 * 0.1), -170.0 + 36.0 * k) for s in (1, -1) for k in range(10)], "lat double, lon double").withColumn("cell5m", grid.soil_cell("lat", "lon"))
+    c = grid.soil_cell_center("cell5m")
+    soil = points.select("cell5m", c["lat"].alias("lat"), c["lon"].alias("lon"), F.lit("s").alias("soil_id"))
+    got = {r.key: (r.dist_km, r.cell5m) for r in spatial.soil_nearest(sites, soil, 60.0).collect()}
+    want = {}
+    for r in sites.crossJoin(soil.select("cell5m", F.col("lat").alias("y"), F.col("lon").alias("x"))).withColumn("km", spatial.haversine_km(F.col("lat"), F.col("lon"), F.col("y"), F.col("x"))).where("km <= 60").collect():
+        want[r.key] = min(want.get(r.key, (9e9, 0)), (r.km, r.cell5m))
+    assert got == want and len(want) > 12
+
+
 def test_bridge_measures_on_the_ground(spark):
     soil = spark.createDataFrame([("c", 1, "far", 60.0 + 3 / 24, 10.0 + 1 / 24), ("c", 2, "near", 60.0 + 1 / 24, 10.0 + 3 / 24)], "child_id string, cell5m long, soil_id string, lat double, lon double")
     cells = spark.createDataFrame([("c", 60.0, 10.0)], "child_id string, lat double, lon double")

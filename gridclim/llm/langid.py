@@ -16,9 +16,12 @@ from pyspark.sql import types as T
 
 from .common import column_bytes, kept, read_table, spread
 
-#: Bounds of the learned sample: documents, bytes taken from each, and bytes of the dictionary, for each language.
-SAMPLE_DOCS, DOC_BYTES, DICT_BYTES = 400, 512, 1 << 17
-#: Texts of up to SHORT bytes meet PARTS small parts of each dictionary in turn: nearer matches cost fewer bits.
+#: Bounds of the learned sample: documents, bytes taken from each, the places they come from, and bytes of the dictionary
+#: (all documents fit), for each language.
+SAMPLE_DOCS, DOC_BYTES, PLACES = 400, 512, 4
+DICT_BYTES = SAMPLE_DOCS * (DOC_BYTES + PLACES)
+#: Texts of up to SHORT bytes meet PARTS small parts of each dictionary in turn, of PART_BYTES or what makes up the whole:
+#: nearer matches cost fewer bits.
 CHUNK, LEVEL, SHORT, PARTS, PART_BYTES, PART_LEVEL, MARGIN = 512, 3, 600, 8, 8192, 9, 0.01
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -28,6 +31,13 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _pieces(text):
+    """A text as it is, or pieces from PLACES places of a long one, from its first characters to its last."""
+    size, n = DOC_BYTES // PLACES, F.length(text)
+    spread_out = [text.substr(F.floor((n - size) * k / (PLACES - 1)).cast("int") + 1, F.lit(size)) for k in range(PLACES)]
+    return F.when(n > DOC_BYTES, F.array(*spread_out)).otherwise(F.array(text))
+
+
 def learn_dictionaries(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
     """A dictionary of each non-null language from at most sample_docs documents with text, lowest hash of the id first.
 
@@ -45,16 +55,16 @@ def learn_dictionaries(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if not by_id:
         return {}
     ids = sorted({k for k, _ in by_id})
-    texts = df.where(F.col(id_col).isin(ids) & F.col(text_col).isNotNull()).select(id_col, lang_col, F.substring(text_col, 1, DOC_BYTES))
+    texts = df.where(F.col(id_col).isin(ids) & F.col(text_col).isNotNull()).select(id_col, lang_col, _pieces(F.col(text_col)))
     found: dict[str, dict] = {}
-    for doc, lang, text in texts.collect():
+    for doc, lang, cuts in texts.collect():
         if (doc, lang) in by_id:
-            found.setdefault(lang, {})[by_id[doc, lang]] = text.lower().encode()
+            found.setdefault(lang, {})[by_id[doc, lang]] = b"\n".join(c.lower().encode()[: DOC_BYTES // len(cuts)] for c in cuts)
     out = {}
     for lang, each in sorted(found.items()):
         pieces, total = [], 0
         for rank in sorted(each):
-            piece = each[rank][:DOC_BYTES]
+            piece = each[rank]
             if total + len(piece) > DICT_BYTES:
                 break
             pieces.append(piece)
@@ -70,7 +80,8 @@ class Classifier:
         for lang in self.langs:
             data = dictionaries[lang]
             self.by.append(self._with(data, LEVEL))
-            parts = [data[i : i + PART_BYTES] for i in range(0, min(len(data), PARTS * PART_BYTES), PART_BYTES)]
+            size = max(PART_BYTES, -(-len(data) // PARTS))
+            parts = [data[i : i + size] for i in range(0, len(data), size)]
             self.by_parts.append([self._with(parts[k % len(parts)], PART_LEVEL) for k in range(PARTS)] if parts else [])
 
     @staticmethod

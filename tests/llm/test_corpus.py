@@ -300,3 +300,16 @@ def test_chain_sees_out_of_fold_predictions():
     model = toxicity.fit_chain(["a", "b"], {str(k): k for k in range(6)}, [list(range(6))] * 2, x, y, np.arange(400) % 4)
     p = model.probabilities(x)
     assert ((p[:, 1] > 0.5) == (y[:, 1] > 0.5)).mean() > 0.85 and model.weights[1][6] > 0.3
+
+
+def test_all_learned_documents_enter_with_their_ends(spark):
+    rows = [(k, f"<{k:04d}" + "x" * 2000 + f"{k:04d}>", "en") for k in range(langid.SAMPLE_DOCS)]
+    data = langid.learn_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))["en"]
+    assert all(f"<{k:04d}".encode() in data and f"{k:04d}>".encode() in data for k in range(langid.SAMPLE_DOCS))
+    seen = []
+    langid.Classifier._with, kept = staticmethod(lambda part, level: seen.append(part)), langid.Classifier._with
+    try:
+        langid.Classifier({"en": data})
+    finally:
+        langid.Classifier._with = staticmethod(kept)
+    assert b"".join(seen[1:]) == data

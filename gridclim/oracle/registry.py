@@ -88,6 +88,19 @@ def _(spark, d):
     return rows.select("key", c["lat"].alias("c_lat"), c["lon"].alias("c_lon"), F.round(f["lat"], 6).alias("f_lat"), F.round(f["lon"], 6).alias("f_lon"))
 
 
+@query(
+    "g_decode_spilled",
+    ["sites"],
+    f"""SELECT key, to_base((k // 1440 // 4) * 360 + k % 1440 // 4, 36, 4) AS parent_id, 90.0::DOUBLE - k // 1440 * 0.25::DOUBLE AS c_lat,
+  CASE WHEN k % 1440 * 0.25::DOUBLE > 180 THEN k % 1440 * 0.25::DOUBLE - 360 ELSE k % 1440 * 0.25::DOUBLE END AS c_lon
+  FROM (SELECT key, {P.lat_sql('lat')} * 1440 + {P.lon_sql('lon')} AS k FROM sites)""",
+)
+def _(spark, d):
+    code = grid.cell_code("lat", "lon")
+    c = grid.code_center(code)
+    return P.sites(spark, d).select("key", grid.parent_of(code).alias("parent_id"), c["lat"].alias("c_lat"), c["lon"].alias("c_lon"))
+
+
 @query(
     "g_parent_bbox",
     ["sites"],

@@ -56,3 +56,13 @@ def test_literal_place_reaches_the_scan(spark, tmp_path):
     rows.write.partitionBy("bucket").parquet(f"{tmp_path}/t")
     plan = series.climate_series(spark.read.parquet(f"{tmp_path}/t"), -5.175, -50.725, columns=["date", "tmax"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(child_id,BSAD)" in plan and "rh" not in plan.split("ReadSchema")[1]
+
+
+def test_spilled_codes_are_decoded(spark, tmp_path):
+    con = duckdb.connect()
+    con.sql(f"COPY (SELECT range AS c_custkey FROM range(1, 3601)) TO '{tmp_path}/customer.parquet' (FORMAT parquet)")
+    con.sql(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet'")
+    found = entry.queries()["g_decode_spilled"](spark, str(tmp_path))
+    rows = plain(tuple(r) for r in found.collect())
+    assert rows == plain(con.sql(entry.oracle_sql()["g_decode_spilled"]).fetchall()) and len(rows) == 3600
+    assert found.join(entry.queries()["g_parent_of"](spark, str(tmp_path)), "key", "left_anti").select("c_lon").collect() == [(0.0,)]

@@ -1,29 +1,26 @@
 """Language identification by compression: each language's sample is a zstandard raw-content dictionary.
 
-A text is lower-cased and cut into chunks; each chunk is compressed with every language's dictionary, and the language with
-the smallest total wins. The margin to the next one gives the score, and a narrow margin marks a rejection.
+A text is lower-cased and cut into chunks; each chunk is compressed with every language's dictionary, and the
+language with the smallest total wins. The margin to the next one gives the score, and a narrow margin marks a rejection.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import regex
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column_bytes, kept, read_table, spread
+from .common import column_bytes, kept, map_arrow, read_table, spread
 
-#: Bounds of the learned sample: documents, bytes taken from each, the places they come from, and bytes of the dictionary
-#: (all documents fit), for each language.
-SAMPLE_DOCS, DOC_BYTES, PLACES = 400, 512, 4
-DICT_BYTES = SAMPLE_DOCS * (DOC_BYTES + PLACES)
-#: Texts of up to SHORT bytes meet PARTS small parts of each dictionary in turn, of PART_BYTES or what makes up the whole:
-#: nearer matches cost fewer bits.
-CHUNK, LEVEL, SHORT, PARTS, PART_BYTES, PART_LEVEL, MARGIN = 512, 3, 600, 8, 8192, 9, 0.01
-_LETTER = re.compile(r"[^\W\d_]")
+#: Bound of the learned sample: pieces of PIECE characters for each language, drawn from all pieces of all learned texts.
+SAMPLE_PIECES, PIECE = 400, 512
+#: Bytes compressed at a time, zstandard's level, and the least margin that is not rejected.
+CHUNK, LEVEL, MARGIN = 2048, 6, 0.01
+_LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(id_col: str = "doc_id"):
@@ -31,70 +28,45 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _pieces(text):
-    """A text as it is, or pieces from PLACES places of a long one, from its first characters to its last."""
-    size, n = DOC_BYTES // PLACES, F.length(text)
-    spread_out = [text.substr(F.floor((n - size) * k / (PLACES - 1)).cast("int") + 1, F.lit(size)) for k in range(PLACES)]
-    return F.when(n > DOC_BYTES, F.array(*spread_out)).otherwise(F.array(text))
+def learn_dictionaries(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_pieces: int = SAMPLE_PIECES, piece: int = PIECE) -> dict[str, bytes]:
+    """A dictionary of each non-null language from sample_pieces pieces of its documents' texts, lowest hash of id and place first.
 
-
-def learn_dictionaries(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
-    """A dictionary of each non-null language from at most sample_docs documents with text, lowest hash of the id first.
-
-    Ties of the hash go by id. The first pass reads ids and languages only; the second fetches the texts chosen.
-    An empty table, or one without languages, gives no dictionaries.
+    Every piece of every text, to its end, is as likely as another. Rows without a text, language or id do not count; rows
+    that share an id are texts of their own, equal ones count once. Ties of the hash go by the piece itself, so reruns and
+    other partitions give the same. A first pass counts pieces, a second fetches those below a hash at which twice the
+    sample is expected: a bounded number of rows for each language reaches the driver. An empty table, or one without
+    languages, gives no dictionaries.
     """
-    order = [F.xxhash64(F.col(id_col)), F.col(id_col)]
-    chosen = (
-        df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-        .select(id_col, lang_col)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(lang_col).orderBy(*order)))
-        .where(F.col("_rank") <= sample_docs)
-    )
-    by_id = {(r[0], r[1]): r[2] for r in chosen.collect()}
-    if not by_id:
+    known = df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    known = known.withColumn("n", F.ceil(F.length("text") / piece)).where("n > 0")
+    counts = {r[0]: r[1] for r in known.groupBy("lang").agg(F.sum("n")).collect()}
+    if not counts:
         return {}
-    ids = sorted({k for k, _ in by_id})
-    texts = df.where(F.col(id_col).isin(ids) & F.col(text_col).isNotNull()).select(id_col, lang_col, _pieces(F.col(text_col)))
-    found: dict[str, dict] = {}
-    for doc, lang, cuts in texts.collect():
-        if (doc, lang) in by_id:
-            found.setdefault(lang, {})[by_id[doc, lang]] = b"\n".join(c.lower().encode()[: DOC_BYTES // len(cuts)] for c in cuts)
-    out = {}
-    for lang, each in sorted(found.items()):
-        pieces, total = [], 0
-        for rank in sorted(each):
-            piece = each[rank]
-            if total + len(piece) > DICT_BYTES:
-                break
-            pieces.append(piece)
-            total += len(piece)
-        out[lang] = b"\n".join(pieces).ljust(8, b"\n")
-    return out
+    limits = F.broadcast(df.sparkSession.createDataFrame([(lang, min(2**63 - 1, 2**64 * sample_pieces // n)) for lang, n in counts.items()], "lang string, most long"))
+    hash_of = lambda k: F.shiftrightunsigned(F.xxhash64("id", k), 1)
+    places = F.filter(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda k: hash_of(k) <= F.col("most"))
+    drawn = known.join(limits, "lang").select("id", "lang", "text", F.explode(places).alias("k"))
+    pieces = drawn.select("lang", hash_of("k"), F.col("text").substr((F.col("k") * piece).cast("int") + 1, F.lit(piece)))
+    found: dict[str, set] = {}
+    for lang, value, text in pieces.collect():
+        found.setdefault(lang, set()).add((value, text.lower().encode()))
+    return {lang: b"\n".join(x for _, x in sorted(each)[:sample_pieces]).ljust(8, b"\n") for lang, each in sorted(found.items())}
 
 
 class Classifier:
     def __init__(self, dictionaries: dict[str, bytes]):
         self.langs = sorted(dictionaries)
-        self.by, self.by_parts = [], []
-        for lang in self.langs:
-            data = dictionaries[lang]
-            self.by.append(self._with(data, LEVEL))
-            size = max(PART_BYTES, -(-len(data) // PARTS))
-            parts = [data[i : i + size] for i in range(0, len(data), size)]
-            self.by_parts.append([self._with(parts[k % len(parts)], PART_LEVEL) for k in range(PARTS)] if parts else [])
+        self.by = [self._with(dictionaries[lang]) for lang in self.langs]
 
     @staticmethod
-    def _with(data: bytes, level: int):
+    def _with(data: bytes):
         import zstandard as z
 
         d = z.ZstdCompressionDict(data, dict_type=z.DICT_TYPE_RAWCONTENT)
-        d.precompute_compress(level=level)
+        d.precompute_compress(level=LEVEL)
         return z.ZstdCompressor(dict_data=d, write_content_size=False, write_dict_id=False).compress
 
     def sizes(self, text: bytes) -> list[int]:
-        if len(text) <= SHORT:
-            return [sum(len(compress(text)) for compress in parts) for parts in self.by_parts]
         chunks = [text[i : i + CHUNK] for i in range(0, len(text), CHUNK)]
         return [sum(len(compress(c)) for c in chunks) for compress in self.by]
 
@@ -115,7 +87,9 @@ class Classifier:
 def identify(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text", margin: float = MARGIN) -> DataFrame:
     """id, lang_pred, score (0 to 1), margin, rejected (margin below the least one), for each input row.
 
-    `und`, score 0, rejected: a null text, one without letters, or no dictionaries.
+    `und`, score 0, rejected: a null or empty text, one without letters (Unicode categories L), or no dictionaries. Texts of
+    any length go through whole, in chunks. Ties go to the first language in code-point order. Equal texts get equal
+    answers, repeated rows too; an empty table gives no rows, and other columns do not matter.
     """
     key = zlib.crc32(repr(sorted(dictionaries.items())).encode())
 
@@ -127,10 +101,11 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_i
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(gap, pa.float64()), pa.array([g < margin for g in gap], pa.bool_())], [id_col, "lang_pred", "score", "margin", "rejected"])
 
     fields = [T.StructField(id_col, df.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("margin", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
-    return df.select(id_col, text_col).mapInArrow(run, T.StructType(fields))
+    return map_arrow(df.select(id_col, text_col), run, T.StructType(fields))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`identify` of all documents by what those that are not held out teach."""
     docs = spread(read_table(spark, sf_dir, "documents"))
     found = identify(docs, learn_dictionaries(docs.where(~held_out())))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")

@@ -1,130 +1,202 @@
 """Benchmark decontamination by suffix arrays of the training text.
 
-Each shard (a batch of documents) gets a suffix array over its words: the word positions at which a test
-window can begin, sorted by the words that follow. Every test suffix is binary-searched in every shard's
-array, which gives its longest verbatim matches and their places; matches shorter than the window are dropped.
+Each shard (a run of about SHARD_WORDS words of the documents) gets a suffix array over all its words: suffixes sorted by
+their words, as far as a word that no test item has, by prefix doubling. Every test suffix is binary-searched in every
+shard's array, word by word, which narrows to the places of its window and on to those of its longest match; matches
+shorter than the window are dropped, and what is left is compared word by word.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import U64, column_bytes, read_table, release, spread, windows, words
+from .common import U64, Scratch, column_bytes, map_arrow, read_table, release, slices, spread, word_hashes, word_list
 
 WINDOW = 10
-#: Words of test items that one broadcast holds; a larger benchmark goes in several.
+#: Words of test items that one broadcast holds; a larger benchmark goes in several, one after the other.
 BLOCK_WORDS = 2_000_000
+#: Words of a shard, and rows of a batch that are searched together.
+SHARD_WORDS, ROWS = 1 << 20, 1000
 
 
 @dataclass
 class TestSuffixes:
-    """Word hashes of items, end to end, each followed by a 0; and the windows: where each begins, its item and length."""
+    """Items' words as numbers (1 and up, by the order of their hashes), end to end, each item followed by a number that no
+    text has; and the windows: where each begins, its item and its length. `words` are the items' own words."""
 
-    hashes: np.ndarray
+    vocabulary: np.ndarray
+    numbers: np.ndarray
+    first: np.ndarray
     start: np.ndarray
     item: np.ndarray
     length: np.ndarray
-
-    def by_length(self):
-        for size in np.unique(self.length):
-            pick = self.length == size
-            yield int(size), self.start[pick], self.item[pick]
-
-
-def test_suffixes(items: list[tuple[int, bytes]], window: int = WINDOW) -> TestSuffixes:
+    words: list[list[bytes]]
+    slots: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+
+    def number(self, hashes: np.ndarray) -> np.ndarray:
+        """Each word's number, 0 for words that no item has."""
+        n = len(self.vocabulary)
+        if not n:
+            return np.zeros(len(hashes), np.int64)
+        if not len(self.slots):
+            size = 1 << max(16, n.bit_length() + 3)
+            self.slots = np.full(size, -1, np.int32)
+            at = (self.vocabulary & U64(size - 1)).astype(np.int64)
+            self.slots[at] = np.arange(n)
+            self.slots[np.flatnonzero(np.bincount(at, minlength=size) > 1)] = n
+        guess = self.slots[(hashes & U64(len(self.slots) - 1)).astype(np.int64)].astype(np.int64)
+        shared = np.flatnonzero(guess == n)
+        guess[shared] = np.minimum(np.searchsorted(self.vocabulary, hashes[shared]), n - 1)
+        return np.where((guess >= 0) & (self.vocabulary[guess] == hashes), guess + 1, 0)
+
+
+def test_suffixes(items: list[tuple[object, bytes]], window: int = WINDOW) -> TestSuffixes:
     """All windows of the items; `item` counts items in the order given. Items without words have none."""
-    parts, start, item, length, at = [np.zeros(0, U64)], [], [], [], 0
-    for k, (_, text) in enumerate(items):
-        found = words(text, "alnum")[0]
-        size = min(window, len(found))
-        if size:
-            n = len(found) - size + 1
-            start.append(np.arange(at, at + n))
-            item.append(np.full(n, k))
-            length.append(np.full(n, size))
-        parts += [found, np.zeros(1, U64)]
-        at += len(found) + 1
-    join = lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)
-    return TestSuffixes(np.concatenate(parts), join(start), join(item), join(length))
+    hashes, first = word_hashes(pa.array([t for _, t in items], pa.binary()), "alnum")
+    vocabulary = np.unique(hashes)
+    numbers = np.full(len(hashes) + len(items), len(vocabulary) + 1, np.int64)
+    sizes = np.diff(first)
+    begin = first[:-1] + np.arange(len(items))
+    numbers[np.arange(len(hashes)) + np.repeat(np.arange(len(items)), sizes)] = np.searchsorted(vocabulary, hashes) + 1
+    size = np.minimum(window, sizes)
+    n = np.where(size > 0, sizes - size + 1, 0)
+    item = np.repeat(np.arange(len(items)), n)
+    start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + begin[item]
+    return TestSuffixes(vocabulary, numbers, begin, start, item, size[item], [word_list(t, "alnum") for _, t in items])
 
 
 class SuffixArray:
-    """Suffixes of a shard's words that begin with a chosen first run, in the order of their first `size` words."""
-
-    def __init__(self, hashes: np.ndarray, size: int, candidates: np.ndarray):
-        self.hashes, self.size = hashes, size
-        order = np.lexsort([hashes[candidates + j] for j in range(size - 1, -1, -1)])
-        self.places = candidates[order]
-
-    def search(self, test: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each test suffix the range of places whose first `size` words are its own: binary search, word by word."""
-        low, high = np.zeros(len(start), np.int64), np.full(len(start), len(self.places), np.int64)
-        for j in range(self.size):
-            key = test[start + j]
-            low, high = self._bound(low, high, key, j, False), self._bound(low, high, key, j, True)
-        return low, high
-
-    def _bound(self, low: np.ndarray, high: np.ndarray, key: np.ndarray, j: int, after: bool) -> np.ndarray:
+    """All suffixes of a shard in the order of their words, up to a word of number 0 or `depth` words."""
+
+    def __init__(self, numbers: np.ndarray, largest: int, depth: int):
+        n = len(numbers)
+        self.numbers, self.bits = numbers, max(1, int(largest).bit_length())
+        self.packed = max(1, min(62 // self.bits, depth))
+        key = np.zeros(n, np.int64)
+        wide = np.concatenate([numbers, np.zeros(self.packed, np.int64)])
+        for j in range(self.packed):
+            key = key << self.bits | wide[j : n + j]
+        self.places = np.argsort(key)
+        self.keys = key[self.places]
+        new = np.ones(n, bool)
+        new[1:] = self.keys[1:] != self.keys[:-1]
+        self._refine(new, depth)
+
+    def _refine(self, new: np.ndarray, depth: int) -> None:
+        """Prefix doubling: suffixes alike in `span` words are sorted by the ranks of the suffixes `span` words on."""
+        n, span = len(self.numbers), self.packed
+        ends = np.append(np.flatnonzero(self.numbers == 0), n)
+        reach = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
+        rank = np.zeros(n + 1, np.int64)
+        first = np.flatnonzero(new)
+        rank[self.places] = np.repeat(first, np.diff(np.append(first, n))) + 1
+        while span < depth:
+            alone = new & np.append(new[1:], True)
+            open_ = np.flatnonzero(~alone & (reach[self.places] > span))
+            if not len(open_):
+                break
+            place = self.places[open_]
+            key = rank[place] * (n + 2) + rank[np.minimum(place + span, n)]
+            order = np.argsort(key)
+            self.places[open_], key = place[order], key[order]
+            fresh = np.ones(len(key), bool)
+            fresh[1:] = key[1:] != key[:-1]
+            new[open_[fresh]] = True
+            at = np.flatnonzero(fresh)
+            rank[self.places[open_]] = np.repeat(open_[at], np.diff(np.append(at, len(key)))) + 1
+            span *= 2
+
+    def search(self, test: TestSuffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each test suffix the range of places at which its window stands (low, high), and the words of its longest match,
+        0 where that is shorter than the window: binary searches, for the first few words at once and then word by word."""
+        known = np.minimum(self.packed, test.length)
+        prefix = np.zeros(len(test.start), np.int64)
+        for j in range(self.packed):
+            word = test.numbers[np.minimum(test.start + j, len(test.numbers) - 1)]
+            prefix = prefix << self.bits | np.where(j < known, word, 0)
+        width = np.int64(1) << (self.bits * (self.packed - known))
+        low, high = np.searchsorted(self.keys, prefix), np.searchsorted(self.keys, prefix + width)
+        out_low, out_high, longest = np.zeros_like(low), np.zeros_like(high), np.zeros(len(low), np.int64)
+        open_, have = np.flatnonzero(low < high), known
+        low, high, have = low[open_], high[open_], known[open_]
+        while len(open_):
+            whole = have == test.length[open_]
+            out_low[open_[whole]], out_high[open_[whole]] = low[whole], high[whole]
+            longest[open_] = np.where(have >= test.length[open_], have, 0)
+            word = test.numbers[np.minimum(test.start[open_] + have, len(test.numbers) - 1)]
+            low, high = self._bound(low, high, word, have, False), self._bound(low, high, word, have, True)
+            going = low < high
+            open_, low, high, have = open_[going], low[going], high[going], have[going] + 1
+        return out_low, out_high, longest
+
+    def _bound(self, low: np.ndarray, high: np.ndarray, word: np.ndarray, at: np.ndarray, after: bool) -> np.ndarray:
         low, high = low.copy(), high.copy()
         while (open_ := low < high).any():
             middle = (low + high) >> 1
-            value = self.hashes[np.minimum(self.places[np.minimum(middle, len(self.places) - 1)] + j, len(self.hashes) - 1)]
-            right = open_ & ((value <= key) if after else (value < key))
+            place = self.places[np.minimum(middle, len(self.places) - 1)] + at
+            value = np.where(place < len(self.numbers), self.numbers[np.minimum(place, len(self.numbers) - 1)], 0)
+            right = open_ & ((value <= word) if after else (value < word))
             low = np.where(right, middle + 1, low)
             high = np.where(open_ & ~right, middle, high)
         return low
 
 
-def shard_matches(texts: list[bytes], test: TestSuffixes) -> dict[str, np.ndarray]:
-    """The maximal matches in a shard: doc (its place in `texts`), item, test_word, doc_word, n_words; and each doc's number of words.
-
-    A window's matches in one place are joined along the text, so each match is as long as it can be.
-    """
-    found = [words(t, "alnum")[0] for t in texts]
-    sizes = np.array([len(x) for x in found], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes + 1)])
-    flat = np.zeros(starts[-1], U64)
-    for at, x in zip(starts, found, strict=False):
-        flat[at : at + len(x)] = x
-    docs = np.repeat(np.arange(len(texts)), sizes + 1)
+def window_places(flat: np.ndarray, test: TestSuffixes, window: int, shard_words: int = SHARD_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """The test suffix and the place of every window found in flat, shard by shard; shards overlap by a window less a word."""
     rows = []
-    for size, start, item in test.by_length():
-        if len(flat) < size:
-            continue
-        first = np.unique(windows(test.hashes, size)[start])
-        candidates = np.flatnonzero(_among(windows(flat, size), first))
-        if not len(candidates):
-            continue
-        array = SuffixArray(flat, size, candidates)
-        low, high = array.search(test.hashes, start)
+    largest, depth = len(test.vocabulary) + 1, int(np.diff(np.append(test.first, len(test.numbers))).max(initial=1))
+    for at in range(0, len(flat) if len(test.start) else 0, shard_words):
+        array = SuffixArray(flat[at : at + shard_words + window - 1], largest, depth)
+        low, high, _ = array.search(test)
         n = high - low
+        which = np.repeat(np.arange(len(n)), n)
         place = array.places[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        rows.append(np.stack([np.repeat(item, n), np.repeat(start, n), place, np.full(len(place), size)]))
-    item, at_test, place, size = np.concatenate(rows, axis=1) if rows else np.zeros((4, 0), np.int64)
+        own = place < shard_words
+        rows.append((which[own], place[own] + at))
+    return tuple(np.concatenate(x) for x in zip(*rows, strict=True)) if rows else (np.zeros(0, np.int64),) * 2
+
+
+def shard_matches(texts: pa.Array, test: TestSuffixes, window: int = WINDOW, shard_words: int | None = None) -> tuple[np.ndarray, list[tuple[int, int, int, int, int]]]:
+    """Each text's number of words, and the maximal matches: (text, item, test_word, doc_word, n_words).
+
+    Windows of an item that follow each other in a text are joined, so each match is as long as it can be; its words are
+    compared themselves, so that equal hashes alone do not count.
+    """
+    hashes, first = word_hashes(texts, "alnum")
+    sizes = np.diff(first)
+    begin = first[:-1] + np.arange(len(sizes))
+    flat = np.zeros(len(hashes) + len(sizes), np.int64)
+    flat[np.arange(len(hashes)) + np.repeat(np.arange(len(sizes)), sizes)] = test.number(hashes)
+    which, place = window_places(flat, test, window, shard_words or SHARD_WORDS)
+    item, at_test = test.item[which], test.start[which]
     order = np.lexsort([place, place - at_test, item])
-    item, at_test, place, size = item[order], at_test[order], place[order], size[order]
+    item, at_test, place, size = item[order], at_test[order], place[order], test.length[which][order]
     new = np.ones(len(item), bool)
     new[1:] = (item[1:] != item[:-1]) | (place[1:] - at_test[1:] != place[:-1] - at_test[:-1]) | (place[1:] != place[:-1] + 1)
-    begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(item))[: len(begin)] - 1
-    doc = docs[place[begin]]
-    return {"doc": doc, "item": item[begin], "test_word": at_test[begin], "doc_word": place[begin] - starts[doc], "n_words": place[end] + size[end] - place[begin], "words": sizes}
-
-
-def _among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Whether each value is among the sorted wanted ones; a table of their low bits spares most searches."""
-    bits = np.zeros(1 << 20, bool)
-    bits[(wanted & U64(0xFFFFF)).astype(np.int64)] = True
-    out = bits[(values & U64(0xFFFFF)).astype(np.int64)]
-    maybe = np.flatnonzero(out)
-    at = np.minimum(np.searchsorted(wanted, values[maybe]), len(wanted) - 1)
-    out[maybe] = wanted[at] == values[maybe]
-    return out
+    head = np.flatnonzero(new)
+    tail = np.append(head[1:], len(item))[: len(head)] - 1
+    doc = np.searchsorted(begin, place[head], "right") - 1
+    out, known = [], {}
+    for d, i, t, p, n, least in zip(doc.tolist(), item[head].tolist(), (at_test[head] - test.first[item[head]]).tolist(), (place[head] - begin[doc]).tolist(), (place[tail] + size[tail] - place[head]).tolist(), size[head].tolist(), strict=True):
+        if d not in known:
+            known = {d: word_list(next(column_bytes(texts.slice(d, 1))), "alnum")}
+        same = [x == y for x, y in zip(known[d][p : p + n], test.words[i][t : t + n], strict=True)]
+        run = 0
+        for k, x in enumerate([*same, False]):
+            if x:
+                run += 1
+            elif run >= least:
+                out.append((d, i, t + k - run, p + k - run, run))
+            run = run if x else 0
+    return sizes, out
 
 
 def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int = BLOCK_WORDS):
@@ -141,68 +213,69 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_w
         yield part
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def _passes(rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, window: int, step: Callable, last: Callable, last_schema: T.StructType, block_words: int) -> DataFrame:
+    """Rows after one pass for each block of items: step(batches, block), and last for the last one. Passes before the last are
+    written and their block is freed, so that one block is live at a time."""
+    spark, blocks, k = rows.sparkSession, benchmark_blocks(benchmark, item_col, text_col, block_words), 0
+    scratch, block = Scratch(spark, "decontaminate"), next(blocks, [])
+    while True:
+        held = spark.sparkContext.broadcast(([i for i, _ in block], test_suffixes(block, window)))
+        block = next(blocks, None)
+        if block is None:
+            return rows.mapInArrow(lambda batches, held=held: last(batches, *held.value), last_schema)
+        rows = scratch.save(map_arrow(rows, lambda batches, held=held: step(batches, *held.value), rows.schema), f"block-{k}")
+        scratch.drop(f"block-{k - 1}")
+        held.destroy()
+        k += 1
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """id, n_words and `spans`: array of (item, test_word, doc_word, n_words), the longest verbatim matches with the
     items' windows of `window` words, for each input row; spans is empty where nothing matches.
 
     A-Z are lower-cased; words are runs of letters, digits and bytes from 0x80. An item of fewer words than a window
-    is one window. Nulls have no words; repeated items match alike. The benchmark is broadcast in blocks of a bounded
-    size; every block is searched in the one pass over the documents.
+    is one window. Nulls and empty texts have no words; repeated items match alike, and ids of items keep their type, null
+    included. Texts of any length are searched whole, in shards that overlap. Repeated rows are rows of their own; there are
+    no ties to break, as every match counts. Empty documents give no rows, an empty benchmark no matches; other columns do
+    not matter. The benchmark is broadcast in blocks of a bounded size, one at a time.
     """
-    blocks = _broadcast(benchmark, item_col, item_text_col, window)
-    span = pa.struct([("item", pa.int64()), ("test_word", pa.int64()), ("doc_word", pa.int64()), ("n_words", pa.int64())])
+    kind = T.ArrayType(T.StructType([T.StructField("item", benchmark.schema[item_col].dataType), *[T.StructField(x, T.LongType()) for x in ("test_word", "doc_word", "n_words")]]))
+    arrow = to_arrow_type(kind)
+    own = T.StructField(id_col, docs.schema[id_col].dataType)
 
-    def run(batches):
+    def search(batches, ids, test):
         release()
-        for batch in batches:
-            texts = list(column_bytes(batch.column(1)))
-            for shard in _shards(texts):
-                part = texts[shard]
-                spans, n = [[] for _ in part], np.zeros(len(part), np.int64)
-                for ids, test in [b.value for b in blocks] or [([], test_suffixes([], window))]:
-                    found = shard_matches(part, test)
-                    n = found["words"]
-                    for doc, item, *rest in zip(*(found[k].tolist() for k in ("doc", "item", "test_word", "doc_word", "n_words")), strict=True):
-                        spans[doc].append({"item": ids[item], "test_word": rest[0], "doc_word": rest[1], "n_words": rest[2]})
-                yield pa.RecordBatch.from_arrays([batch.column(0)[shard], pa.array(n, pa.int64()), pa.array(spans, pa.list_(span))], [id_col, "n_words", "spans"])
+        for batch in slices(batches, ROWS):
+            spans = batch.column(2).to_pylist()
+            n, found = shard_matches(batch.column(1), test, window)
+            for doc, item, *rest in found:
+                spans[doc].append(dict(zip(("item", "test_word", "doc_word", "n_words"), (ids[item], *rest), strict=True)))
+            yield batch, n, pa.array(spans, arrow)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, n_words long, spans array<struct<item: long, test_word: long, doc_word: long, n_words: long>>")
+    def step(batches, ids, test):
+        for batch, _, spans in search(batches, ids, test):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spans], [id_col, "_text", "spans"])
 
+    def last(batches, ids, test):
+        for batch, n, spans in search(batches, ids, test):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), spans], [id_col, "n_words", "spans"])
 
-def _broadcast(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> list:
-    context = benchmark.sparkSession.sparkContext
-    return [context.broadcast(([i for i, _ in items], test_suffixes(items, window))) for items in benchmark_blocks(benchmark, item_col, text_col)]
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"), F.array().cast(kind).alias("spans"))
+    return _passes(rows, benchmark, item_col, item_text_col, window, step, last, T.StructType([own, T.StructField("n_words", T.LongType()), T.StructField("spans", kind)]), block_words)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows, with all their columns, that have no match with any item, as `matches` finds them."""
-    blocks = _broadcast(benchmark, item_col, item_text_col, window)
     at = docs.columns.index(text_col)
 
-    def run(batches):
+    def step(batches, _, test):
         release()
-        for batch in batches:
-            texts = list(column_bytes(batch.column(at)))
-            for shard in _shards(texts):
-                clean = np.ones(len(texts[shard]), bool)
-                for _, test in (b.value for b in blocks):
-                    clean[shard_matches(texts[shard], test)["doc"]] = False
-                yield batch.slice(shard.start, shard.stop - shard.start).filter(pa.array(clean))
-
-    return docs.mapInArrow(run, docs.schema)
-
+        for batch in slices(batches, ROWS):
+            clean = np.ones(batch.num_rows, bool)
+            clean[[m[0] for m in shard_matches(batch.column(at), test, window)[1]]] = False
+            yield batch.filter(pa.array(clean))
 
-def _shards(texts: list[bytes], most: int = 8 << 20):
-    """Slices of about `most` bytes."""
-    start, size = 0, 0
-    for k, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield slice(start, k + 1)
-            start, size = k + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+    return _passes(docs, benchmark, item_col, item_text_col, window, step, step, docs.schema, block_words)
 
 
 def hit_words():
@@ -213,11 +286,12 @@ def hit_words():
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """For each document n_words, n_hit (words in matches), the items with matches and whether it is affected."""
+    """For each document n_words, n_hit (words in matches), the items with matches and whether it is affected; else as `matches`."""
     items = F.array_distinct(F.transform("spans", lambda s: s["item"].cast("string")))
     return matches(docs, benchmark, id_col, text_col, **options).select(id_col, "n_words", hit_words().alias("n_hit"), F.array_sort(items).alias("items"), "spans").withColumn("contaminated", F.col("n_hit") > 0)
 
 
 def op10_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`decontaminate` of all documents against all items, with the items as a digest of their sorted ids."""
     found = decontaminate(spread(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")

@@ -2,30 +2,33 @@
 
 1. Every window of LENGTH bytes has an anchor: the Q bytes in it with the least hash, the rightmost of equals. Equal windows
    have equal anchors in equal places, so only anchors whose initial bucket - the same Q bytes - holds another
-   anchor can be in a repeated window. A run of windows with one anchor is a row, with a hash of all its bytes.
+   anchor can be in a repeated window. A run of windows with one anchor is a row, with a digest of all its bytes.
 2. Runs whose whole bytes stand elsewhere too are repeated as they are; one of each sort goes on as a pattern.
 3. The other runs of shared buckets go on with their bytes. Runs of one bucket meet in a task, which sorts their
    suffixes: buckets of 8 bytes are refined by the bucket numbers of the suffixes 8, 16, 32 ... bytes on, each
    round using the numbers of the one before, up to LENGTH bytes. Windows in a bucket of two or more are repeated.
-   Buckets of very many runs are cut by window hash instead, so that no task holds such a bucket.
+   Buckets of very many runs are first cut by longer q-grams: windows that begin in the farther and the nearer half of the
+   places before the anchor share more bytes than the anchor, so the halves are buckets by these bytes, halved again as
+   long as a bucket is too large. No task holds such a bucket, and equal windows always stay together.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, byte_values, column_bytes, mix, prefix_hash, read_table, release, slices, span_hash, spread
+from .common import U64, Scratch, byte_values, column_bytes, map_arrow, prefix_hash, read_table, release, row_key, slices, span_hash, spread
 
 LENGTH, Q = 400, 64
-#: Runs of a bucket beyond which it is cut by window hashes, so that no task sorts more than some 3 MB at a time; and
+#: Runs of a bucket beyond which it is cut by longer q-grams, so that no task sorts more than some 3 MB at a time; and
 #: bytes of smaller buckets that a task sorts together.
 CROWDED, SORTED_BYTES = 5000, 1 << 20
-_BYTES, _MORE_BYTES = byte_values(41), byte_values(43)
+_BYTES = byte_values(41)
 _PIECE, _PLACE = 1 << 22, U64((1 << 23) - 1)
 
 
@@ -41,8 +44,8 @@ def _sliding_least(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(text: bytes, length: int = LENGTH, q: int = Q) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor value: that value, first window, end of the last window, and two hashes of the
-    bytes between. Long texts go in pieces, whose windows do not overlap."""
+    """Runs of windows with one anchor value: that value, the anchor's place, first window and end of the last window. Long
+    texts go in pieces, whose windows do not overlap."""
     parts, at = [], 0
     while at == 0 or at + length <= len(text):
         data = np.frombuffer(text, np.uint8)[at : at + _PIECE + length - 1]
@@ -55,9 +58,9 @@ def runs(text: bytes, length: int = LENGTH, q: int = Q) -> tuple[np.ndarray, ...
             first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
             end = np.concatenate((first[1:] - 1, [len(least) - 1])) + length
             anchor = (_PLACE - (least[first] & _PLACE)).astype(np.int64)
-            parts.append((h[anchor], first + at, end + at, span_hash(prefix, first, end), span_hash(prefix_hash(data, _MORE_BYTES), first, end)))
+            parts.append((h[anchor], anchor + at, first + at, end + at))
         at += _PIECE
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, U64), *[np.zeros(0, np.int64)] * 2, *[np.zeros(0, U64)] * 2)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, U64), *[np.zeros(0, np.int64)] * 3)
 
 
 def bucket_numbers(data: np.ndarray, length: int) -> np.ndarray:
@@ -108,77 +111,119 @@ def _window_spans(found: np.ndarray, first: int, length: int) -> tuple[np.ndarra
     return np.flatnonzero(edge == 1) + first, np.flatnonzero(edge == -1) - 1 + first + length
 
 
-_RUNS = "d long, h long, bucket long, first int, end int, k1 long, k2 long"
+_RUNS = "h long, g int, bucket long, anchor int, first int, end int, k1 long, k2 long"
+_PIECES = "bucket binary, low int, high int, anchor int, h long, g int, first int, done boolean, bytes binary"
+_SPANS = "h long, g int, start int, end int"
+
+
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
+
+
+def digest(data: bytes, person: bytes = b"") -> bytes:
+    return hashlib.blake2b(data, digest_size=16, person=person).digest()
+
+
+def _rows(columns: dict, schema: str) -> pa.RecordBatch:
+    fields = [(name, _ARROW[kind]) for name, kind in (x.split() for x in schema.split(","))]
+    return pa.RecordBatch.from_arrays([pa.array(columns[name], kind) for name, kind in fields], [name for name, _ in fields])
 
 
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, q: int = Q) -> DataFrame:
-    """(d, h, starts, ends): the spans of each document that has any, by its id (null: -1) and a hash of id and text."""
+    """(h, g, starts, ends): the spans of each row that has any, by its key (`common.row_key`)."""
     s = Scratch(df.sparkSession, "suffixes")
-    keyed = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("d"), F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text"))
+    keyed = df.select(*row_key(id_col, text_col), F.col(text_col).alias("text"))
 
     def find(batches):
         release()
-        for batch in batches:
-            ids, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            rows = [runs(t, length, q) for t in column_bytes(batch.column(2))]
+        for batch in slices(batches, 2000):
+            texts = list(column_bytes(batch.column(2)))
+            rows = [runs(t, length, q) for t in texts]
             n = [len(r[0]) for r in rows]
             if sum(n):
-                bucket, first, end, k1, k2 = (np.concatenate(x) for x in zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(np.repeat(hashes, n)), pa.array(bucket.view(np.int64)), pa.array(first.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))], ["d", "h", "bucket", "first", "end", "k1", "k2"])
-
-    found = s.save(keyed.mapInArrow(find, _RUNS), "runs")
-    shared = found.groupBy("bucket").agg(F.count("*").alias("n_bucket")).where("n_bucket > 1")
+                bucket, anchor, first, end = (np.concatenate(x) for x in zip(*rows, strict=True))
+                whole = b"".join(digest(t[a:b]) for t, r in zip(texts, rows, strict=True) for a, b in zip(r[2].tolist(), r[3].tolist(), strict=True))
+                keys = np.frombuffer(whole, np.int64).reshape(-1, 2)
+                own = [np.repeat(batch.column(k).to_numpy(), n) for k in (0, 1)]
+                yield _rows(dict(zip(["h", "g", "bucket", "anchor", "first", "end", "k1", "k2"], [*own, bucket.view(np.int64), anchor - first, first, end, keys[:, 0], keys[:, 1]], strict=True)), _RUNS)
+
+    found = s.save(map_arrow(keyed, find, _RUNS), "runs")
+    # the counts are written, so that Spark can split the joins on the largest buckets
+    shared = s.save(found.groupBy("bucket").agg(F.count("*").alias("n_bucket")).where("n_bucket > 1").select("bucket"), "shared-buckets")
     inside = s.save(found.join(shared, "bucket"), "shared")
-    alike = inside.groupBy("k1", "k2").agg(F.count("*").alias("n_alike"), F.min(F.struct("d", "h", "first")).alias("one")).where("n_alike > 1")
-    judged = s.save(inside.join(alike, ["k1", "k2"], "left").withColumn("one", F.col("one") == F.struct("d", "h", "first")).drop("k1", "k2"), "judged")
-    s.drop("runs")
-    whole = judged.where("n_alike is not null").select("d", "h", F.col("first").alias("start"), "end")
-    open_ = judged.where("n_alike is null").select("bucket").distinct()
-    going = s.save(judged.where("n_alike is null or one").join(open_, "bucket", "left_semi").select("d", "h", "bucket", "first", "end", F.coalesce("one", F.lit(False)).alias("done")), "going")
-    crowds = going.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).select("bucket", F.lit(True).alias("crowded"))
-    going = going.join(crowds, "bucket", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
-    by_doc = going.groupBy("d", "h").agg(F.collect_list(F.struct("bucket", "first", "end", "done", "crowded")).alias("runs"))
+    s.drop("runs", "shared-buckets")
+    alike = s.save(inside.groupBy("k1", "k2").agg(F.count("*").alias("n_alike"), F.min(F.struct("h", "g", "first")).alias("one")).where("n_alike > 1"), "alike")
+    judged = s.save(inside.join(alike, ["k1", "k2"], "left").withColumn("one", F.col("one") == F.struct("h", "g", "first")).drop("k1", "k2"), "judged")
+    s.drop("shared", "alike")
+    whole = judged.where("n_alike is not null").select("h", "g", F.col("first").alias("start"), "end")
+    going = judged.where("n_alike is null or one")
+    buckets = s.save(going.groupBy("bucket").agg(F.count_if(F.col("n_alike").isNull()).alias("n_open"), F.count("*").alias("n")).where("n_open > 0").select("bucket", (F.col("n") > CROWDED).alias("crowded")), "buckets")
+    run_of = F.struct("bucket", "anchor", "first", "end", F.coalesce("one", F.lit(False)).alias("done"), "crowded")
+    by_doc = going.join(buckets, "bucket").groupBy("h", "g").agg(F.collect_list(run_of).alias("runs"))
+    names = ["bucket", "low", "high", "anchor", "h", "g", "first", "done", "bytes", "crowded"]
 
     def cut(batches):
-        names = ["d", "h", "bucket", "first", "done", "crowded", "bytes"]
         for batch in slices(batches):
             out = {k: [] for k in names}
-            for d, h, own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), column_bytes(batch.column(3)), strict=True):
+            for h, g, own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), column_bytes(batch.column(3)), strict=True):
                 for r in own:
-                    for k in ("bucket", "first", "done", "crowded"):
-                        out[k].append(r[k])
-                    out["d"].append(d)
-                    out["h"].append(h)
-                    out["bytes"].append(text[r["first"] : r["end"]])
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in zip(names, kinds, strict=True)], names)
+                    for k, x in zip(names, (r["bucket"].to_bytes(8, "little", signed=True), 0, length - q, r["anchor"], h, g, r["first"], r["done"], text[r["first"] : r["end"]], r["crowded"]), strict=True):
+                        out[k].append(x)
+            yield _rows(out, _PIECES + ", crowded boolean")
 
     # one of several equal rows of a document stands for all: they are alike, hence whole, and at most a pattern
-    joined = by_doc.join(keyed.where(F.length("text") > 0), ["d", "h"]).select("d", "h", "runs", "text")
-    pieces = s.save(joined.mapInArrow(cut, "d long, h long, bucket long, first int, done boolean, crowded boolean, bytes binary"), "pieces")
+    joined = by_doc.join(keyed.where(F.length("text") > 0), ["h", "g"]).select("h", "g", "runs", "text")
+    pieces = s.save(map_arrow(joined, cut, _PIECES + ", crowded boolean"), "pieces")
+    ready, single = [pieces.where("not crowded").drop("crowded")], []
+    crowded, level = pieces.where("crowded").drop("crowded"), 0
+    while crowded.limit(1).count():
+        level += 1
+        halves = s.save(map_arrow(crowded, _halves(length, q), _PIECES), f"halves-{level}")
+        counts = s.save(halves.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), f"counts-{level}")
+        halves = halves.join(counts, "bucket")
+        single.append(halves.where("low = high and not done").select("h", "g", F.col("first").alias("start"), (F.col("first") + length).alias("end")))
+        ready.append(halves.where(f"low < high and n <= {CROWDED}").drop("n"))
+        crowded = halves.where(f"low < high and n > {CROWDED}").drop("n")
 
     def refine(batches):
-        for group in _by_bucket(batches):
-            docs, hashes, first, done, data = group
-            out = []
-            for d, h, f, known, windows in zip(docs, hashes, first, done, repeated_windows(data, length), strict=True):
+        for rows, hashes, first, done, data in _by_bucket(batches):
+            out = {"h": [], "g": [], "start": [], "end": []}
+            for h, g, f, known, windows in zip(rows, hashes, first, done, repeated_windows(data, length), strict=True):
                 if not known and windows.any():
-                    out += [(d, h, a, b) for a, b in zip(*(x.tolist() for x in _window_spans(windows, f, length)), strict=True)]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["d", "h", "start", "end"])
+                    start, end = (x.tolist() for x in _window_spans(windows, f, length))
+                    for k, x in zip(out, ([h] * len(start), [g] * len(start), start, end), strict=True):
+                        out[k] += x
+            yield _rows(out, _SPANS)
 
-    dealt = pieces.where("not crowded").select("bucket", "d", "h", "first", "done", "bytes").repartition("bucket").sortWithinPartitions("bucket", "d", "h", "first")
-    refined = dealt.mapInArrow(refine, "d long, h long, start int, end int")
-    spans = whole.unionAll(refined)
-    if pieces.where("crowded").limit(1).count():
-        spans = spans.unionAll(_crowded_spans(pieces.where("crowded"), s, length))
+    dealt = reduce(DataFrame.unionAll, ready).select("bucket", "h", "g", "first", "done", "bytes").repartition("bucket").sortWithinPartitions("bucket", "h", "g", "first")
+    spans = reduce(DataFrame.unionAll, [whole, dealt.mapInArrow(refine, _SPANS), *single])
 
     def unite(batches):
         for batch in slices(batches):
             each = [merged(np.array([x["start"] for x in own], np.int64), np.array([x["end"] for x in own], np.int64)) for own in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([a.tolist() for a, _ in each], pa.list_(pa.int64())), pa.array([b.tolist() for _, b in each], pa.list_(pa.int64()))], ["d", "h", "starts", "ends"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([a.tolist() for a, _ in each], pa.list_(pa.int64())), pa.array([b.tolist() for _, b in each], pa.list_(pa.int64()))], ["h", "g", "starts", "ends"])
+
+    return s.save(map_arrow(spans.groupBy("h", "g").agg(F.collect_list(F.struct("start", "end"))), unite, "h long, g int, starts array<long>, ends array<long>"), "spans")
 
-    return s.save(spans.groupBy("d", "h").agg(F.collect_list(F.struct("start", "end"))).mapInArrow(unite, "d long, h long, starts array<long>, ends array<long>"), "spans")
+
+def _halves(length: int, q: int):
+    """Cuts pieces whose windows begin `low` to `high` bytes before the anchor into those of either half, bucketed by the
+    bytes that all windows of a half cover."""
+
+    def run(batches):
+        for batch in slices(batches, 1000):
+            out = {x.split()[0]: [] for x in _PIECES.split(",")}
+            rows = [batch.column(k).to_pylist() for k in ("low", "high", "anchor", "h", "g", "first", "done")]
+            for low, high, anchor, h, g, first, done, data in zip(*rows, column_bytes(batch.column("bytes")), strict=True):
+                middle = (low + high) // 2
+                for a, b in ((low, middle), (middle + 1, high)):
+                    begin, last = max(0, anchor - b), min(len(data) - length, anchor - a)
+                    if begin <= last:
+                        core = data[anchor - a : anchor - b + length]
+                        for k, x in zip(out, (digest(core, b"%d-%d" % (a, b)), a, b, anchor - begin, h, g, first + begin, done, data[begin : last + length]), strict=True):
+                            out[k].append(x)
+            yield _rows(out, _PIECES)
+
+    return run
 
 
 def _by_bucket(batches, most: int = SORTED_BYTES):
@@ -196,33 +241,18 @@ def _by_bucket(batches, most: int = SORTED_BYTES):
         yield tuple(map(list, zip(*rows, strict=True)))
 
 
-def _crowded_spans(pieces: DataFrame, scratch: Scratch, length: int) -> DataFrame:
-    """The same answer for buckets of very many runs: a row for each window, counted by a 128-bit hash of its bytes."""
-
-    def explode(batches):
-        for batch in batches:
-            for d, h, first, done, data in zip(*(batch.column(k).to_pylist() for k in range(4)), column_bytes(batch.column(4)), strict=True):
-                data = np.frombuffer(data, np.uint8)
-                at = np.arange(len(data) - length + 1)
-                n = len(at)
-                w = [span_hash(prefix_hash(data, t), at, at + length).view(np.int64) for t in (_BYTES, _MORE_BYTES)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, d)), pa.array(np.full(n, h)), pa.array((at + first).astype(np.int32)), pa.array(np.full(n, done)), pa.array(w[0]), pa.array(w[1])], ["d", "h", "start", "done", "w1", "w2"])
-
-    windows = scratch.save(pieces.select("d", "h", "first", "done", "bytes").mapInArrow(explode, "d long, h long, start int, done boolean, w1 long, w2 long"), "windows")
-    again = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-    return windows.where("not done").join(again, ["w1", "w2"]).select("d", "h", "start", (F.col("start") + length).cast("int").alias("end"))
-
-
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """id, n_bytes, starts, ends (the removed spans) and kept (the remaining bytes) of each input row.
 
     A byte is removed if a string of `length` bytes that covers it also starts anywhere else, in the same document
-    (overlaps count) or another; strings never cross documents. Nulls and texts shorter than `length` stay as they
-    are. Equal rows, null ids included, are documents that repeat each other.
+    (overlaps count) or another; strings never cross documents. Nulls (empty) and texts shorter than `length` stay as
+    they are; texts of any length go through whole. Equal rows, null ids included, are documents that repeat each
+    other; ids are of any type. Every occurrence goes, so there are no ties; an empty table gives no rows, and other
+    columns do not matter.
     """
     spans = repeats(df, id_col, text_col, length)
-    keyed = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("d"), F.xxhash64(id_col, text_col).alias("h"))
-    joined = keyed.join(spans, ["d", "h"], "left").select("id", "text", "starts", "ends")
+    keyed = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *row_key(id_col, text_col))
+    joined = keyed.join(spans, ["h", "g"], "left").select("id", "text", "starts", "ends")
 
     def run(batches):
         for batch in slices(batches):
@@ -237,9 +267,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), batch.column(2), batch.column(3), pa.array(kept, pa.binary())], [id_col, "n_bytes", "starts", "ends", "kept"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return joined.mapInArrow(run, f"{id_col} {kind}, n_bytes long, starts array<long>, ends array<long>, kept binary")
+    return map_arrow(joined, run, f"{id_col} {kind}, n_bytes long, starts array<long>, ends array<long>, kept binary")
 
 
 def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`remove_repeats` of all documents: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     found = remove_repeats(spread(read_table(spark, sf_dir, "documents")))
     return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"), F.coalesce(F.size("starts"), F.lit(0)).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -7,14 +7,18 @@ can neither clash with nor leak into its result.
 from __future__ import annotations
 
 import gc
+import hashlib
 import os
+import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -42,17 +46,72 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_key(id_col: str, text_col: str) -> list:
+    """h and g: 96 bits by which a row is found again, whatever the type of its id; equal for rows of one id and text."""
+    return [F.xxhash64(id_col, text_col).alias("h"), F.hash(text_col, id_col).alias("g")]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A table just read, in partitions enough for all cores: a small one in a single file is dealt out, larger ones are left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+#: Bytes of a row group that a worker writes.
+GROUP_BYTES = 16 << 20
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """df.mapInArrow(run, schema), of which `Scratch.save` can write the batches where they arise."""
+    out = df.mapInArrow(run, schema)
+    out._mapped = (df, run)
+    return out
+
+
+def _write_part(batches, folder: str, schema: pa.Schema) -> int:
+    """Writes a task's batches as one Parquet file of the folder, whole or not at all; the first attempt that ends counts."""
+    import pyarrow.parquet as pq
+    from pyspark import TaskContext
+
+    name = f"part-{TaskContext.get().partitionId():06d}.parquet"
+    beside, writer, rows, held, size = f"{folder}/.{name}.{uuid.uuid4().hex}", None, 0, [], 0
+
+    def flush() -> None:
+        nonlocal writer, held, size
+        writer = writer or pq.ParquetWriter(beside, schema)
+        table = pa.Table.from_batches(held).select(schema.names).cast(schema)
+        writer.write_table(table, row_group_size=max(1, table.num_rows))
+        held, size = [], 0
+
+    try:
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                rows, size = rows + batch.num_rows, size + batch.nbytes
+                if size >= GROUP_BYTES:
+                    flush()
+        if held:
+            flush()
+        if writer:
+            writer.close()
+            try:
+                os.link(beside, f"{folder}/{name}")
+            except FileExistsError:
+                pass
+    finally:
+        if os.path.exists(beside):
+            os.unlink(beside)
+    return rows
+
+
 class Scratch:
     """Intermediate tables in the folder that all executors share (spark.checkpoint.dir).
 
     A table read back has no lineage, so a lost executor costs one read and not a recomputation.
     Where the setting is absent (tests), a folder under the warehouse is used.
+
+    In a mounted folder the workers write the files themselves: there Spark's writer starts a process for every file it
+    makes, to set its mode, which for a moment doubles what is counted as the executor's memory. On other stores Spark writes.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -60,12 +119,25 @@ class Scratch:
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        mounted = re.match(r"^(?:file:/*(?=/)|(?=/))", self.root)
+        self.mounted = self.root[mounted.end() :] if mounted else None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(self.path(name))
+        """The table, written and read back."""
+        if self.mounted is None:
+            df.write.parquet(self.path(name))
+        else:
+            folder, schema = f"{self.mounted}/{name}", to_arrow_schema(df.schema)
+            os.makedirs(folder)
+            source, run = getattr(df, "_mapped", (df, lambda batches: batches))
+
+            def write(batches):
+                yield pa.RecordBatch.from_arrays([pa.array([_write_part(run(batches), folder, schema)], pa.int64())], ["rows"])
+
+            source.mapInArrow(write, "rows long").collect()
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
@@ -149,36 +221,99 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-#: Which bytes belong to words: all but ASCII white space, or [0-9A-Za-z] and all bytes from 0x80.
-IN_WORD = {"space": ~_SPACE, "alnum": np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])}
-_WORD_VALUES = byte_values(20240607, lower=True)
-_BLOCK = 1 << 22
-
-
-def words(text: bytes, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, starts and ends of the words of a text, A-Z lower-cased. Long texts go in blocks, cut between words."""
-    if len(text) <= _BLOCK:
-        return _words(text, kind, 0)
-    data, parts, at = np.frombuffer(text, np.uint8), [], 0
-    inside = IN_WORD[kind]
-    while at < len(data):
-        end = min(len(data), at + _BLOCK)
-        while end < len(data) and inside[data[end - 1]] and inside[data[end]]:
-            end += 1
-        parts.append(_words(text[at:end], kind, at))
+def _folded(separators: list[int]) -> bytes:
+    """A table that lower-cases A-Z and turns separators into spaces."""
+    table = bytearray(range(256))
+    table[65:91] = table[97:123]
+    for b in separators:
+        table[b] = 0x20
+    return bytes(table)
+
+
+#: What parts words: ASCII white space, or all ASCII characters but digits and letters.
+_FOLD = {"space": _folded([*range(0x09, 0x0E)]), "alnum": _folded([b for b in range(0x80) if not chr(b).isalnum()])}
+_WORD_BYTE = np.frombuffer(_FOLD["space"], np.uint8) != 0x20
+#: Bytes that are cut into words at a time, and bytes of the longest word that is hashed in lanes.
+_BLOCK, _LONGEST = 1 << 22, 64
+
+
+def word_list(text: bytes, kind: str) -> list[bytes]:
+    """The words of a text in order, A-Z lower-cased."""
+    return text.translate(_FOLD[kind]).split()
+
+
+def plain_words(text: bytes, kind: str) -> Iterator[bytes]:
+    """The words of a text, A-Z lower-cased, with a space after each; a long text in parts."""
+    folded, at = text.translate(_FOLD[kind]), 0
+    while at < len(folded):
+        end = folded.find(b" ", at + _BLOCK)
+        end = len(folded) if end < 0 else end
+        if words := folded[at:end].split():
+            yield b" ".join(words) + b" "
         at = end
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def _words(text: bytes, kind: str, offset: int):
-    data = np.frombuffer(text, np.uint8)
-    edge = np.zeros(len(data) + 2, np.int8)
-    edge[1:-1] = IN_WORD[kind][data]
-    edge = np.diff(edge)
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    return span_hash(prefix_hash(data, _WORD_VALUES), start, end), start + offset, end + offset
+def joined(column: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The bytes of all texts end to end (null: empty), and where each begins and the last ends."""
+    flat = column.cast(pa.large_binary())
+    flat = flat.fill_null(b"") if flat.null_count else flat
+    at = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
+    data = flat.buffers()[2]
+    return (data.to_pybytes()[at[0] : at[-1]] if data else b""), at - at[0]
+
+
+def word_hashes(texts: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash for each word of the texts, A-Z lower-cased, and where each text's words begin and the last's end.
+
+    Bytes go in blocks, cut between words, so a long text needs 8 bytes a word and little more.
+    """
+    data, bounds = joined(texts)
+    folded = data.translate(_FOLD[kind])
+    parts, first, at = [], np.zeros(len(bounds), np.int64), 0
+    total = 0
+    while at < len(folded):
+        end = folded.find(b" ", at + _BLOCK)
+        end = len(folded) if end < 0 else end
+        k = np.searchsorted(bounds, at + _BLOCK)
+        end = min(end, int(bounds[k])) if k < len(bounds) else end
+        low, high = np.searchsorted(bounds, (at, end))
+        hashes, starts = _hashes(folded[at:end], bounds[low : high + (end == len(folded))] - at)
+        inside = slice(low, np.searchsorted(bounds, end, "right"))
+        first[inside] = total + np.searchsorted(starts, bounds[inside] - at)
+        parts.append(hashes)
+        total += len(hashes)
+        at = end
+    return np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.zeros(0, U64), first
+
+
+def _hashes(folded: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and starts of the words between spaces; words end at the bounds too. Each 8 bytes pass the finaliser, longer words BLAKE2."""
+    n = len(folded)
+    data = np.frombuffer(folded, np.uint8)
+    inside = data != 0x20
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    begins[bounds[bounds < n]] = inside[bounds[bounds < n]]
+    last = bounds[(bounds > 0) & (bounds <= n)] - 1
+    ends[last] = inside[last]
+    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    size = end - start
+    lanes = np.ndarray((n + 1,), "<u8", folded + bytes(8), strides=(1,))
+    out = mix(size.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(1))
+    open_ = np.flatnonzero(size <= _LONGEST)
+    at, left = start[open_], size[open_]
+    while len(open_):
+        lane = lanes[at] & _LANE[np.minimum(left, 8)]
+        out[open_] = mix((out[open_] ^ lane) * U64(0xD6E8FEB86659FD93) + U64(0x2545F4914F6CDD1D))
+        going = left > 8
+        open_, at, left = open_[going], at[going] + 8, left[going] - 8
+    for k in np.flatnonzero(size > _LONGEST).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(folded[start[k] : end[k]], digest_size=8).digest(), "little")
+    return out, start
+
+
+_LANE = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -193,9 +328,8 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
-def shingle_set(text: bytes, size: int) -> np.ndarray:
+def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """Sorted distinct hashes of the word shingles; the whole sequence as one if it is shorter; empty without words."""
-    hashes = words(text, "space")[0]
     return np.unique(windows(hashes, min(size, len(hashes)))) if len(hashes) else hashes
 
 
@@ -203,7 +337,7 @@ def count_words(text: bytes) -> int:
     """Words between ASCII white space."""
     total, before = 0, False
     for at in range(0, len(text), _BLOCK):
-        inside = IN_WORD["space"][np.frombuffer(text[at : at + _BLOCK], np.uint8)]
+        inside = _WORD_BYTE[np.frombuffer(text[at : at + _BLOCK], np.uint8)]
         total += int(np.count_nonzero(inside[1:] & ~inside[:-1])) + bool(inside[0] and not before)
         before = inside[-1]
     return total

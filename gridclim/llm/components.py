@@ -32,3 +32,13 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         now = scratch.save(_stars(_stars(now, True), False), f"{name}-{step}")
         scratch.drop(f"{name}-{step - 1}")
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+
+
+def extended(label: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Labels after more links (a, b): components of the labels that the links tie, so that known ones are not walked again."""
+    of = lambda x: label.select(F.col("node").alias(x), F.col("label").alias(f"l_{x}"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("l_a", "a").alias("a"), F.coalesce("l_b", "b").alias("b"))
+    tied = scratch.save(components(ends.where("a <> b"), scratch, name).select(F.col("node").alias("was"), F.col("label").alias("now")), f"{name}-tied")
+    moved = label.join(tied, F.col("label") == F.col("was"), "left").select("node", F.coalesce("now", "label").alias("label"))
+    alone = tied.join(label.select(F.col("node").alias("was")), "was", "left_anti").select(F.col("was").alias("node"), F.col("now").alias("label"))
+    return scratch.save(moved.unionAll(alone), f"{name}-all")

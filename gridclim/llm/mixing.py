@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, column_bytes, count_words, read_table, release, spread
+from .common import Scratch, column_bytes, count_words, map_arrow, read_table, release, spread
 
 WEIGHTS, MOST_PASSES, BLOCK_WORDS = (5, 2, 1), 3, 256
 #: Slots of a chunk, within which ranks are counted; chunks add up by prefix sums.
@@ -44,7 +44,7 @@ def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["doc_id", "source", "size"])
 
     kind = docs.schema[id_col].dataType
-    return docs.select(F.col(id_col), F.col(source_col).cast("string"), text_col).mapInArrow(run, T.StructType([T.StructField("doc_id", kind), T.StructField("source", T.StringType()), T.StructField("size", T.LongType())]))
+    return map_arrow(docs.select(F.col(id_col), F.col(source_col).cast("string"), text_col), run, T.StructType([T.StructField("doc_id", kind), T.StructField("source", T.StringType()), T.StructField("size", T.LongType())]))
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, block_words: int = BLOCK_WORDS) -> DataFrame:

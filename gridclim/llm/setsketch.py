@@ -5,20 +5,23 @@ to 16 bits. Registers of a union are the maxima of the parts' registers, and equ
 similarity. Bands of registers give candidates; a joint likelihood over greater, smaller and equal registers,
 with the known set sizes, drops those that cannot be similar enough; full sets confirm the rest.
 
-Documents with equal sets are one class throughout. Within a bucket, members first meet the bucket's least
-member; what then is in different components of one bucket is compared in blocks, none left out.
+Documents of the same words in order are one class throughout. Hashes of shingles only choose what is compared: sets
+are confirmed word by word. Within a bucket, members first meet the bucket's least member; what then is in different
+components of one bucket is compared in blocks, none left out.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, Scratch, column_bytes, mix, read_table, release, shingle_set, spread
-from .components import components
+from .common import U64, Scratch, column_bytes, map_arrow, mix, plain_words, read_table, release, row_key, shingle_hashes, slices, spread, word_hashes
+from .components import components, extended
 
 #: At a similarity of 0.8 all 32 bands of 4 registers differ with a probability of 5e-8.
 REGISTERS, ROWS, BASE, RATE = 128, 4, 1.001, 20.0
@@ -28,8 +31,6 @@ _XOR = _rng.integers(0, 2**32, (REGISTERS, 1), dtype=np.uint32)
 _ODD = _rng.integers(0, 2**32, (REGISTERS, 1), dtype=np.uint32) | np.uint32(1)
 #: A pair is dropped when its likelihood at the threshold is under exp(-CUT) of its best: five standard errors.
 CUT = 12.5
-#: Node numbers from here on stand for documents without an id.
-NO_ID = 1 << 62
 #: Nodes of a block of the last, exhaustive comparison.
 BLOCK = 1024
 
@@ -79,38 +80,66 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, thr
     return grid[rows, best], (top + 1e-9 >= threshold) & (~below | (found[rows, best] - at <= CUT))
 
 
-_SKETCH = T.StructType([T.StructField("id", T.LongType()), T.StructField("node", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("sketch", T.BinaryType())])
+_SKETCH = ["n_shingles", "k1", "k2", "sketch"]
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """id, node, n_shingles, a 128-bit key of the shingle set (null if empty) and its registers."""
+    """id, h, g, n_shingles, a 128-bit digest of the words in order (null without words) and the registers of the shingle set."""
 
     def run(batches):
         release()
+        for batch in slices(batches, 2000):
+            hashes, first = word_hashes(batch.column(3), "space")
+            out = {k: [] for k in _SKETCH}
+            for text, a, b in zip(column_bytes(batch.column(3)), first[:-1].tolist(), first[1:].tolist(), strict=True):
+                found = shingle_hashes(hashes[a:b], shingle)
+                digest = hashlib.blake2b(digest_size=16)
+                for part in plain_words(text, "space"):
+                    digest.update(part)
+                k1, k2 = np.frombuffer(digest.digest(), np.int64).tolist() if len(found) else (None, None)
+                for k, x in zip(_SKETCH, (len(found), k1, k2, registers(found).tobytes() if len(found) else None), strict=True):
+                    out[k].append(x)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3]] + [pa.array(out[k], pa.binary() if k == "sketch" else pa.int64()) for k in _SKETCH], ["id", "h", "g", *_SKETCH])
+
+    kind = df.schema[id_col].dataType
+    fields = [T.StructField("id", kind), T.StructField("h", T.LongType()), T.StructField("g", T.IntegerType())] + [T.StructField(k, T.BinaryType() if k == "sketch" else T.LongType()) for k in _SKETCH]
+    return map_arrow(df.select(F.col(id_col).alias("id"), *row_key(id_col, text_col), F.col(text_col)), run, T.StructType(fields))
+
+
+def word_bodies(df: DataFrame) -> DataFrame:
+    """node and its words, A-Z lower-cased, with a space after each. Input columns node, text."""
+
+    def run(batches):
         for batch in batches:
-            ids, out = batch.column(0).to_pylist(), {k: [] for k in _SKETCH.names[1:]}
-            for doc, text in zip(ids, column_bytes(batch.column(1)), strict=True):
-                found = shingle_set(text, shingle)
-                k1, k2 = (int(x.sum(dtype=U64).astype(np.int64)) for x in (mix(found), mix(found ^ U64(0x5851F42D4C957F2D))))
-                out["node"].append(NO_ID + (k1 & (NO_ID - 1)) if doc is None else doc)
-                out["n_shingles"].append(len(found))
-                out["k1"].append(k1 if len(found) else None)
-                out["k2"].append(k2 if len(found) else None)
-                out["sketch"].append(registers(found).tobytes() if len(found) else None)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())] + [pa.array(out[k], pa.binary() if k == "sketch" else pa.int64()) for k in _SKETCH.names[1:]], _SKETCH.names)
+            words = [b"".join(plain_words(text, "space")) for text in column_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], ["node", "words"])
 
-    return df.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, _SKETCH)
+    return map_arrow(df.select("node", "text"), run, "node long, words binary")
 
 
-def shingle_sets(df: DataFrame, shingle: int) -> DataFrame:
-    """node and its sorted shingle hashes, as bytes. Input columns node, text."""
+def numbered_shingles(bodies: list[bytes], size: int) -> list[np.ndarray]:
+    """Sorted distinct numbers of each body's shingles: equal numbers for equal words only, by comparing the words themselves."""
+    number: dict[bytes, int] = {}
+    put = number.setdefault
+    each = [np.array([put(w, len(number)) for w in body.split()], np.int64) for body in bodies]
+    width = len(number) + 1
+    rows = []
+    for ids in each:
+        n = min(size, len(ids))
+        rows.append(np.stack([ids[j : len(ids) - n + 1 + j] + 1 for j in range(n)] + [np.zeros(len(ids) - n + 1, np.int64)] * (size - n)) if n else np.zeros((size, 0), np.int64))
+    flat, ends = np.concatenate(rows, axis=1), np.cumsum([r.shape[1] for r in rows])[:-1]
+    key, most = np.zeros(flat.shape[1], np.int64), 1
+    for column in flat:
+        if most * width >= 1 << 62:
+            key = np.unique(key, return_inverse=True)[1].astype(np.int64)
+            most = int(key.max(initial=0)) + 1
+        key, most = key * width + column, most * width
+    return [np.unique(x) for x in np.split(key, ends)]
 
-    def run(batches):
-        for batch in batches:
-            sets = [shingle_set(text, shingle).tobytes() for text in column_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-    return df.select("node", "text").mapInArrow(run, "node long, shingles binary")
+def reaches(x: np.ndarray, y: np.ndarray, threshold_percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= threshold_percent * (len(x) + len(y) - both)
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -127,58 +156,56 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(about)], ["a", "b", "about"]).filter(pa.array(keep))
 
     near = (F.least("n_a", "n_b") + 1e-6) / F.greatest("n_a", "n_b") >= threshold
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(near).mapInArrow(run, "a long, b long, about double")
+    return map_arrow(pairs.join(side("a"), "a").join(side("b"), "b").where(near), run, "a long, b long, about double")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, threshold_percent: int) -> DataFrame:
-    """Pairs whose full sets reach the threshold."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s_{x}"))
+def _confirmed(pairs: DataFrame, bodies: DataFrame, shingle: int, threshold_percent: int) -> DataFrame:
+    """Pairs whose full sets of shingles, word by word, reach the threshold."""
+    side = lambda x: bodies.select(F.col("node").alias(x), F.col("words").alias(f"s_{x}"))
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for a, b in zip(column_bytes(batch.column("s_a")), column_bytes(batch.column("s_b")), strict=True):
-                x, y = np.frombuffer(a, U64), np.frombuffer(b, U64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= threshold_percent * (len(x) + len(y) - both))
+            keep = [reaches(*numbered_shingles([a, b], shingle), threshold_percent) for a, b in zip(column_bytes(batch.column("s_a")), column_bytes(batch.column("s_b")), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+    return map_arrow(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"), run, "a long, b long")
 
 
-def _links_of_rest(rest: DataFrame, sets: DataFrame, scratch: Scratch, threshold_percent: int) -> DataFrame:
-    """All links between members of different components that share a bucket, of rest (band, node, leader, label).
+def _links_of_rest(rest: DataFrame, bodies: DataFrame, scratch: Scratch, shingle: int, threshold_percent: int) -> DataFrame:
+    """All links between members of different components that share a bucket, of rest (band, node, label).
 
-    Buckets that share members make a cluster. A cluster is cut into blocks of about BLOCK nodes, so that a large
-    component has blocks of its own and small ones share some; each two blocks but those of one component meet in a
-    task, which counts all common shingles by matrix products. What a task holds stays the same for any cluster.
+    Buckets of the same members count once. A bucket is cut into blocks of about BLOCK nodes, so that a large component
+    has blocks of its own and small ones share some; each two blocks but those of one component meet in a task, which
+    counts all common shingles by matrix products. What a task holds stays the same for any bucket; nodes that share no
+    bucket never meet.
     """
-    cluster = components(rest.select(F.col("node").alias("a"), F.col("leader").alias("b")), scratch, "clusters").withColumnRenamed("label", "cluster")
-    nodes = scratch.save(rest.select("node", "label").distinct().join(cluster, "node"), "clustered")
-    by_label = nodes.groupBy("cluster", "label").agg(F.count("*").alias("n"))
-    pool = by_label.groupBy("cluster").agg(F.sum(F.when(F.col("n") < BLOCK, F.col("n"))).alias("pool"))
+    sign = [F.sum(F.xxhash64("node", F.lit(k)).cast("decimal(20,0)")).alias(f"sign{k}") for k in (1, 2)]
+    once = rest.groupBy("band").agg(F.count("*").alias("n"), *sign).groupBy("n", "sign1", "sign2").agg(F.min("band").alias("band")).select("band")
+    nodes = scratch.save(rest.select("band", "node", "label").join(once, "band"), "crowd")
+    by_label = scratch.save(nodes.groupBy("band", "label").agg(F.count("*").alias("n")), "by-label")
+    pool = by_label.groupBy("band").agg(F.sum(F.when(F.col("n") < BLOCK, F.col("n"))).alias("pool"))
     large = F.col("n") >= BLOCK
     own = F.when(large, F.col("label"))
     part = F.when(large, F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("pool") / BLOCK)))
-    placed = scratch.save(nodes.join(by_label, ["cluster", "label"]).join(pool, "cluster").select("cluster", "node", "label", own.alias("own"), F.xxhash64(F.coalesce(own, F.lit(-1)), part).alias("block")), "placed")
-    blocks = placed.select("cluster", "own", "block").distinct()
-    other = blocks.select("cluster", F.col("own").alias("own_2"), F.col("block").alias("block_2"))
-    meet = blocks.join(other, "cluster").where("block <= block_2 and not (own is not null and own <=> own_2)").select("cluster", "block", "block_2", F.xxhash64("cluster", "block", "block_2").alias("task"))
+    placed = scratch.save(nodes.join(by_label, ["band", "label"]).join(pool, "band").select("band", "node", "label", own.alias("own"), F.xxhash64(F.coalesce(own, F.lit(-1)), part).alias("block")), "placed")
+    blocks = placed.select("band", "own", "block").distinct()
+    other = blocks.select("band", F.col("own").alias("own_2"), F.col("block").alias("block_2"))
+    meet = blocks.join(other, "band").where("block <= block_2 and not (own is not null and own <=> own_2)").select("band", "block", "block_2", F.xxhash64("band", "block", "block_2").alias("task"))
     meet = scratch.save(meet, "meet")
-    sides = meet.select("cluster", "block", "task", F.lit(0).alias("side")).unionAll(meet.where("block < block_2").select("cluster", F.col("block_2").alias("block"), "task", F.lit(1).alias("side")))
-    held = placed.select("cluster", "block", "node", "label").join(sets, "node").join(sides, ["cluster", "block"]).select("task", "side", "node", "label", "shingles")
+    sides = meet.select("band", "block", "task", F.lit(0).alias("side")).unionAll(meet.where("block < block_2").select("band", F.col("block_2").alias("block"), "task", F.lit(1).alias("side")))
+    held = placed.select("band", "block", "node", "label").join(bodies, "node").join(sides, ["band", "block"]).select("task", "side", "node", "label", "words")
 
     def run(batches):
         for group in _groups(batches):
-            found = [x for x in _similar(*group, threshold_percent)]
+            found = [x for x in _similar(*group, shingle, threshold_percent)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return held.repartition("task").sortWithinPartitions("task", "side", "node").mapInArrow(run, "a long, b long").distinct()
+    return map_arrow(held.repartition("task").sortWithinPartitions("task", "side", "node"), run, "a long, b long").distinct()
 
 
 def _groups(batches):
-    """side, node, label and sets of each task, from rows sorted by it."""
+    """side, node, label and words of each task, from rows sorted by it."""
     now, rows = None, []
     for batch in batches:
         for task, *row in zip(*(batch.column(k).to_pylist() for k in range(4)), column_bytes(batch.column(4)), strict=True):
@@ -191,9 +218,9 @@ def _groups(batches):
         yield tuple(zip(*rows, strict=True))
 
 
-def _similar(side, node, label, sets, threshold_percent: int):
+def _similar(side, node, label, bodies, shingle: int, threshold_percent: int):
     """Pairs of nodes with different labels whose sets are similar, between side 0 and side 1 or, with one side, within."""
-    arrays = [np.frombuffer(x, U64) for x in sets]
+    arrays = numbered_shingles(bodies, shingle)
     size = np.array([len(x) for x in arrays])
     _, column, count = np.unique(np.concatenate(arrays), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(arrays)), size)
@@ -216,41 +243,41 @@ def _similar(side, node, label, sets, threshold_percent: int):
         yield node[i], node[j + first]
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold_percent: int = 80) -> DataFrame:
-    """id, n_shingles, component_id, kept, one row for each input row.
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold_percent: int = 80, keys: bool = False) -> DataFrame:
+    """id, n_shingles, component_id, kept, one row for each input row; with keys also h, g (`row_key`) and has_words.
 
     Links documents whose sets of distinct word shingles have a Jaccard similarity of at least threshold_percent;
-    A-Z are lower-cased, words end at ASCII white space, fewer words than a shingle count as one shingle. Texts that
-    are null or have no words link with nothing: component_id is their own id. Rows that share an id are one document.
-    Rows without an id link like others but never name a component; a component of such rows only has a null
-    component_id, and all of them are kept. An empty table gives no rows.
+    A-Z are lower-cased, words end at ASCII white space, fewer words than a shingle count as one shingle. Nulls, empty
+    texts and others without words link with nothing: component_id is their own id. Ids are of any type and only name
+    components, by their least; repeated rows, and rows that share an id, are documents of their own. A component of rows
+    without an id has a null component_id; kept are then all rows of one text of it. Texts of any length go through
+    whole. Ties cannot arise, as sets decide. An empty table gives no rows; other columns do not matter.
     """
     spark, threshold = df.sparkSession, threshold_percent / 100
     s = Scratch(spark, "setsketch")
     sig = s.save(sketches(df, id_col, text_col, shingle), "sketches")
-    classes = s.save(sig.where("k1 is not null").groupBy("k1", "k2").agg(F.min("node").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
+    rep = F.min(F.struct(F.col("id").isNull(), "id", "h", "g")).alias("rep")
+    classes = sig.where("k1 is not null").groupBy("k1", "k2").agg(rep, F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    classes = s.save(classes.select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "rep.id", "rep.h", "rep.g", "n_shingles", "sketch"), "classes")
 
-    def keys(batches):
+    def band_rows(batches):
         for batch in batches:
             if batch.num_rows:
                 found = [band_keys(np.frombuffer(x, np.uint16)) for x in column_bytes(batch.column(1))]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["band", "node"])
 
-    bands = classes.select("node", "sketch").mapInArrow(keys, "band long, node long")
+    bands = classes.select("node", "sketch").mapInArrow(band_rows, "band long, node long")
     shared = bands.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
     members = s.save(bands.join(shared.select("band", "leader"), "band"), "members")
     nodes = classes.select("node", "n_shingles", "sketch")
     first = members.where("node > leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     first = s.save(_likely(first, nodes, threshold), "first")
-    wanted = members.select("node").distinct()
-    texts = df.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    if sig.where("id is null and k1 is not null").limit(1).count():
-        texts = _texts_without_id(df, id_col, text_col, shingle)
-    sets = s.save(shingle_sets(texts.join(wanted, "node", "left_semi"), shingle), "sets")
+    wanted = classes.select("node", "h", "g").join(members.select("node").distinct(), "node", "left_semi")
+    texts = df.select(*row_key(id_col, text_col), F.col(text_col).alias("text"))
+    bodies = s.save(word_bodies(texts.join(wanted, ["h", "g"]).dropDuplicates(["h", "g"])), "bodies")
 
     best = first.groupBy("a").agg(F.max_by("b", F.struct("about", "b")).alias("b"))
-    links = s.save(_confirmed(best, sets, threshold_percent), "links-1")
-    label = components(links, s, "cc-1")
+    label = components(s.save(_confirmed(best, bodies, shingle, threshold_percent), "links-1"), s, "cc-1")
 
     def unlinked(pairs: DataFrame) -> DataFrame:
         """Those in different components so far."""
@@ -258,34 +285,35 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return pairs.join(known("a"), "a", "left").join(known("b"), "b", "left").where("coalesce(l_a, a) <> coalesce(l_b, b)").select("a", "b")
 
     second = unlinked(first.select("a", "b").join(best, ["a", "b"], "left_anti"))
-    links = links.unionAll(s.save(_confirmed(second, sets, threshold_percent), "links-2"))
-    label = components(links, s, "cc-2")
+    label = extended(label, s.save(_confirmed(second, bodies, shingle, threshold_percent), "links-2"), s, "cc-2")
 
-    labelled = members.join(label, "node", "left").select("band", "node", "leader", F.coalesce("label", "node").alias("label"))
+    labelled = members.join(label, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     mixed = labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n")).where("least < most and n > 2").select("band")
     rest = s.save(labelled.join(mixed, "band"), "rest")
-    links = links.unionAll(s.save(_links_of_rest(rest, sets, s, threshold_percent), "links-3"))
-    label = components(links, s, "cc-3")
+    label = extended(label, s.save(_links_of_rest(rest, bodies, s, shingle, threshold_percent), "links-3"), s, "cc-3")
 
-    of_class = classes.select("k1", "k2", F.col("node").alias("rep")).join(label.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("label", "rep").alias("label"))
-    component = F.when(F.col("k1").isNull(), F.col("id")).when(F.col("label") < NO_ID, F.col("label"))
-    return sig.select("id", "n_shingles", "k1", "k2").join(of_class, ["k1", "k2"], "left").select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id")).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+    placed = s.save(classes.select("node", "k1", "k2", "id").join(label, "node", "left").select("node", "k1", "k2", "id", F.coalesce("label", "node").alias("label")), "placed-classes")
+    named = s.save(placed.groupBy("label").agg(F.min("id").alias("component_id")), "named")
+    of_class = placed.join(named, "label").select("k1", "k2", "component_id", (F.col("node") == F.col("label")).alias("leads"))
+    judged = sig.select("id", "h", "g", "n_shingles", "k1", "k2").join(of_class, ["k1", "k2"], "left")
+    wordless = F.col("k1").isNull()
+    component = F.when(wordless, F.col("id")).otherwise(F.col("component_id"))
+    kept = F.col("id").eqNullSafe(component) & (F.col("id").isNotNull() | wordless | F.coalesce("leads", F.lit(False)))
+    more = ["h", "g", (~wordless).alias("has_words")] if keys else []
+    return judged.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), kept.alias("kept"), *more)
 
 
-def _texts_without_id(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """node and text where some documents have no id: their node comes from the set."""
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows, with all their columns, one of each group: a row kept by `near_duplicates`, once for each id and text.
 
-    def run(batches):
-        for batch in batches:
-            nodes = []
-            for doc, text in zip(batch.column(0).to_pylist(), column_bytes(batch.column(1)), strict=True):
-                if doc is None:
-                    doc = NO_ID + (int(mix(shingle_set(text, shingle)).sum(dtype=U64).astype(np.int64)) & (NO_ID - 1))
-                nodes.append(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), batch.column(1).cast(pa.string())], ["node", "text"])
-
-    return df.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "node long, text string")
+    Rows without words are groups of their own and stay. Of rows that agree in id and text but not in other columns, any one stays.
+    """
+    found = near_duplicates(docs, id_col, text_col, keys=True, **options).where("kept").select(F.col("h").alias("_h"), F.col("g").alias("_g"), F.col("has_words").alias("_words")).distinct()
+    rows = docs.select("*", *[k.alias(f"_{n}") for k, n in zip(row_key(id_col, text_col), "hg", strict=True)]).join(found, ["_h", "_g"])
+    rows = rows.withColumn("_one", F.when(~F.col("_words"), F.monotonically_increasing_id()))
+    return rows.dropDuplicates(["_h", "_g", "_one"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`near_duplicates` of all documents at four words: doc_id, n_shingles, component_id, kept."""
     return near_duplicates(spread(read_table(spark, sf_dir, "documents")), shingle=4)

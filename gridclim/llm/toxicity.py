@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, column_bytes, kept, read_table, release, spread
+from .common import Scratch, column_bytes, kept, map_arrow, read_table, release, spread
 
 #: Bound of the labelled rows learned from, features taken for each category, and the least number of rows with one.
 SAMPLE, FEATURES, LEAST_ROWS, FOLDS, L2 = 8000, 200, 4, 4, 0.1
@@ -201,7 +201,7 @@ def score(docs: DataFrame, model: Chain | None, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(p[:, -1] >= least, pa.bool_())], [id_col, *names, "toxic"])
 
     fields = [T.StructField(id_col, docs.schema[id_col].dataType), *[T.StructField(n, T.DoubleType()) for n in names], T.StructField("toxic", T.BooleanType())]
-    return docs.select(id_col, text_col).mapInArrow(run, T.StructType(fields))
+    return map_arrow(docs.select(id_col, text_col), run, T.StructType(fields))
 
 
 def probabilities(model: Chain, texts: pa.Array) -> np.ndarray:
@@ -227,7 +227,7 @@ def drop_toxic(docs: DataFrame, model: Chain | None, text_col: str = "text", thr
         for batch in batches:
             yield batch.filter(pa.array(probabilities(model, batch.column(at))[:, -1] < least, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,13 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
-from gridclim.llm import decontaminate, langid, mixing, setsketch, suffixes, toxicity
+from gridclim.llm import common, decontaminate, langid, mixing, setsketch, suffixes, toxicity
+from gridclim.llm.common import Scratch, word_hashes
 from gridclim.llm.components import components
-from gridclim.llm.common import Scratch
 
 RNG = np.random.default_rng(8)
 VOCABULARY = ["".join(RNG.choice(list("abcdefghij"), 5)) for _ in range(400)]
@@ -49,7 +51,7 @@ def shingles(t, n):
 
 
 def brute_components(rows, n):
-    """Component of each row's place: rows with one id are one document."""
+    """Component of each row's place."""
     sets = [shingles(t, n) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -61,8 +63,7 @@ def brute_components(rows, n):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            same = rows[i][0] is not None and rows[i][0] == rows[j][0] and a and b
-            if same or (a and b and 100 * len(a & b) >= 80 * len(a | b)):
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
                 parent[find(i)] = find(j)
     out = []
     for i, (k, _) in enumerate(rows):
@@ -148,7 +149,7 @@ def test_long_texts_go_in_pieces(monkeypatch):
     whole = suffixes.runs(text)
     monkeypatch.setattr(suffixes, "_PIECE", 700)
     parts = suffixes.runs(text)
-    windows = lambda r: sorted((int(h), s) for h, a, b in zip(*r[:3], strict=True) for s in range(a, b - 399))
+    windows = lambda r: sorted((int(h), s) for h, _, a, b in zip(*r, strict=True) for s in range(a, b - 399))
     assert windows(whole) == windows(parts)
 
 
@@ -196,8 +197,76 @@ def test_decontamination_equals_brute_force(spark):
 def test_longest_matches():
     item = " ".join(f"w{k}" for k in range(30))
     test = decontaminate.test_suffixes([(0, item.encode())])
-    found = decontaminate.shard_matches([b"zz " + " ".join(f"w{k}" for k in range(4, 20)).encode() + b" yy"], test)
-    assert [(found["test_word"][0], found["doc_word"][0], found["n_words"][0])] == [(4, 1, 16)] and len(found["doc"]) == 1
+    text = "zz " + " ".join(f"w{k}" for k in range(4, 20)) + " yy"
+    assert decontaminate.shard_matches(pa.array([None, text]), test)[1] == [(1, 0, 4, 1, 16)]
+    assert decontaminate.shard_matches(pa.array([text * 3]), test, shard_words=7)[1] == decontaminate.shard_matches(pa.array([text * 3]), test)[1]
+
+
+def test_suffix_array_against_sorting_and_scanning():
+    rng = np.random.default_rng(21)
+    numbers = rng.integers(0, 4, 400)
+    numbers[200:290] = numbers[20:110]
+    items = [(0, b"a b a a b c c a b a c b"), (1, b"c"), (2, b" ".join(b"xabc"[k : k + 1] for k in numbers[30:75] if k))]
+    test = decontaminate.test_suffixes(items, 5)
+    text = b" ".join(b"0abc"[k : k + 1] if k else b"unknown" for k in numbers)
+    hashes, _ = word_hashes(pa.array([text]), "alnum")
+    flat = np.append(test.number(hashes), 0)
+    array = decontaminate.SuffixArray(flat, len(test.vocabulary) + 1, 64)
+    cut = lambda at: flat[at : at + next(k for k in range(len(flat)) if flat[at + k] == 0)].tolist()
+    order = [cut(p) for p in array.places.tolist()]
+    assert sorted(array.places.tolist()) == list(range(len(flat))) and order == sorted(order)
+    low, high, longest = array.search(test)
+    for k, (start, size) in enumerate(zip(test.start.tolist(), test.length.tolist(), strict=True)):
+        rest = test.numbers[start : test.first[test.item[k] + 1] - 1 if test.item[k] + 1 < len(items) else len(test.numbers) - 1].tolist()
+        reach = [next((j for j in range(len(rest)) if p + j >= len(flat) or flat[p + j] != rest[j]), len(rest)) for p in range(len(flat))]
+        assert sorted(array.places[low[k] : high[k]].tolist()) == [p for p, r in enumerate(reach) if r >= size]
+        assert longest[k] == (max(reach) if max(reach) >= size else 0)
+
+
+def morse(zero, one):
+    """A word of 1024 letters and its complement: polynomial hashes modulo a power of two take them for equal."""
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    return "".join(one if b else zero for b in bits), "".join(zero if b else one for b in bits)
+
+
+def test_words_that_simple_hashes_confuse(spark):
+    x, y = morse("a", "b")
+    docs = spark.createDataFrame([(1, f"{x} one two three"), (2, f"{y} one two three")], "doc_id long, text string")
+    assert [r.component_id for r in setsketch.near_duplicates(docs, shingle=4).orderBy("doc_id").collect()] == [1, 2]
+    found = decontaminate.decontaminate(docs, spark.createDataFrame([("t", x)], "item_id string, text string")).orderBy("doc_id").collect()
+    assert [(r.n_hit, r["items"]) for r in found] == [(1, ["t"]), (0, [])]
+
+
+def test_equal_hashes_alone_do_not_count(monkeypatch, spark):
+    """With every word hashing alike, words themselves still decide."""
+    real = common.word_hashes
+    alike = lambda texts, kind: (np.full(len(real(texts, kind)[0]), 7, np.uint64), real(texts, kind)[1])
+    monkeypatch.setattr(decontaminate, "word_hashes", alike)
+    test = decontaminate.test_suffixes([(0, b" ".join(b"w%d" % k for k in range(12)))])
+    assert decontaminate.shard_matches(pa.array([" ".join("v" * 1 for _ in range(30)), "x " + " ".join(f"w{k}" for k in range(12))]), test)[1] == [(1, 0, 0, 1, 12)]
+
+
+def test_ids_of_any_value_and_type(spark):
+    a, b = prose(40), prose(40)
+    big = [(1 << 62, a), ((1 << 63) - 1, a), (-(1 << 63), b), (5, b + " more")]
+    rows = {r.doc_id: r for r in setsketch.near_duplicates(spark.createDataFrame(big, "doc_id long, text string")).collect()}
+    assert {k: (r.component_id, r.kept) for k, r in rows.items()} == {1 << 62: (1 << 62, True), (1 << 63) - 1: (1 << 62, False), -(1 << 63): (-(1 << 63), True), 5: (-(1 << 63), False)}
+    named = spark.createDataFrame([("x", a), ("y", a), (None, a), (None, "only here"), (None, "only here"), (None, None)], "doc_id string, text string")
+    assert sorted(((r.doc_id, r.component_id, r.kept) for r in setsketch.near_duplicates(named).collect()), key=repr) == sorted([("x", "x", True), ("y", "x", False), (None, "x", False), (None, None, True), (None, None, True), (None, None, True)], key=repr)
+    kept = setsketch.drop_near_duplicates(named.selectExpr("doc_id", "text", "1 AS h", "2 AS component_id"))
+    assert kept.columns == ["doc_id", "text", "h", "component_id"]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([("x", a), (None, "only here"), (None, None)], key=repr)
+
+
+def test_blocks_of_items_go_one_after_another(spark):
+    rng = np.random.default_rng(31)
+    items = [(f"i{k}", prose(14, rng)) for k in range(6)]
+    docs = spark.createDataFrame([(k, prose(9, rng) + " " + items[k % 6][1] + " " + prose(9, rng) if k % 2 else prose(40, rng)) for k in range(24)], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    plain = lambda df: sorted((r.doc_id, r.n_words, sorted(map(tuple, r.spans))) for r in df.collect())
+    one, many = (plain(decontaminate.matches(docs, benchmark, block_words=n)) for n in (10**6, 30))
+    assert one == many and sum(bool(r[2]) for r in one) == 12
+    assert decontaminate.drop_contaminated(docs, benchmark, block_words=30).count() == 12
 
 
 def mixed_sample(spark):
@@ -246,21 +315,35 @@ def test_lattice_is_a_permutation():
     assert mixing.lattice(np.array([big - 3]), step, big)[0] == (big - 3) * step % big
 
 
+def plain_language(model, text):
+    """The language whose plain compressor needs the fewest bytes over all chunks."""
+    lower, total = text.lower().encode(), {}
+    for lang in sorted(model):
+        raw = zstandard.ZstdCompressionDict(model[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        one = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=raw, write_content_size=False, write_dict_id=False)
+        total[lang] = sum(len(one.compress(lower[i : i + langid.CHUNK])) for i in range(0, len(lower), langid.CHUNK))
+    return min(total, key=lambda lang: (total[lang], lang))
+
+
 def test_languages(spark):
     rng = np.random.default_rng(7)
     words = {"aa": ["the", "and", "house", "which", "water"], "bb": ["der", "und", "haus", "welches", "wasser"], "cc": ["les", "dans", "maison", "quelle", "eaux"]}
     make = lambda lang: " ".join(rng.choice(words[lang], 60)) + f" {rng.integers(1000)}"
-    rows = [(k, make(lang), lang, "z") for k, lang in enumerate([*words] * 60)] + [(900, None, "aa", "z"), (901, "123 456 !", "bb", "z"), (902, "", None, "z"), (None, make("cc"), "cc", "z"), (903, make("aa").upper() * 400, None, "z"), (904, "wasser und haus", None, "z")]
+    rows = [(k, make(lang), lang, "z") for k, lang in enumerate([*words] * 60)] + [(900, None, "aa", "z"), (901, "123 456 !", "bb", "z"), (902, "", None, "z"), (None, make("cc"), "cc", "z"), (903, make("aa").upper() * 400, None, "z"), (904, "wasser und haus", None, "z"), (905, "½ ² Ⅷ ٣ _", "aa", "z"), (7, make("bb"), "bb", "z"), (7, rows_of_seven := make("aa"), "aa", "z"), (7, rows_of_seven, "aa", "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
-    model = langid.learn_dictionaries(docs.where(~langid.held_out()), sample_docs=30)
-    assert sorted(model) == ["aa", "bb", "cc"] and all(len(v) <= langid.DICT_BYTES + 100 for v in model.values())
-    got = {r.doc_id: r for r in langid.identify(docs, model).collect()}
-    tested = [k for k, _, lang, _ in rows[:180] if k % 1 == 0]
+    model = langid.learn_dictionaries(docs.where(~langid.held_out()), sample_pieces=30)
+    assert sorted(model) == ["aa", "bb", "cc"] and all(len(v) <= 30 * (langid.PIECE + 1) for v in model.values())
+    found = langid.identify(docs, model).collect()
+    got = {r.doc_id: r for r in found if r.doc_id != 7}
+    assert sorted(r.lang_pred for r in found if r.doc_id == 7)[:2] == ["aa", "aa"] and got[905].lang_pred == "und"
+    assert [got[k].lang_pred for k in (903, 904)] == [plain_language(model, next(r[1] for r in rows if r[0] == k)) for k in (903, 904)]
+    assert all(got[k].lang_pred == plain_language(model, rows[k][1]) for k in range(0, 180, 9))
+    tested = [k for k, _, lang, _ in rows[:180] if k != 7]
     assert np.mean([got[k].lang_pred == rows[k][2] for k in tested]) > 0.98
     assert [got[k].lang_pred for k in (900, 901, 902, None, 903, 904)] == ["und", "und", "und", "cc", "aa", "bb"]
     assert all(0 <= r.score <= 1 for r in got.values()) and got[900].rejected
     assert langid.learn_dictionaries(docs.where("false")) == {} and langid.identify(docs, {}).where("lang_pred <> 'und'").count() == 0
-    assert langid.learn_dictionaries(docs.repartition(5), sample_docs=30) == langid.learn_dictionaries(docs, sample_docs=30)
+    assert langid.learn_dictionaries(docs.repartition(5), sample_pieces=30) == langid.learn_dictionaries(docs, sample_pieces=30)
 
 
 def test_toxicity(spark):
@@ -302,14 +385,11 @@ def test_chain_sees_out_of_fold_predictions():
     assert ((p[:, 1] > 0.5) == (y[:, 1] > 0.5)).mean() > 0.85 and model.weights[1][6] > 0.3
 
 
-def test_all_learned_documents_enter_with_their_ends(spark):
-    rows = [(k, f"<{k:04d}" + "x" * 2000 + f"{k:04d}>", "en") for k in range(langid.SAMPLE_DOCS)]
-    data = langid.learn_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))["en"]
-    assert all(f"<{k:04d}".encode() in data and f"{k:04d}>".encode() in data for k in range(langid.SAMPLE_DOCS))
-    seen = []
-    langid.Classifier._with, kept = staticmethod(lambda part, level: seen.append(part)), langid.Classifier._with
-    try:
-        langid.Classifier({"en": data})
-    finally:
-        langid.Classifier._with = staticmethod(kept)
-    assert b"".join(seen[1:]) == data
+def test_pieces_of_all_texts_to_their_ends_are_learned(spark):
+    rows = [(k, "".join(f"<{k:04d}.{j:03d}" + "x" * 90 + ">" for j in range(12)), "en") for k in range(60)]
+    pieces = [t[i : i + 100] for _, t, _ in rows for i in range(0, 1200, 100)]
+    docs = spark.createDataFrame([*rows, *rows[:5], (3, "short", "en"), (None, "no id", "en"), (1, None, "en"), (2, "", "en")], "doc_id long, text string, lang string")
+    every = langid.learn_dictionaries(docs, sample_pieces=10_000, piece=100)["en"].split(b"\n")
+    assert sorted(every) == sorted(x.encode() for x in [*pieces, "short"])
+    some = langid.learn_dictionaries(docs, sample_pieces=100, piece=100)["en"].split(b"\n")
+    assert some == every[:100] and len({x[6:9] for x in some}) == 12

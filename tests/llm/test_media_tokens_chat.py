@@ -4,6 +4,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,12 +144,19 @@ def test_rotation(spark):
 
 
 def test_words_of_long_texts(monkeypatch):
-    text = ("ab cd  é\t" * 50).encode()
-    whole = common.words(text, "space")
-    monkeypatch.setattr(common, "_BLOCK", 17)
-    parts = common.words(text, "space")
-    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
-    assert common.count_words(text) == len(text.decode().split())
+    texts = pa.array(["ab cd  é\t" * 50, None, "", " x", "y z", "long" * 40 + " s", "LONG" * 40])
+    whole, first = common.word_hashes(texts, "space")
+    parts = ["".join(x.decode() for x in common.plain_words(t, "space")) for t in common.column_bytes(texts)]
+    counts = [common.count_words(t) for t in common.column_bytes(texts)]
+    assert np.diff(first).tolist() == counts == [150, 0, 0, 1, 2, 2, 1] and whole[-1] == whole[-3]
+    for block in (1, 2, 17):
+        monkeypatch.setattr(common, "_BLOCK", block)
+        again, places = common.word_hashes(texts, "space")
+        assert (again == whole).all() and (places == first).all()
+        assert ["".join(x.decode() for x in common.plain_words(t, "space")) for t in common.column_bytes(texts)] == parts
+        assert [common.count_words(t) for t in common.column_bytes(texts)] == counts
+    words = {w for t in common.column_bytes(texts) for w in common.word_list(t, "space")}
+    assert len(set(whole.tolist())) == len(words)
 
 
 def test_sha_of_query(spark, tmp_path):

@@ -7,12 +7,11 @@ the last returns a row for each document of the token files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridclim.llm.common import Scratch, read_table, small_batches
 from gridclim.llm.decontaminate import drop_contaminated
 from gridclim.llm.mixing import mixed_documents
-from gridclim.llm.setsketch import near_duplicates
+from gridclim.llm.setsketch import drop_near_duplicates
 from gridclim.llm.tokens import token_files
 from gridclim.llm.toxicity import drop_toxic, train
 
@@ -24,10 +23,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates (five words, a similarity of 0.8)."""
+    """Keeps one document of each group of near-duplicates (five words, a similarity of 0.8): the one with the smallest id."""
     small_batches(spark)
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Media columns: GIF. LZW code streams, palettes, disposal, transparency, timed frames, colour histograms.
 
-`store_gif` writes bytes losslessly as palette indices; `decode_gif` reads any GIF87a/89a. A null text
-is an empty payload; a null, empty or broken GIF gives no frames and says why in `error`.
+`store_gif` writes bytes losslessly as palette indices; `decode_gif` reads any GIF87a/89a. A null or empty text is an empty
+payload, filled up like others; texts of any length are stored whole, in frames of FRAME_ROWS rows. A null, empty or broken
+GIF gives the frames up to the fault and says why in `error`. Rows are judged alone, so repeated ones agree and there are no
+ties; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from pyspark.sql import types as T
 from .common import column_bytes, read_table, spread
 
 ROW, FRAME_ROWS, DELAY_CS, BINS = 192, 256, 10, 8
+#: Pixels of the largest canvas or frame that is decoded; beyond, `error` says so.
+MOST_PIXELS = 1 << 24
 GREY = bytes(x for i in range(256) for x in (i, i, i))
 
 
@@ -76,14 +80,16 @@ def _since(n: int, starts: list[int]) -> np.ndarray:
     return np.arange(n) - np.cumsum(begin)
 
 
-def lzw_decode(stream: bytes, min_code: int) -> bytes:
-    """The samples of a code stream; codes between two clear codes are unpacked together."""
+def lzw_decode(stream: bytes, min_code: int, most: int | None = None) -> bytes:
+    """The samples of a code stream; codes between two clear codes are unpacked together. No more is decoded once there are `most`."""
+    if not 1 <= min_code <= 11:
+        raise ValueError("a code size out of range")
     clear, end = 1 << min_code, (1 << min_code) + 1
     data = np.frombuffer(stream + b"\0\0\0", np.uint8).astype(np.int64)
     bits, at, out = len(stream) * 8, 0, []
     basic = [bytes([i]) for i in range(clear)] + [b"", b""]
-    table, number, previous, step = list(basic), 0, None, 4096
-    while at < bits:
+    table, number, previous, step, made = list(basic), 0, None, 4096, 0
+    while at < bits and (most is None or made < most):
         width = _WIDTHS_8 if min_code == 8 and number == 0 else _widths(number, step, min_code)
         ends = at + np.cumsum(width)
         n = int(np.searchsorted(ends, bits, "right"))
@@ -111,6 +117,7 @@ def lzw_decode(stream: bytes, min_code: int) -> bytes:
                 if known < 4096:
                     table.append(entry)
             out.append(text)
+            made += len(text)
             previous = text
         if last == n:
             at, number = int(ends[n - 1]), number + n
@@ -143,7 +150,8 @@ def read_frames(gif: bytes) -> Iterator[dict]:
     """Each frame in order: its samples as stored, its place and time, and the canvas as shown (RGB and what is opaque).
 
     Disposal 0 and 1 leave the frame, 2 clears its rectangle, 3 brings back what was there before.
-    A frame partly outside the canvas is clipped when drawn; missing samples count as index 0.
+    A frame partly outside the canvas is clipped when drawn. A frame that lacks samples is filled with index 0 and is the last,
+    with an error. A canvas or frame of over MOST_PIXELS is an error before anything is allocated for it.
     """
     if gif[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
@@ -152,6 +160,8 @@ def read_frames(gif: bytes) -> Iterator[dict]:
     shared = None
     if flags & 0x80:
         shared = gif[at : (at := at + 3 * (2 << (flags & 7)))]
+    if width * height > MOST_PIXELS:
+        raise ValueError(f"a canvas of {width} x {height} pixels, over {MOST_PIXELS}")
     canvas, opaque = np.zeros((height, width, 3), np.uint8), np.zeros((height, width), bool)
     disposal, transparent, delay, start, index = 0, None, 0, 0, 0
 
@@ -178,6 +188,8 @@ def read_frames(gif: bytes) -> Iterator[dict]:
             raise ValueError("an unknown block")
         left, top, w, h, local = struct.unpack("<HHHHB", gif[at + 1 : at + 10])
         at += 10
+        if w * h > MOST_PIXELS:
+            raise ValueError(f"a frame of {w} x {h} pixels, over {MOST_PIXELS}")
         palette = shared
         if local & 0x80:
             palette = gif[at : (at := at + 3 * (2 << (local & 7)))]
@@ -185,7 +197,8 @@ def read_frames(gif: bytes) -> Iterator[dict]:
             raise ValueError("no palette")
         min_code = gif[at]
         at += 1
-        samples = lzw_decode(blocks(), min_code)[: w * h]
+        samples = lzw_decode(blocks(), min_code, w * h)[: w * h]
+        missing = w * h - len(samples)
         grid = np.frombuffer(samples.ljust(w * h, b"\0"), np.uint8).reshape(h, w)
         if local & 0x40:
             straight = np.empty_like(grid)
@@ -205,6 +218,8 @@ def read_frames(gif: bytes) -> Iterator[dict]:
             canvas[area][shown] = colours[seen[shown]]
             opaque[area] |= shown
         yield {"frame": index, "start_ms": start, "delay_ms": delay, "left": left, "top": top, "width": w, "height": h, "disposal": disposal, "samples": samples, "canvas": canvas, "opaque": opaque, "screen": (width, height)}
+        if missing:
+            raise ValueError(f"{missing} samples are missing")
         if disposal == 2:
             canvas[area], opaque[area] = 0, False
         elif before:
@@ -280,6 +295,7 @@ def timed_frames(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def op1_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents stored as GIF and read back: digests of payload and stored form, frames and the red levels' histogram."""
     media = decode_gif(store_gif(spread(read_table(spark, sf_dir, "documents"))))
     levels = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.aggregate("frames", F.lit(0).cast("long"), lambda a, f: a + F.get(f["hist_r"], i)).cast("string"))
     last = F.element_at("frames", -1)

@@ -36,19 +36,20 @@ class PieceCounter:
     A pre-token is a run of word marks and what follows up to the next mark. The vocabulary is searched
     for a piece with a mark after another character: without one, no merge crosses a pre-token's start,
     and the counts of the pre-tokens add up. With one, whole texts are encoded. `whole` holds the
-    pieces proved, by encoding each alone, to be one token: a pre-token among them counts 1.
+    pieces proved, by encoding each alone, to be one token: a pre-token among them counts 1. The proof is made once,
+    where `whole` is not given, and shipped to the workers.
     """
 
     MARK = "▁"
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, whole: frozenset[str] | None = None):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.splits = not any(re.search(f"[^{self.MARK}]{self.MARK}", p) for p in pieces) and self._plain()
-        plain = [p for p in pieces if p.startswith(self.MARK) and self.splits]
-        self.whole = {p[1:] for p, ids in zip(plain, self._ids([p[1:] for p in plain]), strict=True) if len(ids) == 1}
+        plain = [p for p in pieces if p.startswith(self.MARK) and self.splits] if whole is None else []
+        self.whole = whole if whole is not None else frozenset(p[1:] for p, ids in zip(plain, self._ids([p[1:] for p in plain]), strict=True) if len(ids) == 1)
         self.lone = len(self.model.encode("a ")) - len(self.model.encode("a"))
         self._restart()
 
@@ -102,16 +103,18 @@ def _slices(texts: list[str], most: int = 4 << 20):
 
 
 def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, limit: int = 4096) -> DataFrame:
-    """id, n_bytes, n_tokens, over_limit. One row for each input row; a null text counts as empty: 0 tokens.
+    """id, n_bytes, n_tokens, over_limit. One row for each input row, repeated ones too; a null or empty text has 0 tokens.
 
-    The model's file is read on the driver and travels with the tasks (its size is that of a vocabulary).
+    Texts of any length are counted whole; over_limit is n_tokens > limit, so a text of just the limit is not over it. An
+    empty table gives no rows; other columns do not matter. The model's file is read and the whole tokens are proved on
+    the driver; both travel with the tasks (their size is that of a vocabulary).
     """
     with open(path or tokenizer_file("piece_bpe_32k.model"), "rb") as f:
         model = f.read()
-    key = (zlib.crc32(model), len(model))
+    key, whole = (zlib.crc32(model), len(model)), PieceCounter(model).whole
 
     def run(batches):
-        counter = kept("pieces", key, lambda: PieceCounter(model))
+        counter = kept("pieces", key, lambda: PieceCounter(model, whole))
         for batch in batches:
             texts = [x.decode() for x in column_bytes(batch.column(1))]
             n = [c for part in _slices(texts) for c in counter.counts(part)]
@@ -123,6 +126,7 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`count_tokens` of all documents."""
     return count_tokens(spread(read_table(spark, sf_dir, "documents")))
 
 
@@ -340,10 +344,14 @@ def read_token_files(manifest: DataFrame, folder: str, id_col: str = "doc_id", w
 
 
 def token_files(df: DataFrame, name: str = "tokens") -> DataFrame:
-    """Writes the token files of df, ids as by the library's default, to the shared folder and reads them back."""
+    """Writes the token files of df, ids as by the library's default, to the shared folder and reads them back.
+
+    Nulls, ties, repeated rows and empty tables as in `write_token_files`; texts of any length are encoded whole.
+    """
     folder = Scratch(df.sparkSession, name).path("files")
     return read_token_files(write_token_files(df, folder, added=True), folder)
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`token_files` of all documents."""
     return token_files(read_table(spark, sf_dir, "documents"))

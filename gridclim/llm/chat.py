@@ -23,7 +23,11 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     Participants are the distinct non-null roles of a conversation; a conversation without any has no rows. Turns go
     by number (null first), then role and text, nulls first; equal rows are separate turns. A turn without a role is
     an unnamed user. A null text is empty. mask_start and mask_end bound the assistant's text with its end marker, in
-    characters of the whole rendering, and are -1 for the others. A null conv_id is a conversation like others.
+    characters of the whole rendering, and are -1 for the others. A null conv_id is a conversation like others. Texts of any
+    length are rendered whole; an empty table gives no rows, and other columns, of any name, do not matter.
+
+    The turns meet their conversation's speakers, one short row each, in a join that Spark splits where one conversation
+    holds very many turns; each view's blocks of turns are dealt out on their own.
     """
     said = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("speaker"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("said"))
     speakers = said.where(F.col("speaker").isNotNull()).select(F.col("conv_id").alias("of"), F.col("speaker").alias("perspective")).distinct()
@@ -52,6 +56,7 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
 
 def op3_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`rotate` of all conversations."""
     return rotate(read_table(spark, sf_dir, "conversations"))
 
 

@@ -23,6 +23,8 @@ from .common import Scratch, column_bytes, count_words, map_arrow, read_table, r
 WEIGHTS, MOST_PASSES, BLOCK_WORDS = (5, 2, 1), 3, 256
 #: Slots of a chunk, within which ranks are counted; chunks add up by prefix sums.
 CHUNK_BITS = 16
+#: Documents of a bucket, within which places are added up by one task, for tables of over 4096 times as many.
+BUCKET_DOCS = 4000
 
 
 @dataclass
@@ -115,7 +117,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Null texts and texts without words have size 0 and are never taken; a null source is a source of its own; repeated
     rows are separate documents, and ids, null ones too, only decide the order. The order hashes the id as text by MD5
-    (null: empty); ties go by id, then size. An empty table, or one without words, takes nothing.
+    (null: empty); ties go by id, then size. Texts of any length count whole. An empty table, or one without words, takes
+    nothing; other columns do not matter.
     """
     spark = docs.sparkSession
     s = Scratch(spark, "mixing")
@@ -123,7 +126,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     targets = s.save(source_targets(sized, weights, most, block_words), "targets")
     slots = schedule(spark, targets)
 
-    known = sized.withColumn("key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))).withColumn("bucket", F.substring("key", 1, 3))
+    # as many hexadecimal digits of the key as leave a few thousand documents of a source in a bucket, at any size of the table
+    digits = max(3, (sized.count() // BUCKET_DOCS).bit_length() // 4 + 1)
+    known = sized.withColumn("key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))).withColumn("bucket", F.substring("key", 1, digits))
     known = known.join(targets.select(F.col("source").alias("name"), "src", "source_size", "target", "passes", "rest"), F.col("source").eqNullSafe(F.col("name"))).drop("name")
     sums = known.groupBy("src", "bucket").agg(F.sum("size").alias("n"))
     base = sums.select("src", "bucket", (F.sum("n").over(Window.partitionBy("src").orderBy("bucket")) - F.col("n")).alias("base"))
@@ -146,7 +151,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows, with all their columns, each as often as the mixture takes it, rounded to whole documents.
 
-    Rows that share an id are taken equally often.
+    Rows that share an id are taken equally often; else as in `mix`.
     """
     taken = mix(docs, id_col, **options).taken.groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size")).where("taken > 0")
     copies = taken.select(F.col("doc_id").alias("_of"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_copies")).where("_copies > 0")
@@ -156,6 +161,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
 
 
 def op7_golden_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`mix` of all documents: what it takes of each."""
     return mix(spread(read_table(spark, sf_dir, "documents"))).taken.select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -189,7 +189,9 @@ def feature_lookup(index: dict[str, int]):
 def score(docs: DataFrame, model: Chain | None, id_col: str = "doc_id", text_col: str = "text", threshold: float | None = None) -> DataFrame:
     """id, p_<category> for each category in the chain's order, and toxic: the last one's probability reaches the threshold, the model's own unless given.
 
-    One row for each input row. A null or empty text has no features. Without a model: null probabilities, not toxic.
+    One row for each input row, repeated ones alike. A null or empty text has no features; texts of any length are read whole.
+    A probability equal to the threshold is toxic. Without a model: null probabilities, not toxic. An empty table gives no
+    rows; other columns do not matter.
     """
     least = threshold if threshold is not None else model.threshold if model else 0.5
     names = [f"p_{n}" for n in (model.names if model else [n for n, _, _ in CHAIN])]
@@ -231,5 +233,6 @@ def drop_toxic(docs: DataFrame, model: Chain | None, text_col: str = "text", thr
 
 
 def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`score` of all documents by a chain learned from a bounded sample of the labels."""
     docs = spread(read_table(spark, sf_dir, "documents"))
     return score(docs, train(docs, read_table(spark, sf_dir, "labels")))

@@ -76,6 +76,29 @@ def test_broken_gifs(spark):
     assert all(r.error for r in gif.decode_gif(rows).collect())
 
 
+def test_known_bytes():
+    """A code stream worked out by hand, and a 10 x 10 picture of four colours as its bytes stand."""
+    assert gif.lzw_encode(b"\0\0\0") == bytes.fromhex("0001080c08")
+    head, palette, control = "474946383961 0a000a00910000", "ffffff ff0000 0000ff 000000", "21f9040000000000"
+    data = "8c2d99872a1cdc33a00275ec95faa8de608c04914c01"
+    picture = bytes.fromhex(f"{head} {palette} {control} 2c000000000a000a0000 0216 {data} 00 3b")
+    rows = ["1111122222"] * 3 + ["1110000222"] * 2 + ["2220000111"] * 2 + ["2222211111"] * 3
+    (frame,) = gif.read_frames(picture)
+    assert frame["samples"] == bytes(int(x) for r in rows for x in r) and frame["canvas"][0, 0].tolist() == [255, 0, 0]
+
+
+def test_hostile_gifs(spark):
+    huge = b"GIF89a" + struct.pack("<HHBBB", 65535, 65535, 0x80, 0, 0) + bytes(6) + b";"
+    frame = b"GIF89a" + struct.pack("<HHBBB", 1, 1, 0x80, 0, 0) + bytes(6) + struct.pack("<BHHHHB", 0x2C, 0, 0, 65535, 65535, 0) + b"\x02\0;"
+    early = _animation()[:19] + struct.pack("<BHHHHB", 0x2C, 0, 0, 2, 2, 0) + bytes([2, 1, 0x04, 0]) + b";"
+    code = _animation()[:19] + struct.pack("<BHHHHB", 0x2C, 0, 0, 2, 2, 0) + bytes([200, 1, 0x04, 0]) + b";"
+    rows = {r.doc_id: r for r in gif.decode_gif(spark.createDataFrame([(k, bytearray(x)) for k, x in enumerate((huge, frame, early, code))], "doc_id long, media binary")).collect()}
+    assert "65535 x 65535" in rows[0].error and "65535 x 65535" in rows[1].error and "missing" in rows[2].error and rows[3].error
+    assert [len(rows[k].frames) for k in range(4)] == [0, 0, 1, 0] and bytes(rows[2].samples) == b"\0"
+    bomb = gif.lzw_encode(bytes(3_000_000))
+    assert len(gif.lzw_decode(bomb, 8, 1000)) < 20_000_000 and gif.lzw_decode(bomb, 8)[:1000] == gif.lzw_decode(bomb, 8, 1000)[:1000]
+
+
 def test_counts_equal_the_library(docs):
     import sentencepiece
 

@@ -6,6 +6,7 @@ table and rewrites only the partitions that the new rows touch.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,6 +113,65 @@ def open_issues(issues: DataFrame) -> DataFrame:
     return issues.where(~F.col("status").isin(*TERMINAL)).orderBy(F.col("detected_at").desc())
 
 
+def issue(issues: DataFrame, issue_id: int) -> DataFrame:
+    return issues.where(F.col("issue_id") == issue_id)
+
+
+def issues_for(issues: DataFrame, variable: str, date) -> DataFrame:
+    return issues.where((F.col("variable") == variable) & (F.col("date") == F.lit(date).cast("date")))
+
+
+def register_sources(known: DataFrame, names: list[str], notes: dict[str, str] | None = None) -> DataFrame:
+    """The table of rain sources (source, code, note) with the named ones put in or brought up to date; an error for an unknown name."""
+    from gridclim.functions.text import rain_source
+
+    rows = [(rain_source(n), n.lower(), (notes or {}).get(n)) for n in sorted(set(names))]
+    if unknown := [n for c, n, _ in rows if c is None]:
+        raise ValueError(f"not products: {unknown}")
+    return upsert(known, known.sparkSession.createDataFrame(rows, "source int, code string, note string"), ["source"])
+
+
+def replace_failures(old: DataFrame, new: DataFrame, source: int, first, last, keys: list[str] = ("fparent_id", "fine_id", "date", "source")) -> DataFrame:
+    """Quarantine of a fine product: its old rows from first to last go, the new ones come; other sources stay."""
+    inside = (F.col("source") == source) & F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    return replace_window(old, new, inside, None, list(keys))
+
+
+def replace_table(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """Puts rows in place of a whole table: written beside it, then renamed, so that readers find the old or the new one."""
+    stage, old = f"{path.rstrip('/')}__staged-{uuid.uuid4().hex}", f"{path.rstrip('/')}__old-{uuid.uuid4().hex}"
+    rows.write.parquet(stage)
+    at = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(at(path)):
+        fs.rename(at(path), at(old))
+    fs.rename(at(stage), at(path))
+    fs.delete(at(old), True)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def accumulate_table(spark: SparkSession, rows: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """Adds rows to a table of a few extents: new ones replace those of the same key."""
+    return replace_table(spark, upsert(read_stored(spark, path, rows.schema), rows, keys), path)
+
+
+def bulk_load(rows: DataFrame, path: str) -> None:
+    """Appends rows as they come, NaN as null."""
+    doubles = [f.name for f in rows.schema if f.dataType in (T.DoubleType(), T.FloatType())]
+    rows.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in doubles}).write.mode("append").parquet(path)
+
+
+def write_result(rows: DataFrame, path: str, form: str = "csv") -> None:
+    """A result as csv (with a header), tsv, json lines or parquet."""
+    out = rows.write.mode("overwrite")
+    if form in ("csv", "tsv"):
+        out.option("header", True).option("sep", "\t" if form == "tsv" else ",").csv(path)
+    elif form in ("json", "parquet"):
+        getattr(out, form)(path)
+    else:
+        raise ValueError(f"unknown form {form!r}; known: csv, tsv, json, parquet")
+
+
 def select_repairable(issues: DataFrame, findings: DataFrame) -> DataFrame:
     """Detected issues that the findings confirm, once each."""
     return issues.where("status = 'detected'").join(findings.select("variable", "date").distinct(), ["variable", "date"]).dropDuplicates(["issue_id"]).orderBy("variable", "date")
@@ -144,16 +204,24 @@ def write_table(rows: DataFrame, path: str, partition: str, order: list[str]) ->
     rows.repartition(partition).sortWithinPartitions(partition, *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
-def upsert_table(spark: SparkSession, path: str, new: DataFrame, schema: T.StructType, keys: list[str], partition: str, how: Callable[[DataFrame, DataFrame, list[str]], DataFrame] = upsert_guarded) -> None:
-    """Applies how(old, new, keys) to a partitioned table. Only touched partitions are read and rewritten.
+def upsert_table(spark: SparkSession, path: str, new: DataFrame, schema: T.StructType, keys: list[str], partition: str, how: Callable[[DataFrame, DataFrame, list[str]], DataFrame] = upsert_guarded, window: Column | None = None) -> None:
+    """Applies how(old, new, keys) to a partitioned table. Only touched partitions are read and rewritten: those of the new
+    rows, and those with old rows in `window`, which `how` may take away.
 
-    The result is staged beside the table and published by a second, dynamic overwrite, so a run lost in
-    between leaves the old table whole.
+    The result is staged under a name of its own beside the table, so that runs do not meet, and published by a dynamic
+    overwrite, which replaces one partition after another; partitions left without rows are deleted. A run lost while it
+    stages leaves the old table whole; one lost while it publishes is completed by running it again.
     """
-    touched = [r[0] for r in new.select(partition).distinct().collect()]
-    old = read_stored(spark, path, schema).where(F.col(partition).isin(touched))
-    stage = f"{path.rstrip('/')}__staged"
-    how(old, new, keys).write.mode("overwrite").parquet(stage)
-    write_table(spark.read.schema(schema).parquet(stage), path, partition, keys)
-    at = spark._jvm.org.apache.hadoop.fs.Path(stage)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    stored = read_stored(spark, path, schema)
+    touched = {r[0] for r in new.select(partition).distinct().collect()}
+    if window is not None:
+        touched |= {r[0] for r in stored.where(window).select(partition).distinct().collect()}
+    old = stored.where(F.col(partition).isin(sorted(touched)))
+    stage = f"{path.rstrip('/')}__staged-{uuid.uuid4().hex}"
+    how(old, new, keys).write.parquet(stage)
+    staged = spark.read.schema(schema).parquet(stage)
+    left = {r[0] for r in staged.select(partition).distinct().collect()}
+    write_table(staged, path, partition, keys)
+    for gone in [*(f"{path.rstrip('/')}/{partition}={p}" for p in sorted(touched - left)), stage]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(gone)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

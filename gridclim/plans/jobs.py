@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import datetime
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridclim.functions import physics, text
-from gridclim.operators import daily, fieldqa, repair, storage
-from gridclim.sources import bronze
+from gridclim.operators import daily, fieldqa, repair, spatial, storage
+from gridclim.sources import bronze, raster
 
 KEYS = daily.KEYS
 _VALUES = [T.StructField(v, T.FloatType()) for v in text.VARIABLES]
@@ -51,11 +52,58 @@ def transform(spark: SparkSession, bronze_root: str, tables: Tables, meta: DataF
     fresh = placed(good).select("bucket", *KEYS, *narrow, text.is_preliminary("date", cutoff).alias("is_preliminary"), F.current_timestamp().alias("ingested_at"), F.lit(0).cast("short").alias("imputed"))
     storage.upsert_table(spark, tables.path("record"), fresh, STORED, KEYS, "bucket")
     failed = placed(bad).select("bucket", *KEYS, *narrow, "reason", F.current_timestamp().alias("detected_at"))
-    repaired = tables.read(spark, "record", STORED).where("imputed <> 0")
-    replaced = lambda old, new, keys: storage.replace_window(old, new, F.year("date").isin(years), repaired, keys)
-    storage.upsert_table(spark, tables.path("quarantine"), failed, QUARANTINE, KEYS, "bucket", replaced)
-    done = tables.read(spark, "record", STORED).where(F.year("date").isin(years)).count()
-    return {"stored": done, "quarantined": tables.read(spark, "quarantine", QUARANTINE).where(F.year("date").isin(years)).count()}
+    window = in_years(years)
+    repaired = tables.read(spark, "record", STORED).where(window & (F.col("imputed") != 0))
+    replaced = lambda old, new, keys: storage.replace_window(old, new, window, repaired, keys)
+    storage.upsert_table(spark, tables.path("quarantine"), failed, QUARANTINE, KEYS, "bucket", replaced, window)
+    done = tables.read(spark, "record", STORED).where(window).count()
+    return {"stored": done, "quarantined": tables.read(spark, "quarantine", QUARANTINE).where(window).count()}
+
+
+def in_years(years: list[int]):
+    """Rows dated in one of the years, as bounds that reach the scan's statistics."""
+    each = [F.col("date").between(F.lit(datetime.date(y, 1, 1)), F.lit(datetime.date(y, 12, 31))) for y in years]
+    return reduce(lambda a, b: a | b, each, F.lit(False))
+
+
+def check_loaded(results: list[dict]) -> dict:
+    """Sums of what the years of a load stored; an error if all of them were skipped."""
+    loaded = sum(r.get("stored") or 0 for r in results)
+    if results and not loaded:
+        raise RuntimeError(f"all {len(results)} years were skipped: no rows were loaded")
+    return {"loaded": loaded, "quarantined": sum(r.get("quarantined") or 0 for r in results), "skipped_years": [r["year"] for r in results if r.get("skipped")]}
+
+
+def transform_years(spark: SparkSession, bronze_root: str, tables: Tables, meta: DataFrame, years: list[int], run: datetime.date, **options) -> dict:
+    """transform of each year; years without files are skipped, but not all of them."""
+    results = []
+    for year in years:
+        if bronze.available_any(spark, bronze_root, daily.NATIVE, year):
+            results.append(transform(spark, bronze_root, tables, meta, [year], run, **options) | {"year": year})
+        else:
+            results.append({"year": year, "skipped": True})
+    return check_loaded(results)
+
+
+def ingest(tiles: DataFrame, root: str, variable: str, year: int, chunk: str | None = None, fine: bool = False) -> str:
+    """Raster tiles into a bronze file of a variable and year (and chunk): long rows, masked values left out. Returns its path."""
+    long = (raster.encode_fine_grid if fine else raster.encode_grid)(tiles)
+    name = f"{variable}_{year}" + (f"__{chunk}" if chunk else "")
+    path = f"{root.rstrip('/')}/{variable}/{name}.parquet"
+    bronze.write(long, path)
+    return path
+
+
+def build_grid(cells: DataFrame, geopotential: DataFrame, pixels: DataFrame, offsets: DataFrame) -> DataFrame:
+    """The coarse grid table: cells (row, col, child_id, parent_id, lat, lon) with elevation, land and time zone.
+
+    offsets: child_id, t_zone where a zone is known. Land cells without one take the nearest, then the longitude's; sea
+    cells the longitude's.
+    """
+    high = add_geopotential(cells, geopotential)
+    land = spatial.land_fraction(pixels, high)
+    zoned = spatial.fill_timezone(land.join(offsets.select("child_id", "t_zone"), "child_id", "left"))
+    return zoned.withColumn("t_zone", F.coalesce("t_zone", text.offset_minutes_by_longitude("lon")))
 
 
 def scan(spark: SparkSession, bronze_root: str, variables: list[str], years: list[int]) -> DataFrame:
@@ -63,6 +111,18 @@ def scan(spark: SparkSession, bronze_root: str, variables: list[str], years: lis
     return fieldqa.consolidate(fieldqa.scan(bronze.load(spark, bronze_root, variables, years)))
 
 
+def histories(record: DataFrame, variable: str, date: datetime.date) -> tuple[DataFrame, DataFrame]:
+    """Values of the days around a date, and of the days around its day of the year in all years: as literal bounds of
+    dates, so that they reach the scan."""
+    rows = record.where(F.col("date") != F.lit(date)).select("parent_id", "child_id", "date", F.col(variable).cast("double").alias("value"))
+    days = lambda at, n: F.col("date").between(F.lit(at - datetime.timedelta(n)), F.lit(at + datetime.timedelta(n)))
+    ends = record.agg(F.min("date"), F.max("date")).first()
+    years = range(ends[0].year - 1, ends[1].year + 2) if ends[0] else []
+    at = [datetime.date(y, 1, 1) + datetime.timedelta(date.timetuple().tm_yday - 1) for y in years]
+    around = reduce(lambda a, b: a | b, [days(d, repair.AROUND + 1) for d in at], F.lit(False))
+    return rows.where(days(date, 5)), rows.where(around & (text.doy_distance(F.dayofyear("date"), F.lit(date.timetuple().tm_yday)) <= repair.AROUND))
+
+
 def rederive(rows: DataFrame, meta: DataFrame) -> DataFrame:
     """rh and et0 of stored rows from their stored inputs."""
     known = rows.drop("rh", "et0").withColumns({v: F.col(v).cast("double") for v in ("tmax", "tmin", "srad", "wind", "tdew")})
@@ -76,9 +136,9 @@ def repair_issue(spark: SparkSession, tables: Tables, meta: DataFrame, variable:
     """
     record, quarantine = tables.read(spark, "record", STORED), tables.read(spark, "quarantine", QUARANTINE)
     cells = repair.targets(record, quarantine, variable, date, constant).select("child_id")
-    usable = record.where(F.col("date") != F.lit(date)).select("parent_id", "child_id", "date", F.col(variable).cast("double").alias("value"))
-    near = usable.where(F.abs(F.datediff("date", F.lit(date))) <= 5).join(cells, "child_id", "left_semi")
-    wide = usable.where(text.doy_distance(F.dayofyear("date"), F.lit(date.timetuple().tm_yday)) <= repair.AROUND).join(cells, "child_id", "left_semi")
+    buckets = sorted(r[0] for r in repair.targets(record, quarantine, variable, date, constant).select(storage.bucket_of()).distinct().collect())
+    mine = record.where(F.col("bucket").isin(buckets))
+    near, wide = (x.join(cells, "child_id", "left_semi") for x in histories(mine, variable, date))
     found = None if variable == "precip" else repair.interpolate(near, date, list(excluded))
     values, how = found or repair.repair_field(wide, date, variable, list(excluded), seed)
     values = values.join(cells, "child_id", "left_semi")

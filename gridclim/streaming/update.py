@@ -19,7 +19,9 @@ def upsert_stream(spark: SparkSession, source: str, table: str, schema: T.Struct
     """Files of stored rows in `source` go into `table`; rows newer than the cutoff are preliminary. A batch that runs twice changes nothing."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        latest = daily.latest(rows, keys, ["_read"]).drop("_read")
+        # of several rows of a key the newest file's counts; within a file the greatest by its other columns
+        rest = [c for c in rows.columns if c not in keys and c != "_read"]
+        latest = daily.latest(rows, keys, ["_read", *rest]).drop("_read")
         cutoff = text.preliminary_cutoff(F.current_date(), preliminary_months)
         storage.upsert_table(rows.sparkSession, table, latest.withColumn("is_preliminary", text.is_preliminary("date", cutoff)), schema, keys, partition)
 

@@ -192,6 +192,11 @@ def snap(x, step: float = COARSE_RES) -> Column:
     return F.rint(_col(x) / step) * step
 
 
+def extent_key(south, west, north, east) -> Column:
+    """A stable name of an extent: its sides on the coarse grid, south, west, north and east."""
+    return F.concat_ws(",", *[snap(x).cast("string") for x in (south, west, north, east)])
+
+
 def locate(lat, lon) -> Column:
     """All codes of a coordinate and the centre of its coarse cell."""
     center = cell_center(lat, lon)

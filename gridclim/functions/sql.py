@@ -14,6 +14,8 @@ FUNCTIONS = {
     "cell_code(lat double, lon double) returns string": f"lpad(conv(cast({_ROW} * 1440 + {_COL} as string), 10, 36), 4, '0')",
     "parent_code(lat double, lon double) returns string": f"lpad(conv(cast(({_ROW} div 4) * 360 + ({_COL} div 4) as string), 10, 36), 4, '0')",
     "fine_code(lat double, lon double) returns string": f"lpad(conv(cast({_FINE_ROW} * 7200 + {_FINE_COL} as string), 10, 36), 5, '0')",
+    "parent_of(code string) returns string": "lpad(conv(cast((cast(conv(code, 36, 10) as bigint) div 1440 div 4) * 360 + (cast(conv(code, 36, 10) as bigint) % 1440 div 4) as string), 10, 36), 4, '0')",
+    "fine_parent_code(lat double, lon double) returns string": f"lpad(conv(cast(({_FINE_ROW} div 20) * 360 + ({_FINE_COL} div 20) as string), 10, 36), 5, '0')",
     "soil_cell(lat double, lon double) returns bigint": "greatest(0, least(2159, floor((90D - lat) * 12))) * 4320 + floor(pmod(lon + 180D, 360D) * 12) % 4320",
     "saturation_pressure(t double) returns double": "0.6108D * exp(17.27D * t / (t + 237.3D))",
     "wind_km_day(wind double) returns double": "wind * 0.748D * 86.4D",
@@ -24,3 +26,23 @@ FUNCTIONS = {
 def register(spark: SparkSession) -> None:
     for signature, body in FUNCTIONS.items():
         spark.sql(f"create or replace temporary function {signature} return {body}")
+
+
+#: Table functions over a record's view: series, months, extent and gaps of the cell at a coordinate. Bounds may be left out.
+_CELL = "parent_id = parent_code(climate_{0}.lat, climate_{0}.lon) and child_id = cell_code(climate_{0}.lat, climate_{0}.lon)"
+_BOUNDS = "(climate_{0}.first is null or date >= climate_{0}.first) and (climate_{0}.last is null or date <= climate_{0}.last)"
+_ARGUMENTS = "lat double, lon double, first date default null, last date default null"
+TABLES = {
+    "series": ("date date, tmax double, tmin double, precip double, srad double, wind double, tdew double, rh double, et0 double, is_preliminary boolean", "select date, tmax, tmin, precip, srad, wind, tdew, rh, et0, is_preliminary from {view} where {cell} and {bounds}"),
+    "monthly": ("month date, n_days bigint, tmax_mean double, tmin_mean double, precip_sum double, et0_sum double", "select trunc(date, 'month'), count(*), avg(tmax), avg(tmin), sum(precip), sum(et0) from {view} where {cell} and {bounds} group by 1"),
+    "info": ("first_date date, last_date date, n_days bigint, n_expected bigint", "select min(date), max(date), count(*), cast(datediff(max(date), min(date)) + 1 as bigint) from {view} where {cell} and {bounds} having count(*) > 0"),
+    "missing": ("missing_date date", "select explode(days) from (select array_except(sequence(min(date), max(date)), collect_set(date)) as days from {view} where {cell} and {bounds})"),
+}
+
+
+def register_tables(spark: SparkSession, view: str) -> None:
+    """Table functions climate_series, climate_monthly, climate_info and climate_missing over a view of the record."""
+    register(spark)
+    for name, (columns, body) in TABLES.items():
+        query = body.format(view=view, cell=_CELL.format(name), bounds=_BOUNDS.format(name))
+        spark.sql(f"create or replace temporary function climate_{name}({_ARGUMENTS}) returns table ({columns}) return {query}")

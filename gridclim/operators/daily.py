@@ -121,6 +121,28 @@ def restamp(rows: DataFrame, keys: list[str], first: str, last: str) -> DataFram
     return days.join(rows, [*keys, "date"], "left")
 
 
+def daily_max_of_steps(steps: DataFrame, keys: list[str], init: str) -> DataFrame:
+    """keys, date, lead, value: the largest of a forecast's steps (init, ts, value) on each day after its start."""
+    day = F.floor((F.unix_seconds(F.col("ts").cast("timestamp")) - F.unix_seconds(F.col(init).cast("timestamp"))) / 86400)
+    led = steps.withColumn("lead", day.cast("int")).where("lead >= 0")
+    return led.groupBy(*keys, init, "lead").agg(F.max("value").alias("value")).withColumn("date", F.date_add(F.to_date(init), F.col("lead")))
+
+
+def defects(rows: DataFrame, variable: str, first: str, last: str, least: int) -> DataFrame:
+    """Values that very many cells share on one date, most shared first: date, value, n."""
+    inside = rows.where(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return inside.groupBy("date", F.col(variable).alias("value")).agg(F.count("*").alias("n")).where(F.col("n") > least).orderBy(F.col("n").desc(), "date", "value")
+
+
+def repair_check(rows: DataFrame, variable: str) -> DataFrame:
+    """For each date: rows, distinct values and least value of a variable, its repaired rows, and those of them whose derived
+    variables (rh and et0) are not marked too, which must be none."""
+    derived = text.IMPUTED_BITS["rh"] | text.IMPUTED_BITS["et0"]
+    mask = F.coalesce(F.col("imputed").cast("int"), F.lit(0))
+    hit = mask.bitwiseAND(text.IMPUTED_BITS[variable]) > 0
+    return rows.groupBy("date").agg(F.count("*").alias("n_rows"), F.count_distinct(variable).alias("n_distinct"), F.min(variable).alias("least"), F.count_if(hit).alias("n_repaired"), F.count_if(hit & (mask.bitwiseAND(derived) != derived)).alias("n_missing_derived"))
+
+
 def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of each key."""
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])

@@ -55,6 +55,49 @@ def ratios(runs: DataFrame) -> DataFrame:
     return runs.withColumns({"cost_per_1000_cells": F.try_divide(F.col("cost") * 1000, F.col("cells")), "cells_per_second": F.try_divide("cells", "seconds")})
 
 
+def timings(runs: DataFrame) -> DataFrame:
+    """The service's own figures of runs (created_ms, started_ms, updated_ms, used_seconds): hours used, seconds queued and
+    computed. A stamp that is missing or 0 leaves what needs it null, never 0."""
+    stamp = lambda c: F.when(F.col(c) != 0, F.col(c).cast("long"))
+    return runs.withColumns({"used_hours": F.col("used_seconds") / 3600.0, "queue_s": (stamp("started_ms") - stamp("created_ms")) / 1000.0, "compute_s": (stamp("updated_ms") - stamp("started_ms")) / 1000.0})
+
+
+def run_metrics(rows: DataFrame, by: list[str], cell: str = "child_id") -> DataFrame:
+    """What a run made of its long rows (cell, date, value): rows, distinct cells and days, cell-days, and the share of known values."""
+    known = F.count_if(F.col("value").isNotNull() & ~F.isnan("value"))
+    found = rows.groupBy(*by).agg(F.count("*").alias("n_rows"), F.count_distinct(cell).alias("n_cells"), F.count_distinct("date").alias("n_days"), known.alias("n_valid"))
+    return found.withColumn("cell_days", F.col("n_cells") * F.col("n_days")).withColumn("valid_share", F.round(F.try_divide("n_valid", "n_rows"), 12))
+
+
+def spaced_sample(ranked: DataFrame, order: list, n: int) -> DataFrame:
+    """n rows evenly spaced over a ranked table, its first and last included; all rows if there are no more."""
+    total = ranked.count()
+    if n >= total:
+        return ranked
+    places = [0] if n == 1 else sorted({round(k * (total - 1) / (n - 1)) for k in range(n)})
+    numbered = ranked.withColumn("_place", F.row_number().over(Window.orderBy(*order)) - 1)
+    return numbered.where(F.col("_place").isin(places)).drop("_place")
+
+
+def cost_report(runs: DataFrame, plans: DataFrame, var_years: float, levels: DataFrame | None = None) -> DataFrame:
+    """For each size of chunks: what its runs took, and the modelled total over plans (size, n_chunks, land_cells).
+
+    The total is the fixed cost of a task times the chunks and the cost of a cell times the extent's cells, from one fit
+    over all runs, times the variable-years. par_days are the days at the fastest level of `levels` against level 1.
+    """
+    one = F.lit(1).alias("_one")
+    seen = summarize(runs, ["size"])
+    cost = fit_per_task(runs, "cost").select(one, F.col("fixed").alias("cost_fixed"), F.col("per_cell").alias("cost_cell"))
+    time = fit_per_task(runs, "seconds").select(one, F.col("fixed").alias("s_fixed"), F.col("per_cell").alias("s_cell"))
+    total = lambda a, b: (F.col("n_chunks") * F.col(a) + F.col("land_cells") * F.col(b)) * var_years
+    found = seen.join(plans, "size").withColumn("_one", F.lit(1)).join(F.broadcast(cost), "_one", "left").join(F.broadcast(time), "_one", "left")
+    found = found.withColumns({"tasks": F.col("n_chunks") * var_years, "cost_total": total("cost_fixed", "cost_cell"), "serial_days": total("s_fixed", "s_cell") / 86400.0})
+    if levels is None:
+        return found.withColumn("par_days", F.col("serial_days")).drop("_one")
+    gain = levels.agg(F.try_divide(F.max("tasks_per_hour"), F.max(F.when(F.col("parallel") == 1, F.col("tasks_per_hour")))).alias("gain")).select(one, F.coalesce("gain", F.lit(1.0)).alias("gain"))
+    return found.join(F.broadcast(gain), "_one").withColumn("par_days", F.col("serial_days") / F.col("gain")).drop("_one", "gain")
+
+
 def rollup(parts: DataFrame, by: list[str]) -> DataFrame:
     """Whether all planned parts are done, and how many are not."""
     return parts.groupBy(*by).agg(F.bool_and(F.coalesce("done", F.lit(False))).alias("complete"), F.count_if(~F.coalesce("done", F.lit(False))).alias("open"))

@@ -6,6 +6,8 @@ prune partitions and row groups. `for_sites` takes coordinates in a table instea
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +42,10 @@ def weighted_rain(alt: DataFrame, weights: DataFrame, code: int | None = None, n
     The weight of a null value counts unless null_aware. One shuffle, partial sums first.
     """
     rows = alt if code is None else alt.where(F.col("source") == code)
-    rows = rows.join(F.broadcast(weights) if _small(weights) else weights, "fine_id")
+    # the parents take part in the join, so that only their partitions are read
+    on = ["fparent_id", "fine_id"] if "fparent_id" in weights.columns and "fparent_id" in alt.columns else ["fine_id"]
+    weights = weights.select(*on, "child_id", "weight")
+    rows = rows.join(F.broadcast(weights) if _small(weights) else weights, on)
     value, weight = F.col("precip").cast("double"), F.col("weight").cast("double")
     counted = F.when(value.isNotNull(), weight) if null_aware else weight
     found = rows.groupBy("child_id", "date", "source").agg(F.sum(value * weight).alias("_p"), F.sum(counted).alias("coverage"), F.count("*").alias("n_fine"))
@@ -70,8 +75,9 @@ def climate_series(stored: DataFrame, lat: float, lon: float, first: str | None
         if mode == "point":
             other = point_rain(alt, at, code)
         else:
-            mine = weights.where(F.col("child_id") == at.child_id)
-            other = weighted_rain(alt, mine, code).select("date", "rain")
+            mine, cells = weights.where(F.col("child_id") == at.child_id), fine_cells_of(at)
+            near = alt.where(F.col("fparent_id").isin(sorted({_fine_parent(c) for c in cells})) & F.col("fine_id").isin(cells))
+            other = weighted_rain(near, mine, code).select("date", "rain")
         rows = rows.drop("precip").join(_between(other, first, last).withColumnRenamed("rain", "precip"), "date", "left").select(*COLUMNS)
     rows = rows.withColumn("rain_source", F.lit((rain or "era5").lower()))
     return rows.select(*columns).orderBy("date") if columns and "date" in columns else rows.select(*columns) if columns else rows.orderBy("date")
@@ -81,6 +87,29 @@ def climate_series_long(series: DataFrame, variables: list[str] = text.VARIABLES
     return daily.to_long(series, ["date"], variables).orderBy("date", "variable")
 
 
+def fine_cells_of(at: grid.Place) -> list[str]:
+    """The fine cells that a coarse cell's box meets, computed as literals for the scan; none beyond the fine grid's rows."""
+    edge = 1e-9
+    rows = range(max(0, math.floor((60.0 - at.cell_lat - 0.125) * 20 + edge)), min(grid.FINE_ROWS - 1, math.ceil((60.0 - at.cell_lat + 0.125) * 20 - edge) - 1) + 1)
+    west = (at.cell_lon - 0.125) * 20
+    cols = {c % grid.FINE_COLS for c in range(math.floor(west + edge), math.ceil(west + 5.0 - edge))}
+    return sorted(grid._digits(r * grid.FINE_COLS + c, 5) for r in rows for c in cols)
+
+
+def with_zone(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows of the record with the time zone of their cell; null for a cell that the grid table lacks."""
+    return rows.join(cells.select("parent_id", "child_id", "t_zone"), ["parent_id", "child_id"], "left")
+
+
+def by_month(rows: DataFrame, other: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """Monthly sums of the record's rain beside those of products, for the months that all of them have."""
+    total = lambda r, c: r.groupBy(*keys, F.trunc("date", "month").alias("month")).agg(F.sum("precip").alias(c))
+    found = total(rows, "era5")
+    for name, r in other.items():
+        found = found.join(total(r, name), [*keys, "month"])
+    return found
+
+
 def series_info(stored: DataFrame, cells: DataFrame, keys: list[str] = ("parent_id", "child_id")) -> DataFrame:
     """Extent and completeness of each cell of the grid table; cells without rows have zero counts."""
     counts = stored.groupBy(*keys).agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count("*").alias("n_days"), F.count_if(F.coalesce("is_preliminary", F.lit(False))).alias("n_prelim"), F.count_if(F.coalesce(F.col("imputed").cast("int"), F.lit(0)) != 0).alias("n_imputed"))
@@ -90,11 +119,26 @@ def series_info(stored: DataFrame, cells: DataFrame, keys: list[str] = ("parent_
 
 
 def series_for_sites(stored: DataFrame, sites: DataFrame) -> DataFrame:
-    """The record at each site (key, lat, lon); a site without rows keeps one row of nulls. The parent is in the join, for dynamic pruning."""
+    """The record at each site (key, lat, lon); a site without rows keeps one row of nulls.
+
+    A stored table's partition column takes part in the join, so that only the sites' partitions are read.
+    """
     located = sites.withColumns({"child_id": grid.cell_code("lat", "lon"), "parent_id": grid.parent_code("lat", "lon")})
+    if "bucket" in stored.columns:
+        located = located.withColumn("bucket", F.substring("parent_id", 1, 3))
+        mine = stored.join(F.broadcast(located.select("bucket").distinct()) if _small(sites) else located.select("bucket").distinct(), "bucket", "left_semi")
+        return located.join(mine, ["bucket", "parent_id", "child_id"], "left").drop("bucket")
     return located.join(stored, ["parent_id", "child_id"], "left")
 
 
+def of_cells(stored: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows in the partitions that hold the cells (child_id, parent_id); the join prunes a table that is partitioned by bucket."""
+    if "bucket" not in stored.columns or "parent_id" not in cells.columns:
+        return stored
+    held = cells.select(F.substring("parent_id", 1, 3).alias("bucket")).distinct()
+    return stored.join(F.broadcast(held), "bucket", "left_semi")
+
+
 def nearest_of(rows: DataFrame, keys: list[str], distance: str, tie: str) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(distance, tie)
     return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")

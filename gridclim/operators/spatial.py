@@ -26,7 +26,7 @@ def area_weights(fine: DataFrame) -> DataFrame:
     met = box.withColumn("i", F.explode(rows)).withColumn("j", F.explode(cols))
     dy = F.least("n", 90.125 - F.col("i") * 0.25) - F.greatest("s", 90.125 - (F.col("i") + 1) * 0.25)
     dx = F.least("e", (F.col("j") + 1) * 0.25 - 0.125) - F.greatest("w", F.col("j") * 0.25 - 0.125)
-    return met.select("fine_id", grid.coarse_code(F.col("i"), F.col("j") % grid.COARSE_COLS).alias("child_id"), (dx * dy / 0.0625).alias("weight")).where("weight > 1e-9")
+    return met.select(grid.fine_parent_of("fine_id").alias("fparent_id"), "fine_id", grid.coarse_code(F.col("i"), F.col("j") % grid.COARSE_COLS).alias("child_id"), (dx * dy / 0.0625).alias("weight")).where("weight > 1e-9")
 
 
 def coverage_report(weights: DataFrame) -> DataFrame:
@@ -161,6 +161,40 @@ def polygon_weights(cells: DataFrame, wkt: str, half: float = 0.125) -> DataFram
     return near.withColumn("weight", F.pandas_udf(share, "double")("lat", "lon")).where("weight > 1e-12")
 
 
+def _meets(rings: list[list[tuple[float, float]]], west: float, south: float, east: float, north: float) -> bool:
+    """Whether a polygon and a box have a point in common, sides and corners included."""
+    for ring in rings:
+        for (x0, y0), (x1, y1) in zip(ring, ring[1:] + ring[:1], strict=True):
+            low, high = 0.0, 1.0
+            for start, step, a, b in ((x0, x1 - x0, west, east), (y0, y1 - y0, south, north)):
+                if step == 0:
+                    low = low if a <= start <= b else 2.0
+                else:
+                    t = sorted(((a - start) / step, (b - start) / step))
+                    low, high = max(low, t[0]), min(high, t[1])
+            if low <= high:
+                return True
+    # no edge reaches the box: it lies wholly inside or outside, as its corner tells by the even-odd rule
+    hit = False
+    for ring in rings:
+        for (x0, y0), (x1, y1) in zip(ring, ring[1:] + ring[:1], strict=True):
+            if (y0 > south) != (y1 > south) and west < (x1 - x0) * (south - y0) / (y1 - y0) + x0:
+                hit = not hit
+    return hit
+
+
+def polygon_cells(cells: DataFrame, wkt: str, half: float = 0.125) -> DataFrame:
+    """The cells (with lat, lon of their centres) that a polygon meets; touching counts. half: half a cell's side."""
+    rings = parse_polygon(wkt)
+    lons, lats = [p[0] for r in rings for p in r], [p[1] for r in rings for p in r]
+    near = cells.where(F.col("lat").between(min(lats) - half, max(lats) + half) & F.col("lon").between(min(lons) - half, max(lons) + half))
+
+    def meets(lat: pd.Series, lon: pd.Series) -> pd.Series:
+        return pd.Series([_meets(rings, x - half, y - half, x + half, y + half) for y, x in zip(lat, lon, strict=True)], dtype="bool")
+
+    return near.where(F.pandas_udf(meets, "boolean")("lat", "lon"))
+
+
 def region_mean(rows: DataFrame, weights: DataFrame, variables: list[str]) -> DataFrame:
     """Weighted daily means over a region; each variable by the weights of the cells that have it."""
     met = rows.join(weights.select("child_id", "weight"), "child_id")
@@ -168,6 +202,12 @@ def region_mean(rows: DataFrame, weights: DataFrame, variables: list[str]) -> Da
     return met.groupBy("date").agg(*[mean(v).alias(v) for v in variables], F.count("*").alias("n_cells"))
 
 
+def encoder_check(cells: DataFrame) -> DataFrame:
+    """How many cells of a grid table (child_id, parent_id, lat, lon) were checked, and how many codes differ from the encoders'."""
+    bad = lambda a, b: F.count_if(~a.eqNullSafe(F.col(b)))
+    return cells.agg(F.count("*").alias("checked"), bad(grid.cell_code("lat", "lon"), "child_id").alias("child_bad"), bad(grid.parent_code("lat", "lon"), "parent_id").alias("parent_bad"), bad(grid.parent_of("child_id"), "parent_id").alias("parent_of_bad"))
+
+
 def land_fraction(pixels: DataFrame, cells: DataFrame, least: float = 0.5) -> DataFrame:
     """cells with land_fraction and is_land, from 0.1-degree pixels (lat, lon, is_land) binned by floor; cells without pixels are sea."""
     row, col = F.floor((90.0 - F.col("lat")) / 0.25).cast("long"), F.floor(grid.wrapped("lon") / 0.25).cast("long")

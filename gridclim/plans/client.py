@@ -25,6 +25,10 @@ class Climate:
     def _cell(self, lat: float, lon: float) -> DataFrame:
         return self.cells.where(F.col("child_id") == grid.place(lat, lon).child_id)
 
+    def cell_series(self, lat: float, lon: float, first: str | None = None, last: str | None = None) -> DataFrame:
+        """The cell's own rows with its time zone."""
+        return series.with_zone(series.cell_rows(self.stored, grid.place(lat, lon), first, last), self.cells).orderBy("date")
+
     def info(self, lat: float, lon: float) -> DataFrame:
         """Extent and completeness of the cell's record; no row for a coordinate without a cell."""
         at = grid.place(lat, lon)
@@ -82,12 +86,17 @@ class Climate:
     def region(self, wkt: str, variables: list[str], first: str | None = None, last: str | None = None) -> DataFrame:
         """Area-weighted daily means over a polygon."""
         weights = spatial.polygon_weights(self.cells, wkt)
-        return spatial.region_mean(series._between(self.stored, first, last), weights, variables).orderBy("date")
+        return spatial.region_mean(series.of_cells(series._between(self.stored, first, last), weights), weights, variables).orderBy("date")
+
+    def fine_region(self, fine_cells: DataFrame, wkt: str, sources: list[str] | None = None, first: str | None = None, last: str | None = None) -> DataFrame:
+        """Product rain of every fine cell (fine_id, fparent_id, lat, lon) that a polygon meets."""
+        inside = spatial.polygon_cells(fine_cells, wkt, 0.025).select("fparent_id", "fine_id")
+        return series.fine_series(self.alt.join(inside, ["fparent_id", "fine_id"], "left_semi"), None, sources, first, last)
 
     def export_region(self, wkt: str, year: int, rain: str = "era5", first_year: int = 1991, last_year: int = 2020) -> DataFrame:
         """filename, content of the station file of every cell that a polygon meets and that has days."""
-        inside = spatial.polygon_weights(self.cells, wkt).drop("weight")
-        rows = self.stored.join(inside.select("child_id"), "child_id", "left_semi")
+        inside = spatial.polygon_cells(self.cells, wkt)
+        rows = series.of_cells(self.stored, inside).join(inside.select("child_id"), "child_id", "left_semi")
         return station.station_files(station.station_lines(rows, inside, year, rain, first_year, last_year), year)
 
     def soil_profile(self, sites: DataFrame, max_km: float | None = None) -> DataFrame:

@@ -29,6 +29,21 @@ def available(spark: SparkSession, root: str, variables: list[str], year: int) -
     return [v for v in variables if year_paths(spark, root, v, year)]
 
 
+def available_any(spark: SparkSession, root: str, variables: list[str], year: int) -> bool:
+    return bool(available(spark, root, variables, year))
+
+
+def in_window(rows: DataFrame, first, last, column: str = "ts") -> DataFrame:
+    """Rows of a collection from first to before last."""
+    return rows.where((F.col(column) >= F.lit(first).cast("timestamp")) & (F.col(column) < F.lit(last).cast("timestamp")))
+
+
+def sample(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """About a share of the rows, always the same: those whose keys' MD5 is low."""
+    digits = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys])), 1, 8), 16, 10).cast("long")
+    return rows.where(digits < int(share * 16**8))
+
+
 def load(spark: SparkSession, root: str, variables: list[str], years: list[int], parents: list[str] | None = None, schema: T.StructType = LONG) -> DataFrame:
     """Rows of all files with variable, year and chunk from the file's name; empty where there are none.
 
@@ -37,8 +52,10 @@ def load(spark: SparkSession, root: str, variables: list[str], years: list[int],
     paths = [p for v in variables for y in years for p in year_paths(spark, root, v, y)]
     rows = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
     if paths:
-        name = F.col("_metadata.file_name")
-        rows = rows.select("*", F.regexp_extract(name, r"^(.+?)_\d{4}(?:__|\.)", 1).alias("variable"), F.regexp_extract(name, r"_(\d{4})(?:__|\.)", 1).cast("int").alias("year"), F.regexp_extract(name, r"__([^/]+?)\.parquet$", 1).alias("chunk"), name.alias("file"))
+        # a file, or a folder of files that Spark wrote under the name
+        form = r"/([^/]+?)_(\d{4})(?:__([^/]+?))?\.parquet(?:/|$)"
+        part = lambda k: F.regexp_extract("_metadata.file_path", form, k)
+        rows = rows.select("*", part(1).alias("variable"), part(2).try_cast("int").alias("year"), part(3).alias("chunk"), F.regexp_extract("_metadata.file_path", r"/([^/]+?\.parquet)(?:/|$)", 1).alias("file"))
     else:
         rows = rows.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (("variable", "string"), ("year", "int"), ("chunk", "string"), ("file", "string"))])
     return rows.where(F.col(schema[1].name).isin(parents)) if parents else rows

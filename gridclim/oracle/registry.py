@@ -409,16 +409,15 @@ def _(spark, d):
 
 # field checks
 
-_FIELD = "field AS (SELECT 'tmax' AS variable, 'f' || (l_suppkey % 3)::VARCHAR AS file, 'c' AS chunk, l_shipdate::DATE AS date, (CASE WHEN l_shipdate::DATE % 5 = 0 THEN 300.0::DOUBLE WHEN l_shipdate::DATE % 5 = 1 THEN 300.0::DOUBLE + l_quantity / 1e6::DOUBLE ELSE 273.15::DOUBLE + l_quantity END) AS value FROM lineitem)".replace("l_shipdate::DATE % 5", "(l_shipdate::DATE - DATE '1970-01-01') % 5")
+_FIELD = "field AS (SELECT 'tmax' AS variable, 'f' || (l_suppkey % 2)::VARCHAR AS file, 'c' AS chunk, date_trunc('month', l_shipdate)::DATE AS date, CASE month(l_shipdate) % 5 WHEN 0 THEN 300.0::DOUBLE WHEN 1 THEN 300.0::DOUBLE + l_quantity / 1e6::DOUBLE ELSE 273.15::DOUBLE + l_quantity END AS value FROM lineitem)"
 _STATS = "stats AS (SELECT variable, file, chunk, date, count(DISTINCT value) AS n_distinct, stddev_pop(value) AS sd, count(value) AS n, min(value) AS low, max(value) AS high FROM field GROUP BY ALL)"
-_LEAST = 4
 
 
 def _field(spark, d):
     lines = P.table(spark, d, "lineitem")
-    day = F.unix_date(F.to_date("l_shipdate")) % 5
+    day = F.month("l_shipdate") % 5
     value = F.when(day == 0, 300.0).when(day == 1, 300.0 + F.col("l_quantity") / 1e6).otherwise(273.15 + F.col("l_quantity"))
-    return lines.select(F.lit("tmax").alias("variable"), F.concat(F.lit("f"), (F.col("l_suppkey") % 3).cast("string")).alias("file"), F.lit("c").alias("chunk"), F.to_date("l_shipdate").alias("date"), value.alias("value"))
+    return lines.select(F.lit("tmax").alias("variable"), F.concat(F.lit("f"), (F.col("l_suppkey") % 2).cast("string")).alias("file"), F.lit("c").alias("chunk"), F.trunc("l_shipdate", "month").alias("date"), value.alias("value"))
 
 
 @query("a_field_by_date", [], f"WITH {_FIELD}, {_STATS} SELECT variable, file, date, n_distinct, round(sd, 4) AS stddev, n, low, high FROM stats")
@@ -464,18 +463,6 @@ def _(spark, d):
     return repair.climatology(history, datetime.date(1998, 1, 2))[0].select("child_id", *r6("value"))
 
 
-@query("r_analog", [], "")
-def _(spark, d):
-    import datetime
-
-    from gridclim.operators import repair
-
-    history = P.alt_rain(spark, d).select(F.col("u").cast("string").alias("child_id"), "date", F.col("precip").alias("value"))
-    return repair.repair_field(history, datetime.date(1998, 1, 2), "precip", seed=5)[0]
-
-
-del ORACLES["r_analog"]
-
 # spatial
 
 
@@ -539,10 +526,12 @@ def _(spark, d):
     return spatial.in_bbox(P.cells(spark, d), -30, -80, 10, 20, land=True).select("u")
 
 
-@query("a_region_weighted", ["stored", "cells"], "SELECT s.date, round(sum(s.tmax * 1.0) / count(s.tmax), 6) AS tmax, count(*) AS n_cells FROM stored s JOIN cells c USING (u) WHERE c.lat BETWEEN -40 AND 40 GROUP BY s.date")
+_REGION_SHARE = "greatest(0.0::DOUBLE, least(c.lat + 0.125::DOUBLE, 40.2::DOUBLE) - greatest(c.lat - 0.125::DOUBLE, -39.9::DOUBLE)) * greatest(0.0::DOUBLE, least(c.lon + 0.125::DOUBLE, 60.1::DOUBLE) - greatest(c.lon - 0.125::DOUBLE, -70.3::DOUBLE)) / 0.0625::DOUBLE"
+
+
+@query("a_region_weighted", ["stored", "cells"], f"SELECT s.date, round(sum(s.tmax * w.weight) / sum(w.weight) FILTER (s.tmax IS NOT NULL), 6) AS tmax, count(*) AS n_cells FROM stored s JOIN (SELECT u, {_REGION_SHARE} AS weight FROM cells c) w USING (u) WHERE w.weight > 1e-12 GROUP BY s.date")
 def _(spark, d):
-    inside = spatial.polygon_weights(P.cells(spark, d).select(F.col("u").cast("string").alias("child_id"), "lat", "lon"), "POLYGON((-181 -40.2, 181 -40.2, 181 40.2, -181 40.2, -181 -40.2))")
-    inside = inside.where("lat between -40 and 40").withColumn("weight", F.lit(1.0))
+    inside = spatial.polygon_weights(P.cells(spark, d).select(F.col("u").cast("string").alias("child_id"), "lat", "lon"), "POLYGON((-70.3 -39.9, 60.1 -39.9, 60.1 40.2, -70.3 40.2, -70.3 -39.9))")
     return spatial.region_mean(_by_user(spark, d), inside, ["tmax"]).select("date", *r6("tmax"), "n_cells")
 
 
@@ -610,6 +599,13 @@ def _(spark, d):
     return runs.rollup(P.runs(spark, d).withColumn("done", F.col("error").isNull()), ["group"])
 
 
+def load_more() -> None:
+    """Registers the queries of the other module."""
+    from gridclim.oracle import more
+
+    more.complete(ORACLES)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sub-daily observations to local days, wide, derived, monthly."""
     return monthly(configure(spark), sf_dir)

@@ -5,6 +5,10 @@ CTES holds the same relations as SQL text; the two stand side by side so that a
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the warehouse, for queries that write and read back."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_gridclim/{name}-{uuid.uuid4().hex}"
+
+
+def local(path: str) -> str:
+    """A folder's path for plain file access, made if need be."""
+    path = re.sub("^file:/*(?=/)", "", path)
+    os.makedirs(path, exist_ok=True)
+    return path
+
+
 def place_of(key: str) -> list:
     k = F.col(key)
     return [((k * 37) % 1200 / F.lit(10.0) - 60.0).alias("lat"), ((k * 91) % 3600 / F.lit(10.0) - 180.0).alias("lon")]
@@ -72,6 +88,22 @@ def alt_rain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("u", grid.fine_code("lat", "lon").alias("fine_id"), grid.fine_parent_code("lat", "lon").alias("fparent_id"), "date", "source", "precip")
 
 
+def rain_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """alt_rain with its days moved into January 2024, where the record lies."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.datediff("date", F.lit("1992-01-01").cast("date")) % 31).cast("int"))
+    return alt_rain(spark, sf_dir).groupBy("u", "fine_id", "fparent_id", day.alias("date"), "source").agg(F.sum("precip").alias("precip"))
+
+
+def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as findings in a registry: issue_id, variable, date, detector, cells, detail, status, resolution, times."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    status = F.element_at(F.array(*map(F.lit, ("detected", "imputed", "in_review", "false_positive"))), (k % 4 + 1).cast("int"))
+    variable = F.element_at(F.array(*map(F.lit, ("tmax", "tmin", "precip"))), (k % 3 + 1).cast("int"))
+    rows = o.select(k.alias("issue_id"), variable.alias("variable"), F.to_date("o_orderdate").alias("date"), F.lit("constant_field").alias("detector"), (k % 90).alias("cells"), F.lit("{}").alias("detail"), status.alias("status"), F.col("o_orderdate").cast("timestamp").alias("detected_at"))
+    rows = rows.select("*", F.lit(None).cast("string").alias("resolution"), F.when(F.col("status").isin("imputed", "false_positive"), F.col("detected_at")).alias("resolved_at"))
+    return rows.groupBy("variable", "date", "detector").agg(*[F.min_by(c, "issue_id").alias(c) for c in ("issue_id", "cells", "detail", "status", "resolution", "detected_at", "resolved_at")]).select("issue_id", "variable", "date", "detector", "cells", "detail", "status", "resolution", "detected_at", "resolved_at")
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as run records: starts and ends in seconds, level, cells, cost, an error for some."""
     o = table(spark, sf_dir, "orders")
@@ -174,6 +206,9 @@ CTES = {
   FROM wide w JOIN cells c USING (u)""",
     "alt_rain": f"""SELECT u, {fine_sql('lat', 'lon')} AS fine_id, {fparent_sql('lat', 'lon')} AS fparent_id, date, source, precip FROM (
   SELECT l_suppkey AS u, {place_sql('l_suppkey')}, l_shipdate::DATE AS date, l_linenumber % 3 + 2 AS source, sum(l_quantity) AS precip FROM lineitem GROUP BY ALL)""",
+    "rain_now": "SELECT u, fine_id, fparent_id, (DATE '2024-01-01' + ((date - DATE '1992-01-01') % 31)::INTEGER)::DATE AS date, source, sum(precip) AS precip FROM alt_rain GROUP BY ALL",
+    "all_issues": "SELECT o_orderkey AS issue_id, ['tmax', 'tmin', 'precip'][o_orderkey % 3 + 1] AS variable, o_orderdate::DATE AS date, 'constant_field' AS detector, o_orderkey % 90 AS cells, ['detected', 'imputed', 'in_review', 'false_positive'][o_orderkey % 4 + 1] AS status FROM orders",
+    "issues": "SELECT variable, date, detector, min(issue_id) AS issue_id, arg_min(cells, issue_id) AS cells, arg_min(status, issue_id) AS status FROM all_issues GROUP BY ALL",
     "runs": """SELECT o_orderkey AS run, o_custkey % 50 AS "group", o_orderkey % 3 + 1 AS parallel, epoch(o_orderdate)::BIGINT::DOUBLE AS started, floor(o_totalprice)::BIGINT % 3600 + 0.0::DOUBLE AS seconds,
   epoch(o_orderdate)::BIGINT::DOUBLE + (floor(o_totalprice)::BIGINT % 3600)::DOUBLE * 400 AS finished, o_orderkey % 1000 + 1 AS cells, ((o_orderkey * 7) % 500)::DOUBLE / 100.0::DOUBLE AS cost, o_orderkey % 4 AS attempts, CASE WHEN o_orderkey % 11 = 0 THEN 'failed' END AS error FROM orders""",
     "soil_cells": f"SELECT DISTINCT {soil_sql('lat', 'lon')} AS cell5m FROM sites WHERE key % 4 <> 0",
@@ -187,7 +222,7 @@ CTES = {
       FROM (SELECT DISTINCT fine_id, fk AS k FROM fine_cells))))""",
     "fine_cells": f"SELECT DISTINCT {fine_sql('lat', 'lon')} AS fine_id, {fine_row_sql('lat')} * 7200 + {fine_col_sql('lon')} AS fk FROM (SELECT {place_sql('s_suppkey')} FROM supplier)",
 }
-_NEEDS = {"cells": ["users"], "bronze": ["hourly"], "native": ["bronze"], "wide": ["native"], "stored": ["wide", "cells"], "soil_cells": ["sites"], "soil_points": ["soil_cells"], "soil": ["soil_points"], "weights": ["fine_cells"]}
+_NEEDS = {"rain_now": ["alt_rain"], "issues": ["all_issues"], "cells": ["users"], "bronze": ["hourly"], "native": ["bronze"], "wide": ["native"], "stored": ["wide", "cells"], "soil_cells": ["sites"], "soil_points": ["soil_cells"], "soil": ["soil_points"], "weights": ["fine_cells"]}
 
 
 def with_ctes(names: list[str], query: str) -> str:

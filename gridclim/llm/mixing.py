@@ -154,10 +154,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     Rows that share an id are taken equally often; else as in `mix`.
     """
     taken = mix(docs, id_col, **options).taken.groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size")).where("taken > 0")
-    copies = taken.select(F.col("doc_id").alias("_of"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_copies")).where("_copies > 0")
-    columns = [F.col(f"d.`{c}`") for c in docs.columns]
-    often = docs.alias("d").join(copies.alias("c"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("c._of"))).select(*columns, F.explode(F.sequence(F.lit(1), F.col("c._copies"))).alias("_copy"))
-    return often.drop("_copy")
+    copies = taken.select(F.col("doc_id").alias("of"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("copies")).where("copies > 0")
+    rows = docs.select(F.col(id_col).alias("id"), F.struct("*").alias("row")).join(copies, F.col("id").eqNullSafe(F.col("of")))
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def op7_golden_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

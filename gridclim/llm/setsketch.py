@@ -308,10 +308,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Rows without words are groups of their own and stay. Of rows that agree in id and text but not in other columns, any one stays.
     """
-    found = near_duplicates(docs, id_col, text_col, keys=True, **options).where("kept").select(F.col("h").alias("_h"), F.col("g").alias("_g"), F.col("has_words").alias("_words")).distinct()
-    rows = docs.select("*", *[k.alias(f"_{n}") for k, n in zip(row_key(id_col, text_col), "hg", strict=True)]).join(found, ["_h", "_g"])
-    rows = rows.withColumn("_one", F.when(~F.col("_words"), F.monotonically_increasing_id()))
-    return rows.dropDuplicates(["_h", "_g", "_one"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = near_duplicates(docs, id_col, text_col, keys=True, **options).where("kept").select("h", "g", "has_words").distinct()
+    rows = docs.select(*row_key(id_col, text_col), F.struct("*").alias("row")).join(found, ["h", "g"])
+    rows = rows.withColumn("one", F.when(~F.col("has_words"), F.monotonically_increasing_id()))
+    return rows.dropDuplicates(["h", "g", "one"]).select("row.*")
 
 
 def op9_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -410,10 +410,10 @@ def _(spark, d):
     return spark.createDataFrame(rows, "region string, variable string, year int, jan boolean, whole boolean")
 
 
-@query("w_sql_functions", ["sites"], f"SELECT key, {P.child_sql('lat', 'lon')} AS child_id, {P.parent_sql('lat', 'lon')} AS parent_id, {P.parent_sql('lat', 'lon')} AS parent_id_2, {P.fine_sql('lat', 'lon')} AS fine_id, {P.fparent_sql('lat', 'lon')} AS fparent_id, {P.soil_sql('lat', 'lon')} AS cell5m, round(lat * 0.748::DOUBLE * 86.4::DOUBLE, 6) AS km FROM sites WHERE {P.lon_sql('lon')} < 1440")
+@query("w_sql_functions", ["sites"], f"SELECT key, {P.child_sql('lat', 'lon')} AS child_id, {P.parent_sql('lat', 'lon')} AS parent_id, to_base((k // 1440 // 4) * 360 + k % 1440 // 4, 36, 4) AS parent_id_2, {P.fine_sql('lat', 'lon')} AS fine_id, {P.fparent_sql('lat', 'lon')} AS fparent_id, {P.soil_sql('lat', 'lon')} AS cell5m, round(lat * 0.748::DOUBLE * 86.4::DOUBLE, 6) AS km FROM (SELECT *, {P.lat_sql('lat')} * 1440 + {P.lon_sql('lon')} AS k FROM sites)")
 def _(spark, d):
     sql.register(spark)
-    P.sites(spark, d).where(grid.lon_index("lon") < 1440).createOrReplaceTempView("_sites")
+    P.sites(spark, d).createOrReplaceTempView("_sites")
     return spark.sql("SELECT key, cell_code(lat, lon) AS child_id, parent_code(lat, lon) AS parent_id, parent_of(cell_code(lat, lon)) AS parent_id_2, fine_code(lat, lon) AS fine_id, fine_parent_code(lat, lon) AS fparent_id, soil_cell(lat, lon) AS cell5m, round(wind_km_day(lat), 6) AS km FROM _sites")
 
 
@@ -610,9 +610,9 @@ def _(spark, d):
     return Climate(P.stored(spark, d), P.cells(spark, d), soil=P.soil(spark, d)).soil_profile(P.sites(spark, d), 80.0).select("key", "cell5m", *r6("dist_km"))
 
 
-@query("a_soil_validation", ["soil", "cells"], "SELECT length(soil_id)::INTEGER AS id_length, count(*) AS n, count(DISTINCT cell5m) AS n_cells, count(*) FILTER (NOT EXISTS (SELECT 1 FROM cells c WHERE c.child_id = soil.child_id)) AS n_orphans FROM soil GROUP BY ALL")
+@query("a_soil_validation", ["soil", "cells"], "SELECT length(soil_id)::INTEGER AS id_length, count(*) AS n, count(DISTINCT cell5m) AS n_cells, count(*) FILTER (NOT EXISTS (SELECT 1 FROM cells c WHERE c.child_id = soil.child_id AND c.is_land)) AS n_orphans FROM soil GROUP BY ALL")
 def _(spark, d):
-    return spatial.soil_validation(P.soil(spark, d), P.cells(spark, d))
+    return spatial.soil_validation(P.soil(spark, d), P.cells(spark, d).where("is_land"))
 
 
 # grids
@@ -633,13 +633,13 @@ def _(spark, d):
     return spatial.fill_timezone(cells).select("row", "col", "t_zone")
 
 
-@query("t_build_grid", ["sites"], f"""WITH base AS (SELECT DISTINCT {P.child_sql('lat', 'lon')} AS child_id, {P.lat_sql('lat')} AS r, {P.lon_sql('lon')} AS c FROM sites WHERE {P.lon_sql('lon')} < 1440),
+@query("t_build_grid", ["sites"], f"""WITH base AS (SELECT DISTINCT to_base(k, 36, 4) AS child_id, k // 1440 AS r, k % 1440 AS c FROM (SELECT {P.lat_sql('lat')} * 1440 + {P.lon_sql('lon')} AS k FROM sites)),
 cells AS (SELECT *, CASE WHEN c * 0.25::DOUBLE > 180 THEN c * 0.25::DOUBLE - 360 ELSE c * 0.25::DOUBLE END AS lon FROM base),
 land AS (SELECT floor((90.0::DOUBLE - lat) / 0.25::DOUBLE)::BIGINT * 1440 + floor({P.wrap_sql('lon')} / 0.25::DOUBLE)::BIGINT AS code, avg((key % 3 = 0)::INTEGER::DOUBLE) AS share FROM sites GROUP BY ALL)
 SELECT b.child_id, round((r * 7 + c) / 9.80665::DOUBLE, 6) AS elevation, round(coalesce(share, 0.0::DOUBLE), 6) AS land_fraction, coalesce(share, 0.0::DOUBLE) >= 0.5 AS is_land, (r * 10 + c)::INTEGER AS t_zone FROM cells b LEFT JOIN land l ON l.code = b.r * 1440 + b.c""")
 def _(spark, d):
     n = grid.base36_decode("child_id")
-    codes = P.sites(spark, d).where(grid.lon_index("lon") < 1440).select(grid.cell_code("lat", "lon").alias("child_id")).distinct()
+    codes = P.sites(spark, d).select(grid.cell_code("lat", "lon").alias("child_id")).distinct()
     c = grid.code_center("child_id")
     cells = codes.select("child_id", F.floor(n / 1440).alias("row"), (n % 1440).alias("col"), c["lat"].alias("lat"), c["lon"].alias("lon"))
     height = cells.select("child_id", (F.col("row") * 7 + F.col("col")).cast("double").alias("z"))
@@ -654,11 +654,10 @@ def _(spark, d):
     return gridbuild.plan_chunks(chunks, gridbuild.land_parents(P.cells(spark, d))).select("chunk_id", "land_cells", "cell_zones")
 
 
-@query("a_encoder_check", ["sites"], f"SELECT count(*) AS checked, count(*) FILTER (key % 10 = 0) AS child_bad, count(*) FILTER (key % 15 = 0) AS parent_bad, count(*) FILTER ((key % 10 = 0) OR (key % 15 = 0)) AS parent_of_bad FROM sites WHERE {P.lon_sql('lon')} < 1440")
+@query("a_encoder_check", ["sites"], f"SELECT count(*) AS checked, count(*) FILTER (key % 10 = 0) AS child_bad, count(*) FILTER (key % 15 = 0) AS parent_bad, count(*) FILTER (to_base((k // 1440 // 4) * 360 + k % 1440 // 4, 36, 4) <> p) AS parent_of_bad FROM (SELECT key, CASE WHEN key % 10 = 0 THEN 0 ELSE {P.lat_sql('lat')} * 1440 + {P.lon_sql('lon')} END AS k, CASE WHEN key % 15 = 0 THEN 'ZZZZ' ELSE {P.parent_sql('lat', 'lon')} END AS p FROM sites)")
 def _(spark, d):
     k = F.col("key")
-    rows = P.sites(spark, d).where(grid.lon_index("lon") < 1440)
-    cells = rows.select("lat", "lon", F.when(k % 10 == 0, "0000").otherwise(grid.cell_code("lat", "lon")).alias("child_id"), F.when(k % 15 == 0, "ZZZZ").otherwise(grid.parent_code("lat", "lon")).alias("parent_id"))
+    cells = P.sites(spark, d).select("lat", "lon", F.when(k % 10 == 0, "0000").otherwise(grid.cell_code("lat", "lon")).alias("child_id"), F.when(k % 15 == 0, "ZZZZ").otherwise(grid.parent_code("lat", "lon")).alias("parent_id"))
     return spatial.encoder_check(cells)
 
 
@@ -788,18 +787,15 @@ def _(spark, d):
     return found.select(F.lit(how.split(" ")[0]).alias("method"), "child_id", *r6("value"))
 
 
-_PARTS = ("'0' || lpad(u::VARCHAR, 3, '0')", "'A' || lpad(u::VARCHAR, 3, '0')")
-
-
-@query("t_repair_job", ["wide", "cells"], """WITH base AS (SELECT u, date FROM wide JOIN cells USING (u) WHERE tmax IS NOT NULL AND tmin IS NOT NULL AND u % 3 <> 0), day10 AS (SELECT DISTINCT u FROM base)
-SELECT 'A' || lpad(u::VARCHAR, 3, '0') AS child_id, 15.0::DOUBLE + u % 5 AS tmax, 1 AS imputed, u % 2 = 1 AS was_held FROM day10""")
+@query("t_repair_job", ["wide", "cells"], """WITH base AS (SELECT u, date FROM wide JOIN cells USING (u) WHERE tmax IS NOT NULL AND tmin IS NOT NULL), day10 AS (SELECT DISTINCT u FROM base)
+SELECT 'A' || lpad(u::VARCHAR, 9, '0') AS child_id, 15.0::DOUBLE + u % 5 AS tmax, 1 AS imputed, u % 2 = 1 AS was_held FROM day10""")
 def _(spark, d):
     """Three days of a record made from the users: on the middle one half the cells carry a constant, the others are in quarantine.
     The job repairs both from the days beside it; the quarantine ends empty."""
-    users = P.bronze(spark, d).where("variable in ('tmax', 'tmin')").groupBy("u", "date").agg(F.count_distinct("variable").alias("n")).where("n = 2").select("u").distinct().where("u % 3 <> 0")
+    users = P.bronze(spark, d).where("variable in ('tmax', 'tmin')").groupBy("u", "date").agg(F.count_distinct("variable").alias("n")).where("n = 2").select("u").distinct()
     tables = jobs.Tables(P.folder(spark, "repair"))
     day = datetime.date(2024, 1, 10)
-    code = F.concat(F.lit("A"), F.lpad(F.col("u").cast("string"), 3, "0"))
+    code = F.concat(F.lit("A"), F.lpad(F.col("u").cast("string"), 9, "0"))
     rows = users.select(F.lit("012").alias("bucket"), F.lit("0123").alias("parent_id"), code.alias("child_id"), "u", F.explode(F.sequence(F.lit(day - datetime.timedelta(1)), F.lit(day + datetime.timedelta(1)))).alias("date"))
     base = F.lit(15.0) + F.col("u") % 5 + F.datediff("date", F.lit(day))
     values = {v: F.lit(5.0) for v in V8} | {"tmax": F.when(F.col("date") == F.lit(day), 40.0).otherwise(base)}
@@ -813,7 +809,7 @@ def _(spark, d):
     left = tables.read(spark, "quarantine", jobs.QUARANTINE).select("child_id", F.lit(True).alias("still"))
     log = tables.read(spark, "log", jobs.LOG).select("child_id")
     done = tables.read(spark, "record", jobs.STORED).where(F.col("date") == F.lit(day)).join(log, "child_id").join(left, "child_id", "left").where("still is null")
-    return done.select("child_id", F.col("tmax").cast("double").alias("tmax"), F.col("imputed").cast("int").alias("imputed"), (F.substring("child_id", 2, 3).cast("int") % 2 == 1).alias("was_held"))
+    return done.select("child_id", F.col("tmax").cast("double").alias("tmax"), F.col("imputed").cast("int").alias("imputed"), (F.substring("child_id", 2, 9).cast("int") % 2 == 1).alias("was_held"))
 
 
 @query("t_splitter", [], "SELECT unnest(range(12))::BIGINT AS month, 4 AS n_days, true AS whole")

@@ -51,9 +51,9 @@ def _(spark, d):
     return P.sites(spark, d).select("key", grid.parent_code("lat", "lon").alias("parent_id"))
 
 
-@query("g_parent_of", ["sites"], f"SELECT key, {P.parent_sql('lat', 'lon')} AS parent_id FROM sites WHERE {P.lon_sql('lon')} < 1440")
+@query("g_parent_of", ["sites"], f"SELECT key, to_base((k // 1440 // 4) * 360 + k % 1440 // 4, 36, 4) AS parent_id FROM (SELECT key, {P.lat_sql('lat')} * 1440 + {P.lon_sql('lon')} AS k FROM sites)")
 def _(spark, d):
-    return P.sites(spark, d).where(grid.lon_index("lon") < 1440).select("key", grid.parent_of(grid.cell_code("lat", "lon")).alias("parent_id"))
+    return P.sites(spark, d).select("key", grid.parent_of(grid.cell_code("lat", "lon")).alias("parent_id"))
 
 
 @query("g_seam_modes", ["sites"], f"SELECT key, to_base({P.lat_sql('lat')} * 1440 + {P.lon_sql('lon')} % 1440, 36, 4) AS wrapped, to_base({P.lat_sql('lat')} * 1440 + least({P.lon_sql('lon')}, 1439), 36, 4) AS clipped FROM sites")
@@ -71,19 +71,16 @@ def _(spark, d):
     return P.sites(spark, d).select("key", grid.soil_cell("lat", "lon").alias("cell5m"))
 
 
-_CENTER_LON = f"(({P.lon_sql('lon')}) * 0.25::DOUBLE)"
-
-
 @query(
     "g_decode_center",
     ["sites"],
-    f"""SELECT key, 90.0::DOUBLE - {P.lat_sql('lat')} * 0.25::DOUBLE AS c_lat, CASE WHEN {_CENTER_LON} > 180 THEN {_CENTER_LON} - 360 ELSE {_CENTER_LON} END AS c_lon,
+    f"""SELECT key, 90.0::DOUBLE - k // 1440 * 0.25::DOUBLE AS c_lat, CASE WHEN k % 1440 * 0.25::DOUBLE > 180 THEN k % 1440 * 0.25::DOUBLE - 360 ELSE k % 1440 * 0.25::DOUBLE END AS c_lon,
   round(60.0::DOUBLE - ({P.fine_row_sql('lat')} + 0.5::DOUBLE) * 0.05::DOUBLE, 6) AS f_lat,
   round(CASE WHEN ({P.fine_col_sql('lon')} + 0.5::DOUBLE) * 0.05::DOUBLE > 180 THEN ({P.fine_col_sql('lon')} + 0.5::DOUBLE) * 0.05::DOUBLE - 360 ELSE ({P.fine_col_sql('lon')} + 0.5::DOUBLE) * 0.05::DOUBLE END, 6) AS f_lon
-  FROM sites WHERE {P.lon_sql('lon')} < 1440""",
+  FROM (SELECT *, {P.lat_sql('lat')} * 1440 + {P.lon_sql('lon')} AS k FROM sites)""",
 )
 def _(spark, d):
-    rows = P.sites(spark, d).where(grid.lon_index("lon") < 1440)
+    rows = P.sites(spark, d)
     c, f = grid.code_center(grid.cell_code("lat", "lon")), grid.fine_cell_center("lat", "lon")
     return rows.select("key", c["lat"].alias("c_lat"), c["lon"].alias("c_lon"), F.round(f["lat"], 6).alias("f_lat"), F.round(f["lon"], 6).alias("f_lon"))
 
@@ -516,9 +513,9 @@ def _(spark, d):
     return spatial.soil_at(P.sites(spark, d), P.soil(spark, d)).select("key", "cell5m", "soil_id")
 
 
-@query("j_soil_orphans", ["soil", "cells"], "SELECT cell5m FROM soil s WHERE NOT EXISTS (SELECT 1 FROM cells c WHERE c.child_id = s.child_id)")
+@query("j_soil_orphans", ["soil", "cells"], "SELECT cell5m FROM soil s WHERE NOT EXISTS (SELECT 1 FROM cells c WHERE c.child_id = s.child_id AND c.is_land)")
 def _(spark, d):
-    return spatial.soil_orphans(P.soil(spark, d), P.cells(spark, d)).select("cell5m")
+    return spatial.soil_orphans(P.soil(spark, d), P.cells(spark, d).where("is_land")).select("cell5m")
 
 
 @query("p_bbox", ["cells"], "SELECT u FROM cells WHERE lat BETWEEN -30 AND 10 AND lon BETWEEN -80 AND 20 AND is_land")

@@ -114,8 +114,8 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def soil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Soil points of three customers in four, once for each soil cell: at the cell's centre."""
-    rows = sites(spark, sf_dir).where("key % 4 <> 0").select(grid.soil_cell("lat", "lon").alias("cell5m")).distinct()
+    """Soil points where suppliers are, once for each soil cell: at the cell's centre. Most customers have none of their own."""
+    rows = table(spark, sf_dir, "supplier").select(*place_of("s_suppkey")).select(grid.soil_cell("lat", "lon").alias("cell5m")).distinct()
     center = grid.soil_cell_center("cell5m")
     rows = rows.select("cell5m", F.concat(F.lit("XX"), F.lpad(F.col("cell5m").cast("string"), 8, "0")).alias("soil_id"), center["lat"].alias("lat"), center["lon"].alias("lon"))
     return rows.withColumn("child_id", grid.cell_code("lat", "lon"))
@@ -211,7 +211,7 @@ CTES = {
     "issues": "SELECT variable, date, detector, min(issue_id) AS issue_id, arg_min(cells, issue_id) AS cells, arg_min(status, issue_id) AS status FROM all_issues GROUP BY ALL",
     "runs": """SELECT o_orderkey AS run, o_custkey % 50 AS "group", o_orderkey % 3 + 1 AS parallel, epoch(o_orderdate)::BIGINT::DOUBLE AS started, floor(o_totalprice)::BIGINT % 3600 + 0.0::DOUBLE AS seconds,
   epoch(o_orderdate)::BIGINT::DOUBLE + (floor(o_totalprice)::BIGINT % 3600)::DOUBLE * 400 AS finished, o_orderkey % 1000 + 1 AS cells, ((o_orderkey * 7) % 500)::DOUBLE / 100.0::DOUBLE AS cost, o_orderkey % 4 AS attempts, CASE WHEN o_orderkey % 11 = 0 THEN 'failed' END AS error FROM orders""",
-    "soil_cells": f"SELECT DISTINCT {soil_sql('lat', 'lon')} AS cell5m FROM sites WHERE key % 4 <> 0",
+    "soil_cells": f"SELECT DISTINCT {soil_sql('lat', 'lon')} AS cell5m FROM (SELECT {place_sql('s_suppkey')} FROM supplier)",
     "soil_points": "SELECT cell5m, 'XX' || lpad(cell5m::VARCHAR, 8, '0') AS soil_id, 90.0::DOUBLE - (cell5m // 4320 + 0.5::DOUBLE) / 12 AS lat, (cell5m % 4320 + 0.5::DOUBLE) / 12 - 180.0::DOUBLE AS lon FROM soil_cells",
     "soil": f"SELECT *, {child_sql('lat', 'lon')} AS child_id FROM soil_points",
     "weights": """SELECT fine_id, to_base(i * 1440 + j % 1440, 36, 4) AS child_id,
@@ -222,7 +222,7 @@ CTES = {
       FROM (SELECT DISTINCT fine_id, fk AS k FROM fine_cells))))""",
     "fine_cells": f"SELECT DISTINCT {fine_sql('lat', 'lon')} AS fine_id, {fine_row_sql('lat')} * 7200 + {fine_col_sql('lon')} AS fk FROM (SELECT {place_sql('s_suppkey')} FROM supplier)",
 }
-_NEEDS = {"rain_now": ["alt_rain"], "issues": ["all_issues"], "cells": ["users"], "bronze": ["hourly"], "native": ["bronze"], "wide": ["native"], "stored": ["wide", "cells"], "soil_cells": ["sites"], "soil_points": ["soil_cells"], "soil": ["soil_points"], "weights": ["fine_cells"]}
+_NEEDS = {"rain_now": ["alt_rain"], "issues": ["all_issues"], "cells": ["users"], "bronze": ["hourly"], "native": ["bronze"], "wide": ["native"], "stored": ["wide", "cells"], "soil_points": ["soil_cells"], "soil": ["soil_points"], "weights": ["fine_cells"]}
 
 
 def with_ctes(names: list[str], query: str) -> str:

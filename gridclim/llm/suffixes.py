@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from .common import U64, Scratch, byte_values, column_bytes, map_arrow, prefix_hash, read_table, release, row_key, slices, span_hash, spread
 
 LENGTH, Q = 400, 64
-#: Runs of a bucket beyond which it is cut by longer q-grams, so that no task sorts more than some 3 MB at a time; and
+#: Runs of a bucket beyond which it is cut by longer q-grams, so that no task sorts more than some 400 KB of it at a time; and
 #: bytes of smaller buckets that a task sorts together.
-CROWDED, SORTED_BYTES = 5000, 1 << 20
+CROWDED, SORTED_BYTES = 500, 1 << 20
 _BYTES = byte_values(41)
 _PIECE, _PLACE = 1 << 22, U64((1 << 23) - 1)
 

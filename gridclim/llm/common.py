@@ -208,10 +208,10 @@ def byte_values(seed: int, lower: bool = False) -> np.ndarray:
     return table
 
 
-def prefix_hash(data: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Prefix sums P with P[i] = sum of table[byte j] * base**j over j < i, modulo 2**64."""
-    out = np.zeros(len(data) + 1, U64)
-    np.cumsum(table[data] * powers(_BASE, len(data)), out=out[1:])
+def prefix_hash(values: np.ndarray) -> np.ndarray:
+    """Prefix sums P with P[i] = sum of values[j] * base**j over j < i, modulo 2**64, of 64-bit values."""
+    out = np.zeros(len(values) + 1, U64)
+    np.cumsum(values * powers(_BASE, len(values)), out=out[1:])
     return out
 
 

@@ -10,6 +10,9 @@
    Buckets of very many runs are first cut by longer q-grams: windows that begin in the farther and the nearer half of the
    places before the anchor share more bytes than the anchor, so the halves are buckets by these bytes, halved again as
    long as a bucket is too large. No task holds such a bucket, and equal windows always stay together.
+
+Passages of over 50 words that stand in several documents are found along with the strings, in the same steps: windows of
+WORDS words, of which each is a 64-bit hash, in place of windows of bytes, and repeated only if two documents hold them.
 """
 
 from __future__ import annotations
@@ -22,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, byte_values, column_bytes, map_arrow, prefix_hash, read_table, release, row_key, slices, span_hash, spread
+from .common import U64, Scratch, byte_values, column_bytes, map_arrow, prefix_hash, read_table, release, row_key, slices, span_hash, spread, word_hashes
 
 LENGTH, Q = 400, 64
+#: The same in words, for passages.
+WORDS, Q_WORDS = 51, 24
 #: Runs of a bucket beyond which it is cut by longer q-grams, so that no task sorts more than some 400 KB of it at a time; and
 #: bytes of smaller buckets that a task sorts together.
 CROWDED, SORTED_BYTES = 500, 1 << 20
@@ -43,14 +48,14 @@ def _sliding_least(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def runs(text: bytes, length: int = LENGTH, q: int = Q) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor value: that value, the anchor's place, first window and end of the last window. Long
-    texts go in pieces, whose windows do not overlap."""
+def runs(units: np.ndarray, length: int = LENGTH, q: int = Q) -> tuple[np.ndarray, ...]:
+    """Runs of windows with one anchor value: that value, the anchor's place, first window and end of the last window, of
+    bytes or of the hashes of words. Long texts go in pieces, whose windows do not overlap."""
     parts, at = [], 0
-    while at == 0 or at + length <= len(text):
-        data = np.frombuffer(text, np.uint8)[at : at + _PIECE + length - 1]
+    while at == 0 or at + length <= len(units):
+        data = units[at : at + _PIECE + length - 1]
         if len(data) >= length:
-            prefix = prefix_hash(data, _BYTES)
+            prefix = prefix_hash(_BYTES[data] if data.dtype == np.uint8 else data)
             start = np.arange(len(data) - q + 1)
             h = span_hash(prefix, start, start + q)
             # the low bits hold the place from the right, so that values are distinct and the rightmost of equals is least
@@ -64,17 +69,18 @@ def runs(text: bytes, length: int = LENGTH, q: int = Q) -> tuple[np.ndarray, ...
 
 
 def bucket_numbers(data: np.ndarray, length: int) -> np.ndarray:
-    """For each position of data a number, equal for positions with the same `length` bytes (those past the end count as none).
+    """For each position of data a number, equal for positions with the same `length` bytes, or words (those past the end count
+    as none).
 
-    Initial buckets hold 8 bytes; a bucket is refined by the numbers of the positions as many bytes on as it spans.
+    Initial buckets hold 8 bytes or a word; a bucket is refined by the numbers of the positions as many units on as it spans.
     """
-    n = len(data)
-    wide = np.zeros(n + 8, U64)
-    wide[:n] = data
-    number = np.zeros(n, U64)
-    for j in range(8):
-        number = number << U64(8) | wide[j : n + j]
-    span = 8
+    n, span = len(data), 8 if data.dtype == np.uint8 else 1
+    number = data if span == 1 else np.zeros(n, U64)
+    if span == 8:
+        wide = np.zeros(n + 8, U64)
+        wide[:n] = data
+        for j in range(8):
+            number = number << U64(8) | wide[j : n + j]
     while True:
         number = np.unique(number, return_inverse=True)[1].astype(U64)
         if span >= length:
@@ -86,14 +92,22 @@ def bucket_numbers(data: np.ndarray, length: int) -> np.ndarray:
         span += step
 
 
-def repeated_windows(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each piece which of its windows of `length` bytes stand somewhere else in the pieces too."""
+def repeated_windows(pieces: list[np.ndarray], length: int = LENGTH, owners: list | None = None) -> list[np.ndarray]:
+    """For each piece which of its windows of `length` units stand somewhere else in the pieces too; with owners (a number for
+    each piece), in a piece of another owner."""
     sizes = [len(p) for p in pieces]
-    number = bucket_numbers(np.frombuffer(b"".join(pieces), np.uint8), length)
+    number = bucket_numbers(np.concatenate(pieces), length)
     starts = np.cumsum([0, *sizes])
     places = np.concatenate([np.arange(a, a + n - length + 1) for a, n in zip(starts, sizes, strict=False)])
     _, inverse, count = np.unique(number[places], return_inverse=True, return_counts=True)
-    return np.split(count[inverse] > 1, np.cumsum([n - length + 1 for n in sizes])[:-1])
+    found = count[inverse] > 1
+    if owners is not None:
+        of = np.repeat(np.array(owners), [n - length + 1 for n in sizes])
+        least, most = np.full(len(count), np.iinfo(np.int64).max), np.full(len(count), -1)
+        np.minimum.at(least, inverse, of)
+        np.maximum.at(most, inverse, of)
+        found = (least < most)[inverse]
+    return np.split(found, np.cumsum([n - length + 1 for n in sizes])[:-1])
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,9 +125,9 @@ def _window_spans(found: np.ndarray, first: int, length: int) -> tuple[np.ndarra
     return np.flatnonzero(edge == 1) + first, np.flatnonzero(edge == -1) - 1 + first + length
 
 
-_RUNS = "h long, g int, bucket long, anchor int, first int, end int, k1 long, k2 long"
-_PIECES = "bucket binary, low int, high int, anchor int, h long, g int, first int, done boolean, bytes binary"
-_SPANS = "h long, g int, start int, end int"
+_RUNS = "h long, g int, words boolean, bucket long, anchor int, first int, end int, k1 long, k2 long"
+_PIECES = "words boolean, bucket binary, low int, high int, anchor int, h long, g int, first int, done boolean, bytes binary"
+_SPANS = "h long, g int, words boolean, start int, end int"
 
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
@@ -129,44 +143,51 @@ def _rows(columns: dict, schema: str) -> pa.RecordBatch:
 
 
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, q: int = Q) -> DataFrame:
-    """(h, g, starts, ends): the spans of each row that has any, by its key (`common.row_key`)."""
+    """(h, g, starts, ends, n_passage_words): the spans of each row that has any, and its words in passages that other rows
+    hold too, by its key (`common.row_key`)."""
+    size = {False: (length, q), True: (WORDS, Q_WORDS)}
     s = Scratch(df.sparkSession, "suffixes")
     keyed = df.select(*row_key(id_col, text_col), F.col(text_col).alias("text"))
 
     def find(batches):
         release()
         for batch in slices(batches, 2000):
-            texts = list(column_bytes(batch.column(2)))
-            rows = [runs(t, length, q) for t in texts]
-            n = [len(r[0]) for r in rows]
-            if sum(n):
-                bucket, anchor, first, end = (np.concatenate(x) for x in zip(*rows, strict=True))
-                whole = b"".join(digest(t[a:b]) for t, r in zip(texts, rows, strict=True) for a, b in zip(r[2].tolist(), r[3].tolist(), strict=True))
-                keys = np.frombuffer(whole, np.int64).reshape(-1, 2)
-                own = [np.repeat(batch.column(k).to_numpy(), n) for k in (0, 1)]
-                yield _rows(dict(zip(["h", "g", "bucket", "anchor", "first", "end", "k1", "k2"], [*own, bucket.view(np.int64), anchor - first, first, end, keys[:, 0], keys[:, 1]], strict=True)), _RUNS)
+            for words in (False, True):
+                texts = list(_units(batch.column(2), words))
+                rows = [runs(t, *size[words]) for t in texts]
+                n = [len(r[0]) for r in rows]
+                if sum(n):
+                    bucket, anchor, first, end = (np.concatenate(x) for x in zip(*rows, strict=True))
+                    whole = b"".join(digest(t[a:b].tobytes(), b"words" if words else b"") for t, r in zip(texts, rows, strict=True) for a, b in zip(r[2].tolist(), r[3].tolist(), strict=True))
+                    keys = np.frombuffer(whole, np.int64).reshape(-1, 2)
+                    own = [np.repeat(batch.column(k).to_numpy(), n) for k in (0, 1)]
+                    yield _rows(dict(zip(["h", "g", "words", "bucket", "anchor", "first", "end", "k1", "k2"], [*own, np.full(len(first), words), (bucket ^ U64(words)).view(np.int64), anchor - first, first, end, keys[:, 0], keys[:, 1]], strict=True)), _RUNS)
 
     found = s.save(map_arrow(keyed, find, _RUNS), "runs")
     # the counts are written, so that Spark can split the joins on the largest buckets
     shared = s.save(found.groupBy("bucket").agg(F.count("*").alias("n_bucket")).where("n_bucket > 1").select("bucket"), "shared-buckets")
     inside = s.save(found.join(shared, "bucket"), "shared")
     s.drop("runs", "shared-buckets")
-    alike = s.save(inside.groupBy("k1", "k2").agg(F.count("*").alias("n_alike"), F.min(F.struct("h", "g", "first")).alias("one")).where("n_alike > 1"), "alike")
+    # passages count if two rows hold them, strings wherever they stand again
+    again = F.expr("n_alike > 1 and (not words or least <> most)")
+    ends = [F.min(F.struct("h", "g")).alias("least"), F.max(F.struct("h", "g")).alias("most")]
+    alike = s.save(inside.groupBy("k1", "k2").agg(F.count("*").alias("n_alike"), F.min(F.struct("h", "g", "first")).alias("one"), F.first("words").alias("words"), *ends).where(again).select("k1", "k2", "n_alike", "one"), "alike")
     judged = s.save(inside.join(alike, ["k1", "k2"], "left").withColumn("one", F.col("one") == F.struct("h", "g", "first")).drop("k1", "k2"), "judged")
     s.drop("shared", "alike")
-    whole = judged.where("n_alike is not null").select("h", "g", F.col("first").alias("start"), "end")
+    whole = judged.where("n_alike is not null").select("h", "g", "words", F.col("first").alias("start"), "end")
     going = judged.where("n_alike is null or one")
     buckets = s.save(going.groupBy("bucket").agg(F.count_if(F.col("n_alike").isNull()).alias("n_open"), F.count("*").alias("n")).where("n_open > 0").select("bucket", (F.col("n") > CROWDED).alias("crowded")), "buckets")
-    run_of = F.struct("bucket", "anchor", "first", "end", F.coalesce("one", F.lit(False)).alias("done"), "crowded")
+    run_of = F.struct("words", "bucket", "anchor", "first", "end", F.coalesce("one", F.lit(False)).alias("done"), "crowded")
     by_doc = going.join(buckets, "bucket").groupBy("h", "g").agg(F.collect_list(run_of).alias("runs"))
-    names = ["bucket", "low", "high", "anchor", "h", "g", "first", "done", "bytes", "crowded"]
+    names = ["words", "bucket", "low", "high", "anchor", "h", "g", "first", "done", "bytes", "crowded"]
 
     def cut(batches):
         for batch in slices(batches):
             out = {k: [] for k in names}
-            for h, g, own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), column_bytes(batch.column(3)), strict=True):
+            for h, g, own, *text in zip(*(batch.column(k).to_pylist() for k in range(3)), _units(batch.column(3), False), _units(batch.column(3), True), strict=True):
                 for r in own:
-                    for k, x in zip(names, (r["bucket"].to_bytes(8, "little", signed=True), 0, length - q, r["anchor"], h, g, r["first"], r["done"], text[r["first"] : r["end"]], r["crowded"]), strict=True):
+                    data, (long, short) = text[r["words"]], size[r["words"]]
+                    for k, x in zip(names, (r["words"], r["bucket"].to_bytes(8, "little", signed=True), 0, long - short, r["anchor"], h, g, r["first"], r["done"], data[r["first"] : r["end"]].tobytes(), r["crowded"]), strict=True):
                         out[k].append(x)
             yield _rows(out, _PIECES + ", crowded boolean")
 
@@ -177,49 +198,66 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     crowded, level = pieces.where("crowded").drop("crowded"), 0
     while crowded.limit(1).count():
         level += 1
-        halves = s.save(map_arrow(crowded, _halves(length, q), _PIECES), f"halves-{level}")
-        counts = s.save(halves.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), f"counts-{level}")
+        halves = s.save(map_arrow(crowded, _halves(size), _PIECES), f"halves-{level}")
+        counts = s.save(halves.groupBy("bucket").agg(F.count("*").alias("n"), F.bool_or("done").alias("known"), *ends).where("n > 1").select("bucket", "n", (F.col("known") | (F.col("least") != F.col("most"))).alias("several")), f"counts-{level}")
         halves = halves.join(counts, "bucket")
-        single.append(halves.where("low = high and not done").select("h", "g", F.col("first").alias("start"), (F.col("first") + length).alias("end")))
-        ready.append(halves.where(f"low < high and n <= {CROWDED}").drop("n"))
-        crowded = halves.where(f"low < high and n > {CROWDED}").drop("n")
+        last = F.col("first") + F.when(F.col("words"), size[True][0]).otherwise(size[False][0])
+        single.append(halves.where("low = high and not done and (several or not words)").select("h", "g", "words", F.col("first").alias("start"), last.alias("end")))
+        ready.append(halves.where(f"low < high and n <= {CROWDED}").select(*names[:-1]))
+        crowded = halves.where(f"low < high and n > {CROWDED}").select(*names[:-1])
 
     def refine(batches):
-        for rows, hashes, first, done, data in _by_bucket(batches):
-            out = {"h": [], "g": [], "start": [], "end": []}
-            for h, g, f, known, windows in zip(rows, hashes, first, done, repeated_windows(data, length), strict=True):
+        for words, rows, hashes, first, done, data in _by_bucket(batches):
+            out = {k: [] for k in ("h", "g", "words", "start", "end")}
+            wide, owners = size[words][0], None
+            if words:  # a pattern stands for several rows, so it is another one's whoever meets it
+                number: dict = {}
+                owners = [0 if known else number.setdefault((h, g), len(number) + 1) for h, g, known in zip(rows, hashes, done, strict=True)]
+            data = [np.frombuffer(x, U64 if words else np.uint8) for x in data]
+            for h, g, f, known, windows in zip(rows, hashes, first, done, repeated_windows(data, wide, owners), strict=True):
                 if not known and windows.any():
-                    start, end = (x.tolist() for x in _window_spans(windows, f, length))
-                    for k, x in zip(out, ([h] * len(start), [g] * len(start), start, end), strict=True):
+                    start, end = (x.tolist() for x in _window_spans(windows, f, wide))
+                    for k, x in zip(out, ([h] * len(start), [g] * len(start), [words] * len(start), start, end), strict=True):
                         out[k] += x
             yield _rows(out, _SPANS)
 
-    dealt = reduce(DataFrame.unionAll, ready).select("bucket", "h", "g", "first", "done", "bytes").repartition("bucket").sortWithinPartitions("bucket", "h", "g", "first")
+    dealt = reduce(DataFrame.unionAll, ready).select("words", "bucket", "h", "g", "first", "done", "bytes").repartition("bucket").sortWithinPartitions("words", "bucket", "h", "g", "first")
     spans = reduce(DataFrame.unionAll, [whole, dealt.mapInArrow(refine, _SPANS), *single])
 
     def unite(batches):
         for batch in slices(batches):
-            each = [merged(np.array([x["start"] for x in own], np.int64), np.array([x["end"] for x in own], np.int64)) for own in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([a.tolist() for a, _ in each], pa.list_(pa.int64())), pa.array([b.tolist() for _, b in each], pa.list_(pa.int64()))], ["h", "g", "starts", "ends"])
+            union = lambda own, words: merged(*(np.array([x[k] for x in own if x["words"] == words], np.int64) for k in ("start", "end")))
+            each = [(union(own, False), union(own, True)) for own in batch.column(2).to_pylist()]
+            spots = [pa.array([x[0][k].tolist() for x in each], pa.list_(pa.int64())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *spots, pa.array([int((b - a).sum()) for _, (a, b) in each], pa.int64())], ["h", "g", "starts", "ends", "n_passage_words"])
+
+    return s.save(map_arrow(spans.groupBy("h", "g").agg(F.collect_list(F.struct("words", "start", "end"))), unite, "h long, g int, starts array<long>, ends array<long>, n_passage_words long"), "spans")
+
 
-    return s.save(map_arrow(spans.groupBy("h", "g").agg(F.collect_list(F.struct("start", "end"))), unite, "h long, g int, starts array<long>, ends array<long>"), "spans")
+def _units(texts: pa.Array, words: bool):
+    """The bytes of each text, or the hashes of its words."""
+    if not words:
+        yield from (np.frombuffer(t, np.uint8) for t in column_bytes(texts))
+        return
+    hashes, first = word_hashes(texts, "space")
+    yield from (hashes[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
 
 
-def _halves(length: int, q: int):
+def _halves(size: dict[bool, tuple[int, int]]):
     """Cuts pieces whose windows begin `low` to `high` bytes before the anchor into those of either half, bucketed by the
     bytes that all windows of a half cover."""
 
     def run(batches):
         for batch in slices(batches, 1000):
             out = {x.split()[0]: [] for x in _PIECES.split(",")}
-            rows = [batch.column(k).to_pylist() for k in ("low", "high", "anchor", "h", "g", "first", "done")]
-            for low, high, anchor, h, g, first, done, data in zip(*rows, column_bytes(batch.column("bytes")), strict=True):
-                middle = (low + high) // 2
+            rows = [batch.column(k).to_pylist() for k in ("words", "low", "high", "anchor", "h", "g", "first", "done")]
+            for words, low, high, anchor, h, g, first, done, raw in zip(*rows, column_bytes(batch.column("bytes")), strict=True):
+                middle, length, data = (low + high) // 2, size[words][0], np.frombuffer(raw, U64 if words else np.uint8)
                 for a, b in ((low, middle), (middle + 1, high)):
                     begin, last = max(0, anchor - b), min(len(data) - length, anchor - a)
                     if begin <= last:
-                        core = data[anchor - a : anchor - b + length]
-                        for k, x in zip(out, (digest(core, b"%d-%d" % (a, b)), a, b, anchor - begin, h, g, first + begin, done, data[begin : last + length]), strict=True):
+                        core = data[anchor - a : anchor - b + length].tobytes()
+                        for k, x in zip(out, (words, digest(core, b"%d-%d-%d" % (words, a, b)), a, b, anchor - begin, h, g, first + begin, done, data[begin : last + length].tobytes()), strict=True):
                             out[k].append(x)
             yield _rows(out, _PIECES)
 
@@ -227,32 +265,33 @@ def _halves(length: int, q: int):
 
 
 def _by_bucket(batches, most: int = SORTED_BYTES):
-    """Columns of whole buckets, of about `most` bytes together, from rows sorted by bucket."""
-    rows, size, last = [], 0, None
+    """words, and columns of whole buckets of about `most` bytes together, from rows sorted by words and bucket."""
+    rows, size, last, unit = [], 0, None, False
     for batch in slices(batches):
-        for bucket, *row in zip(*(batch.column(k).to_pylist() for k in range(5)), column_bytes(batch.column(5)), strict=True):
-            if bucket != last and size >= most:
-                yield tuple(map(list, zip(*rows, strict=True)))
+        for words, bucket, *row in zip(*(batch.column(k).to_pylist() for k in range(6)), column_bytes(batch.column(6)), strict=True):
+            if rows and ((bucket != last and size >= most) or words != unit):
+                yield unit, *map(list, zip(*rows, strict=True))
                 rows, size = [], 0
             rows.append(row)
             size += len(row[-1])
-            last = bucket
+            last, unit = bucket, words
     if rows:
-        yield tuple(map(list, zip(*rows, strict=True)))
+        yield unit, *map(list, zip(*rows, strict=True))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """id, n_bytes, starts, ends (the removed spans) and kept (the remaining bytes) of each input row.
+    """id, n_bytes, starts, ends (the removed spans), kept (the remaining bytes) and n_passage_words of each input row.
 
     A byte is removed if a string of `length` bytes that covers it also starts anywhere else, in the same document
     (overlaps count) or another; strings never cross documents. Nulls (empty) and texts shorter than `length` stay as
     they are; texts of any length go through whole. Equal rows, null ids included, are documents that repeat each
-    other; ids are of any type. Every occurrence goes, so there are no ties; an empty table gives no rows, and other
+    other; ids are of any type. n_passage_words counts the words, A-Z lower-cased, in runs of over 50 that a row of another id
+    or text holds too; it removes nothing. Every occurrence goes, so there are no ties; an empty table gives no rows, and other
     columns do not matter.
     """
     spans = repeats(df, id_col, text_col, length)
     keyed = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *row_key(id_col, text_col))
-    joined = keyed.join(spans, ["h", "g"], "left").select("id", "text", "starts", "ends")
+    joined = keyed.join(spans, ["h", "g"], "left").select("id", "text", "starts", "ends", F.coalesce("n_passage_words", F.lit(0).cast("long")).alias("n_passage_words"))
 
     def run(batches):
         for batch in slices(batches):
@@ -264,13 +303,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     parts.append(text[at:a])
                     at = b
                 kept.append(b"".join([*parts, text[at:]]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), batch.column(2), batch.column(3), pa.array(kept, pa.binary())], [id_col, "n_bytes", "starts", "ends", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), batch.column(2), batch.column(3), pa.array(kept, pa.binary()), batch.column(4)], [id_col, "n_bytes", "starts", "ends", "kept", "n_passage_words"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return map_arrow(joined, run, f"{id_col} {kind}, n_bytes long, starts array<long>, ends array<long>, kept binary")
+    return map_arrow(joined, run, f"{id_col} {kind}, n_bytes long, starts array<long>, ends array<long>, kept binary, n_passage_words long")
 
 
 def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`remove_repeats` of all documents: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """`remove_repeats` of all documents: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words."""
     found = remove_repeats(spread(read_table(spark, sf_dir, "documents")))
-    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"), F.coalesce(F.size("starts"), F.lit(0)).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"), F.coalesce(F.size("starts"), F.lit(0)).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "n_passage_words")

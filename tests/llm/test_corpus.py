@@ -135,17 +135,36 @@ def brute_repeats(rows, length):
     return sorted(out, key=repr)
 
 
+def brute_passages(rows, length=51):
+    """Words in runs of `length` that a row of another id or text holds too."""
+    texts = [(k, t, re.findall(r"[^\x20\x09-\x0D]+", lower(t))) for k, t in rows]
+    owners = {}
+    for k, t, w in texts:
+        for i in range(len(w) - length + 1):
+            owners.setdefault(tuple(w[i : i + length]), set()).add((k, t))
+    out = []
+    for k, _, w in texts:
+        hit = set()
+        for i in range(len(w) - length + 1):
+            if len(owners[tuple(w[i : i + length])]) > 1:
+                hit |= set(range(i, i + length))
+        out.append((k, len(hit)))
+    return sorted(out, key=repr)
+
+
 @pytest.mark.parametrize("crowded", [20_000, 1])
 def test_repeats_equal_brute_force(docs, monkeypatch, crowded):
     monkeypatch.setattr(suffixes, "CROWDED", crowded)
     got = suffixes.remove_repeats(docs).collect()
     assert sorted(((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.starts or ()), hashlib.sha256(r.kept).hexdigest()) for r in got), key=repr) == brute_repeats(corpus(), 400)
     assert suffixes.remove_repeats(docs.where("false")).count() == 0
+    assert sorted(((r.doc_id, r.n_passage_words) for r in got), key=repr) == brute_passages(corpus())
+    assert any(r.n_passage_words and r.n_passage_words < 150 for r in got)
 
 
 def test_long_texts_go_in_pieces(monkeypatch):
     rng = np.random.default_rng(2)
-    text = bytes(rng.integers(97, 101, 5000, dtype=np.uint8))
+    text = rng.integers(97, 101, 5000, dtype=np.uint8)
     whole = suffixes.runs(text)
     monkeypatch.setattr(suffixes, "_PIECE", 700)
     parts = suffixes.runs(text)

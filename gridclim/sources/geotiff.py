@@ -14,6 +14,7 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -113,19 +114,29 @@ class Tiff:
         raw = lzw_decode(raw) if self.compression == 5 else zlib.decompress(raw) if self.compression != 1 else raw
         return np.frombuffer(raw[: int(np.prod(shape)) * self.dtype.itemsize], self.dtype).reshape(shape)
 
-    def band(self, number: int) -> np.ndarray:
-        """A band as doubles, rows by columns; no-data is NaN."""
+    def tiles(self, first: int, last: int):
+        """(top, values of bands by rows by columns) for each row of blocks, as doubles; no-data is NaN. A block that holds all
+        bands is decoded once for the bands first to last."""
         tiled = TILES in self.tags
         bw, bh = (self.tags[TILE_W][0], self.tags[TILE_H][0]) if tiled else (self.width, min(self.height, self.tags.get(ROWS, (self.height,))[0]))
         across, down = -(-self.width // bw), -(-self.height // bh)
-        depth = 1 if self.planar else self.bands
-        out = np.empty((self.height, self.width))
-        for k in range(across * down):
-            y, x = k // across * bh, k % across * bw
-            rows = bh if tiled else min(bh, self.height - y)
-            block = self._block(k + (number * across * down if self.planar else 0), (rows, bw, depth))[:, :, 0 if self.planar else number]
-            out[y : y + rows, x : x + bw] = block[: self.height - y, : self.width - x]
-        return out if self.nodata is None else np.where(out == self.nodata, np.nan, out)
+        for y in range(down):
+            top, rows = y * bh, min(bh, self.height - y * bh)
+            out = np.empty((last - first, rows, self.width))
+            shape = (bh if tiled else rows, bw, 1 if self.planar else self.bands)
+            for x in range(across):
+                place = (slice(None), slice(None), slice(x * bw, (x + 1) * bw))
+                wide = min(bw, self.width - x * bw)
+                if self.planar:
+                    for k in range(first, last):
+                        out[k - first][place[1:]] = self._block(k * across * down + y * across + x, shape)[:rows, :wide, 0]
+                else:
+                    out[place] = np.moveaxis(self._block(y * across + x, shape)[:rows, :wide, first:last], 2, 0)
+            yield top, out if self.nodata is None else np.where(out == self.nodata, np.nan, out)
+
+    def band(self, number: int) -> np.ndarray:
+        """A band as doubles, rows by columns; no-data is NaN."""
+        return np.concatenate([x[0] for _, x in self.tiles(number, number + 1)])
 
 
 @dataclass
@@ -136,7 +147,8 @@ class _Window(InputPartition):
 
 
 class GeoTiffSource(DataSource):
-    """Options: paths (separated by commas, on storage that all executors mount), window (bands of a task)."""
+    """Options: paths (separated by commas, on storage that all executors mount), window (bands of a task). A row is a date's part of
+    a row of blocks, so that no row holds a whole large band."""
 
     @classmethod
     def name(cls) -> str:
@@ -165,5 +177,12 @@ class _Reader(DataSourceReader):
         with open(partition.path, "rb") as f:
             image = Tiff(f)
             dates, (lats, lons) = image.dates(), image.axes()
-            for k in range(partition.first, partition.last):
-                yield dates[k], lats, lons, image.band(k).ravel().tolist()
+            for top, values in image.tiles(partition.first, partition.last):
+                for day, band in zip(dates[partition.first : partition.last], values, strict=True):
+                    yield _batch(day, lats[top : top + len(band)], lons, band)
+
+
+def _batch(day: datetime.date, lats: list[float], lons: list[float], band: np.ndarray) -> pa.RecordBatch:
+    """A tile as one row of Arrow lists, without boxed numbers."""
+    listed = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, pa.float64()))
+    return pa.RecordBatch.from_arrays([pa.array([day], pa.date32()), listed(lats), listed(lons), listed(band.ravel())], ["date", "lats", "lons", "values"])

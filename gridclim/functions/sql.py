@@ -17,6 +17,22 @@ FUNCTIONS = {
     "parent_of(code string) returns string": "lpad(conv(cast((cast(conv(code, 36, 10) as bigint) div 1440 div 4) * 360 + (cast(conv(code, 36, 10) as bigint) % 1440 div 4) as string), 10, 36), 4, '0')",
     "fine_parent_code(lat double, lon double) returns string": f"lpad(conv(cast(({_FINE_ROW} div 20) * 360 + ({_FINE_COL} div 20) as string), 10, 36), 5, '0')",
     "soil_cell(lat double, lon double) returns bigint": "greatest(0, least(2159, floor((90D - lat) * 12))) * 4320 + floor(pmod(lon + 180D, 360D) * 12) % 4320",
+    "fine_parent_of(code string) returns string": "lpad(conv(cast((cast(conv(code, 36, 10) as bigint) div 7200 div 20) * 360 + (cast(conv(code, 36, 10) as bigint) % 7200 div 20) as string), 10, 36), 5, '0')",
+    "round_half_even(x double) returns double": "rint(x)",
+    "lat_index(lat double) returns bigint": _ROW,
+    "lon_index(lon double) returns bigint": _COL,
+    "fine_lat_index(lat double) returns bigint": _FINE_ROW,
+    "fine_lon_index(lon double) returns bigint": _FINE_COL,
+    "cell_center_lat(lat double) returns double": f"90D - {_ROW} * 0.25D",
+    "cell_center_lon(lon double) returns double": f"if({_COL} * 0.25D > 180, {_COL} * 0.25D - 360, {_COL} * 0.25D)",
+    "soil_center_lat(cell bigint) returns double": "90D - (floor(cell / 4320) + 0.5D) / 12",
+    "soil_center_lon(cell bigint) returns double": "(cell % 4320 + 0.5D) / 12 - 180D",
+    "station_date(day date) returns string": "date_format(day, 'yyDDD')",
+    "station_filename(child string, year int) returns string": "concat(child, cast(year as string), '.WTH')",
+    "rain_code(name string) returns int": "case lower(coalesce(name, 'era5')) when 'era5' then null when 'chirps_v2' then 2 when 'chirps_v3_rnl' then 3 when 'chirps_v3_sat' then 4 else raise_error(concat('unknown rain source ', name)) end",
+    "is_imputed(mask int, bit int) returns boolean": "(coalesce(mask, 0) & bit) > 0",
+    "snap_extent(x double) returns double": "rint(x / 0.25D) * 0.25D",
+    "relative_humidity(tmax double, tmin double, tdew double) returns double": "greatest(0D, least(100D, 100D * (0.6108D * exp(17.27D * tdew / (tdew + 237.3D))) / (0.6108D * exp(17.27D * ((tmax + tmin) / 2D) / ((tmax + tmin) / 2D + 237.3D)))))",
     "saturation_pressure(t double) returns double": "0.6108D * exp(17.27D * t / (t + 237.3D))",
     "wind_km_day(wind double) returns double": "wind * 0.748D * 86.4D",
     "station_number(x double) returns string": "lpad(cast(round(cast(coalesce(x, -99D) as decimal(20,12)), 1) as decimal(20,1)), 6, ' ')",
@@ -36,12 +52,14 @@ TABLES = {
     "series": ("date date, tmax double, tmin double, precip double, srad double, wind double, tdew double, rh double, et0 double, is_preliminary boolean", "select date, tmax, tmin, precip, srad, wind, tdew, rh, et0, is_preliminary from {view} where {cell} and {bounds}"),
     "monthly": ("month date, n_days bigint, tmax_mean double, tmin_mean double, precip_sum double, et0_sum double", "select trunc(date, 'month'), count(*), avg(tmax), avg(tmin), sum(precip), sum(et0) from {view} where {cell} and {bounds} group by 1"),
     "info": ("first_date date, last_date date, n_days bigint, n_expected bigint", "select min(date), max(date), count(*), cast(datediff(max(date), min(date)) + 1 as bigint) from {view} where {cell} and {bounds} having count(*) > 0"),
+    "long": ("date date, variable string, value double", "select date, v.variable, v.value from {view} lateral view stack(8, 'tmax', tmax, 'tmin', tmin, 'precip', precip, 'srad', srad, 'wind', wind, 'tdew', tdew, 'rh', rh, 'et0', et0) v as variable, value where {cell} and {bounds}"),
+    "station_body": ("ord int, line string", "select dayofyear(date) + 10, concat(station_date(date), station_number(srad), station_number(tmax), station_number(tmin), station_number(precip), station_number(tdew), station_number(wind_km_day(wind)), '   -99', station_number(rh)) from {view} where {cell} and {bounds}"),
     "missing": ("missing_date date", "select explode(days) from (select array_except(sequence(min(date), max(date)), collect_set(date)) as days from {view} where {cell} and {bounds})"),
 }
 
 
 def register_tables(spark: SparkSession, view: str) -> None:
-    """Table functions climate_series, climate_monthly, climate_info and climate_missing over a view of the record."""
+    """Table functions climate_series, _long, _monthly, _info, _missing and _station_body over a view of the record."""
     register(spark)
     for name, (columns, body) in TABLES.items():
         query = body.format(view=view, cell=_CELL.format(name), bounds=_BOUNDS.format(name))

@@ -77,6 +77,12 @@ def soil_at(sites: DataFrame, soil: DataFrame, max_km: float | None = None) -> D
     return hit.unionByName(found).unionByName(none.join(found.select("key"), "key", "left_anti"))
 
 
+def soil_batch(spark, coordinates: list[tuple[float, float]], soil: DataFrame, max_km: float | None = None) -> DataFrame:
+    """soil_at for coordinates in a list: a row for each, repeated ones too, in their order (key: the place in the list)."""
+    sites = spark.createDataFrame([(k, float(a), float(b)) for k, (a, b) in enumerate(coordinates)], "key long, lat double, lon double")
+    return soil_at(sites, soil, max_km).orderBy("key")
+
+
 def soil_bridge(soil: DataFrame, cells: DataFrame, order: str = "scaled") -> DataFrame:
     """child_id, cell5m, soil_id, dist_deg, is_nearest: soil points of each coarse cell and the one nearest its centre.
 

@@ -15,6 +15,7 @@ from gridclim.plans import control, jobs
 from gridclim.plans import projections as P
 from gridclim.plans.client import Climate
 from gridclim.sources import bronze, dbf, geotiff, netcdf, raster, write
+from gridclim.streaming import update
 
 AT = grid.place(LAT, LON)
 _DAY = lambda x: F.lit(x).cast("date")
@@ -410,18 +411,18 @@ def _(spark, d):
     return spark.createDataFrame(rows, "region string, variable string, year int, jan boolean, whole boolean")
 
 
-@query("w_sql_functions", ["sites"], f"SELECT key, {P.child_sql('lat', 'lon')} AS child_id, {P.parent_sql('lat', 'lon')} AS parent_id, to_base((k // 1440 // 4) * 360 + k % 1440 // 4, 36, 4) AS parent_id_2, {P.fine_sql('lat', 'lon')} AS fine_id, {P.fparent_sql('lat', 'lon')} AS fparent_id, {P.soil_sql('lat', 'lon')} AS cell5m, round(lat * 0.748::DOUBLE * 86.4::DOUBLE, 6) AS km FROM (SELECT *, {P.lat_sql('lat')} * 1440 + {P.lon_sql('lon')} AS k FROM sites)")
+@query("w_sql_functions", ["sites"], f"SELECT key, {P.child_sql('lat', 'lon')} AS child_id, {P.parent_sql('lat', 'lon')} AS parent_id, to_base((k // 1440 // 4) * 360 + k % 1440 // 4, 36, 4) AS parent_id_2, {P.fine_sql('lat', 'lon')} AS fine_id, {P.fparent_sql('lat', 'lon')} AS fparent_id, {P.soil_sql('lat', 'lon')} AS cell5m, round(lat * 0.748::DOUBLE * 86.4::DOUBLE, 6) AS km, {P.lat_sql('lat')} AS r, {P.lon_sql('lon')} AS c, {P.fine_row_sql('lat')} AS fr, {P.fine_col_sql('lon')} AS fc, 90.0::DOUBLE - {P.lat_sql('lat')} * 0.25::DOUBLE AS c_lat, CASE WHEN {P.lon_sql('lon')} * 0.25::DOUBLE > 180 THEN {P.lon_sql('lon')} * 0.25::DOUBLE - 360 ELSE {P.lon_sql('lon')} * 0.25::DOUBLE END AS c_lon, {P.fparent_sql('lat', 'lon')} AS fparent_2, 'X' || (key % 9)::VARCHAR || '2024.WTH' AS file, (key % 8) & 4 > 0 AS bit FROM (SELECT *, {P.lat_sql('lat')} * 1440 + {P.lon_sql('lon')} AS k FROM sites)")
 def _(spark, d):
     sql.register(spark)
     P.sites(spark, d).createOrReplaceTempView("_sites")
-    return spark.sql("SELECT key, cell_code(lat, lon) AS child_id, parent_code(lat, lon) AS parent_id, parent_of(cell_code(lat, lon)) AS parent_id_2, fine_code(lat, lon) AS fine_id, fine_parent_code(lat, lon) AS fparent_id, soil_cell(lat, lon) AS cell5m, round(wind_km_day(lat), 6) AS km FROM _sites")
+    return spark.sql("SELECT key, cell_code(lat, lon) AS child_id, parent_code(lat, lon) AS parent_id, parent_of(cell_code(lat, lon)) AS parent_id_2, fine_code(lat, lon) AS fine_id, fine_parent_code(lat, lon) AS fparent_id, soil_cell(lat, lon) AS cell5m, round(wind_km_day(lat), 6) AS km, lat_index(lat) AS r, lon_index(lon) AS c, fine_lat_index(lat) AS fr, fine_lon_index(lon) AS fc, cell_center_lat(lat) AS c_lat, cell_center_lon(lon) AS c_lon, fine_parent_of(fine_code(lat, lon)) AS fparent_2, station_filename(concat('X', key % 9), 2024) AS file, is_imputed(cast(key % 8 as int), 4) AS bit FROM _sites")
 
 
-@query("w_sql_tables", ["stored"], f"SELECT 'series' AS what, date AS day, round(tmax, 6) AS value FROM stored WHERE child_id = '{AT.child_id}' AND date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' UNION ALL SELECT 'monthly', date_trunc('month', date)::DATE, round(sum(precip), 6) FROM stored WHERE child_id = '{AT.child_id}' GROUP BY ALL UNION ALL SELECT 'days', min(date), count(*)::DOUBLE FROM stored WHERE child_id = '{AT.child_id}' HAVING count(*) > 0")
+@query("w_sql_tables", ["stored"], f"SELECT 'series' AS what, date AS day, round(tmax, 6) AS value FROM stored WHERE child_id = '{AT.child_id}' AND date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' UNION ALL SELECT 'monthly', date_trunc('month', date)::DATE, round(sum(precip), 6) FROM stored WHERE child_id = '{AT.child_id}' GROUP BY ALL UNION ALL SELECT 'days', min(date), count(*)::DOUBLE FROM stored WHERE child_id = '{AT.child_id}' HAVING count(*) > 0 UNION ALL SELECT 'long', date, round(rh, 6) FROM stored WHERE child_id = '{AT.child_id}' UNION ALL SELECT 'gap', day::DATE, NULL FROM (SELECT unnest(range(min(date)::TIMESTAMP, max(date)::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS day FROM stored WHERE child_id = '{AT.child_id}') WHERE day::DATE NOT IN (SELECT date FROM stored WHERE child_id = '{AT.child_id}') UNION ALL SELECT 'body', NULL, count(*)::DOUBLE FROM stored WHERE child_id = '{AT.child_id}'")
 def _(spark, d):
     P.stored(spark, d).createOrReplaceTempView("_record")
     sql.register_tables(spark, "_record")
-    return spark.sql(f"SELECT 'series' AS what, date AS day, round(tmax, 6) AS value FROM climate_series({LAT}D, {LON}D, DATE'2024-01-05', DATE'2024-01-20') UNION ALL SELECT 'monthly', month, round(precip_sum, 6) FROM climate_monthly({LAT}D, {LON}D) UNION ALL SELECT 'days', first_date, cast(n_days AS double) FROM climate_info({LAT}D, {LON}D)")
+    return spark.sql(f"SELECT 'series' AS what, date AS day, round(tmax, 6) AS value FROM climate_series({LAT}D, {LON}D, DATE'2024-01-05', DATE'2024-01-20') UNION ALL SELECT 'monthly', month, round(precip_sum, 6) FROM climate_monthly({LAT}D, {LON}D) UNION ALL SELECT 'days', first_date, cast(n_days AS double) FROM climate_info({LAT}D, {LON}D) UNION ALL SELECT 'long', date, round(value, 6) FROM climate_long({LAT}D, {LON}D) WHERE variable = 'rh' UNION ALL SELECT 'gap', missing_date, cast(null AS double) FROM climate_missing({LAT}D, {LON}D) UNION ALL SELECT 'body', cast(null AS date), cast(count(*) AS double) FROM climate_station_body({LAT}D, {LON}D) WHERE length(line) = 53")
 
 
 # station files
@@ -610,6 +611,15 @@ def _(spark, d):
     return Climate(P.stored(spark, d), P.cells(spark, d), soil=P.soil(spark, d)).soil_profile(P.sites(spark, d), 80.0).select("key", "cell5m", *r6("dist_km"))
 
 
+_BATCH = [(10.0, 20.0), (-59.6, -160.9), (-60.0, 119.1), (-59.6, -160.9), (0.0, 0.0)]
+
+
+@query("j_soil_batch", ["soil"], "SELECT k::BIGINT AS key, p.cell5m FROM (VALUES " + ", ".join(f"({k}, {a}::DOUBLE, {b}::DOUBLE)" for k, (a, b) in enumerate(_BATCH)) + f") AS s(k, lat, lon) LEFT JOIN soil p ON p.cell5m = {P.soil_sql('s.lat', 's.lon')}")
+def _(spark, d):
+    """Coordinates in a given order, some of them twice."""
+    return spatial.soil_batch(spark, _BATCH, P.soil(spark, d)).select("key", "cell5m")
+
+
 @query("a_soil_validation", ["soil", "cells"], "SELECT length(soil_id)::INTEGER AS id_length, count(*) AS n, count(DISTINCT cell5m) AS n_cells, count(*) FILTER (NOT EXISTS (SELECT 1 FROM cells c WHERE c.child_id = soil.child_id AND c.is_land)) AS n_orphans FROM soil GROUP BY ALL")
 def _(spark, d):
     return spatial.soil_validation(P.soil(spark, d), P.cells(spark, d).where("is_land"))
@@ -829,6 +839,33 @@ def _(spark, d):
     return spark.createDataFrame([(k, len(j), flat == list(days) and len(sixes) >= 12) for k, j in enumerate(joined)], "month long, n_days int, whole boolean")
 
 
+# streams
+
+
+@query("st_local_days", ["bronze", "hourly"], "SELECT u, date, variable, round(value, 6) AS value FROM bronze WHERE date + INTERVAL 1 DAY <= (SELECT max(ts + t_zone * INTERVAL 1 MINUTE) FROM hourly) - INTERVAL 3 DAY")
+def _(spark, d):
+    """The days that the watermark has passed when all observations have come."""
+    root = P.folder(spark, "stream-days")
+    P.hourly(spark, d).write.parquet(f"{root}/in")
+    source = spark.readStream.schema(P.hourly(spark, d).schema).parquet(f"{root}/in")
+    days = update.local_days(source, ["u"])
+    run = days.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.schema(days.schema).parquet(f"{root}/out").where("value is not null").select("u", "date", "variable", *r6("value"))
+
+
+@query("st_upsert", ["stored"], "SELECT u, date, round(CASE WHEN date >= DATE '2024-01-15' AND u % 7 <> 0 THEN 30.5::DOUBLE ELSE tmax END, 6) AS tmax, CASE WHEN u % 7 = 0 THEN 1 ELSE imputed END::INTEGER AS imputed FROM stored")
+def _(spark, d):
+    """Two files of stored rows, the later with new temperatures of the second half of the month; repaired cells keep theirs."""
+    root = P.folder(spark, "stream-upsert")
+    rows = P.stored(spark, d).select(F.concat(F.lit("p"), (F.col("u") % 3).cast("string")).alias("bucket"), "u", "date", "tmax", F.when(F.col("u") % 7 == 0, 1).otherwise(F.col("imputed")).alias("imputed"), F.lit(True).alias("is_preliminary"))
+    schema = T.StructType([T.StructField("bucket", T.StringType()), T.StructField("u", T.LongType()), T.StructField("date", T.DateType()), T.StructField("tmax", T.DoubleType()), T.StructField("imputed", T.IntegerType()), T.StructField("is_preliminary", T.BooleanType())])
+    for part in (rows, rows.where("date >= DATE'2024-01-15'").withColumn("tmax", F.lit(30.5))):
+        part.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").parquet(f"{root}/in")
+        update.upsert_stream(spark, f"{root}/in", f"{root}/table", schema, f"{root}/checkpoint", ["u", "date"]).trigger(availableNow=True).start().awaitTermination()
+    return storage.read_stored(spark, f"{root}/table", schema).select("u", "date", *r6("tmax"), "imputed")
+
+
 def complete(oracles: dict[str, str]) -> None:
     """SQL that needs more than the named relations."""
     oracles["a_level_throughput"] = _with_levels("SELECT * FROM levels")

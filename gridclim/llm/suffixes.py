@@ -25,16 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, byte_values, column_bytes, map_arrow, prefix_hash, read_table, release, row_key, slices, span_hash, spread, word_hashes
+from .common import U64, Scratch, byte_values, column_bytes, joined, map_arrow, prefix_hash, read_table, release, row_key, slices, span_hash, spread, word_hashes
 
 LENGTH, Q = 400, 64
 #: The same in words, for passages.
-WORDS, Q_WORDS = 51, 24
+WORDS, Q_WORDS = 51, 8
 #: Runs of a bucket beyond which it is cut by longer q-grams, so that no task sorts more than some 400 KB of it at a time; and
 #: bytes of smaller buckets that a task sorts together.
 CROWDED, SORTED_BYTES = 500, 1 << 20
 _BYTES = byte_values(41)
-_PIECE, _PLACE = 1 << 22, U64((1 << 23) - 1)
+_PIECE, _TOGETHER, _PLACE = 1 << 22, 1 << 15, U64((1 << 23) - 1)
 
 
 def _sliding_least(h: np.ndarray, width: int) -> np.ndarray:
@@ -48,24 +48,45 @@ def _sliding_least(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def runs(units: np.ndarray, length: int = LENGTH, q: int = Q) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor value: that value, the anchor's place, first window and end of the last window, of
-    bytes or of the hashes of words. Long texts go in pieces, whose windows do not overlap."""
-    parts, at = [], 0
-    while at == 0 or at + length <= len(units):
+def runs(units: np.ndarray, bounds: np.ndarray, length: int = LENGTH, q: int = Q) -> tuple[np.ndarray, ...]:
+    """Runs of windows with one anchor value: the text's number, that value, the anchor's place, first window and end of the
+    last window, places counted in all of units. units are the bytes, or the hashes of the words, of texts end to end, which
+    begin and end at the bounds; no window crosses one. Short texts go some together; a text of over _PIECE units goes in
+    pieces, whose windows do not overlap."""
+    parts, text = [(np.zeros(0, np.int64), np.zeros(0, U64), *[np.zeros(0, np.int64)] * 3)], 0
+    while text < len(bounds) - 1:
+        after = max(text + 1, int(np.searchsorted(bounds, bounds[text] + _TOGETHER, "right")) - 1)
+        low = bounds[text]
+        number, value, *places = _runs(units[low : bounds[after]], bounds[text : after + 1] - low, length, q)
+        parts.append((number + text, value, *[x + low for x in places]))
+        text = after
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _runs(units: np.ndarray, bounds: np.ndarray, length: int, q: int) -> tuple[np.ndarray, ...]:
+    parts = [(np.zeros(0, np.int64), np.zeros(0, U64), *[np.zeros(0, np.int64)] * 3)]
+    fits = np.diff(bounds) >= length
+    opens, closes = bounds[:-1][fits], bounds[1:][fits] - length + 1
+    for at in range(0, max(0, len(units) - length + 1), _PIECE):
         data = units[at : at + _PIECE + length - 1]
-        if len(data) >= length:
-            prefix = prefix_hash(_BYTES[data] if data.dtype == np.uint8 else data)
-            start = np.arange(len(data) - q + 1)
-            h = span_hash(prefix, start, start + q)
-            # the low bits hold the place from the right, so that values are distinct and the rightmost of equals is least
-            least = _sliding_least(h & ~_PLACE | (_PLACE - start.astype(U64)), length - q + 1)
-            first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-            end = np.concatenate((first[1:] - 1, [len(least) - 1])) + length
-            anchor = (_PLACE - (least[first] & _PLACE)).astype(np.int64)
-            parts.append((h[anchor], anchor + at, first + at, end + at))
-        at += _PIECE
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, U64), *[np.zeros(0, np.int64)] * 3)
+        prefix = prefix_hash(_BYTES[data] if data.dtype == np.uint8 else data)
+        start = np.arange(len(data) - q + 1)
+        h = span_hash(prefix, start, start + q)
+        # the low bits hold the place from the right, so that values are distinct and the rightmost of equals is least
+        least = _sliding_least(h & ~_PLACE | (_PLACE - start.astype(U64)), length - q + 1)
+        inside = np.zeros(len(least) + 1, np.int8)
+        inside[opens[(opens > at) & (opens < at + len(least))] - at] += 1
+        inside[closes[(closes > at) & (closes < at + len(least))] - at] -= 1
+        inside[0] += np.searchsorted(opens, at, "right") - np.searchsorted(closes, at, "right")
+        kept = np.flatnonzero(np.cumsum(inside[:-1], dtype=np.int8))
+        if not len(kept):
+            continue
+        new = np.ones(len(kept), bool)
+        new[1:] = (least[kept[1:]] != least[kept[:-1]]) | (kept[1:] != kept[:-1] + 1)
+        first, last = kept[new], kept[np.append(np.flatnonzero(new)[1:], len(kept)) - 1]
+        anchor = (_PLACE - (least[first] & _PLACE)).astype(np.int64)
+        parts.append((np.searchsorted(bounds, first + at, "right") - 1, h[anchor], anchor + at, first + at, last + at + length))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def bucket_numbers(data: np.ndarray, length: int) -> np.ndarray:
@@ -139,7 +160,8 @@ def digest(data: bytes, person: bytes = b"") -> bytes:
 
 def _rows(columns: dict, schema: str) -> pa.RecordBatch:
     fields = [(name, _ARROW[kind]) for name, kind in (x.split() for x in schema.split(","))]
-    return pa.RecordBatch.from_arrays([pa.array(columns[name], kind) for name, kind in fields], [name for name, _ in fields])
+    put = lambda x, kind: x.cast(kind) if isinstance(x, pa.Array) else pa.array(x, kind)
+    return pa.RecordBatch.from_arrays([put(columns[name], kind) for name, kind in fields], [name for name, _ in fields])
 
 
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, q: int = Q) -> DataFrame:
@@ -152,16 +174,15 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     def find(batches):
         release()
         for batch in slices(batches, 2000):
+            raw, ends = joined(batch.column(2))
             for words in (False, True):
-                texts = list(_units(batch.column(2), words))
-                rows = [runs(t, *size[words]) for t in texts]
-                n = [len(r[0]) for r in rows]
-                if sum(n):
-                    bucket, anchor, first, end = (np.concatenate(x) for x in zip(*rows, strict=True))
-                    whole = b"".join(digest(t[a:b].tobytes(), b"words" if words else b"") for t, r in zip(texts, rows, strict=True) for a, b in zip(r[2].tolist(), r[3].tolist(), strict=True))
-                    keys = np.frombuffer(whole, np.int64).reshape(-1, 2)
-                    own = [np.repeat(batch.column(k).to_numpy(), n) for k in (0, 1)]
-                    yield _rows(dict(zip(["h", "g", "words", "bucket", "anchor", "first", "end", "k1", "k2"], [*own, np.full(len(first), words), (bucket ^ U64(words)).view(np.int64), anchor - first, first, end, keys[:, 0], keys[:, 1]], strict=True)), _RUNS)
+                units, bounds = word_hashes(batch.column(2), "space") if words else (np.frombuffer(raw, np.uint8), ends)
+                text, bucket, anchor, first, end = runs(units, bounds, *size[words])
+                if len(text):
+                    whole = b"".join(digest(units[a:b].tobytes(), b"words" if words else b"") for a, b in zip(first.tolist(), end.tolist(), strict=True))
+                    keys, begin = np.frombuffer(whole, np.int64).reshape(-1, 2), bounds[text]
+                    own = [batch.column(k).to_numpy()[text] for k in (0, 1)]
+                    yield _rows(dict(zip(["h", "g", "words", "bucket", "anchor", "first", "end", "k1", "k2"], [*own, np.full(len(first), words), (bucket ^ U64(words)).view(np.int64), anchor - first, first - begin, end - begin, keys[:, 0], keys[:, 1]], strict=True)), _RUNS)
 
     found = s.save(map_arrow(keyed, find, _RUNS), "runs")
     # the counts are written, so that Spark can split the joins on the largest buckets
@@ -183,17 +204,24 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
 
     def cut(batches):
         for batch in slices(batches):
-            out = {k: [] for k in names}
-            for h, g, own, *text in zip(*(batch.column(k).to_pylist() for k in range(3)), _units(batch.column(3), False), _units(batch.column(3), True), strict=True):
-                for r in own:
-                    data, (long, short) = text[r["words"]], size[r["words"]]
-                    for k, x in zip(names, (r["words"], r["bucket"].to_bytes(8, "little", signed=True), 0, long - short, r["anchor"], h, g, r["first"], r["done"], data[r["first"] : r["end"]].tobytes(), r["crowded"]), strict=True):
-                        out[k].append(x)
-            yield _rows(out, _PIECES + ", crowded boolean")
+            own = batch.column(2)
+            r = {f.name: own.flatten().field(f.name) for f in own.type.value_type}
+            row = np.repeat(np.arange(len(own)), np.diff(np.asarray(own.offsets)))
+            words = np.asarray(r["words"].cast(pa.int8())).astype(bool)
+            wordy = np.zeros(len(own), bool)
+            wordy[row[words]] = True
+            data, hashed = list(_units(batch.column(3), False)), _units(batch.column(3).filter(pa.array(wordy)), True)
+            named = [next(hashed) if has else None for has in wordy.tolist()]
+            first, end = np.asarray(r["first"]), np.asarray(r["end"])
+            pieces = [(named[k] if w else data[k])[x:y].tobytes() for k, w, x, y in zip(row.tolist(), words.tolist(), first.tolist(), end.tolist(), strict=True)]
+            key = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8), len(row), [None, pa.py_buffer(np.asarray(r["bucket"]).tobytes())]).cast(pa.binary())
+            high = np.where(words, size[True][0] - size[True][1], size[False][0] - size[False][1])
+            keys = [batch.column(k).take(pa.array(row)) for k in (0, 1)]
+            yield _rows(dict(zip(names, [r["words"], key, np.zeros(len(row), np.int32), high.astype(np.int32), r["anchor"], *keys, r["first"], r["done"], pieces, r["crowded"]], strict=True)), _PIECES + ", crowded boolean")
 
     # one of several equal rows of a document stands for all: they are alike, hence whole, and at most a pattern
-    joined = by_doc.join(keyed.where(F.length("text") > 0), ["h", "g"]).select("h", "g", "runs", "text")
-    pieces = s.save(map_arrow(joined, cut, _PIECES + ", crowded boolean"), "pieces")
+    texts = by_doc.join(keyed.where(F.length("text") > 0), ["h", "g"]).select("h", "g", "runs", "text")
+    pieces = s.save(map_arrow(texts, cut, _PIECES + ", crowded boolean"), "pieces")
     ready, single = [pieces.where("not crowded").drop("crowded")], []
     crowded, level = pieces.where("crowded").drop("crowded"), 0
     while crowded.limit(1).count():
@@ -225,11 +253,20 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     spans = reduce(DataFrame.unionAll, [whole, dealt.mapInArrow(refine, _SPANS), *single])
 
     def unite(batches):
-        for batch in slices(batches):
-            union = lambda own, words: merged(*(np.array([x[k] for x in own if x["words"] == words], np.int64) for k in ("start", "end")))
-            each = [(union(own, False), union(own, True)) for own in batch.column(2).to_pylist()]
-            spots = [pa.array([x[0][k].tolist() for x in each], pa.list_(pa.int64())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *spots, pa.array([int((b - a).sum()) for _, (a, b) in each], pa.int64())], ["h", "g", "starts", "ends", "n_passage_words"])
+        for batch in slices(batches, 2000):
+            own, n = batch.column(2), batch.num_rows
+            row = np.repeat(np.arange(n), np.diff(np.asarray(own.offsets)))
+            words, start, end = (np.asarray(own.flatten().field(k).cast(pa.int64())) for k in ("words", "start", "end"))
+            found = []
+            for unit in (0, 1):
+                mine = words == unit
+                a, b = merged(*((x[mine] + (row[mine] << 32)) for x in (start, end)))
+                found.append((a >> 32, a & 0xFFFFFFFF, b & 0xFFFFFFFF))
+            (of, a, b), (of_words, c, d) = found
+            offsets = pa.array(np.searchsorted(of, np.arange(n + 1)), pa.int32())
+            spots = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (a, b)]
+            total = np.bincount(of_words, weights=d - c, minlength=n).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *spots, pa.array(total)], ["h", "g", "starts", "ends", "n_passage_words"])
 
     return s.save(map_arrow(spans.groupBy("h", "g").agg(F.collect_list(F.struct("words", "start", "end"))), unite, "h long, g int, starts array<long>, ends array<long>, n_passage_words long"), "spans")
 
@@ -291,7 +328,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spans = repeats(df, id_col, text_col, length)
     keyed = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *row_key(id_col, text_col))
-    joined = keyed.join(spans, ["h", "g"], "left").select("id", "text", "starts", "ends", F.coalesce("n_passage_words", F.lit(0).cast("long")).alias("n_passage_words"))
+    rows = keyed.join(spans, ["h", "g"], "left").select("id", "text", "starts", "ends", F.coalesce("n_passage_words", F.lit(0).cast("long")).alias("n_passage_words"))
 
     def run(batches):
         for batch in slices(batches):
@@ -306,7 +343,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), batch.column(2), batch.column(3), pa.array(kept, pa.binary()), batch.column(4)], [id_col, "n_bytes", "starts", "ends", "kept", "n_passage_words"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return map_arrow(joined, run, f"{id_col} {kind}, n_bytes long, starts array<long>, ends array<long>, kept binary, n_passage_words long")
+    return map_arrow(rows, run, f"{id_col} {kind}, n_bytes long, starts array<long>, ends array<long>, kept binary, n_passage_words long")
 
 
 def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,11 +165,14 @@ def test_repeats_equal_brute_force(docs, monkeypatch, crowded):
 def test_long_texts_go_in_pieces(monkeypatch):
     rng = np.random.default_rng(2)
     text = rng.integers(97, 101, 5000, dtype=np.uint8)
-    whole = suffixes.runs(text)
+    bounds = np.array([0, 1700, 1700, 1900, 2300, 5000])
+    windows = lambda r: sorted((t, int(h), p, s) for t, h, p, a, b in zip(*r, strict=True) for s in range(a, b - 399))
+    whole = windows(suffixes.runs(text, bounds))
+    each = [windows(suffixes.runs(text[a:b], np.array([0, b - a]))) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert whole == sorted((t, h, p + bounds[t], s + bounds[t]) for t, found in enumerate(each) for _, h, p, s in found) and len(whole) == 1301 + 1 + 2301
     monkeypatch.setattr(suffixes, "_PIECE", 700)
-    parts = suffixes.runs(text)
-    windows = lambda r: sorted((int(h), s) for h, _, a, b in zip(*r, strict=True) for s in range(a, b - 399))
-    assert windows(whole) == windows(parts)
+    assert windows(suffixes.runs(text, bounds)) == whole
+    assert all(len(x) == 0 for x in suffixes.runs(text[:0], np.array([0])))
 
 
 def test_bucket_numbers_sort_like_strings():

@@ -98,6 +98,8 @@ def _write_part(batches, folder: str, schema: pa.Schema) -> int:
                 os.link(beside, f"{folder}/{name}")
             except FileExistsError:
                 pass
+            except OSError:  # a folder without links: the last attempt counts
+                os.replace(beside, f"{folder}/{name}")
     finally:
         if os.path.exists(beside):
             os.unlink(beside)

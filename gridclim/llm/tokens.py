@@ -13,6 +13,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -219,17 +220,54 @@ class ByteEncoder:
         return [b"".join(self.added[x] if k % 2 else next(found) for k, x in enumerate(p)) for p in parts]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.chunks(t) for t in texts]
-        rest = list(set().union(*(words for _, words in split)).difference(self.known))
+        hard = [k for k, t in enumerate(texts) if not self.splits or _HARD.search(t)]
+        out: list[bytes] = [b""] * len(texts)
+        for k, ids in zip(hard, self._encode_each([texts[k] for k in hard]), strict=True):
+            out[k] = ids
+        known = set(hard)
+        easy = [k for k in range(len(texts)) if k not in known]
+        for k, ids in zip(easy, self._encode_easy([texts[k] for k in easy]), strict=True):
+            out[k] = ids
+        return out
+
+    def _encode_easy(self, texts: list[str]) -> list[bytes]:
+        """Texts cut at every space, all at once: a table of the ids of the distinct chunks, and the table's rows in order."""
+        if not texts:
+            return []
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        offsets, flat = np.asarray(split.offsets), split.values.dictionary_encode()
+        words = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
+        firsts = list(dict.fromkeys(t.split(" ", 1)[0] for t in texts))
+        look, own = self._look(words), dict(self._ids(firsts))
+        entries = [look[w] for w in words] + [own[f] for f in firsts]
+        row = np.asarray(flat.indices).astype(np.int64)
+        place = {f: len(words) + k for k, f in enumerate(firsts)}
+        row[offsets[:-1]] = [place[t.split(" ", 1)[0]] for t in texts]
+        step = np.dtype(self.width).itemsize
+        size = np.fromiter(map(len, entries), np.int64, len(entries)) // step
+        start, length = (np.cumsum(size) - size)[row], size[row]
+        ends = np.cumsum(length)
+        table = np.frombuffer(b"".join(entries), self.width)
+        ids = table[np.repeat(start - (ends - length), length) + np.arange(ends[-1])].tobytes()
+        bounds = (np.concatenate([[0], ends])[offsets] * step).tolist()
+        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def _look(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of chunks by the chunk without the space it begins with, from the cache or anew."""
+        rest = [w for w in words if w not in self.known]
         fresh = {}
         for at in range(0, len(rest), 20_000):
             fresh.update((c[1:], ids) for c, ids in self._ids([" " + w for w in rest[at : at + 20_000]]))
         if len(self.known) + len(fresh) > CACHED:
             look = {**self.known, **fresh}
             self.known = {}
-        else:
-            self.known.update(fresh)
-            look = self.known
+            return look
+        self.known.update(fresh)
+        return self.known
+
+    def _encode_each(self, texts: list[str]) -> list[bytes]:
+        split = [self.chunks(t) for t in texts]
+        look = self._look(list(set().union(*(words for _, words in split))))
         firsts = dict(self._ids(list({first for first, _ in split})))
         return [firsts[first] + b"".join(map(look.__getitem__, words)) for first, words in split]
 
@@ -298,7 +336,7 @@ def write_token_files(df: DataFrame, folder: str, id_col: str = "doc_id", text_c
             for batch in batches:
                 ids.extend(x or 0 for x in batch.column(0).to_pylist())
                 nulls.extend(int(x is None) for x in batch.column(0).to_pylist())
-                for some in _slices([x.decode() for x in column_bytes(batch.column(1))], 4 << 20):
+                for some in _slices([x.decode() for x in column_bytes(batch.column(1))], 2 << 20):
                     for found in encoder.encode(some):
                         sizes.append(len(found) // len(end) + 1)
                         yield found + end

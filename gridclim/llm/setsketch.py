@@ -32,7 +32,7 @@ _ODD = _rng.integers(0, 2**32, (REGISTERS, 1), dtype=np.uint32) | np.uint32(1)
 #: A pair is dropped when its likelihood at the threshold is under exp(-CUT) of its best: five standard errors.
 CUT = 12.5
 #: Nodes of a block of the last, exhaustive comparison.
-BLOCK = 1024
+BLOCK = 256
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -183,7 +183,7 @@ def _links_of_rest(rest: DataFrame, bodies: DataFrame, scratch: Scratch, shingle
     once = rest.groupBy("band").agg(F.count("*").alias("n"), *sign).groupBy("n", "sign1", "sign2").agg(F.min("band").alias("band")).select("band")
     nodes = scratch.save(rest.select("band", "node", "label").join(once, "band"), "crowd")
     by_label = scratch.save(nodes.groupBy("band", "label").agg(F.count("*").alias("n")), "by-label")
-    pool = by_label.groupBy("band").agg(F.sum(F.when(F.col("n") < BLOCK, F.col("n"))).alias("pool"))
+    pool = scratch.save(by_label.groupBy("band").agg(F.sum(F.when(F.col("n") < BLOCK, F.col("n"))).alias("pool")), "pool")
     large = F.col("n") >= BLOCK
     own = F.when(large, F.col("label"))
     part = F.when(large, F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("pool") / BLOCK)))

@@ -64,7 +64,6 @@ def test_spilled_codes_are_decoded(spark, tmp_path):
     con = duckdb.connect()
     con.sql(f"COPY (SELECT range AS c_custkey FROM range(1, 3601)) TO '{tmp_path}/customer.parquet' (FORMAT parquet)")
     con.sql(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet'")
-    found = entry.queries()["g_decode_spilled"](spark, str(tmp_path))
-    rows = plain(tuple(r) for r in found.collect())
-    assert rows == plain(con.sql(entry.oracle_sql()["g_decode_spilled"]).fetchall()) and len(rows) == 3600
-    assert found.join(entry.queries()["g_parent_of"](spark, str(tmp_path)), "key", "left_anti").select("c_lon").collect() == [(0.0,)]
+    for name in ("g_decode_spilled", "g_parent_of"):
+        rows = plain(tuple(r) for r in entry.queries()[name](spark, str(tmp_path)).collect())
+        assert rows == plain(con.sql(entry.oracle_sql()[name]).fetchall()) and len(rows) == 3600

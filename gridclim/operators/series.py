@@ -42,8 +42,8 @@ def weighted_rain(alt: DataFrame, weights: DataFrame, code: int | None = None, n
     The weight of a null value counts unless null_aware. One shuffle, partial sums first.
     """
     rows = alt if code is None else alt.where(F.col("source") == code)
-    # the parents take part in the join, so that only their partitions are read
-    on = ["fparent_id", "fine_id"] if "fparent_id" in weights.columns and "fparent_id" in alt.columns else ["fine_id"]
+    # in a stored table the parents take part in the join, so that only their row groups are read
+    on = ["fparent_id", "fine_id"] if {"bucket", "fparent_id"} <= set(alt.columns) and "fparent_id" in weights.columns else ["fine_id"]
     weights = weights.select(*on, "child_id", "weight")
     rows = rows.join(F.broadcast(weights) if _small(weights) else weights, on)
     value, weight = F.col("precip").cast("double"), F.col("weight").cast("double")

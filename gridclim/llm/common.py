@@ -12,10 +12,12 @@ import os
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -41,6 +43,21 @@ def small_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> No
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int = 2000, size: str = "8m") -> Iterator[None]:
+    """Bounds the Arrow batches of the jobs that run inside, and then restores the session's own settings."""
+    importable(spark)
+    names = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -183,6 +200,18 @@ def slices(batches, rows: int = 500) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, rows)
 
 
+def sized(batches, column: int, size: int = 4 << 20, rows: int = 200) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most so many rows and, unless one text alone is longer, so many bytes of a column."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            end = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + size, "right"))))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def powers(base: int, n: int) -> np.ndarray:
     have = _POW[base]
     if len(have) < n:

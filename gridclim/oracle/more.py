@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from zoneinfo import available_timezones
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -88,14 +89,21 @@ def _(spark, d):
     return P.table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), text.is_preliminary(F.to_date("o_orderdate"), cutoff).alias("is_preliminary"))
 
 
-# fixed values: zones and their offsets in minutes without summer time
-_ZONES = {"America/Sao_Paulo": -180, "Europe/Berlin": 60, "Asia/Kolkata": 330, "America/New_York": -300, "Australia/Sydney": 600}
+_ZONES = sorted(available_timezones() - {"localtime"})
+# fixed values: zones whose standard time is that of July, and of January though July's is earlier
+_JULY, _JANUARY = "'Europe/Dublin', 'Eire'", "'Antarctica/Casey'"
+_MINUTES = lambda month: f"((epoch(TIMESTAMP '2023-{month}-01') - epoch(timezone(zone, TIMESTAMP '2023-{month}-01'))) / 60)"
 
 
-@query("s_standard_offset", [], "SELECT n_nationkey::BIGINT AS key, CASE n_nationkey % 5 " + " ".join(f"WHEN {k} THEN {x}" for k, x in enumerate(_ZONES.values())) + " END::INTEGER AS minutes FROM nation")
+@query(
+    "s_standard_offset",
+    ["sites"],
+    f"SELECT key, z.zone, minutes FROM (SELECT key, ({_ZONES})[key % {len(_ZONES)} + 1] AS zone FROM sites) s JOIN (SELECT zone, (CASE WHEN zone IN ({_JULY}) THEN {_MINUTES('07')} WHEN zone IN ({_JANUARY}) THEN {_MINUTES('01')} ELSE least({_MINUTES('01')}, {_MINUTES('07')}) END)::INTEGER AS minutes FROM (SELECT unnest({_ZONES}) AS zone)) z USING (zone)",
+)
 def _(spark, d):
-    known = spark.createDataFrame([(k, control.standard_offset_minutes(z)) for k, z in enumerate(_ZONES)], "zone long, minutes int")
-    return P.table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("key"), (F.col("n_nationkey") % 5).cast("long").alias("zone")).join(F.broadcast(known), "zone").select("key", "minutes")
+    """Sites dealt to all zones in turn."""
+    name = F.element_at(F.array(*map(F.lit, _ZONES)), (F.col("key") % len(_ZONES) + 1).cast("int"))
+    return control.with_standard_offset(P.sites(spark, d).select("key", name.alias("zone")))
 
 
 @query("s_offset_hours", [], "SELECT c_custkey AS key, (CASE WHEN c_custkey % 2 = 0 THEN -1 ELSE 1 END) * (c_custkey % 13 + c_custkey % 4 * 15 / 60.0::DOUBLE) AS hours FROM customer")
@@ -131,15 +139,6 @@ def _(spark, d):
     return P.table(spark, d, "customer").select(k.alias("key"), text.constant_value(detail).alias("value"))
 
 
-# fixed values: messages of refused requests and whether size was the reason
-_MESSAGES = {"400 Client Error: cost limits exceeded": True, "HTTP 400: your request is too large": True, "400: the number of items would exceed the maximum": True, "429 Too many requests: rate limit": False, "503 temporarily unavailable": False, "401 unauthorized": False}
-
-
-@query("s_cost_error", [], "SELECT * FROM (VALUES " + ", ".join(f"('{m}', {x})" for m, x in _MESSAGES.items()) + ") AS t(message, splits)")
-def _(spark, d):
-    return spark.createDataFrame([(m, control.is_cost_error(RuntimeError(m))) for m in _MESSAGES], "message string, splits boolean")
-
-
 _STAMPED = "SELECT run, CASE WHEN run % 5 <> 0 THEN run * 1000 ELSE 0 END AS created_ms, run * 1000 + seconds::BIGINT * 250 AS started_ms, CASE WHEN run % 7 <> 0 THEN run * 1000 + seconds::BIGINT * 900 END AS updated_ms, CASE WHEN run % 3 <> 0 THEN cost * 100 END AS used_seconds FROM runs"
 
 
@@ -822,23 +821,6 @@ def _(spark, d):
     return done.select("child_id", F.col("tmax").cast("double").alias("tmax"), F.col("imputed").cast("int").alias("imputed"), (F.substring("child_id", 2, 9).cast("int") % 2 == 1).alias("was_held"))
 
 
-@query("t_splitter", [], "SELECT unnest(range(12))::BIGINT AS month, 4 AS n_days, true AS whole")
-def _(spark, d):
-    """A request of 48 days is halved until no part is over four days; each part's days follow the last's."""
-    days = tuple(datetime.date(2024, 1, 1) + datetime.timedelta(k) for k in range(48))
-
-    def send(request):
-        if len(request.days) > 4:
-            raise control.TooExpensive("too large")
-        return request
-
-    parts = control.submit(control.Request(days, (0.0, 0.0, 1.0, 1.0)), send)
-    sixes = [p.days[k : k + 4] for p in parts for k in range(0, len(p.days), 4)]
-    flat = [x for p in parts for x in p.days]
-    joined = [tuple(flat[k : k + 4]) for k in range(0, 48, 4)]
-    return spark.createDataFrame([(k, len(j), flat == list(days) and len(sixes) >= 12) for k, j in enumerate(joined)], "month long, n_days int, whole boolean")
-
-
 # streams
 
 

@@ -597,8 +597,8 @@ def _(spark, d):
 
 
 def load_more() -> None:
-    """Registers the queries of the other module."""
-    from gridclim.oracle import more
+    """Registers the queries of the other modules."""
+    from gridclim.oracle import context, more  # noqa: F401
 
     more.complete(ORACLES)
 

@@ -1,4 +1,5 @@
 import datetime as dt
+from zoneinfo import ZoneInfo, available_timezones
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,20 +63,17 @@ def test_manifest_and_records(tmp_path):
     assert open(f"{tmp_path}/r.jsonl").read().count("\n") == 3
 
 
-def test_splitting():
-    days = tuple(dt.date(2020, 1, 1) + dt.timedelta(k) for k in range(4))
-    sent = []
+def test_standard_offsets_of_all_zones(spark):
+    found = {r.zone: r.minutes for r in control.with_standard_offset(spark.createDataFrame([(z,) for z in [*available_timezones(), "No/Zone", None]], "zone string")).collect()}
+    at = lambda z, month: dt.datetime(2023, month, 1, tzinfo=ZoneInfo(z))
+    for zone in available_timezones() - {"localtime"}:
+        plain = [at(zone, m).utcoffset() for m in (1, 7) if at(zone, m).dst() == dt.timedelta(0)]
+        assert plain and found[zone] == plain[0].total_seconds() / 60
+    # fixed values: zones where the smaller of two offsets, or those of another year, would be wrong
+    known = {"Europe/Dublin": 60, "Asia/Amman": 180, "Asia/Damascus": 180, "America/Chihuahua": -360, "Africa/Juba": 120, "America/Montevideo": -180, "Europe/Berlin": 60, "Australia/Sydney": 600}
+    assert {z: found[z] for z in known} == known and found["No/Zone"] is None and found[None] is None
 
-    def send(r):
-        if len(r.days) > 1 or r.area[2] - r.area[0] > 1:
-            raise control.TooExpensive("cost limit")
-        sent.append(r)
-        return r
 
-    control.submit(control.Request(days, (0.0, 0.0, 2.0, 1.0)), send)
-    assert len(sent) == 8 and {r.days[0] for r in sent} == set(days)
-    with pytest.raises(control.TooExpensive):
-        control.submit(control.Request(days[:1], (0.0, 0.0, 2.0, 1.0)), lambda r: (_ for _ in ()).throw(control.TooExpensive("x")))
-    assert control.standard_offset_minutes("America/Montevideo") == -180 and control.standard_offset_minutes("Europe/Berlin") == 60
+def test_folders_stay_below_the_root():
     with pytest.raises(ValueError):
         control.resolve_folder("/data", "../etc")

@@ -1,12 +1,11 @@
 """Keyed writes without a merge statement: guarded upserts, quarantine, issue registry and imputation log.
 
-Each operation is a pure function of the old and the new rows; `upsert_table` applies one to a partitioned Parquet
-table and rewrites only the partitions that the new rows touch.
+Each operation is a pure function of the old and the new rows; `upsert_table` applies one to a partitioned table of
+snapshots and rewrites only the partitions that the new rows touch.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridclim.functions.text import IMPUTED_BITS, VARIABLES
+from gridclim.operators import snapshots
 
 TERMINAL = ("imputed", "accepted_source_defect", "false_positive", "resolved")
 
@@ -138,16 +138,9 @@ def replace_failures(old: DataFrame, new: DataFrame, source: int, first, last, k
 
 
 def replace_table(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
-    """Puts rows in place of a whole table: written beside it, then renamed, so that readers find the old or the new one."""
-    stage, old = f"{path.rstrip('/')}__staged-{uuid.uuid4().hex}", f"{path.rstrip('/')}__old-{uuid.uuid4().hex}"
-    rows.write.parquet(stage)
-    at = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
-    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(at(path)):
-        fs.rename(at(path), at(old))
-    fs.rename(at(stage), at(path))
-    fs.delete(at(old), True)
-    return spark.read.schema(rows.schema).parquet(path)
+    """Puts rows in place of a whole table, as one snapshot: readers find the old or the new one."""
+    snapshots.replace_all(spark, path, rows)
+    return read_stored(spark, path, rows.schema)
 
 
 def accumulate_table(spark: SparkSession, rows: DataFrame, path: str, keys: list[str]) -> DataFrame:
@@ -189,39 +182,51 @@ def bucket_of(parent: str = "parent_id") -> Column:
 
 
 def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table by its explicit schema (codes that look like numbers stay text); empty where there is none yet."""
+    """A table by its explicit schema (codes that look like numbers stay text), its newest snapshot if it has any; empty where there is
+    none yet."""
     from pyspark.errors import AnalysisException
 
+    table = snapshots.Table(spark, path)
+    if table.numbers():
+        return table.read(schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], schema)
         raise
 
 
+def arranged(rows: DataFrame, partition: str, order: list[str]) -> DataFrame:
+    """Rows as a table's files hold them: a partition in one task, sorted."""
+    return rows.repartition(partition).sortWithinPartitions(partition, *order)
+
+
 def write_table(rows: DataFrame, path: str, partition: str, order: list[str]) -> None:
-    rows.repartition(partition).sortWithinPartitions(partition, *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    """Puts rows in place of the partitions they fall in, as one snapshot."""
+    snapshots.replace_partitions(rows.sparkSession, path, arranged(rows, partition, order), partition)
 
 
-def upsert_table(spark: SparkSession, path: str, new: DataFrame, schema: T.StructType, keys: list[str], partition: str, how: Callable[[DataFrame, DataFrame, list[str]], DataFrame] = upsert_guarded, window: Column | None = None) -> None:
+def upsert_table(spark: SparkSession, path: str, new: DataFrame, schema: T.StructType, keys: list[str], partition: str, how: Callable[[DataFrame, DataFrame, list[str]], DataFrame] = upsert_guarded, window: Column | None = None, tries: int = 5) -> None:
     """Applies how(old, new, keys) to a partitioned table. Only touched partitions are read and rewritten: those of the new
     rows, and those with old rows in `window`, which `how` may take away.
 
-    The result is staged under a name of its own beside the table, so that runs do not meet, and published by a dynamic
-    overwrite, which replaces one partition after another; partitions left without rows are deleted. A run lost while it
-    stages leaves the old table whole; one lost while it publishes is completed by running it again.
+    The result is one snapshot: it is published at once for all partitions, and a run lost before leaves the table as it was.
+    Where another run has meanwhile published a partition that this one read, it is made anew from what is there then. A
+    table without snapshots is read as it is, and written whole as the first.
     """
-    stored = read_stored(spark, path, schema)
-    touched = {r[0] for r in new.select(partition).distinct().collect()}
-    if window is not None:
-        touched |= {r[0] for r in stored.where(window).select(partition).distinct().collect()}
-    old = stored.where(F.col(partition).isin(sorted(touched)))
-    stage = f"{path.rstrip('/')}__staged-{uuid.uuid4().hex}"
-    how(old, new, keys).write.parquet(stage)
-    staged = spark.read.schema(schema).parquet(stage)
-    left = {r[0] for r in staged.select(partition).distinct().collect()}
-    write_table(staged, path, partition, keys)
-    for gone in [*(f"{path.rstrip('/')}/{partition}={p}" for p in sorted(touched - left)), stage]:
-        at = spark._jvm.org.apache.hadoop.fs.Path(gone)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    for left in reversed(range(tries)):
+        table = snapshots.Table(spark, path)
+        base = table.version()
+        stored = table.read(schema, base.number) if base.number else read_stored(spark, path, schema)
+        touched = {r[0] for r in new.select(partition).distinct().collect()}
+        if window is not None or not base.number:
+            touched |= {r[0] for r in (stored.where(window) if base.number else stored).select(partition).distinct().collect()}
+        found = F.col(partition).isin(sorted(x for x in touched if x is not None))
+        old = stored.where(found | F.col(partition).isNull() if None in touched else found)
+        try:
+            snapshots.replace_partitions(spark, path, arranged(how(old, new, keys).select(*schema.names), partition, keys), partition, touched, base)
+            return
+        except snapshots.Conflict:
+            if not left:
+                raise

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridclim.operators import climate, cyclones
+from gridclim.operators import climate, cyclones, snapshots
 from gridclim.oracle.registry import query, r6, r6_sql
 from gridclim.plans import projections as P
 
@@ -163,3 +164,44 @@ def _(spark, d):
     rows = P.table(spark, d, "events").withColumns({"_lat": place[0], "_lon": place[1]})
     tracks = rows.select(F.col("user_id").alias("storm_id"), F.col("ts").alias("obs_time"), (F.col("_lat") + shift(7)).alias("lat"), ((F.col("_lon") + shift(11) + 540.0) % 360.0 - 180.0).alias("lon"), F.col("value").alias("wind_kt"), (F.col("event_type") == "error").alias("is_forecast"))
     return cyclones.exposure(tracks, P.sites(spark, d), 250.0, ["key"]).select("storm_id", "key", F.round("closest_approach_km", 3).alias("closest_approach_km"), "max_wind_kt", "exposure_start", "exposure_end")
+
+
+# Forecasts in snapshots
+
+
+_FORECAST = T.StructType([T.StructField("system", T.StringType()), T.StructField("target_start", T.DateType()), T.StructField("cell", T.LongType()), T.StructField("value", T.DoubleType())])
+P.CTES["forecast"] = "SELECT event_type AS system, ts::DATE AS target_start, user_id AS cell, max(value) AS value FROM events GROUP BY ALL"
+
+
+def forecast(spark, d):
+    """The largest value of each user, day and event type, as a forecast of the type's system."""
+    return P.table(spark, d, "events").groupBy(F.col("event_type").alias("system"), F.to_date("ts").alias("target_start"), F.col("user_id").alias("cell")).agg(F.max("value").alias("value"))
+
+
+def _issued(spark, d) -> str:
+    """Three issues: all systems' at first, then a shorter horizon of one, then of another."""
+    path, rows = P.folder(spark, "forecast"), forecast(spark, d)
+    snapshots.replace_all(spark, path, rows, "system")
+    late = rows.where(F.col("target_start") >= F.lit("2024-01-10").cast("date")).withColumn("value", F.col("value") + 1000)
+    for system in ("view", "click"):
+        snapshots.replace_horizon(spark, path, late.where(F.col("system") == system), _FORECAST, system)
+    return path
+
+
+@query("w_forecast_horizon", ["forecast"], "SELECT system, target_start, cell, value + CASE WHEN system IN ('view', 'click') THEN 1000 ELSE 0 END AS value FROM forecast WHERE system NOT IN ('view', 'click') OR target_start >= DATE '2024-01-10'")
+def _(spark, d):
+    return snapshots.Table(spark, _issued(spark, d)).read(_FORECAST)
+
+
+@query(
+    "w_forecast_versions",
+    ["forecast"],
+    "SELECT v AS version, system, count(*) AS n, max(value + CASE WHEN done THEN 1000 ELSE 0 END) AS most FROM (SELECT v, f.*, (system = 'view' AND v > 1) OR (system = 'click' AND v > 2) AS done FROM forecast f, (SELECT unnest([1, 2, 3])::INTEGER AS v)) WHERE NOT done OR target_start >= DATE '2024-01-10' GROUP BY ALL",
+)
+def _(spark, d):
+    """Each version as a reader finds it that names it."""
+    table, out = snapshots.Table(spark, _issued(spark, d)), None
+    for n in table.numbers():
+        rows = table.read(_FORECAST, n).groupBy("system").agg(F.count("*").alias("n"), F.max("value").alias("most")).select(F.lit(n).alias("version"), "system", "n", "most")
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -8,6 +8,7 @@ registry; a run lost in between leaves a logged repair that can be repeated, nev
 from __future__ import annotations
 
 import datetime
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -148,16 +149,23 @@ def repair_issue(spark: SparkSession, tables: Tables, meta: DataFrame, variable:
     log = before.join(values, "child_id").select("bucket", *KEYS, F.lit(variable).alias("variable"), F.lit(how).alias("method"), "original_value", F.col("value").cast("float").alias("new_value"), F.lit(issue_id).cast("long").alias("issue_id"), F.current_timestamp().alias("applied_at"))
     if dry_run:
         return log, how
-    stage = tables.path("_repair")
-    log.write.mode("overwrite").parquet(stage)
+    stage = tables.path(f"_repair-{uuid.uuid4().hex}")
+    log.write.parquet(stage)
     log = spark.read.schema(LOG).parquet(stage)
     storage.upsert_table(spark, tables.path("log"), log, LOG, [*KEYS, "variable"], "bucket", storage.upsert)
     new = log.select(*KEYS, F.col("new_value").alias("value"))
-    changed = storage.update_column(day, new, variable, KEYS)
-    back = repair.reinstate(held, new, variable).withColumn("ingested_at", F.current_timestamp())
-    rows = changed.unionByName(back.select(*changed.columns)).join(new.select(*KEYS), KEYS, "left_semi")
-    derived = rederive(rows, meta).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORED])
-    storage.upsert_table(spark, tables.path("record"), derived, STORED, KEYS, "bucket", storage.upsert)
+
+    def apply(old: DataFrame, _, keys: list[str]) -> DataFrame:
+        """On the rows as they are when it is published, so that another repair of the day stays: held rows come back unless they have."""
+        mine = old.where(F.col("date") == F.lit(date)).join(new.select(*KEYS), KEYS, "left_semi")
+        changed = storage.update_column(mine, new, variable, KEYS)
+        back = repair.reinstate(held, new, variable).withColumn("ingested_at", F.current_timestamp())
+        back = back.join(new.select(*KEYS), KEYS, "left_semi").join(mine.select(*KEYS), KEYS, "left_anti")
+        rows = changed.unionByName(back.select(*changed.columns))
+        derived = rederive(rows, meta).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORED])
+        return storage.upsert(old, derived, keys)
+
+    storage.upsert_table(spark, tables.path("record"), log, STORED, KEYS, "bucket", apply)
     touched = new.select(*KEYS)
     gone = lambda old, _, keys: old.join(touched, list(keys), "left_anti")
     storage.upsert_table(spark, tables.path("quarantine"), held.join(touched, KEYS, "left_semi"), QUARANTINE, KEYS, "bucket", gone)

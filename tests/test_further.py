@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridclim.functions import grid
-from gridclim.operators import runs, series, spatial, storage
+from gridclim.operators import runs, series, spatial, snapshots, storage
 from gridclim.plans import jobs
 from gridclim.sources import bronze, raster
 
@@ -23,6 +23,7 @@ def test_emptied_partitions_are_cleared(spark, tmp_path):
     inside = F.col("key") < 3
     replaced = lambda old, new, keys: storage.replace_window(old, new, inside)
     put([("b", 4, "y")], how=replaced, window=inside)
+    snapshots.Table(spark, path).expire(keep=1, grace=-60)
     rows = {tuple(r) for r in storage.read_stored(spark, path, SCHEMA).select("bucket", "key", "reason").collect()}
     assert rows == {("b", 4, "y"), ("c", 3, "x")} and sorted(p.name for p in (tmp_path / "quarantine").iterdir() if p.name.startswith("bucket")) == ["bucket=b", "bucket=c"]
     put([], how=replaced, window=inside)

@@ -48,6 +48,7 @@ def flag_counts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     counts = F.struct(*COUNTS)
     nameless = [F.sum(F.when(F.col("_id").isNull(), F.col(x)).otherwise(0)).alias(f"no_id_{x}") for x in COUNTS]
     copies = known.groupBy("digest", "part", "fails").agg(*[F.sum(x).alias(x) for x in COUNTS], *nameless, F.min("_id").alias("least"), F.min_by(counts, "_id").alias("of_least"))
+    copies = Scratch(docs.sparkSession, "audit").save(copies, "copies")
     firsts = copies.groupBy("digest").agg(F.min("least").alias("first"))
     met = copies.join(firsts, "digest").withColumn("own", F.coalesce(F.col("least") == F.col("first"), F.lit(False)))
     single = {x: F.col(f"no_id_{x}") + F.when(F.col("own"), F.col(f"of_least.{x}")).otherwise(0) for x in COUNTS}

@@ -4,12 +4,15 @@ Each shard (a run of about SHARD_WORDS words of the documents) gets a suffix arr
 their words, as far as a word that no test item has, by prefix doubling. Every test suffix is binary-searched in every
 shard's array, word by word, which narrows to the places of its window and on to those of its longest match; matches
 shorter than the window are dropped, and what is left is compared word by word.
+
+`decontaminate` and `drop_contaminated` ask which words are hit, so there each distinct window is searched once, and a place
+counts for it once, however many items and places in items have it: what is held grows with the shard alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,8 @@ WINDOW = 10
 BLOCK_WORDS = 2_000_000
 #: Words of a shard, and rows of a batch that are searched together.
 SHARD_WORDS, ROWS = 1 << 20, 1000
+#: Places, or pairs of documents and windows, that are handled together.
+SLICE = 1 << 20
 
 
 @dataclass
@@ -40,6 +45,34 @@ class TestSuffixes:
     length: np.ndarray
     words: list[list[bytes]]
     slots: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    known: tuple | None = None
+
+    def distinct(self) -> tuple[TestSuffixes, dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
+        """The windows, each once; the words' numbers by the words themselves, and the items' words so numbered; and the items that
+        have each window, with where each window's begin."""
+        if self.known:
+            return self.known
+        index: dict[bytes, int] = {}
+        exact = np.zeros(len(self.numbers) + 1, np.int64)
+        for first, words in zip(self.first.tolist(), self.words, strict=True):
+            exact[first : first + len(words)] = [index.setdefault(w, len(index) + 1) for w in words]
+        start, length, window, item = ([np.zeros(0, np.int64)] for _ in range(4))
+        n = 0
+        for size in np.unique(self.length).tolist():
+            own = np.flatnonzero(self.length == size)
+            name, span = exact, 1
+            while span < size:
+                step = min(span, size - span)
+                name = np.unique(name[:-step] * (len(exact) + 1) + name[step:], return_inverse=True)[1]
+                span += step
+            _, at, which = np.unique(name[self.start[own]], return_index=True, return_inverse=True)
+            pairs = np.unique(np.stack([which + n, self.item[own]]), axis=1)
+            for into, x in zip((start, length, window, item), (self.start[own][at], np.full(len(at), size), *pairs), strict=True):
+                into.append(x)
+            n += len(at)
+        start, length, window, item = (np.concatenate(x) for x in (start, length, window, item))
+        self.known = replace(self, start=start, length=length, item=np.zeros(n, np.int64)), index, exact, item, np.searchsorted(window, np.arange(n + 1))
+        return self.known
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
         """Each word's number, 0 for words that no item has."""
@@ -114,9 +147,10 @@ class SuffixArray:
             rank[self.places[open_]] = np.repeat(open_[at], np.diff(np.append(at, len(key)))) + 1
             span *= 2
 
-    def search(self, test: TestSuffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def search(self, test: TestSuffixes, on: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each test suffix the range of places at which its window stands (low, high), and the words of its longest match,
-        0 where that is shorter than the window: binary searches, for the first few words at once and then word by word."""
+        0 where that is shorter than the window: binary searches, for the first few words at once and then word by word. Without
+        `on` not beyond the window."""
         known = np.minimum(self.packed, test.length)
         prefix = np.zeros(len(test.start), np.int64)
         for j in range(self.packed):
@@ -131,6 +165,8 @@ class SuffixArray:
             whole = have == test.length[open_]
             out_low[open_[whole]], out_high[open_[whole]] = low[whole], high[whole]
             longest[open_] = np.where(have >= test.length[open_], have, 0)
+            if not on:
+                open_, low, high, have = open_[~whole], low[~whole], high[~whole], have[~whole]
             word = test.numbers[np.minimum(test.start[open_] + have, len(test.numbers) - 1)]
             low, high = self._bound(low, high, word, have, False), self._bound(low, high, word, have, True)
             going = low < high
@@ -199,6 +235,65 @@ def shard_matches(texts: pa.Array, test: TestSuffixes, window: int = WINDOW, sha
     return sizes, out
 
 
+def _dealt(counts: np.ndarray, most: int):
+    """Runs of entries whose counts add up to about `most`, an entry alone if it has more: first and last, and a repeat of each entry with
+    its place within."""
+    ends, at = np.cumsum(counts), 0
+    while at < len(counts):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        n = counts[at:end]
+        yield np.repeat(np.arange(at, end), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at = end
+
+
+def shard_hits(texts: pa.Array, test: TestSuffixes, window: int = WINDOW, shard_words: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's number of words; the stretches of hit words (text, first word, words), which neither overlap nor touch; and the pairs
+    (text, item) of items with a window in the text.
+
+    Memory follows the words of the texts: a place counts once for each length of windows, in slices.
+    """
+    shard_words = shard_words or SHARD_WORDS
+    hashes, first = word_hashes(texts, "alnum")
+    sizes = np.diff(first)
+    begin = first[:-1] + np.arange(len(sizes))
+    flat = np.zeros(len(hashes) + len(sizes), np.int64)
+    flat[np.arange(len(hashes)) + np.repeat(np.arange(len(sizes)), sizes)] = test.number(hashes)
+    windows, index, item_words, owner, owner_first = test.distinct()
+    exact, seen = np.zeros(len(flat) + window, np.int32), np.zeros(len(sizes), bool)
+    edge, pairs, n_windows = np.zeros(len(flat) + 1, np.int32), [np.zeros(0, np.int64)], max(1, len(windows.start))
+    for shard in range(0, len(flat) if len(windows.start) else 0, shard_words):
+        array = SuffixArray(flat[shard : shard + shard_words + window - 1], len(test.vocabulary) + 1, window)
+        low, high, _ = array.search(windows, on=False)
+        for size in np.unique(windows.length[high > low]).tolist():
+            own = np.flatnonzero((high > low) & (windows.length == size))
+            for which, nth in _dealt((high - low)[own], SLICE):
+                which = own[which]
+                place = array.places[low[which] + nth]
+                which, place = which[place < shard_words], place[place < shard_words] + shard
+                doc = np.searchsorted(begin, place, "right") - 1
+                for d in np.unique(doc[~seen[doc]]).tolist():
+                    seen[d] = True
+                    exact[begin[d] : begin[d] + sizes[d]] = [index.get(w, 0) for w in word_list(next(column_bytes(texts.slice(d, 1))), "alnum")]
+                same = np.ones(len(place), bool)
+                for j in range(size):
+                    same &= exact[place + j] == item_words[windows.start[which] + j]
+                which, place, doc = which[same], place[same], doc[same]
+                np.add.at(edge, place, 1)
+                np.add.at(edge, place + size, -1)
+                pairs.append(np.unique(doc * n_windows + which))
+    cover = np.diff((np.cumsum(edge[:-1]) > 0).astype(np.int8), prepend=0, append=0)
+    head, tail = np.flatnonzero(cover == 1), np.flatnonzero(cover == -1)
+    doc = np.searchsorted(begin, head, "right") - 1
+    found = np.unique(np.concatenate(pairs))
+    of_doc, of_window = found // n_windows, found % n_windows
+    items, n_items = [np.zeros(0, np.int64)], max(1, len(test.first))
+    for which, nth in _dealt(np.diff(owner_first)[of_window] if len(found) else found, SLICE):
+        items.append(np.unique(of_doc[which] * n_items + owner[owner_first[of_window[which]] + nth]))
+    both = np.unique(np.concatenate(items))
+    return sizes, np.stack([doc, head - begin[doc] if len(doc) else doc, tail - head]), np.stack([both // n_items, both % n_items])
+
+
 def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int = BLOCK_WORDS):
     """The items in runs of about block_words words, read one partition at a time."""
     part, size = [], 0
@@ -265,14 +360,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows, with all their columns, that have no match with any item, as `matches` finds them."""
+    """The rows, with all their columns, in which no item has a window, as for `decontaminate`."""
     at = docs.columns.index(text_col)
 
     def step(batches, _, test):
         release()
         for batch in slices(batches, ROWS):
             clean = np.ones(batch.num_rows, bool)
-            clean[[m[0] for m in shard_matches(batch.column(at), test, window)[1]]] = False
+            clean[shard_hits(batch.column(at), test, window)[1][0]] = False
             yield batch.filter(pa.array(clean))
 
     return _passes(docs, benchmark, item_col, item_text_col, window, step, step, docs.schema, block_words)
@@ -285,10 +380,41 @@ def hit_words():
     return F.aggregate(ordered, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")), step)["n"]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """For each document n_words, n_hit (words in matches), the items with matches and whether it is affected; else as `matches`."""
-    items = F.array_distinct(F.transform("spans", lambda s: s["item"].cast("string")))
-    return matches(docs, benchmark, id_col, text_col, **options).select(id_col, "n_words", hit_words().alias("n_hit"), F.array_sort(items).alias("items"), "spans").withColumn("contaminated", F.col("n_hit") > 0)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """For each document n_words, n_hit (words in windows of items), `items` (ids as strings, sorted, each once), `spans` (stretches of hit
+    words: doc_word, n_words) and whether it is contaminated.
+
+    Nulls, empty and very long texts, repeated rows and ids, empty tables and other columns as in `matches`. Texts and items that
+    repeat words very often take no more memory than others.
+    """
+    kind = T.ArrayType(benchmark.schema[item_col].dataType)
+    span = T.ArrayType(T.StructType([T.StructField(x, T.LongType()) for x in ("doc_word", "n_words")]))
+    own, arrow, span_arrow = T.StructField(id_col, docs.schema[id_col].dataType), to_arrow_type(kind), to_arrow_type(span)
+
+    def search(batches, ids, test):
+        release()
+        for batch in slices(batches, ROWS):
+            n, stretches, pairs = shard_hits(batch.column(1), test, window)
+            spans, items = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            for doc, at, size in stretches.T.tolist():
+                spans[doc].append({"doc_word": at, "n_words": size})
+            for doc, item in pairs.T.tolist():
+                items[doc].append(ids[item])
+            yield batch, n, pa.array(spans, span_arrow), pa.array(items, arrow)
+
+    def step(batches, ids, test):
+        for batch, _, spans, items in search(batches, ids, test):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spans, items], [id_col, "_text", "spans", "items"])
+
+    def last(batches, ids, test):
+        for batch, n, spans, items in search(batches, ids, test):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), spans, items], [id_col, "n_words", "spans", "items"])
+
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"), F.array().cast(span).alias("spans"), F.array().cast(kind).alias("items"))
+    schema = T.StructType([own, T.StructField("n_words", T.LongType()), T.StructField("spans", span), T.StructField("items", kind)])
+    found = _passes(rows, benchmark, item_col, item_text_col, window, step, last, schema, block_words)
+    names = F.array_sort(F.array_distinct(F.transform("items", lambda x: x.cast("string"))))
+    return found.select(id_col, "n_words", hit_words().alias("n_hit"), names.alias("items"), "spans").withColumn("contaminated", F.col("n_hit") > 0)
 
 
 def op10_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

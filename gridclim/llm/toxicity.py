@@ -109,7 +109,8 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain=CHAIN, sample: int = SAMPLE) -> Chain | None:
     """A chain from at most `sample` labelled documents, lowest hash of the id first; None if there are no labels.
 
-    Rows with a null id or label do not count; repeated ids count once, with the greatest label.
+    Rows with a null id or label do not count; repeated ids count once, with the greatest label. Of documents that share an id one
+    text is learned from, that of the lowest hash, so no more than `sample` rows come to the driver.
     """
     spark = docs.sparkSession
     columns = [c for _, c, _ in chain]
@@ -120,8 +121,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     bounded = spark.createDataFrame(rows, chosen.schema)
     s = Scratch(spark, "toxicity")
     hit = [(F.col(c) == v).cast("int").alias(f"y{k}") for k, (_, c, v) in enumerate(chain)]
-    texts = s.save(docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(bounded.select(id_col, *hit)), id_col), "sample")
     ys = [f"y{k}" for k in range(len(chain))]
+    labelled = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(bounded.select(id_col, *hit)), id_col)
+    one = labelled.groupBy(id_col, *ys).agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one"))
+    texts = s.save(one.select(id_col, "one.text", *ys), "sample")
 
     def count(batches):
         release()

@@ -205,3 +205,125 @@ def seasonal_anomaly(monthly: DataFrame, keys: list[str], value: str = "value")
     dealt = off.select(*keys, "month", "_off", F.explode(F.array(*map(F.lit, (-1, 0, 1)))).alias("_d"))
     sums = dealt.groupBy(*keys, (F.col("month") + F.col("_d")).alias("month")).agg(F.avg("_off").alias("value"), F.count("*").alias("_n"))
     return sums.where("_n = 3").select(*keys, "month", "value")
+
+
+# Forecast skill
+
+
+def hindcast_skill(hindcasts: DataFrame, observed: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+    """keys, calendar (1 to 12), lead, n_years, hindcast_mean, hindcast_sd, obs_mean, obs_sd, bias and skill_acc, the anomaly
+    correlation of hindcasts with what was observed in their target month.
+
+    hindcasts: keys, init (month number), lead (months), value; of members and of several issues in a month the mean counts. observed:
+    keys, month, value, one row for each month. A hindcast is verified by the observation of init + lead. Anomalies are from the
+    climatology of the other years: with n years, that of year i is x_i - (S - x_i) / (n - 1), which is n / (n - 1) times the plain anomaly, so
+    leaving a year out needs the sums alone: one pass over the pairs and no join of years with each other. Null with fewer than three
+    years, or where either side does not vary.
+    """
+    target = (F.col("init") + F.col("lead")).cast("int")
+    issued = hindcasts.where(F.col(value).isNotNull()).groupBy(*keys, target.alias("month"), F.col("lead").cast("int").alias("lead")).agg(F.avg(value).alias("_x"))
+    seen = observed.where(F.col(value).isNotNull()).select(*keys, F.col("month").cast("int").alias("month"), F.col(value).cast("double").alias("_y"))
+    by = [*keys, "month"]
+    met = issued.alias("h").join(seen.alias("o"), [F.col(f"h.{k}").eqNullSafe(F.col(f"o.{k}")) for k in by]).select(*[f"h.{k}" for k in by], "lead", "_x", "_y")
+    moments = met.groupBy(*keys, (F.col("month") % 12 + 1).alias("calendar"), "lead").agg(
+        F.count("*").alias("n_years"), F.avg("_x").alias("hindcast_mean"), F.stddev_samp("_x").alias("hindcast_sd"), F.avg("_y").alias("obs_mean"), F.stddev_samp("_y").alias("obs_sd"), F.covar_samp("_x", "_y").alias("_c")
+    )
+    left_out = F.pow(F.col("n_years") / (F.col("n_years") - 1), F.lit(2.0))
+    spread = left_out * F.col("hindcast_sd") * F.col("obs_sd")
+    acc = F.when((F.col("n_years") >= 3) & (spread > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), left_out * F.col("_c") / spread)))
+    return moments.withColumn("bias", F.col("hindcast_mean") - F.col("obs_mean")).withColumn("skill_acc", acc).drop("_c")
+
+
+def calibrated(forecasts: DataFrame, skill: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+    """The forecasts (keys, init, lead, value) with `calibrated`, the value less its bias, and the skill_acc of its month and lead; null
+    without hindcasts. skill holds twelve months and a few leads of a key, and joins by them."""
+    by = [*keys, "calendar", "lead"]
+    rows = forecasts.withColumn("calendar", ((F.col("init") + F.col("lead")) % 12 + 1).cast("int"))
+    met = rows.alias("f").join(skill.select(*by, "bias", "skill_acc").alias("s"), [F.col(f"f.{k}").eqNullSafe(F.col(f"s.{k}")) for k in by], "left")
+    return met.select(*[f"f.{c}" for c in forecasts.columns], (F.col(value) - F.col("bias")).alias("calibrated"), "skill_acc")
+
+
+# Analogue years
+
+
+def year_vectors(monthly: DataFrame, keys: list[str], variables: list[str]) -> DataFrame:
+    """keys, year, part (a month and variable), z: each value standardised over the years of its key, month and variable.
+
+    monthly: keys, month (its number) and the variables. A part without two different values says nothing and is left out; null values are missing.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("x")) for v in variables])).alias("e")
+    long = monthly.select(*keys, F.floor(F.col("month") / 12).cast("int").alias("year"), (F.col("month") % 12 + 1).cast("int").alias("calendar"), each).select(*keys, "year", "calendar", "e.*").where("x is not null")
+    by = [*keys, "calendar", "variable"]
+    usual = long.groupBy(*by).agg(F.avg("x").alias("_m"), F.stddev_samp("x").alias("_s")).where("_s > 0")
+    met = long.alias("l").join(usual.alias("u"), [F.col(f"l.{k}").eqNullSafe(F.col(f"u.{k}")) for k in by])
+    return met.select(*[f"l.{k}" for k in keys], "year", F.concat_ws(":", "l.calendar", "l.variable").alias("part"), ((F.col("x") - F.col("_m")) / F.col("_s")).alias("z"))
+
+
+def analogue_years(monthly: DataFrame, keys: list[str], variables: list[str], targets: list[int], months: list[int], k: int = 3) -> DataFrame:
+    """keys, target, rank, year, distance, n_parts: for each key and target year the k nearest other years, by the root mean square
+    of the differences of their standardised months and variables.
+
+    Only parts that both years have count, and a year needs at least half of the target's. Years meet the targets alone, on the part, and the
+    sums of squares go before the shuffle; the k best are kept by a bounded rank before and after it. Ties go to the earlier year.
+    """
+    vectors = year_vectors(monthly.where((F.col("month") % 12 + 1).isin(months)), keys, variables)
+    asked = vectors.where(F.col("year").isin(targets)).select(*keys, F.col("year").alias("target"), "part", F.col("z").alias("_t"))
+    sizes = asked.groupBy(*keys, "target").agg(F.count("*").alias("_all"))
+    by = [*keys, "part"]
+    met = vectors.alias("v").join(asked.alias("a"), [*[F.col(f"v.{c}").eqNullSafe(F.col(f"a.{c}")) for c in by], F.col("year") != F.col("target")])
+    sums = met.groupBy(*[F.col(f"v.{c}").alias(c) for c in keys], "target", "year").agg(F.sum(F.pow(F.col("z") - F.col("_t"), F.lit(2.0))).alias("_d"), F.count("*").alias("n_parts"))
+    both = [*keys, "target"]
+    known = sums.alias("s").join(sizes.alias("n"), [F.col(f"s.{c}").eqNullSafe(F.col(f"n.{c}")) for c in both]).where(2 * F.col("n_parts") >= F.col("_all"))
+    found = known.select(*[f"s.{c}" for c in both], "year", F.round(F.sqrt(F.col("_d") / F.col("n_parts")), 9).alias("distance"), "n_parts")
+    order = Window.partitionBy(*both).orderBy("distance", "year")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(*both, "rank", "year", "distance", "n_parts")
+
+
+# Vegetation
+
+
+def dekad(date) -> Column:
+    """Number of the ten days of a year, 1 to 36: three a month, the last with what is left of it."""
+    return ((F.month(date) - 1) * 3 + F.least(F.lit(3), F.ceil(F.dayofmonth(date) / 10))).cast("int")
+
+
+def dekad_start(year: str, number: str) -> Column:
+    return F.make_date(F.col(year), F.floor((F.col(number) - 1) / 3).cast("int") + 1, (F.col(number) - 1) % 3 * 10 + 1)
+
+
+def vegetation_composites(scenes: DataFrame, keys: list[str], worst: int = 1) -> DataFrame:
+    """keys, year, dekad, ndvi, n_scenes: the largest value of the scenes of the best quality flag of ten days.
+
+    scenes: keys, date, ndvi, quality (0 is best). Scenes whose flag is over `worst` or null, and values that are null or outside -1 to 1, do not
+    count: ten days without another have no row.
+    """
+    sound = F.col("ndvi").between(-1.0, 1.0) & (F.col("quality") <= worst)
+    rows = scenes.where(sound).groupBy(*keys, F.year("date").alias("year"), dekad("date").alias("dekad"), "quality").agg(F.max("ndvi").alias("ndvi"), F.count("*").alias("_n"))
+    return rows.groupBy(*keys, "year", "dekad").agg(F.min_by("ndvi", "quality").alias("ndvi"), F.sum("_n").alias("n_scenes"))
+
+
+def vegetation_anomaly(scenes: DataFrame, keys: list[str], first_year: int, last_year: int, worst: int = 1) -> DataFrame:
+    """keys, dekad_start, ndvi, ndvi_lta, anomaly_pct, z: each composite against the same ten days of the other years.
+
+    Every ten days of the years has a row for each key with any scene in them, so missing composites show, as nulls. The long-term mean and
+    deviation leave the year itself out by subtracting it from the sums; null with fewer than two other years, z also where
+    they do not vary.
+    """
+    inside = scenes.where(F.col("date").between(F.lit(f"{first_year}-01-01").cast("date"), F.lit(f"{last_year}-12-31").cast("date")))
+    found = vegetation_composites(inside, keys, worst)
+    spans = inside.select(*keys).distinct().select("*", F.explode(F.sequence(F.lit(first_year), F.lit(last_year))).alias("year")).select("*", F.explode(F.sequence(F.lit(1), F.lit(36))).alias("dekad"))
+    by = [*keys, "year", "dekad"]
+    same = lambda a, b, names: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in names]
+    every = spans.alias("a").join(found.alias("b"), same("a", "b", by), "left").select(*[f"a.{k}" for k in by], "ndvi")
+    sums = found.groupBy(*keys, "dekad").agg(F.count("*").alias("_n"), F.sum("ndvi").alias("_s"), F.avg("ndvi").alias("_m"), F.var_pop("ndvi").alias("_v"))
+    met = every.alias("e").join(sums.alias("s"), same("e", "s", [*keys, "dekad"]), "left").select(*[f"e.{k}" for k in by], "ndvi", "_n", "_s", "_m", "_v")
+    has, x = F.col("ndvi").isNotNull(), F.coalesce("ndvi", F.lit(0.0))
+    others = F.coalesce(F.col("_n"), F.lit(0)) - F.when(has, 1).otherwise(0)
+    mean = (F.col("_s") - x) / others
+    # squares about the mean of all years lose x's share: n v - (x - m)^2 n / (n - 1)
+    squares = F.col("_n") * F.col("_v") - F.when(has, F.pow(x - F.col("_m"), F.lit(2.0)) * F.col("_n") / others).otherwise(0.0)
+    varied = squares > 1e-10 * F.col("_n") * F.col("_v")  # less is what the subtraction leaves of equal values
+    out = met.withColumn("_others", others).withColumn("ndvi_lta", F.when(others >= 2, mean)).withColumn("_sd", F.when((others >= 2) & varied, F.sqrt(squares / (others - 1))))
+    pct = F.when(F.col("ndvi_lta") != 0, (F.col("ndvi") - F.col("ndvi_lta")) / F.abs("ndvi_lta") * 100)
+    z = F.when(F.col("_sd") > 0, (F.col("ndvi") - F.col("ndvi_lta")) / F.col("_sd"))
+    return out.select(*keys, dekad_start("year", "dekad").alias("dekad_start"), "ndvi", "ndvi_lta", pct.alias("anomaly_pct"), z.alias("z"))

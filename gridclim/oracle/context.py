@@ -205,3 +205,74 @@ def _(spark, d):
         rows = table.read(_FORECAST, n).groupBy("system").agg(F.count("*").alias("n"), F.max("value").alias("most")).select(F.lit(n).alias("version"), "system", "n", "most")
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+# Skill, analogue years, vegetation
+
+P.CTES |= {
+    "shipped": "SELECT l_suppkey % 20 AS zone, (year(l_shipdate) * 12 + month(l_shipdate) - 1)::INTEGER AS month, avg(l_quantity) AS value, avg(l_discount) AS disc FROM lineitem GROUP BY ALL",
+    "hindcasts": "SELECT l_suppkey % 20 AS zone, (year(l_shipdate) * 12 + month(l_shipdate) - 1 - l_linenumber % 3)::INTEGER AS init, (l_linenumber % 3)::INTEGER AS lead, l_extendedprice / 1000 AS value FROM lineitem",
+    "verified": "SELECT zone, h.month, lead, x, value AS y FROM (SELECT zone, init + lead AS month, lead, avg(value) AS x FROM hindcasts GROUP BY ALL) h JOIN shipped USING (zone, month)",
+}
+P._NEEDS |= {"verified": ["shipped", "hindcasts"]}
+
+
+def shipped(spark, d):
+    rows = P.table(spark, d, "lineitem").select((F.col("l_suppkey") % 20).alias("zone"), climate.month_number("l_shipdate").alias("month"), "l_quantity", "l_discount")
+    return rows.groupBy("zone", "month").agg(F.avg("l_quantity").alias("value"), F.avg("l_discount").alias("disc"))
+
+
+def hindcasts(spark, d):
+    lead = (F.col("l_linenumber") % 3).cast("int")
+    return P.table(spark, d, "lineitem").select((F.col("l_suppkey") % 20).alias("zone"), (climate.month_number("l_shipdate") - lead).alias("init"), lead.alias("lead"), (F.col("l_extendedprice") / 1000).alias("value"))
+
+
+@query(
+    "c_hindcast_skill",
+    ["verified"],
+    """SELECT zone, (month % 12 + 1)::INTEGER AS calendar, lead, count(*) AS n_years, round(avg(x), 6) AS hindcast_mean, round(stddev_samp(x), 6) AS hindcast_sd, round(avg(y), 6) AS obs_mean, round(stddev_samp(y), 6) AS obs_sd, round(avg(x) - avg(y), 6) AS bias,
+  CASE WHEN count(*) >= 3 THEN round(sum(ax * ay) / sqrt(sum(ax * ax) * sum(ay * ay)), 6) END AS skill_acc FROM (
+    SELECT v.*, x - (SELECT avg(o.x) FROM verified o WHERE o.zone = v.zone AND o.lead = v.lead AND o.month % 12 = v.month % 12 AND o.month <> v.month) AS ax,
+      y - (SELECT avg(o.y) FROM verified o WHERE o.zone = v.zone AND o.lead = v.lead AND o.month % 12 = v.month % 12 AND o.month <> v.month) AS ay FROM verified v) GROUP BY ALL""",
+)
+def _(spark, d):
+    """Prices as hindcasts of quantities, at leads of none to two months, with anomalies from each other year by itself in the SQL."""
+    found = climate.hindcast_skill(hindcasts(spark, d), shipped(spark, d), ["zone"])
+    return found.select("zone", "calendar", "lead", "n_years", *r6("hindcast_mean", "hindcast_sd", "obs_mean", "obs_sd", "bias", "skill_acc"))
+
+
+P.CTES |= {
+    "parts_of_years": "SELECT zone, month // 12 AS year, month % 12 + 1 AS c, unnest(['value', 'disc']) AS variable, unnest([value, disc]) AS x FROM shipped WHERE month % 12 < 6",
+    "zs": "SELECT zone, year, c, variable, (x - avg(x) OVER w) / stddev_samp(x) OVER w AS z FROM parts_of_years WINDOW w AS (PARTITION BY zone, c, variable) QUALIFY stddev_samp(x) OVER w > 0",
+    "scenes": "SELECT l_suppkey % 50 AS cell, l_shipdate::DATE AS date, l_discount * 5 + l_tax + 0.05 AS ndvi, (l_linenumber % 4)::INTEGER AS quality FROM lineitem",
+    "composites": "SELECT cell, year, dekad, ndvi FROM (SELECT cell, year, dekad, quality, max(ndvi) AS ndvi FROM (SELECT cell, ndvi, quality, year(date) AS year, (month(date) - 1) * 3 + CASE WHEN day(date) <= 10 THEN 1 WHEN day(date) <= 20 THEN 2 ELSE 3 END AS dekad FROM scenes WHERE ndvi BETWEEN -1 AND 1 AND quality <= 1 AND year(date) BETWEEN 1993 AND 1997) GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY cell, year, dekad ORDER BY quality) = 1",
+}
+P._NEEDS |= {"parts_of_years": ["shipped"], "zs": ["parts_of_years"], "composites": ["scenes"]}
+
+@query(
+    "c_analogue_years",
+    ["zs"],
+    """SELECT zone, target::INTEGER AS target, rank, year::INTEGER AS year, round(distance, 6) AS distance, n_parts FROM (SELECT *, row_number() OVER (PARTITION BY zone, target ORDER BY distance, year)::INTEGER AS rank FROM (
+  SELECT a.zone, a.year AS target, b.year AS year, round(sqrt(sum(pow(a.z - b.z, 2)) / count(*)), 9) AS distance, count(*) AS n_parts FROM zs a JOIN zs b ON a.zone = b.zone AND a.c = b.c AND a.variable = b.variable
+  JOIN (SELECT zone, year, count(*) AS n FROM zs GROUP BY ALL) t ON t.zone = a.zone AND t.year = a.year WHERE a.year IN (1995, 1997) AND a.year <> b.year GROUP BY a.zone, a.year, b.year HAVING 2 * count(*) >= any_value(t.n))) WHERE rank <= 3""",
+)
+def _(spark, d):
+    """The three years most like 1995 and 1997 by their first six months' quantities and discounts."""
+    found = climate.analogue_years(shipped(spark, d), ["zone"], ["value", "disc"], [1995, 1997], [1, 2, 3, 4, 5, 6])
+    return found.select("zone", "target", "rank", "year", *r6("distance"), "n_parts")
+
+
+@query(
+    "c_vegetation_anomaly",
+    ["composites"],
+    """SELECT cell, make_date(year::BIGINT, ((dekad - 1) // 3 + 1)::BIGINT, ((dekad - 1) % 3 * 10 + 1)::BIGINT) AS dekad_start, round(ndvi, 6) AS ndvi, round(lta, 6) AS ndvi_lta, round((ndvi - lta) / abs(lta) * 100, 5) + 0 AS anomaly_pct, CASE WHEN sd > 1e-9 THEN round((ndvi - lta) / sd, 5) + 0 END AS z FROM (
+  SELECT e.cell, e.year, e.dekad, any_value(c.ndvi) AS ndvi, CASE WHEN count(o.ndvi) >= 2 THEN avg(o.ndvi) END AS lta, CASE WHEN count(o.ndvi) >= 2 THEN stddev_samp(o.ndvi) END AS sd
+  FROM (SELECT * FROM (SELECT DISTINCT cell FROM scenes WHERE year(date) BETWEEN 1993 AND 1997), range(1993, 1998) y(year), range(1, 37) k(dekad)) e
+  LEFT JOIN composites c USING (cell, year, dekad) LEFT JOIN composites o ON o.cell = e.cell AND o.dekad = e.dekad AND o.year <> e.year GROUP BY ALL)""",
+)
+def _(spark, d):
+    """Discounts as scenes of suppliers' cells, line numbers as quality."""
+    lines = P.table(spark, d, "lineitem")
+    scenes = lines.select((F.col("l_suppkey") % 50).alias("cell"), F.to_date("l_shipdate").alias("date"), (F.col("l_discount") * 5 + F.col("l_tax") + 0.05).alias("ndvi"), (F.col("l_linenumber") % 4).alias("quality"))
+    found = climate.vegetation_anomaly(scenes, ["cell"], 1993, 1997)
+    return found.select("cell", "dekad_start", *r6("ndvi", "ndvi_lta"), (F.round("anomaly_pct", 5) + 0).alias("anomaly_pct"), (F.round("z", 5) + 0).alias("z"))

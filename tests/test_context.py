@@ -248,3 +248,103 @@ def test_categories(spark):
     winds = [0, 33.9, 34, 63, 64, 82, 83, 95, 96, 112, 113, 136, 137, 200, None]
     got = [r.c for r in spark.createDataFrame([(None if w is None else float(w),) for w in winds], "w double").select(cyclones.category(F.col("w")).alias("c")).collect()]
     assert got == ["TD", "TD", "TS", "TS", "1", "1", "2", "2", "3", "3", "4", "4", "5", "5", None]
+
+
+# Skill, analogue years, vegetation
+
+
+def left_out(xs):
+    return [x - (sum(xs) - x) / (len(xs) - 1) for x in xs]
+
+
+def test_hindcast_skill_leaves_each_year_out(spark):
+    rng = random.Random(6)
+    seen = {("a", m): rng.gauss(10, 3) for m in range(2000 * 12, 2012 * 12) if m % 12 < 5}
+    seen |= {("b", m): 4.0 for m in range(2000 * 12, 2004 * 12)}
+    issues = [(c, m - lead, lead, 0.7 * v + rng.gauss(2, 1)) for (c, m), v in seen.items() for lead in (0, 1, 13) for _ in range(2)]
+    issues += [("a", 1990 * 12, 0, 5.0), ("a", 2000 * 12, 0, None), ("c", 2000 * 12, 0, 1.0)]
+    observed = [(c, m, v) for (c, m), v in seen.items()] + [("a", 2000 * 12 + 7, None)]
+    got = {(r.cell, r.calendar, r.lead): r for r in climate.hindcast_skill(spark.createDataFrame(issues, "cell string, init int, lead int, value double"), spark.createDataFrame(observed, "cell string, month int, value double"), ["cell"]).collect()}
+    means = defaultdict(list)
+    for c, init, lead, v in issues:
+        if v is not None:
+            means[c, init + lead, lead].append(v)
+    pairs = defaultdict(list)
+    for (c, m, lead), vs in sorted(means.items()):
+        if (c, m) in seen:
+            pairs[c, m % 12 + 1, lead].append((np.mean(vs), seen[c, m]))
+    assert got.keys() == pairs.keys()
+    for k, both in pairs.items():
+        x, y = map(list, zip(*both, strict=True))
+        r = got[k]
+        assert r.n_years == len(x) and r.bias == pytest.approx(np.mean(x) - np.mean(y)) and r.hindcast_sd == pytest.approx(np.std(x, ddof=1)) and r.obs_sd == pytest.approx(np.std(y, ddof=1), abs=1e-12)
+        if k[0] == "a":
+            ax, ay = left_out(x), left_out(y)
+            assert r.skill_acc == pytest.approx(np.dot(ax, ay) / math.sqrt(np.dot(ax, ax) * np.dot(ay, ay)))
+        else:
+            assert r.skill_acc is None
+    table = climate.hindcast_skill(spark.createDataFrame(issues, "cell string, init int, lead int, value double"), spark.createDataFrame(observed, "cell string, month int, value double"), ["cell"])
+    out = climate.calibrated(spark.createDataFrame([("a", 2020 * 12, 1, 9.0), ("z", 2020 * 12, 0, 9.0)], "cell string, init int, lead int, value double"), table, ["cell"]).orderBy("cell").collect()
+    assert out[0].calibrated == pytest.approx(9.0 - got["a", 2, 1].bias) and out[0].skill_acc == got["a", 2, 1].skill_acc and out[1].calibrated is None
+
+
+def test_analogue_years_equal_a_plain_search(spark):
+    rng = random.Random(9)
+    rows = [(c, y * 12 + m, round(rng.gauss(m, 2), 2), rng.choice([None, 1.0, 2.0, 3.0]), 7.0) for c in ("a", "b", None) for y in range(1990, 2003) for m in range(12) if rng.random() > 0.1]
+    rows += [("a", y * 12 + m, 1.0 * y, 1.0 * m, 7.0) for y in (2010, 2011) for m in range(3)]
+    months, targets = [1, 2, 3, 12], [1995, 2001, 2010, 1900]
+    got = defaultdict(list)
+    for r in climate.analogue_years(spark.createDataFrame(rows, "cell string, month int, rain double, index double, same double"), ["cell"], ["rain", "index", "same"], targets, months, 4).collect():
+        got[r.cell, r.target].append((r["rank"], r.year, r.distance, r.n_parts))
+    values = defaultdict(dict)
+    for c, m, *vs in rows:
+        if m % 12 + 1 in months:
+            for name, v in zip(("rain", "index", "same"), vs, strict=True):
+                if v is not None:
+                    values[c, m % 12, name][m // 12] = v
+    z = defaultdict(dict)
+    for (c, m, name), by_year in values.items():
+        if len(by_year) > 1 and (sd := np.std(list(by_year.values()), ddof=1)) > 0:
+            for y, v in by_year.items():
+                z[c, y][m, name] = (v - np.mean(list(by_year.values()))) / sd
+    want = {}
+    for c, t in z:
+        if t in targets:
+            near = []
+            for d, y in z:
+                both = z[c, t].keys() & z[d, y].keys()
+                if d == c and y != t and both and 2 * len(both) >= len(z[c, t]):
+                    near.append((round(math.sqrt(sum((z[c, t][p] - z[d, y][p]) ** 2 for p in both) / len(both)), 9), y, len(both)))
+            if near:
+                want[c, t] = [(k + 1, y, pytest.approx(d, abs=1e-8), n) for k, (d, y, n) in enumerate(sorted(near)[:4])]
+    assert {k: sorted(v) for k, v in got.items()} == want and ("a", 1995) in want
+
+
+def test_vegetation_keeps_missing_composites(spark):
+    rng = random.Random(12)
+    scenes = [(c, dt.date(y, m, d), round(rng.uniform(0.1, 0.9), 3), rng.choice([0, 0, 1, 2, None])) for c in ("a", "b") for y in range(2000, 2006) for m in (1, 2, 12) for d in (1, 5, 10, 11, 20, 21, 28) if rng.random() > 0.3]
+    scenes += [("a", dt.date(2001, 1, 31), 2.5, 0), ("a", dt.date(2001, 1, 31), None, 0), ("b", dt.date(1999, 1, 1), 0.5, 0), ("same", dt.date(2000, 6, 1), 0.5, 0), *[("same", dt.date(y, 6, 2), 0.4, 1) for y in range(2001, 2005)]]
+    got = {(r.cell, r.dekad_start): r for r in climate.vegetation_anomaly(spark.createDataFrame(scenes, "cell string, date date, ndvi double, quality int"), ["cell"], 2000, 2005).collect()}
+    assert len(got) == 3 * 6 * 36
+    best = defaultdict(list)
+    for c, d, v, q in scenes:
+        if v is not None and -1 <= v <= 1 and q is not None and q <= 1 and 2000 <= d.year <= 2005:
+            best[c, d.month, min(d.day - 1, 29) // 10, d.year].append((q, -v))
+    best = {k: -min(v)[1] for k, v in best.items()}
+    for (c, start), r in got.items():
+        k = (c, start.month, (start.day - 1) // 10)
+        own, others = best.get((*k, start.year)), [best[*k, y] for y in range(2000, 2006) if y != start.year and (*k, y) in best]
+        assert r.ndvi == own and (r.ndvi_lta == pytest.approx(np.mean(others)) if len(others) >= 2 else r.ndvi_lta is None)
+        sd = np.std(others, ddof=1) if len(others) >= 2 else 0
+        if own is None or sd < 1e-9:
+            assert r.z is None
+        else:
+            assert r.z == pytest.approx((own - np.mean(others)) / sd, rel=1e-6) and r.anomaly_pct == pytest.approx((own / np.mean(others) - 1) * 100)
+    june = got["same", dt.date(2000, 6, 1)]
+    assert june.ndvi == 0.5 and june.ndvi_lta == pytest.approx(0.4) and june.z is None
+
+
+def test_dekads(spark):
+    days = [dt.date(2024, 1, 1) + dt.timedelta(k) for k in range(366)]
+    got = spark.createDataFrame([(d,) for d in days], "d date").select("d", climate.dekad("d").alias("k")).collect()
+    assert all(r.k == (r.d.month - 1) * 3 + (1 if r.d.day <= 10 else 2 if r.d.day <= 20 else 3) for r in got)

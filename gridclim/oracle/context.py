@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridclim.operators import climate, cyclones, snapshots
+from gridclim.operators import admin, climate, cyclones, snapshots
 from gridclim.oracle.registry import query, r6, r6_sql
 from gridclim.plans import projections as P
 
@@ -276,3 +276,40 @@ def _(spark, d):
     scenes = lines.select((F.col("l_suppkey") % 50).alias("cell"), F.to_date("l_shipdate").alias("date"), (F.col("l_discount") * 5 + F.col("l_tax") + 0.05).alias("ndvi"), (F.col("l_linenumber") % 4).alias("quality"))
     found = climate.vegetation_anomaly(scenes, ["cell"], 1993, 1997)
     return found.select("cell", "dekad_start", *r6("ndvi", "ndvi_lta"), (F.round("anomaly_pct", 5) + 0).alias("anomaly_pct"), (F.round("z", 5) + 0).alias("z"))
+
+
+# Administrative units
+
+# offsets in degrees: a slanted outer ring, its hole, which turns the same way, and a triangle elsewhere
+_SHAPES = [[[(0.0, 0.0), (1.31, 0.22), (1.02, 1.4), (-0.33, 0.91)], [(0.3, 0.3), (0.8, 0.42), (0.55, 0.87)]], [[(2.0, -1.0), (2.1, 0.35), (3.17, -0.41)]]]
+_POINTS = [(part, ring, k, *p, *points[(k + 1) % len(points)]) for part, shape in enumerate(_SHAPES) for ring, points in enumerate(shape) for k, p in enumerate(points)]
+P.CTES |= {
+    "sides": f"SELECT key, CASE WHEN ring = 0 THEN 1 ELSE -1 END AS hole, round(lon + a, 3) AS x0, round(lat + b, 3) AS y0, round(lon + c, 3) AS x1, round(lat + d, 3) AS y1 FROM sites, (VALUES {', '.join(map(str, _POINTS))}) AS t(part, ring, k, a, b, c, d)",
+    # all cells of each unit's box, by all of its edges: the area west of an edge within a cell is an integral of the clamped line
+    "boxes": "SELECT key, i, j, 90.125 - (i + 1) * 0.25 AS s, 90.125 - i * 0.25 AS n, j * 0.25 - 0.125 AS w, j * 0.25 + 0.125 AS e FROM (SELECT key, unnest(range(floor((90.125 - y) / 0.25)::BIGINT, floor((90.125 - v) / 0.25)::BIGINT + 1)) AS i, u, x FROM (SELECT key, max(y0) AS y, min(y0) AS v, min(x0) AS u, max(x0) AS x FROM sides GROUP BY key)), LATERAL (SELECT unnest(range(floor((u + 0.125) / 0.25)::BIGINT, floor((x + 0.125) / 0.25)::BIGINT + 1)) AS j)",
+    "cuts": """SELECT key, i, j, sum(hole * CASE WHEN hi > lo THEN sgn * (hi - lo) * (CASE WHEN abs(xb - xa) < 1e-12 THEN greatest(w, least(e, xa)) - w ELSE (CASE WHEN xb >= e THEN (e - w) * (xb - e) + (e - w) ** 2 / 2 WHEN xb <= w THEN 0 ELSE (xb - w) ** 2 / 2 END - CASE WHEN xa >= e THEN (e - w) * (xa - e) + (e - w) ** 2 / 2 WHEN xa <= w THEN 0 ELSE (xa - w) ** 2 / 2 END) / (xb - xa) END) ELSE 0 END) / 0.0625 AS share FROM (
+  SELECT *, x0 + (x1 - x0) * (lo - y0) / (y1 - y0) AS xa, x0 + (x1 - x0) * (hi - y0) / (y1 - y0) AS xb FROM (SELECT *, greatest(s, least(y0, y1)) AS lo, least(n, greatest(y0, y1)) AS hi, CASE WHEN y1 > y0 THEN 1 ELSE -1 END AS sgn FROM boxes JOIN sides USING (key) WHERE y0 <> y1)) GROUP BY ALL""",
+    "unit_shares": "SELECT key, i, j % 1440 + CASE WHEN j % 1440 < 0 THEN 1440 ELSE 0 END AS j, sum(abs(share)) AS share FROM cuts GROUP BY ALL HAVING sum(abs(share)) > 1e-9",
+}
+P._NEEDS |= {"sides": ["sites"], "boxes": ["sides"], "cuts": ["boxes"], "unit_shares": ["cuts"]}
+
+
+def units(spark, d):
+    """A multipolygon with a hole at each customer's place, as text."""
+    def text(points):
+        at = lambda p: F.format_string("%.3f %.3f", F.round(F.col("lon") + p[0], 3), F.round(F.col("lat") + p[1], 3))
+        return F.concat(F.lit("("), F.concat_ws(", ", *[at(p) for p in (*points, points[0])]), F.lit(")"))
+
+    parts = [F.concat(F.lit("("), F.concat_ws(", ", *[text(r) for r in shape]), F.lit(")")) for shape in _SHAPES]
+    return P.sites(spark, d).select("key", F.concat(F.lit("MULTIPOLYGON ("), F.concat_ws(", ", *parts), F.lit(")")).alias("wkt"))
+
+
+@query("c_admin_cells", ["unit_shares"], "SELECT key, to_base(i // 4 * 360 + j // 4, 36, 4) AS parent_id, to_base(i * 1440 + j, 36, 4) AS child_id, round(share, 6) AS area_fraction FROM unit_shares WHERE share > 1e-6")
+def _(spark, d):
+    return admin.admin_cells(units(spark, d), "key").where("area_fraction > 1e-6").select("key", "parent_id", "child_id", *r6("area_fraction"))
+
+
+@query("c_admin_area", ["sites"], f"SELECT key, round(sum(hole * abs(turn)) / 2, 6) AS area FROM (SELECT key, CASE WHEN ring = 0 THEN 1 ELSE -1 END AS hole, sum(a * d - c * b) AS turn FROM sites, (VALUES {', '.join(map(str, _POINTS))}) AS t(part, ring, k, a, b, c, d) GROUP BY key, part, ring) GROUP BY key")
+def _(spark, d):
+    """The cells' shares add up to each unit's area."""
+    return admin.admin_cells(units(spark, d), "key").groupBy("key").agg(F.round(F.sum("area_fraction") * 0.0625, 6).alias("area"))

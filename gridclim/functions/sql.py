@@ -8,6 +8,7 @@ _WRAPPED = "pmod(lon, 360D)"
 _ROW, _COL = "cast(rint((90D - lat) / 0.25D) as bigint)", f"cast(rint({_WRAPPED} / 0.25D) as bigint)"
 _FINE_ROW = "greatest(0, least(2399, floor((60D - lat) * 20 + 1e-9D)))"
 _FINE_COL = f"greatest(0, least(7199, floor({_WRAPPED} * 20 + 1e-9D)))"
+_ONE_DIGIT = "cast(cast(round(cast(coalesce(x, -99D) as decimal(20,12)), 1) as decimal(20,1)) as string)"
 FUNCTIONS = {
     "base36(n bigint, width int) returns string": "if(n >= 0 and n < pow(36, width), lpad(conv(cast(n as string), 10, 36), width, '0'), raise_error('not a base-36 number of this width'))",
     "base36_decode(code string) returns bigint": "if(code rlike '^[0-9A-Z]+$', cast(conv(code, 36, 10) as bigint), raise_error('not a base-36 code'))",
@@ -35,7 +36,7 @@ FUNCTIONS = {
     "relative_humidity(tmax double, tmin double, tdew double) returns double": "greatest(0D, least(100D, 100D * (0.6108D * exp(17.27D * tdew / (tdew + 237.3D))) / (0.6108D * exp(17.27D * ((tmax + tmin) / 2D) / ((tmax + tmin) / 2D + 237.3D)))))",
     "saturation_pressure(t double) returns double": "0.6108D * exp(17.27D * t / (t + 237.3D))",
     "wind_km_day(wind double) returns double": "wind * 0.748D * 86.4D",
-    "station_number(x double) returns string": "lpad(cast(round(cast(coalesce(x, -99D) as decimal(20,12)), 1) as decimal(20,1)), 6, ' ')",
+    "station_number(x double) returns string": f"if(length({_ONE_DIGIT}) > 6, raise_error(concat('does not fit six characters: ', {_ONE_DIGIT})), lpad({_ONE_DIGIT}, 6, ' '))",
 }
 
 

@@ -88,3 +88,9 @@ def reinstate(quarantined: DataFrame, values: DataFrame, variable: str) -> DataF
 
     rows = quarantined.drop("reason", "detected_at").join(values.select("child_id", F.col("value").alias("_v")), "child_id")
     return rows.withColumn(variable, F.col("_v")).drop("_v").withColumn("is_preliminary", F.lit(False)).withColumn("imputed", F.lit(IMPUTED_BITS[variable]).cast("short"))
+
+
+def repaired_beside(stored: DataFrame, values: DataFrame, variable: str, date) -> DataFrame:
+    """child_id, before, value: a day's stored values beside the repaired ones; cells of either alone drop out."""
+    day = stored.where(F.col("date") == F.lit(date).cast("date")).select("child_id", F.col(variable).alias("before"))
+    return day.join(values.select("child_id", "value"), "child_id")

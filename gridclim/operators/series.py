@@ -168,6 +168,14 @@ def compare_rain(rows: DataFrame, keys: list[str], period: str = "date") -> Data
     return rows.groupBy(*keys, when.alias(period)).pivot("rain_source", ["era5", *text.RAIN_SOURCES]).agg(F.sum("precip"))
 
 
+def source_totals(rain: DataFrame, stored: DataFrame) -> DataFrame:
+    """One row: the sum of each product's rain, by its name, and how many rows of the record are preliminary and repaired."""
+    names = list(text.RAIN_SOURCES)
+    sums = rain.agg(*[F.sum(F.when(F.col("source") == text.RAIN_SOURCES[n], F.col("precip"))).alias(n) for n in names])
+    counts = stored.agg(F.count_if("is_preliminary").alias("n_prelim"), F.count_if(F.coalesce("imputed", F.lit(0)) != 0).alias("n_repaired"))
+    return sums.withColumn("_one", F.lit(1)).join(counts.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
 def precip_compare(stored: DataFrame, alt: DataFrame, weights: DataFrame) -> DataFrame:
     """The record's rain beside each product's area-weighted rain: child_id, date, source, own, other, coverage, n."""
     other = weighted_rain(alt, weights).withColumnRenamed("rain", "alt_precip")

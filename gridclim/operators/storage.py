@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,16 +85,27 @@ def replace_window(old: DataFrame, new: DataFrame, inside: Column, repaired: Dat
     return old.where(~F.coalesce(inside, F.lit(False))).unionByName(fresh)
 
 
+def numbered(rows: DataFrame, name: str, first: str, second: str, rest: list[str]) -> DataFrame:
+    """The rows with their number from 1 on in order of the columns: by prefix sums over the counts of `first`, which has few values, and of
+    `second` within it, so that no task holds more than the rows of one pair."""
+    counts = rows.groupBy(first, second).agg(F.count("*").alias("_n"))
+    inner = counts.withColumn("_base", F.sum("_n").over(Window.partitionBy(first).orderBy(second)) - F.col("_n")).drop("_n")
+    sizes = counts.groupBy(first).agg(F.sum("_n").alias("_n")).agg(F.array_sort(F.collect_list(F.struct(F.col(first).alias("k"), F.col("_n").alias("n")))).alias("all"))
+    upto = lambda k: F.aggregate(F.slice("all", 1, k), F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    outer = sizes.select(F.explode(F.transform("all", lambda x, k: F.struct(x["k"].alias(first), upto(k).alias("_before")))).alias("o")).select("o.*")
+    place = F.row_number().over(Window.partitionBy(first, second).orderBy(*rest)).cast("long")
+    placed = rows.withColumn("_place", place).join(inner, [first, second]).join(outer, first)
+    return placed.withColumn(name, F.col("_before") + F.col("_base") + F.col("_place")).drop("_before", "_base", "_place")
+
+
 def record_findings(issues: DataFrame, findings: DataFrame) -> DataFrame:
     """Registry with refreshed evidence: cells and detail from the findings; number, status, resolution and detection time stay.
 
     New issues are numbered after the largest number so far, in order of variable, date and detector.
     """
     keys = ["variable", "date", "detector"]
-    from pyspark.sql import Window
-
     known = findings.join(issues.select(*keys, "issue_id", "status", "resolution", "detected_at", "resolved_at"), keys, "left")
-    fresh = known.where("issue_id is null").drop("issue_id").withColumn("issue_id", F.row_number().over(Window.orderBy(*keys)) + F.lit(0).cast("long"))
+    fresh = numbered(known.where("issue_id is null").drop("issue_id"), "issue_id", *keys[:2], keys[2:])
     most = issues.agg(F.coalesce(F.max("issue_id"), F.lit(0)).alias("_most"))
     fresh = fresh.crossJoin(F.broadcast(most)).withColumn("issue_id", F.col("issue_id") + F.col("_most")).drop("_most")
     rows = known.where("issue_id is not null").unionByName(fresh).withColumn("status", F.coalesce("status", F.lit("detected")))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridclim.operators import admin, climate, cyclones, snapshots
+from gridclim.functions import grid
+from gridclim.operators import admin, climate, cyclones, snapshots, spatial
 from gridclim.oracle.registry import query, r6, r6_sql
 from gridclim.plans import projections as P
 
@@ -313,3 +314,32 @@ def _(spark, d):
 def _(spark, d):
     """The cells' shares add up to each unit's area."""
     return admin.admin_cells(units(spark, d), "key").groupBy("key").agg(F.round(F.sum("area_fraction") * 0.0625, 6).alias("area"))
+
+# a slanted polygon with a hole, and another polygon: lon and lat of the rings
+_REGION = [[[(-150.3, -48.7), (20.4, -55.1), (95.2, 31.9), (-40.6, 52.3)], [(-60.2, -20.1), (10.7, -24.9), (-5.3, 12.6)]], [[(120.1, -50.2), (171.3, -11.4), (133.8, 40.9)]]]
+_REGION_WKT = "MULTIPOLYGON (" + ", ".join("(" + ", ".join("(" + ", ".join(f"{x} {y}" for x, y in [*ring, ring[0]]) + ")" for ring in shape) + ")" for shape in _REGION) + ")"
+_REGION_SIDES = [(1 if ring == 0 else -1, part, ring, *p, *points[(k + 1) % len(points)]) for part, shape in enumerate(_REGION) for ring, points in enumerate(shape) for k, p in enumerate(points)]
+_CLAMPED = "(CASE WHEN {0} >= e THEN (e - w) * ({0} - e) + (e - w) ** 2 / 2 WHEN {0} <= w THEN 0 ELSE ({0} - w) ** 2 / 2 END)"
+P.CTES |= {
+    "centres": f"SELECT DISTINCT u, child_id, 90.0 - {P.lat_sql('lat')} * 0.25 AS lat, CASE WHEN {P.lon_sql('lon')} * 0.25 > 180 THEN {P.lon_sql('lon')} * 0.25 - 360 ELSE {P.lon_sql('lon')} * 0.25 END AS lon FROM cells",
+    "region": f"""SELECT u, child_id, sum(share) AS weight FROM (SELECT u, child_id, part, ring, any_value(hole) * abs(sum(CASE WHEN hi > lo THEN sgn * (hi - lo) * (CASE WHEN abs(xb - xa) < 1e-12 THEN greatest(w, least(e, xa)) - w ELSE ({_CLAMPED.format('xb')} - {_CLAMPED.format('xa')}) / (xb - xa) END) ELSE 0 END)) / 0.0625 AS share FROM (
+  SELECT *, x0 + (x1 - x0) * (lo - y0) / (y1 - y0) AS xa, x0 + (x1 - x0) * (hi - y0) / (y1 - y0) AS xb FROM (SELECT *, lat - 0.125 AS s, lat + 0.125 AS n, lon - 0.125 AS w, lon + 0.125 AS e, greatest(lat - 0.125, least(y0, y1)) AS lo, least(lat + 0.125, greatest(y0, y1)) AS hi, CASE WHEN y1 > y0 THEN 1 ELSE -1 END AS sgn
+    FROM centres, (VALUES {', '.join(map(str, _REGION_SIDES))}) AS t(hole, part, ring, x0, y0, x1, y1))) GROUP BY ALL) GROUP BY ALL HAVING sum(share) > 1e-9""",
+}
+P._NEEDS |= {"centres": ["cells"], "region": ["centres"]}
+
+
+def _region(spark, d):
+    at = grid.cell_center("lat", "lon")
+    cells = P.cells(spark, d).select("u", "child_id", at["lat"].alias("lat"), at["lon"].alias("lon"))
+    return spatial.polygon_weights(cells, _REGION_WKT).where("weight > 1e-9").select("u", "child_id", "weight")
+
+
+@query("j_polygon_slanted", ["region"], "SELECT u, child_id, round(weight, 6) AS weight FROM region")
+def _(spark, d):
+    return _region(spark, d).select("u", "child_id", *r6("weight"))
+
+
+@query("a_region_slanted", ["region", "stored"], "SELECT date, round(sum(tmax * weight) / sum(weight) FILTER (tmax IS NOT NULL), 6) AS tmax, count(*) AS n_cells FROM stored JOIN region USING (child_id) GROUP BY date")
+def _(spark, d):
+    return spatial.region_mean(P.stored(spark, d), _region(spark, d), ["tmax"]).select("date", *r6("tmax"), "n_cells")

@@ -681,9 +681,7 @@ def _(spark, d):
 
 @query("a_source_totals", ["rain_now", "stored"], "SELECT sum(precip) FILTER (source = 2) AS chirps_v2, sum(precip) FILTER (source = 3) AS chirps_v3_rnl, (SELECT count(*) FILTER (is_preliminary) FROM stored) AS n_prelim, (SELECT count(*) FILTER (imputed <> 0) FROM stored) AS n_repaired FROM rain_now")
 def _(spark, d):
-    rain = P.rain_now(spark, d).agg(F.sum(F.when(F.col("source") == 2, F.col("precip"))).alias("chirps_v2"), F.sum(F.when(F.col("source") == 3, F.col("precip"))).alias("chirps_v3_rnl"))
-    counts = P.stored(spark, d).agg(F.count_if("is_preliminary").alias("n_prelim"), F.count_if(F.col("imputed") != 0).alias("n_repaired"))
-    return rain.crossJoin(F.broadcast(counts))
+    return series.source_totals(P.rain_now(spark, d), P.stored(spark, d)).select("chirps_v2", "chirps_v3_rnl", "n_prelim", "n_repaired")
 
 
 @query("a_defects", ["stored"], "SELECT date, value, n FROM (SELECT date, CASE WHEN u % 3 = 0 THEN 20.5::DOUBLE ELSE round(tmax, 6) END AS value, count(*) AS n FROM stored WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-15' GROUP BY ALL) WHERE n > 3")
@@ -774,9 +772,8 @@ def _(spark, d):
 def _(spark, d):
     """Current values beside the repaired ones; repaired cells without a row, and rows without a repair, drop out."""
     rows, _ = _named(spark, d)
-    day = rows.where(F.col("date") == _DAY("2024-01-10")).select("child_id", F.col("tmax").alias("before"))
     values = P.cells(spark, d).where("u % 4 = 1").select(F.col("u").cast("string").alias("child_id"), F.lit(20.5).alias("value"))
-    return day.join(values, "child_id").select("child_id", *r6("before", "value"))
+    return repair.repaired_beside(rows, values, "tmax", "2024-01-10").select("child_id", *r6("before", "value"))
 
 
 @query("j_reinstate", ["stored"], "SELECT u::VARCHAR AS child_id, date, 20.5::DOUBLE AS tmax, round(tmin, 6) AS tmin, false AS is_preliminary, 1 AS imputed FROM stored WHERE u % 4 = 1")

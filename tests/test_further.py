@@ -1,10 +1,11 @@
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridclim.functions import grid
+from gridclim.functions import grid, sql
 from gridclim.operators import runs, series, spatial, snapshots, storage
 from gridclim.plans import jobs
 from gridclim.sources import bronze, raster
@@ -91,3 +92,21 @@ def test_loads_of_nothing_fail(spark, tmp_path):
     meta = spark.createDataFrame([("0001", 1.0, 2.0)], "child_id string, lat double, elevation double")
     with pytest.raises(RuntimeError):
         jobs.transform_years(spark, f"{tmp_path}/none", jobs.Tables(f"{tmp_path}/t"), meta, [2020, 2021], datetime.date(2022, 1, 1))
+
+
+def test_new_findings_are_numbered_without_one_window(spark):
+    issues = spark.createDataFrame([(7, "tmax", datetime.date(2020, 1, 1), "d", 3, "{}", "imputed", None, None, None)], "issue_id long, variable string, date date, detector string, cells long, detail string, status string, resolution string, detected_at timestamp, resolved_at timestamp")
+    found = [(v, datetime.date(2020, 1, 1) + datetime.timedelta(k), x, 9, "{}") for v in ("tmin", "precip", "tmax") for k in (2, 0, 1) for x in ("e", "d")]
+    out = storage.record_findings(issues, spark.createDataFrame(found, "variable string, date date, detector string, cells long, detail string"))
+    fresh = sorted(f[:3] for f in found if f[:3] != ("tmax", datetime.date(2020, 1, 1), "d"))
+    want = {k: 8 + n for n, k in enumerate(fresh)} | {("tmax", datetime.date(2020, 1, 1), "d"): 7}
+    assert {(r.variable, r.date, r.detector): r.issue_id for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(" in plan and not re.search(r"windowspecdefinition\(\w+#\d+L? (ASC|DESC)", plan)
+
+
+def test_wide_station_numbers_are_an_error(spark):
+    sql.register(spark)
+    assert spark.sql("SELECT station_number(9999.94D), station_number(NULL), station_number(-0.25D)").first()[:2] == ("9999.9", " -99.0")
+    with pytest.raises(Exception, match="does not fit"):
+        spark.sql("SELECT station_number(x) FROM VALUES (12345.6D) AS t(x)").collect()

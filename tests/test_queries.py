@@ -12,7 +12,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
 NAMES = sorted(k for k in entry.oracle_sql() if not k.startswith("op"))
 #: Polygons, and sources of formats that Spark does not read.
-PYTHON = {"st_upsert", "a_region_weighted", "j_polygon_cells", "j_polygon_weights", "t_fine_region", "t_export_region", "r_dbf", "r_geotiff", "r_netcdf"}
+PYTHON = {"st_upsert", "j_polygon_slanted", "a_region_slanted", "a_region_weighted", "j_polygon_cells", "j_polygon_weights", "t_fine_region", "t_export_region", "r_dbf", "r_geotiff", "r_netcdf"}
 
 
 @pytest.fixture(scope="module")

@@ -10,6 +10,7 @@ import json
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -302,14 +303,24 @@ class Store:
             return np.frombuffer(f.read(), dtype)
 
 
+#: Bytes of texts, and so many for each row besides, of one part.
+PART_BYTES, ROW_BYTES = 64 << 20, 64
+
+
+def part_count(df: DataFrame, text_col: str) -> int:
+    """Parts of a size, so that their number grows with the table and what a task holds does not; a part for each core at least."""
+    size = df.agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + ROW_BYTES)).first()[0] or 0
+    return max(-(-size // PART_BYTES), df.sparkSession.sparkContext.defaultParallelism)
+
+
 _MANIFEST = T.StructType([T.StructField("part", T.LongType()), T.StructField("n_docs", T.LongType()), T.StructField("n_ids", T.LongType())])
 
 
 def write_token_files(df: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = 2, partitions: int | None = None, added: bool = False) -> DataFrame:
     """Writes flat files in ascending id order and returns their manifest (part, n_docs, n_ids, base_doc, base_id).
 
-    Documents are dealt by ranges of the id and sorted within; equal ids go by text, null ids come first, null
-    texts are empty. part-N.bin holds unsigned 16-bit (or, for larger vocabularies, 32-bit) little-endian ids,
+    Documents are dealt by ranges of the id, in `partitions` or else in parts of about PART_BYTES, and sorted within; equal ids go by
+    text, null ids come first, null texts are empty. part-N.bin holds unsigned 16-bit (or, for larger vocabularies, 32-bit) little-endian ids,
     part-N.idx a 64-bit count n, n + 1 offsets within the part, n ids and n null flags. Bases are prefix sums
     over the manifest, of one row for each file. With `added`, strings of added tokens in a text become these tokens,
     the library's default; else they are spelled out.
@@ -322,20 +333,20 @@ def write_token_files(df: DataFrame, folder: str, id_col: str = "doc_id", text_c
     width = "<u2" if largest < 1 << 16 else "<u4"
     key = (zlib.crc32(definition.encode()), width, added)
     spark = df.sparkSession
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    n = partitions or part_count(df, text_col)
 
     def run(batches):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         encoder, store = kept("ids", key, lambda: ByteEncoder(definition, width, added)), Store(folder)
-        ids, nulls, sizes = [], [], []
+        ids, sizes, nulls = array("q"), array("q"), bytearray()
         end = np.array([end_id], width).tobytes()
 
         def encoded():
             for batch in batches:
-                ids.extend(x or 0 for x in batch.column(0).to_pylist())
-                nulls.extend(int(x is None) for x in batch.column(0).to_pylist())
+                ids.frombytes(batch.column(0).fill_null(0).to_numpy().astype("<i8").tobytes())
+                nulls.extend(batch.column(0).is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes())
                 for some in _slices([x.decode() for x in column_bytes(batch.column(1))], 2 << 20):
                     for found in encoder.encode(some):
                         sizes.append(len(found) // len(end) + 1)
@@ -343,7 +354,8 @@ def write_token_files(df: DataFrame, folder: str, id_col: str = "doc_id", text_c
 
         store.write(f"part-{part:06d}.bin", encoded())
         offsets = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))])
-        store.write(f"part-{part:06d}.idx", [np.concatenate([[len(ids)], offsets, ids, nulls]).astype("<i8").tobytes()])
+        index = (np.array([len(ids)]), offsets, np.array(ids, np.int64), np.array(nulls, np.uint8))
+        store.write(f"part-{part:06d}.idx", (x.astype("<i8").tobytes() for x in index))
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([int(offsets[-1])], pa.int64())], _MANIFEST.names)
 
     dealt = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).repartitionByRange(n, "id").sortWithinPartitions("id", "text")
@@ -377,8 +389,8 @@ def read_token_files(manifest: DataFrame, folder: str, id_col: str = "doc_id", w
                         columns.append(pa.array([e.tolist() for e in each], pa.list_(pa.int64())))
                     yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
-    n = max(1, manifest.sparkSession.sparkContext.defaultParallelism)
-    return manifest.repartition(n * 2).mapInArrow(run, T.StructType(fields))
+    n = max(2 * manifest.sparkSession.sparkContext.defaultParallelism, manifest.count())
+    return manifest.repartition(n).mapInArrow(run, T.StructType(fields))
 
 
 def token_files(df: DataFrame, name: str = "tokens") -> DataFrame:

@@ -29,11 +29,13 @@ BUCKET_DOCS = 4000
 
 @dataclass
 class Mixture:
-    """targets: a row for each source; slots: the schedule; taken: a row for each document."""
+    """targets: a row for each source; slots: the schedule; taken: a row for each document; placed: where each document's words stand in
+    its source's stream (doc_id, source, size, src, at)."""
 
     targets: DataFrame
     slots: DataFrame
     taken: DataFrame
+    placed: DataFrame
 
 
 def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -145,7 +147,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     taken = pieces.join(picks, ["src", "block"]).groupBy("src", "at").agg(F.sum(words).alias("taken"))
     found = placed.join(taken.withColumn("some", F.lit(True)), ["src", "at"], "left")
     out = found.select("doc_id", "source", "size", "source_size", "target", F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("taken"))
-    return Mixture(targets, slots, out)
+    return Mixture(targets, slots, out, placed)
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
@@ -159,6 +161,38 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
+def scheduled_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, most: int = MOST_PASSES, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """slot, source, n_words, doc_ids and text of each slot of the schedule: the mixture in the order of training, a block of a source's
+    words to a slot, with one space between words.
+
+    Written by `write_token_files` with `slot` as the id, the files hold the mixture in this order. A document's words are in as many
+    blocks as they reach, in order; the last pass of a source ends at the word at which its target is met. Rows that share id,
+    source and size are told apart by their texts. Else as in `mix`.
+    """
+    m = mix(docs, id_col, text_col, source_col, weights, most, block_words)
+    same = ["doc_id", "source", "size"]
+    words = F.array_remove(F.split(text_col, r"[\x20\x09-\x0D]+"), "")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("words"), F.xxhash64(text_col).alias("h")).withColumn("size", F.size("words").cast("long")).where("size > 0")
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*same).orderBy("h")))
+    placed = m.placed.where("size > 0").withColumn("nth", F.row_number().over(Window.partitionBy(*same).orderBy("at"))).select(*same, "nth", "src", "at")
+    met = rows.alias("r").join(placed.alias("p"), [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in [*same, "nth"]]).select("r.doc_id", "r.source", "p.src", "p.at", "r.size", "r.words")
+
+    def piece(block):
+        begin = F.greatest(F.lit(0), block * block_words - F.col("at"))
+        end = F.least("size", (block + 1) * block_words - F.col("at"))
+        return F.struct(block.alias("block"), (F.col("at") + begin - block * block_words).alias("offset"), F.slice("words", (begin + 1).cast("int"), (end - begin).cast("int")).alias("words"))
+
+    blocks = F.sequence(F.expr(f"at div {block_words}"), F.expr(f"(at + size - 1) div {block_words}"))
+    pieces = met.select("doc_id", "source", "src", F.explode(F.transform(blocks, piece)).alias("x")).select("doc_id", "source", "src", "x.*")
+    cut = F.when(F.col("pass") < F.col("passes"), block_words).otherwise(F.least(F.lit(block_words), F.col("rest") - F.col("block") * block_words))
+    slots = m.slots.join(m.targets.select("src", "passes", "rest"), "src").select("slot", "src", "block", cut.alias("cut"))
+    dealt = slots.join(pieces, ["src", "block"]).where(F.col("offset") < F.col("cut"))
+    kept = F.slice("words", F.lit(1), F.greatest(F.lit(0), F.least(F.size("words"), (F.col("cut") - F.col("offset")).cast("int"))))
+    slotted = dealt.select("slot", "source", F.struct("offset", "doc_id", kept.alias("words")).alias("x")).groupBy("slot").agg(F.first("source").alias("source"), F.array_sort(F.collect_list("x")).alias("x"))
+    every = F.flatten(F.transform("x", lambda p: p["words"]))
+    return slotted.select("slot", "source", F.size(every).cast("long").alias("n_words"), F.transform("x", lambda p: p["doc_id"]).alias("doc_ids"), F.concat_ws(" ", every).alias("text"))
+
+
 def op7_golden_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`mix` of all documents: what it takes of each."""
     return mix(spread(read_table(spark, sf_dir, "documents"))).taken.select("doc_id", "size", "source_size", "target", "taken")

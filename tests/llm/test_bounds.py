@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from gridclim.llm import audit, decontaminate, queries, toxicity
+from gridclim.llm import audit, decontaminate, mixing, queries, tokens, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -148,3 +148,45 @@ def test_toxicity_query_equals_a_plain_chain(spark):
 def test_filter_query_reads_the_documents_once(spark):
     plan = audit.op13_filter_cube(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "documents.parquet" not in plan and "survivors" in plan
+
+
+def test_parts_follow_the_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(tokens, "PART_BYTES", 4_000)
+    few = spark.range(200).selectExpr("id AS doc_id", "repeat('some words ', 20) AS text")
+    many = spark.range(2000).selectExpr("id AS doc_id", "repeat('some words ', 20) AS text")
+    n, m = tokens.part_count(few, "text"), tokens.part_count(many, "text")
+    assert n == -(-200 * (220 + tokens.ROW_BYTES) // 4_000) and 9 * n < m <= 10 * n
+    manifest = tokens.write_token_files(many, f"{tmp_path}/t").collect()
+    assert 0.9 * m < len(manifest) <= m and sum(r.n_docs for r in manifest) == 2000 and max(r.n_docs for r in manifest) < 4 * 2000 / m
+    rows = sorted(tokens.read_token_files(spark.createDataFrame(manifest), f"{tmp_path}/t").collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == list(range(2000)) and all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:], strict=False))
+    assert tokens.part_count(many.selectExpr("doc_id", "CAST(NULL AS STRING) AS text"), "text") == max(8, -(-2000 * tokens.ROW_BYTES // 4_000))
+
+
+def test_the_schedule_reaches_the_files(spark, tmp_path):
+    rng = random.Random(13)
+    rows = [(k, " ".join(f"d{k}w{i}" for i in range(rng.choice([0, 1, 3, 7, 40]))), rng.choice(["a", "b", "b", "b", None])) for k in range(120)]
+    rows += [(7, "again one two", "a"), (7, "again other two", "a"), (None, "x y z", "b"), (500, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    blocks = mixing.scheduled_blocks(docs, block_words=5)
+    got = sorted(blocks.collect())
+    assert [r.slot for r in got] == list(range(len(got))) and all(r.n_words == len(r.text.split()) <= 5 for r in got)
+    taken = Counter()
+    for r in mixing.mix(docs, block_words=5).taken.collect():
+        taken[r.doc_id] += r.taken
+    seen = Counter(w for r in got for w in r.text.split())
+    by_doc = Counter()
+    for w, n in seen.items():
+        if w.startswith("d"):
+            by_doc[int(w[1:].split("w")[0])] += n
+    assert all(by_doc[k] == n for k, n in taken.items() if k not in (7, None)) and sum(r.n_words for r in got) == sum(taken.values())
+    totals = Counter()
+    for r in got:
+        totals[r.source] += r.n_words
+    whole, so_far, words = sum(totals.values()), Counter(), 0
+    for r in got:
+        so_far[r.source] += r.n_words
+        words += r.n_words
+        assert all(abs(so_far[s] - totals[s] * words / whole) <= 3 * 5 for s in totals)
+    manifest = tokens.write_token_files(blocks, f"{tmp_path}/t", id_col="slot")
+    assert [r.slot for r in sorted(tokens.read_token_files(manifest, f"{tmp_path}/t", id_col="slot").collect(), key=lambda r: r.start)] == list(range(len(got)))

@@ -10,8 +10,9 @@ from gridclim.operators import admin, climate, cyclones, snapshots, spatial
 from gridclim.oracle.registry import query, r6, r6_sql
 from gridclim.plans import projections as P
 
+# divisors that leave no short decimals keep means from lying halfway between two rounded values
 P.CTES |= {
-    "days": "SELECT l_suppkey AS u, l_shipdate::DATE AS date, sum(l_quantity) AS precip, avg(l_discount) * 300 AS tmax, avg(l_tax) * 200 AS tmin FROM lineitem GROUP BY ALL",
+    "days": "SELECT l_suppkey AS u, l_shipdate::DATE AS date, sum(l_quantity) AS precip, avg(l_discount) / 0.0033::DOUBLE AS tmax FROM lineitem GROUP BY ALL",
     "rain_months": "SELECT u, (year(date) * 12 + month(date) - 1)::INTEGER AS month, sum(precip) AS precip FROM days GROUP BY ALL",
     "rolled": """SELECT u, month, scale, total FROM (
   SELECT u, month, scale, sum(precip) OVER w AS total, count(*) OVER w AS k FROM (SELECT u, month, precip, unnest([1, 3, 6, 12]) AS scale FROM rain_months)
@@ -41,7 +42,7 @@ P._NEEDS["spi"] = ["chances"]
 
 
 def days(spark, d):
-    return P.table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("u"), F.to_date("l_shipdate").alias("date")).agg(F.sum("l_quantity").alias("precip"), (F.avg("l_discount") * 300).alias("tmax"), (F.avg("l_tax") * 200).alias("tmin"))
+    return P.table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("u"), F.to_date("l_shipdate").alias("date")).agg(F.sum("l_quantity").alias("precip"), (F.avg("l_discount") / 0.0033).alias("tmax"))
 
 
 def rain_months(spark, d):
@@ -114,7 +115,7 @@ def _phases_sql(limit: float) -> str:
 
 
 P.CTES |= {
-    "order_months": "SELECT o_orderpriority AS name, (year(o_orderdate) * 12 + month(o_orderdate) - 1)::INTEGER AS month, avg(o_totalprice) / 1000 AS value FROM orders GROUP BY ALL",
+    "order_months": "SELECT o_orderpriority AS name, (year(o_orderdate) * 12 + month(o_orderdate) - 1)::INTEGER AS month, avg(o_totalprice / 997) AS value FROM orders GROUP BY ALL",
     "off": "SELECT name, month, value - avg(value) OVER (PARTITION BY name, month % 12) AS off FROM order_months",
     "month_series": "SELECT a.name, a.month AS step, avg(b.off) AS value FROM off a JOIN off b ON a.name = b.name AND b.month BETWEEN a.month - 1 AND a.month + 1 GROUP BY ALL HAVING count(*) = 3",
 }
@@ -124,7 +125,7 @@ P._NEEDS |= {"off": ["order_months"], "month_series": ["off"]}
 @query("c_sustained_phases", ["month_series"], _phases_sql(2.0).replace("FROM series", "FROM month_series"))
 def _(spark, d):
     """Monthly mean prices of orders by priority as indices: three-month means of their anomalies."""
-    orders = P.table(spark, d, "orders").select(F.col("o_orderpriority").alias("name"), climate.month_number("o_orderdate").alias("month"), (F.col("o_totalprice") / 1000).alias("v"))
+    orders = P.table(spark, d, "orders").select(F.col("o_orderpriority").alias("name"), climate.month_number("o_orderdate").alias("month"), (F.col("o_totalprice") / 997).alias("v"))
     months = orders.groupBy("name", "month").agg(F.avg("v").alias("value"))
     index = climate.seasonal_anomaly(months, ["name"]).withColumnRenamed("month", "step")
     return climate.sustained_phases(index, ["name"], step="step", threshold=2.0).select("name", "step", F.round("value", 4).alias("value"), "phase", "length")
@@ -211,8 +212,8 @@ def _(spark, d):
 # Skill, analogue years, vegetation
 
 P.CTES |= {
-    "shipped": "SELECT l_suppkey % 20 AS zone, (year(l_shipdate) * 12 + month(l_shipdate) - 1)::INTEGER AS month, avg(l_quantity) AS value, avg(l_discount) AS disc FROM lineitem GROUP BY ALL",
-    "hindcasts": "SELECT l_suppkey % 20 AS zone, (year(l_shipdate) * 12 + month(l_shipdate) - 1 - l_linenumber % 3)::INTEGER AS init, (l_linenumber % 3)::INTEGER AS lead, l_extendedprice / 1000 AS value FROM lineitem",
+    "shipped": "SELECT l_suppkey % 20 AS zone, (year(l_shipdate) * 12 + month(l_shipdate) - 1)::INTEGER AS month, avg(l_quantity) / 0.7::DOUBLE AS value, avg(l_discount) AS disc FROM lineitem GROUP BY ALL",
+    "hindcasts": "SELECT l_suppkey % 20 AS zone, (year(l_shipdate) * 12 + month(l_shipdate) - 1 - l_linenumber % 3)::INTEGER AS init, (l_linenumber % 3)::INTEGER AS lead, l_extendedprice / 997 AS value FROM lineitem",
     "verified": "SELECT zone, h.month, lead, x, value AS y FROM (SELECT zone, init + lead AS month, lead, avg(value) AS x FROM hindcasts GROUP BY ALL) h JOIN shipped USING (zone, month)",
 }
 P._NEEDS |= {"verified": ["shipped", "hindcasts"]}
@@ -220,12 +221,12 @@ P._NEEDS |= {"verified": ["shipped", "hindcasts"]}
 
 def shipped(spark, d):
     rows = P.table(spark, d, "lineitem").select((F.col("l_suppkey") % 20).alias("zone"), climate.month_number("l_shipdate").alias("month"), "l_quantity", "l_discount")
-    return rows.groupBy("zone", "month").agg(F.avg("l_quantity").alias("value"), F.avg("l_discount").alias("disc"))
+    return rows.groupBy("zone", "month").agg((F.avg("l_quantity") / 0.7).alias("value"), F.avg("l_discount").alias("disc"))
 
 
 def hindcasts(spark, d):
     lead = (F.col("l_linenumber") % 3).cast("int")
-    return P.table(spark, d, "lineitem").select((F.col("l_suppkey") % 20).alias("zone"), (climate.month_number("l_shipdate") - lead).alias("init"), lead.alias("lead"), (F.col("l_extendedprice") / 1000).alias("value"))
+    return P.table(spark, d, "lineitem").select((F.col("l_suppkey") % 20).alias("zone"), (climate.month_number("l_shipdate") - lead).alias("init"), lead.alias("lead"), (F.col("l_extendedprice") / 997).alias("value"))
 
 
 @query(

@@ -15,7 +15,7 @@ from gridclim.functions.special import let
 
 EARTH_KM = 6371.0088
 #: Degrees of a bin's side, most degrees of a piece, and seconds of a block of a track.
-BIN, PIECE, BLOCK = 1.0, 2.0, 30 * 86400
+BIN, PIECE, BLOCK = 2.5, 4.0, 30 * 86400
 # fixed values: the Saffir-Simpson scale, least sustained wind in knots
 CATEGORIES = (("5", 137), ("4", 113), ("3", 96), ("2", 83), ("1", 64), ("TS", 34))
 
@@ -91,8 +91,8 @@ def bin_of(lat: Column, lon: Column, size: float = BIN) -> Column:
 
 
 def reached_bins(radius_km: float, size: float = BIN, piece: float = PIECE) -> Column:
-    """The bins that a segment's surroundings meet, each once: those of pieces of at most `piece` degrees."""
-    ends = F.struct(unit_vector(F.col("lat0"), F.col("lon0")).alias("a"), unit_vector(F.col("lat1"), F.col("lon1")).alias("b"), F.greatest(F.lit(1), F.ceil(F.degrees("_length") / piece).cast("int")).alias("n"))
+    """The bins that the surroundings of a segment of `with_arcs` meet, each once: those of pieces of at most `piece` degrees."""
+    ends = F.struct(_whole("_a").alias("a"), _whole("_b").alias("b"), F.greatest(F.lit(1), F.ceil(F.degrees("_length") / piece).cast("int")).alias("n"))
     whole = F.col("_length")
 
     def middle(v: Column, k: Column) -> Column:
@@ -109,14 +109,30 @@ def reached_bins(radius_km: float, size: float = BIN, piece: float = PIECE) -> C
     return let(ends, lambda v: F.array_distinct(F.flatten(pieces(v))))
 
 
-def distance_km(a: Column, b: Column, p: Column) -> Column:
-    """From a place to the great-circle arc between two others, all as unit vectors: across it where the place lies beside the arc, else
-    to the nearer end."""
-    n = _cross(a, b)
-    size = F.sqrt(_dot(n, n))
-    beside = (size > 1e-12) & (_dot(_cross(n, a), p) >= 0) & (_dot(_cross(b, n), p) >= 0)
-    across = F.abs(F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), _dot(n, p) / size))))
-    return EARTH_KM * F.when(beside, across).otherwise(F.least(_angle(a, p), _angle(b, p)))
+def _parts(v: Column, name: str) -> dict[str, Column]:
+    return {f"{name}{c}": v[c] for c in "xyz"}
+
+
+def _whole(name: str) -> Column:
+    return F.struct(*[F.col(f"{name}{c}").alias(c) for c in "xyz"])
+
+
+def with_arcs(legs: DataFrame) -> DataFrame:
+    """Segments with their length and what a distance to them needs, as plain columns that are computed once a segment: both ends, the arc's
+    normal, and the normals of the planes that bound what lies beside the arc."""
+    rows = legs.withColumns(_parts(unit_vector(F.col("lat0"), F.col("lon0")), "_a") | _parts(unit_vector(F.col("lat1"), F.col("lon1")), "_b"))
+    rows = rows.withColumns(_parts(_cross(_whole("_a"), _whole("_b")), "_n") | {"_length": _angle(_whole("_a"), _whole("_b"))})
+    rows = rows.withColumn("_size", F.sqrt(_dot(_whole("_n"), _whole("_n"))))
+    return rows.withColumns(_parts(_cross(_whole("_n"), _whole("_a")), "_f") | _parts(_cross(_whole("_b"), _whole("_n")), "_g"))
+
+
+def distance_km() -> Column:
+    """From a place (_px, _py, _pz) to the great-circle arc of `with_arcs`: across it where the place lies beside the arc, else to the
+    nearer end."""
+    p = _whole("_p")
+    beside = (F.col("_size") > 1e-12) & (_dot(_whole("_f"), p) >= 0) & (_dot(_whole("_g"), p) >= 0)
+    across = F.abs(F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), _dot(_whole("_n"), p) / F.col("_size")))))
+    return EARTH_KM * F.when(beside, across).otherwise(F.least(_angle(_whole("_a"), p), _angle(_whole("_b"), p)))
 
 
 def exposure(tracks: DataFrame, cells: DataFrame, radius_km: float, keys: list[str], storm: str = "storm_id", forecasts: bool = False, size: float = BIN, piece: float = PIECE) -> DataFrame:
@@ -129,10 +145,9 @@ def exposure(tracks: DataFrame, cells: DataFrame, radius_km: float, keys: list[s
     """
     if "is_forecast" in tracks.columns and not forecasts:
         tracks = tracks.where(~F.coalesce("is_forecast", F.lit(False)))
-    ends = [unit_vector(F.col(f"lat{k}"), F.col(f"lon{k}")) for k in (0, 1)]
-    cut = segments(tracks, storm).withColumn("_length", _angle(*ends)).withColumn("_bin", F.explode(reached_bins(radius_km, size, piece)))
-    at = cells.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(*keys, "lat", "lon", bin_of(F.col("lat"), F.col("lon"), size).alias("_bin"))
-    met = cut.join(at, "_bin").withColumn("_km", distance_km(*ends, unit_vector(F.col("lat"), F.col("lon")))).where(F.col("_km") <= radius_km)
+    cut = with_arcs(segments(tracks, storm)).withColumn("_bin", F.explode(reached_bins(radius_km, size, piece)))
+    at = cells.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(*keys, bin_of(F.col("lat"), F.col("lon"), size).alias("_bin"), *[x.alias(n) for n, x in _parts(unit_vector(F.col("lat"), F.col("lon")), "_p").items()])
+    met = cut.join(at, "_bin").withColumn("_km", distance_km()).where(F.col("_km") <= radius_km)
     return met.groupBy(storm, *keys).agg(F.min("_km").alias("closest_approach_km"), F.max(F.greatest("wind0", "wind1")).alias("max_wind_kt"), F.to_date(F.min("t0")).alias("exposure_start"), F.to_date(F.max("t1")).alias("exposure_end"))
 
 

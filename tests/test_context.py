@@ -184,15 +184,15 @@ def brute_distance(a, b, p):
     length = math.atan2(np.linalg.norm(np.cross(a, b)), a @ b)
 
     def at(t):
-        x = a if length < 1e-12 else (math.sin((1 - t) * length) * a + math.sin(t * length) * b) / math.sin(length)
-        return math.atan2(np.linalg.norm(np.cross(x, p)), x @ p)
+        x = np.tile(a, (len(t), 1)) if length < 1e-12 else (np.sin((1 - t) * length)[:, None] * a + np.sin(t * length)[:, None] * b) / math.sin(length)
+        return np.arctan2(np.linalg.norm(np.cross(x, p), axis=1), x @ p)
 
     low, high = 0.0, 1.0
-    for _ in range(60):
+    for _ in range(24):
         steps = np.linspace(low, high, 9)
-        k = int(np.argmin([at(t) for t in steps]))
+        k = int(np.argmin(at(steps)))
         low, high = steps[max(0, k - 1)], steps[min(8, k + 1)]
-    return cyclones.EARTH_KM * at((low + high) / 2)
+    return cyclones.EARTH_KM * float(at(np.array([(low + high) / 2]))[0])
 
 
 TRACKS = {

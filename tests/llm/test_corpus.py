@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -135,31 +136,12 @@ def brute_repeats(rows, length):
     return sorted(out, key=repr)
 
 
-def brute_passages(rows, length=51):
-    """Words in runs of `length` that a row of another id or text holds too."""
-    texts = [(k, t, re.findall(r"[^\x20\x09-\x0D]+", lower(t))) for k, t in rows]
-    owners = {}
-    for k, t, w in texts:
-        for i in range(len(w) - length + 1):
-            owners.setdefault(tuple(w[i : i + length]), set()).add((k, t))
-    out = []
-    for k, _, w in texts:
-        hit = set()
-        for i in range(len(w) - length + 1):
-            if len(owners[tuple(w[i : i + length])]) > 1:
-                hit |= set(range(i, i + length))
-        out.append((k, len(hit)))
-    return sorted(out, key=repr)
-
-
 @pytest.mark.parametrize("crowded", [20_000, 1])
 def test_repeats_equal_brute_force(docs, monkeypatch, crowded):
     monkeypatch.setattr(suffixes, "CROWDED", crowded)
     got = suffixes.remove_repeats(docs).collect()
     assert sorted(((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.starts or ()), hashlib.sha256(r.kept).hexdigest()) for r in got), key=repr) == brute_repeats(corpus(), 400)
     assert suffixes.remove_repeats(docs.where("false")).count() == 0
-    assert sorted(((r.doc_id, r.n_passage_words) for r in got), key=repr) == brute_passages(corpus())
-    assert any(r.n_passage_words and r.n_passage_words < 150 for r in got)
 
 
 def test_long_texts_go_in_pieces(monkeypatch):
@@ -175,13 +157,40 @@ def test_long_texts_go_in_pieces(monkeypatch):
     assert all(len(x) == 0 for x in suffixes.runs(text[:0], np.array([0])))
 
 
-def test_bucket_numbers_sort_like_strings():
-    data = np.frombuffer(b"abracadabra" * 20, np.uint8)
-    number = suffixes.bucket_numbers(data, 40)
-    text = data.tobytes()
-    for i in range(0, 180, 7):
-        for j in range(0, 180, 11):
-            assert (number[i] == number[j]) == (text[i : i + 40] == text[j : j + 40])
+def hostile(kind, n, rng):
+    """Few letters, one letter, zeros at the end, a Fibonacci word, a short period, ordinary letters."""
+    if kind == "fibonacci":
+        a, b = "a", "ab"
+        while len(b) < n:
+            a, b = b, b + a
+        return np.frombuffer(b[:n].encode(), np.uint8)
+    return {
+        "few": lambda: rng.integers(0, 2, n),
+        "one": lambda: np.full(n, 7),
+        "zeros": lambda: np.concatenate((rng.integers(0, 3, n - n // 2), np.zeros(n // 2))),
+        "period": lambda: np.resize(rng.integers(0, 3, int(rng.integers(1, 20))), n),
+        "letters": lambda: rng.integers(97, 123, n),
+    }[kind]().astype(np.uint8)
+
+
+@pytest.mark.parametrize("refined", [16, 1 << 14])
+@pytest.mark.parametrize("kind", ["few", "one", "zeros", "fibonacci", "period", "letters"])
+def test_refined_buckets_sort_like_strings(monkeypatch, refined, kind):
+    monkeypatch.setattr(suffixes, "REFINED", refined)
+    rng = np.random.default_rng(len(kind))
+    for length in (3, 8, 9, 16, 40, 41, 100):
+        pieces = [hostile(kind, int(rng.integers(length, length + 150)), rng) for _ in range(4)]
+        pieces += [np.concatenate((pieces[0][1:], pieces[1][:9]))]
+        of = lambda p, i: p[i : i + length].tobytes()
+        count = Counter(of(p, i) for p in pieces for i in range(len(p) - length + 1))
+        assert [x.tolist() for x in suffixes.repeated_windows(pieces, length)] == [[count[of(p, i)] > 1 for i in range(len(p) - length + 1)] for p in pieces]
+        raw = np.concatenate(pieces).tobytes()
+        order, pointer = suffixes.refined_buckets(np.frombuffer(raw, np.uint8), length)
+        suffix = [raw[p:] + b"\0" * (-(len(raw) - p) % 8) for p in order]
+        start = lambda x: x[: max(length, 8)]
+        for a, b, same in zip(suffix, suffix[1:], np.diff(pointer[order]) == 0, strict=False):
+            assert start(a) == start(b) if same else a < b
+    assert suffixes.refined_buckets(np.zeros(0, np.uint8), 40)[0].size == 0
 
 
 def test_decontamination_equals_brute_force(spark):

@@ -15,7 +15,7 @@ from gridclim.oracle.registry import LAT, LON, V8, query, r6, r6_sql
 from gridclim.plans import control, jobs
 from gridclim.plans import projections as P
 from gridclim.plans.client import Climate
-from gridclim.sources import bronze, dbf, geotiff, netcdf, raster, write
+from gridclim.sources import bronze, dbf, geotiff, netcdf, raster
 from gridclim.streaming import update
 
 AT = grid.place(LAT, LON)
@@ -241,37 +241,47 @@ def _(spark, d):
     return raster.encode_grid(raster.to_latlon(fields))
 
 
-@query("r_dbf", [], "SELECT n_nationkey::BIGINT AS key, n_name AS name, CASE WHEN n_nationkey <> 7 THEN n_nationkey * 1.5::DOUBLE END AS size, (DATE '2020-01-01' + n_nationkey::INTEGER)::DATE AS day, n_nationkey % 2 = 0 AS even FROM nation")
+@query("r_dbf", [], "SELECT o_orderkey AS key, o_orderpriority AS name, o_totalprice AS size, o_orderdate::DATE AS day, o_custkey % 2 = 0 AS even FROM orders")
 def _(spark, d):
-    rows = P.table(spark, d, "nation").select("n_nationkey", "n_name").collect()  # the table of nations is of fixed size
-    path = f"{P.local(P.folder(spark, 'dbf'))}/n.dbf"
-    write.write_dbf(path, [("KEY", "N", 6, 0), ("NAME", "C", 25, 0), ("SIZE", "N", 9, 2), ("DAY", "D", 8, 0), ("EVEN", "L", 1, 0), ("MORE", "C", 3, 0)], [(r[0], r[1], None if r[0] == 7 else r[0] * 1.5, datetime.date(2020, 1, 1) + datetime.timedelta(r[0]), r[0] % 2 == 0, "x") for r in rows])
+    """All orders, written by the tasks that read them as files of 5000 records and read back by ranges of 2000."""
     spark.dataSource.register(dbf.DbfSource)
-    found = spark.read.format("dbf").option("path", path).option("columns", "KEY,NAME,SIZE,DAY,EVEN").load()
-    return found.select(F.col("KEY").alias("key"), F.col("NAME").alias("name"), F.col("SIZE").alias("size"), F.col("DAY").alias("day"), F.col("EVEN").alias("even"))
+    path = P.folder(spark, "dbf")
+    rows = P.table(spark, d, "orders").select(F.col("o_orderkey").alias("KEY"), F.col("o_orderpriority").alias("NAME"), F.col("o_totalprice").alias("SIZE"), F.to_date("o_orderdate").alias("DAY"), (F.col("o_custkey") % 2 == 0).alias("EVEN"), F.lit("x").alias("MORE"))
+    rows.write.format("dbf").mode("append").option("width", "NAME=25,MORE=3").option("records", 5000).save(path)
+    found = spark.read.format("dbf").option("path", path).option("columns", "KEY,NAME,SIZE,DAY,EVEN").option("records", 2000).load()
+    return found.toDF("key", "name", "size", "day", "even")
 
 
-def _stack(spark, d) -> tuple[np.ndarray, list[datetime.date]]:
-    rows = sorted(r[0] for r in P.table(spark, d, "nation").select("n_nationkey").collect())  # the table of nations is of fixed size
-    return np.array([[np.nan if k == 7 else k * 1.5 + day for k in rows] for day in (1, 2, 3)], float).reshape(3, 5, 5), [datetime.date(2020, 1, day) for day in (1, 2, 3)]
+#: Orders' customers stand for the 25 pixels of a field, whose value is the day's largest price.
+_FIELD = "SELECT o_custkey % 25 AS k, o_orderdate::DATE AS date, max(o_totalprice) AS value FROM orders GROUP BY ALL"
+_CODED_FIELD = _CODED.replace(_RASTER, _FIELD)
 
 
-@query("r_geotiff", [], _CODED)
+def _fields(spark, d):
+    """A tile for each day with orders; pixels without are masked."""
+    rows = P.table(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("date"), (F.col("o_custkey") % 25).cast("int").alias("k")).agg(F.max("o_totalprice").alias("value"))
+    whole = rows.groupBy("date").agg(F.map_from_entries(F.collect_list(F.struct("k", "value"))).alias("of"))
+    values = F.transform(F.sequence(F.lit(0), F.lit(24)), lambda k: F.try_element_at("of", k))
+    axis = lambda at, s: F.transform(F.sequence(F.lit(0), F.lit(4)), lambda j: F.lit(at) + j * s)
+    return whole.select("date", axis(10.0, -0.25).alias("lats"), axis(20.0, 0.25).alias("lons"), values.alias("values"))
+
+
+@query("r_geotiff", [], _CODED_FIELD.replace("max(o_totalprice)", "max(o_totalprice)::FLOAT::DOUBLE"))
 def _(spark, d):
-    bands, dates = _stack(spark, d)
-    path = f"{P.local(P.folder(spark, 'tiff'))}/a.tif"
-    write.write_tiff(path, bands, 10.0, 20.0, 0.25, dates)
+    """Files of up to 200 bands from each task, read back by windows of 30."""
     spark.dataSource.register(geotiff.GeoTiffSource)
-    return raster.encode_grid(spark.read.format("geotiff").option("paths", path).load())
+    path = P.folder(spark, "tiff")
+    _fields(spark, d).write.format("geotiff").mode("append").option("bands", 200).save(path)
+    return raster.encode_grid(spark.read.format("geotiff").option("path", path).load())
 
 
-@query("r_netcdf", [], _CODED)
+@query("r_netcdf", [], _CODED_FIELD)
 def _(spark, d):
-    field, dates = _stack(spark, d)
-    path = f"{P.local(P.folder(spark, 'netcdf'))}/a.nc"
-    write.write_netcdf(path, "t2m", field, [10.0 - 0.25 * k for k in range(5)], [20.0 + 0.25 * k for k in range(5)], dates)
+    """Files of up to 200 steps from each task, read back by 31 together."""
     spark.dataSource.register(netcdf.NetcdfSource)
-    return raster.encode_grid(spark.read.format("netcdf").option("paths", path).load())
+    path = P.folder(spark, "netcdf")
+    _fields(spark, d).write.format("netcdf").mode("append").option("bands", 200).option("variable", "price").save(path)
+    return raster.encode_grid(spark.read.format("netcdf").option("path", path).load())
 
 
 @query("t_ingest", [], _CODED)

@@ -1,6 +1,7 @@
-"""dBase III tables as a Spark data source, read by ranges of records, plain or inside a zip.
+"""dBase III tables as a Spark data source, read by ranges of records, plain or inside a zip, and written as folders of files.
 
 spark.dataSource.register(DbfSource); spark.read.format("dbf").option("path", ...).option("columns", "A,B").load()
+df.write.format("dbf").mode("append").option("width", "NAME=25").save(folder)
 """
 
 from __future__ import annotations
@@ -13,6 +14,10 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from gridclim.sources.files import listed
+from gridclim.sources.write import DbfWriter
+
+#: Records read by one task.
 RECORDS = 200_000
 
 
@@ -67,7 +72,6 @@ def decode(f: Field, raw: bytes):
 
 
 def _open(path: str):
-    path = path.removeprefix("file://")
     if not path.lower().endswith(".zip"):
         return open(path, "rb")
     archive = zipfile.ZipFile(path)
@@ -76,44 +80,65 @@ def _open(path: str):
 
 @dataclass
 class _Range(InputPartition):
+    path: str
     first: int
     last: int
 
 
 class DbfSource(DataSource):
-    """Options: path (on storage that all executors mount), columns (a list with commas; default all)."""
+    """Options: path (a file or folder) or paths (with commas between), on storage that all executors mount; columns (a list with commas;
+    default all); records (of a task). Files of one read have the wanted columns in common, by name and type. Options of
+    writes: `write.DbfWriter`."""
 
     @classmethod
     def name(cls) -> str:
         return "dbf"
 
-    def _fields(self) -> list[Field]:
-        with _open(self.options["path"]) as data:
-            header = read_header(data)
-        wanted = [c for c in self.options.get("columns", "").split(",") if c]
-        by_name = {f.name: f for f in header.fields}
-        if missing := [c for c in wanted if c not in by_name]:
-            raise ValueError(f"no such columns: {missing}")
-        return [by_name[c] for c in wanted] if wanted else header.fields
+    def _files(self) -> list[str]:
+        return listed(self.options, ".dbf", ".zip")
 
     def schema(self) -> T.StructType:
-        return T.StructType([T.StructField(f.name, _type(f)) for f in self._fields()])
+        files = self._files()
+        if not files:
+            raise ValueError("no files: name the columns by a schema")
+        return T.StructType([T.StructField(f.name, _type(f)) for f in _wanted(files[0], self.options)])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _Reader(self.options["path"], self._fields())
+        return _Reader(self._files(), dict(self.options), schema)
+
+    def writer(self, schema: T.StructType, overwrite: bool):
+        return DbfWriter(self.options, schema, overwrite)
+
+
+def _wanted(path: str, options) -> list[Field]:
+    with _open(path) as data:
+        header = read_header(data)
+    wanted = [c for c in options.get("columns", "").split(",") if c]
+    by_name = {f.name: f for f in header.fields}
+    if missing := [c for c in wanted if c not in by_name]:
+        raise ValueError(f"no such columns: {missing}")
+    return [by_name[c] for c in wanted] if wanted else header.fields
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, fields: list[Field]):
-        self.path, self.fields = path, fields
+    def __init__(self, paths: list[str], options: dict, schema: T.StructType):
+        self.paths, self.options, self.schema = paths, options, schema
 
     def partitions(self):
-        with _open(self.path) as data:
-            n = read_header(data).records
-        return [_Range(k, min(n, k + RECORDS)) for k in range(0, n, RECORDS)] or [_Range(0, 0)]
+        out, size = [], int(self.options.get("records", RECORDS))
+        for path in self.paths:
+            with _open(path) as data:
+                n = read_header(data).records
+            out += [_Range(path, k, min(n, k + size)) for k in range(0, n, size)]
+        return out or [_Range("", 0, 0)]
 
     def read(self, partition):
-        with _open(self.path) as data:
+        if not partition.path:
+            return
+        fields = _wanted(partition.path, self.options)
+        if [(f.name, _type(f)) for f in fields] != [(f.name, f.dataType) for f in self.schema]:
+            raise ValueError(f"{partition.path} has other columns")
+        with _open(partition.path) as data:
             header = read_header(data)
             data.seek(header.start + partition.first * header.width)
             for _ in range(partition.first, partition.last):
@@ -121,4 +146,4 @@ class _Reader(DataSourceReader):
                 if len(record) < header.width:
                     break
                 if record[:1] != b"*":
-                    yield tuple(decode(f, record[f.offset : f.offset + f.width]) for f in self.fields)
+                    yield tuple(decode(f, record[f.offset : f.offset + f.width]) for f in fields)

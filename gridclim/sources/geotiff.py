@@ -18,6 +18,9 @@ import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from gridclim.sources.files import listed
+from gridclim.sources.write import TiffWriter
+
 #: Bands read by one task.
 WINDOW = 30
 # fixed values: field types of the format and the tags that are read
@@ -147,8 +150,8 @@ class _Window(InputPartition):
 
 
 class GeoTiffSource(DataSource):
-    """Options: paths (separated by commas, on storage that all executors mount), window (bands of a task). A row is a date's part of
-    a row of blocks, so that no row holds a whole large band."""
+    """Options: path (a file or folder) or paths (separated by commas), on storage that all executors mount; window (bands of a task). A row is a date's part of
+    a row of blocks, so that no row holds a whole large band. Options of writes: `write.TiffWriter`."""
 
     @classmethod
     def name(cls) -> str:
@@ -158,12 +161,15 @@ class GeoTiffSource(DataSource):
         return "date date, lats array<double>, lons array<double>, values array<double>"
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _Reader(self.options["paths"].split(","), int(self.options.get("window", WINDOW)))
+        return _Reader(listed(self.options, ".tif", ".tiff"), int(self.options.get("window", WINDOW)))
+
+    def writer(self, schema: T.StructType, overwrite: bool):
+        return TiffWriter(self.options, schema, overwrite)
 
 
 class _Reader(DataSourceReader):
     def __init__(self, paths: list[str], window: int):
-        self.paths, self.window = [p.removeprefix("file://") for p in paths], window
+        self.paths, self.window = paths, window
 
     def partitions(self):
         out = []
@@ -171,9 +177,11 @@ class _Reader(DataSourceReader):
             with open(path, "rb") as f:
                 n = Tiff(f).bands
             out += [_Window(path, k, min(n, k + self.window)) for k in range(0, n, self.window)]
-        return out
+        return out or [_Window("", 0, 0)]
 
     def read(self, partition):
+        if not partition.path:
+            return
         with open(partition.path, "rb") as f:
             image = Tiff(f)
             dates, (lats, lons) = image.dates(), image.axes()

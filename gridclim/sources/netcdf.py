@@ -15,6 +15,9 @@ import numpy as np
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from gridclim.sources.files import listed
+from gridclim.sources.write import NetcdfWriter
+
 # fixed values: the format's types, and names of coordinates
 _TYPES = {1: "i1", 2: "S1", 3: "i2", 4: "i4", 5: "f4", 6: "f8"}
 AXES = {"time": {"time", "valid_time", "date"}, "lat": {"lat", "latitude", "y"}, "lon": {"lon", "longitude", "x"}}
@@ -128,7 +131,8 @@ class _Steps(InputPartition):
 
 
 class NetcdfSource(DataSource):
-    """Options: paths, separated by commas, on storage that all executors mount."""
+    """Options: path (a file or folder) or paths (separated by commas), on storage that all executors mount; steps (of a task). Options of
+    writes: `write.NetcdfWriter`."""
 
     @classmethod
     def name(cls) -> str:
@@ -138,12 +142,15 @@ class NetcdfSource(DataSource):
         return "date date, lats array<double>, lons array<double>, values array<double>"
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _Reader([p.removeprefix("file://") for p in self.options["paths"].split(",")])
+        return _Reader(listed(self.options, ".nc"), int(self.options.get("steps", STEPS)))
+
+    def writer(self, schema: T.StructType, overwrite: bool):
+        return NetcdfWriter(self.options, schema, overwrite)
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
+    def __init__(self, paths: list[str], size: int):
+        self.paths, self.size = paths, size
 
     def partitions(self):
         out = []
@@ -151,10 +158,12 @@ class _Reader(DataSourceReader):
             with open(path, "rb") as f:
                 c = Classic(f)
                 n = c.shape(c.field())[0]
-            out += [_Steps(path, k, min(n, k + STEPS)) for k in range(0, n, STEPS)]
-        return out
+            out += [_Steps(path, k, min(n, k + self.size)) for k in range(0, n, self.size)]
+        return out or [_Steps("", 0, 0)]
 
     def read(self, partition):
+        if not partition.path:
+            return
         with open(partition.path, "rb") as f:
             c = Classic(f)
             v, dates = c.field(), c.dates()

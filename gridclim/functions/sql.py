@@ -60,8 +60,10 @@ TABLES = {
 
 
 def register_tables(spark: SparkSession, view: str) -> None:
-    """Table functions climate_series, _long, _monthly, _info, _missing and _station_body over a view of the record."""
+    """Table functions climate_series, _long, _monthly, _info, _missing and _station_body over a view of the record; where it has the partition column
+    bucket, only the coordinate's partition is read."""
     register(spark)
+    stored = " and bucket = substring(parent_code(climate_{0}.lat, climate_{0}.lon), 1, 3)" if "bucket" in spark.table(view).columns else ""
     for name, (columns, body) in TABLES.items():
-        query = body.format(view=view, cell=_CELL.format(name), bounds=_BOUNDS.format(name))
+        query = body.format(view=view, cell=(_CELL + stored).format(name), bounds=_BOUNDS.format(name))
         spark.sql(f"create or replace temporary function climate_{name}({_ARGUMENTS}) returns table ({columns}) return {query}")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 GAP_SECONDS = 180
 
@@ -69,14 +73,35 @@ def run_metrics(rows: DataFrame, by: list[str], cell: str = "child_id") -> DataF
     return found.withColumn("cell_days", F.col("n_cells") * F.col("n_days")).withColumn("valid_share", F.round(F.try_divide("n_valid", "n_rows"), 12))
 
 
-def spaced_sample(ranked: DataFrame, order: list, n: int) -> DataFrame:
-    """n rows evenly spaced over a ranked table, its first and last included; all rows if there are no more."""
-    total = ranked.count()
+#: Pieces in which a sample's order is counted, and rows that are drawn for each bound between them.
+PIECES, DRAWN = 64, 32
+
+
+def spaced_sample(ranked: DataFrame, order: list[str], n: int) -> DataFrame:
+    """n rows evenly spaced over a ranked table, its first and last included; all rows if there are no more.
+
+    Rows go by the columns of `order`, nulls first, and rows alike in these by a hash of all. Pieces of the order are counted between
+    bounds that a fixed number of rows give; only those that hold a wanted place are ranked, each by itself. The bounds
+    decide how much a task ranks and never what is found.
+    """
+    hashed = [f.name for f in ranked.schema if not isinstance(f.dataType, T.MapType)]
+    rows, key = ranked.withColumn("_tie", F.xxhash64(*hashed)), [*order, "_tie"]
+    drawn = rows.select(*key).orderBy(F.xxhash64("_tie", F.lit(1)), *key).limit(PIECES * DRAWN).orderBy(*key).collect()
+    known = {f.name: f.dataType for f in rows.schema}
+    literal = lambda row: F.struct(*(F.lit(row[c]).cast(known[c]).alias(c) for c in key))
+    bounds = [literal(row) for row in drawn[DRAWN::DRAWN]]
+    piece = reduce(lambda x, y: x + y, [(F.struct(*key) >= x).cast("int") for x in bounds], F.lit(0))
+    rows = rows.withColumn("_piece", piece)
+    counts = dict(rows.groupBy("_piece").count().collect())
+    total = sum(counts.values())
     if n >= total:
         return ranked
     places = [0] if n == 1 else sorted({round(k * (total - 1) / (n - 1)) for k in range(n)})
-    numbered = ranked.withColumn("_place", F.row_number().over(Window.orderBy(*order)) - 1)
-    return numbered.where(F.col("_place").isin(places)).drop("_place")
+    ends = zip(sorted(counts), accumulate([0, *(counts[k] for k in sorted(counts))]), strict=False)
+    wanted = {k: inside for k, low in ends if (inside := [x - low for x in places if low <= x < low + counts[k]])}
+    ranked_piece = F.row_number().over(Window.partitionBy("_piece").orderBy(*key)) - 1
+    found = [(F.col("_piece") == k) & F.col("_place").isin(inside) for k, inside in wanted.items()]
+    return rows.where(F.col("_piece").isin(list(wanted))).withColumn("_place", ranked_piece).where(reduce(lambda x, y: x | y, found, F.lit(False))).select(*ranked.columns)
 
 
 def cost_report(runs: DataFrame, plans: DataFrame, var_years: float, levels: DataFrame | None = None) -> DataFrame:

@@ -155,6 +155,8 @@ def _(spark, d):
 
 @query("r_bronze_load", ["bronze", "cells"], "SELECT b.variable, c.child_id, c.parent_id, b.date, round(b.value, 6) AS value, 2024 AS year, 'p' || (b.u % 2) AS chunk FROM bronze b JOIN cells c USING (u) WHERE b.u % 11 <> 0 AND b.variable IN ('tmax', 'precip') AND c.parent_id >= '0R'")
 def _(spark, d):
+    """Two variables of all users, since files are by variable; users divisible by 11 stand for a sea, whose values are null and
+    dropped by the write. Of the files those of parents from 0R on are read."""
     root = P.folder(spark, "bronze")
     meta = P.cells(spark, d).select("u", "child_id", "parent_id")
     rows = P.bronze(spark, d).where("variable in ('tmax', 'precip')").join(meta, "u").withColumn("value", F.when(F.col("u") % 11 != 0, F.col("value")))
@@ -328,6 +330,7 @@ def _(spark, d):
 
 @query("w_fine_failures", ["alt_rain"], "SELECT u, date, source, 'old' AS reason FROM alt_rain WHERE NOT (source = 3 AND date BETWEEN DATE '1995-01-01' AND DATE '1995-12-31') AND u % 2 = 0 UNION ALL SELECT u, date, source, 'new' FROM alt_rain WHERE source = 3 AND date BETWEEN DATE '1995-01-01' AND DATE '1995-12-31' AND u % 3 = 0")
 def _(spark, d):
+    """Even users failed before; of the third source and 1995, which are checked anew, users divisible by 3 fail now."""
     rows = P.alt_rain(spark, d).select("u", "date", "source")
     old, new = rows.where("u % 2 = 0").withColumn("reason", F.lit("old")), rows.where("u % 3 = 0 and source = 3 and year(date) = 1995").withColumn("reason", F.lit("new"))
     return storage.replace_failures(old, new, 3, "1995-01-01", "1995-12-31", ["u", "date", "source"])

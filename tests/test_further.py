@@ -78,10 +78,33 @@ def test_dates_reach_the_scan(spark, tmp_path):
     assert "bucket" in text.split("PartitionFilters")[1][:200]
 
 
+def test_sql_tables_read_one_partition(spark, tmp_path):
+    at = grid.place(-34.9, -56.2)
+    names = "tmax tmin precip srad wind tdew rh et0".split()
+    rows = spark.range(5).select(F.lit(at.parent_id[:3]).alias("bucket"), F.lit(at.parent_id).alias("parent_id"), F.lit(at.child_id).alias("child_id"), F.expr("date_add(date'2020-01-01', cast(id as int))").alias("date"), *[F.col("id").cast("double").alias(c) for c in names], F.lit(False).alias("is_preliminary"))
+    rows.unionByName(rows.withColumn("bucket", F.lit("zzz"))).write.partitionBy("bucket").parquet(f"{tmp_path}/record")
+    spark.read.schema(rows.schema).parquet(f"{tmp_path}/record").createOrReplaceTempView("_parts")
+    sql.register_tables(spark, "_parts")
+    found = spark.sql("select * from climate_series(-34.9D, -56.2D)")
+    assert found.count() == 5 and "(bucket" in plan(found).split("PartitionFilters")[1] and at.parent_id[:3] in plan(found).split("PartitionFilters")[1][:200]
+    rows.drop("bucket").createOrReplaceTempView("_parts")
+    sql.register_tables(spark, "_parts")
+    assert spark.sql("select * from climate_missing(-34.9D, -56.2D)").count() == 0 and spark.sql("select * from climate_info(-34.9D, -56.2D)").first().n_days == 5
+
+
 def test_samples_and_axes(spark):
     rows = spark.range(100)
     assert [r.id for r in runs.spaced_sample(rows, ["id"], 4).orderBy("id").collect()] == [0, 33, 66, 99]
     assert [r.id for r in runs.spaced_sample(rows, ["id"], 1).collect()] == [0] and runs.spaced_sample(rows, ["id"], 500).count() == 100
+    assert runs.spaced_sample(rows.where("false"), ["id"], 3).count() == 0
+    many = spark.range(20_000, numPartitions=5).selectExpr("if(id % 3 = 0, 7, if(id % 5 = 0, null, id * 37 % 9973)) as a", "cast(id % 11 as string) as b", "id")
+    ordered = sorted(((r.a is not None, r.a or 0, r.b), r.id) for r in many.collect())
+    for n in (2, 9, 250):
+        got = runs.spaced_sample(many, ["a", "b"], n)
+        assert "SinglePartition" not in plan(got) and "Window [row_number()" in plan(got)
+        assert sorted((r.a is not None, r.a or 0, r.b) for r in got.collect()) == [ordered[round(k * 19_999 / (n - 1))][0] for k in range(n)]
+    same = spark.range(5000).selectExpr("1 as a", "id")
+    assert runs.spaced_sample(same, ["a"], 50).count() == 50 and runs.spaced_sample(same.select("a"), ["a"], 50).count() == 50
     assert bronze.sample(rows, ["id"], 1.0).count() == 100 and sorted(bronze.sample(rows, ["id"], 0.3).collect()) == sorted(bronze.sample(rows.repartition(7), ["id"], 0.3).collect())
     field = spark.createDataFrame([(datetime.date(2020, 1, 1), ["x"], [2], [1.0], [1.0, 2.0], [5.0, 6.0])], "date date, dims array<string>, sizes array<int>, lats array<double>, lons array<double>, values array<double>")
     with pytest.raises(Exception, match="latitude"):

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridclim.functions import special
+from gridclim.functions.special import let
 
 TERCILES = (1 / 3, 2 / 3)
 #: Value buckets within which a group's values are ranked.
@@ -23,6 +24,8 @@ SCALES = (1, 3, 6, 12)
 ALERTS = (("red", -1.5), ("yellow", -1.0), ("watch", -0.5))
 #: Months of a block of a long series, and the least length of a phase.
 BLOCK, SUSTAINED = 512, 5
+#: A deviation of composites, which lie in -1 to 1, up to which they are equal but for rounding.
+FLAT = 1e-9
 
 
 # Percentiles
@@ -306,8 +309,8 @@ def vegetation_anomaly(scenes: DataFrame, keys: list[str], first_year: int, last
     """keys, dekad_start, ndvi, ndvi_lta, anomaly_pct, z: each composite against the same ten days of the other years.
 
     Every ten days of the years has a row for each key with any scene in them, so missing composites show, as nulls. The long-term mean and
-    deviation leave the year itself out by subtracting it from the sums; null with fewer than two other years, z also where
-    they do not vary.
+    deviation are those of the other years' values themselves, of which a key's ten days have one a year: subtracting a year from sums over all leaves
+    rounding noise where the others are equal. Null with fewer than two other years, z also where they vary by no more than FLAT.
     """
     inside = scenes.where(F.col("date").between(F.lit(f"{first_year}-01-01").cast("date"), F.lit(f"{last_year}-12-31").cast("date")))
     found = vegetation_composites(inside, keys, worst)
@@ -315,15 +318,18 @@ def vegetation_anomaly(scenes: DataFrame, keys: list[str], first_year: int, last
     by = [*keys, "year", "dekad"]
     same = lambda a, b, names: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in names]
     every = spans.alias("a").join(found.alias("b"), same("a", "b", by), "left").select(*[f"a.{k}" for k in by], "ndvi")
-    sums = found.groupBy(*keys, "dekad").agg(F.count("*").alias("_n"), F.sum("ndvi").alias("_s"), F.avg("ndvi").alias("_m"), F.var_pop("ndvi").alias("_v"))
-    met = every.alias("e").join(sums.alias("s"), same("e", "s", [*keys, "dekad"]), "left").select(*[f"e.{k}" for k in by], "ndvi", "_n", "_s", "_m", "_v")
-    has, x = F.col("ndvi").isNotNull(), F.coalesce("ndvi", F.lit(0.0))
-    others = F.coalesce(F.col("_n"), F.lit(0)) - F.when(has, 1).otherwise(0)
-    mean = (F.col("_s") - x) / others
-    # squares about the mean of all years lose x's share: n v - (x - m)^2 n / (n - 1)
-    squares = F.col("_n") * F.col("_v") - F.when(has, F.pow(x - F.col("_m"), F.lit(2.0)) * F.col("_n") / others).otherwise(0.0)
-    varied = squares > 1e-10 * F.col("_n") * F.col("_v")  # less is what the subtraction leaves of equal values
-    out = met.withColumn("_others", others).withColumn("ndvi_lta", F.when(others >= 2, mean)).withColumn("_sd", F.when((others >= 2) & varied, F.sqrt(squares / (others - 1))))
+    years = found.groupBy(*keys, "dekad").agg(F.sort_array(F.collect_list(F.struct("year", "ndvi"))).alias("_years"))
+    met = every.alias("e").join(years.alias("y"), same("e", "y", [*keys, "dekad"]), "left").select(*[f"e.{k}" for k in by], "ndvi", "_years")
+    others = F.transform(F.filter("_years", lambda y: y["year"] != F.col("year")), lambda y: y["ndvi"])
+    added = lambda values, of: F.aggregate(values, F.lit(0.0), lambda total, v: total + of(v))
+
+    def statistics(values: Column) -> Column:
+        n = F.size(values)
+        mean = F.when(n >= 2, added(values, lambda v: v) / n)
+        return let(mean, lambda m: F.struct(m.alias("mean"), F.sqrt(added(values, lambda v: (v - m) * (v - m)) / (n - 1)).alias("sd")))
+
+    known = met.withColumn("_o", let(others, statistics))
+    out = known.withColumn("ndvi_lta", F.col("_o.mean")).withColumn("_sd", F.when(F.col("_o.mean").isNotNull(), F.col("_o.sd")))
     pct = F.when(F.col("ndvi_lta") != 0, (F.col("ndvi") - F.col("ndvi_lta")) / F.abs("ndvi_lta") * 100)
-    z = F.when(F.col("_sd") > 0, (F.col("ndvi") - F.col("ndvi_lta")) / F.col("_sd"))
+    z = F.when(F.col("_sd") > FLAT, (F.col("ndvi") - F.col("ndvi_lta")) / F.col("_sd"))
     return out.select(*keys, dekad_start("year", "dekad").alias("dekad_start"), "ndvi", "ndvi_lta", pct.alias("anomaly_pct"), z.alias("z"))

@@ -29,3 +29,12 @@ def test_forecast_steps_count_at_the_nearest_second(same_as_sql):
     times = "'2024-01-03 05:59:59.9', '2024-01-03 06:00:00', '2024-01-04 05:59:59.4', '2024-01-04 05:59:59.5', '2024-01-04 05:59:59.7', '2024-01-06 06:00:00.2'"
     rows = same_as_sql("a_forecast_max", events=f"SELECT 1::BIGINT AS user_id, unnest([{times}])::TIMESTAMP AS ts, unnest([9, 1, 2, 3, 4, 5])::DOUBLE AS value")
     assert [(r["lead"], r["value"]) for r in rows] == [(0, 2.0), (1, 4.0), (3, 5.0)]
+
+
+def test_vegetation_of_equal_years_but_for_rounding_has_no_z(same_as_sql):
+    # 0.58 and 0.42, each by two ways of adding up that differ in the last bit; the last cell does vary
+    ways = [[(0.10, 0.03), (0.09, 0.08)], [(0.07, 0.02), (0.06, 0.07)], [(0.05, 0.01), (0.05, 0.03)]]
+    rows = [(cell, year, *ways[cell % 3][(pattern >> (year - 1993)) & 1]) for cell, pattern in [(c, p) for c in range(48) for p in [c // 3 * 2 + 1]] for year in range(1993, 1998)]
+    lines = f"SELECT c::BIGINT AS l_suppkey, make_date(y, 5, 5)::TIMESTAMP AS l_shipdate, d::DOUBLE AS l_discount, t::DOUBLE AS l_tax, 4 AS l_linenumber FROM (VALUES {', '.join(map(str, rows))}) AS v(c, y, d, t)"
+    found = [r for r in same_as_sql("c_vegetation_anomaly", lineitem=lines) if r["ndvi"] is not None]
+    assert len(found) == 240 and {r["cell"] % 3 for r in found if r["z"] is not None} == {2}

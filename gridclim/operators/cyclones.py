@@ -141,13 +141,15 @@ def exposure(tracks: DataFrame, cells: DataFrame, radius_km: float, keys: list[s
 
     tracks: storm, obs_time, lat, lon, wind_kt and, if there, is_forecast, whose rows count only with `forecasts`. cells: keys, lat, lon,
     one row each. The wind is the larger of a segment's ends, over the segments within the radius; the dates are those of the first's
-    start and the last's end. Segments are shorter than half the globe. Cells without a place take no part.
+    start and the last's end. Segments are shorter than half the globe. Cells without a place take no part. Each
+    place is measured once a segment and summed up once a storm, however many cells are there; these get its row by an equi-join.
     """
     if "is_forecast" in tracks.columns and not forecasts:
         tracks = tracks.where(~F.coalesce("is_forecast", F.lit(False)))
     cut = with_arcs(segments(tracks, storm)).withColumn("_bin", F.explode(reached_bins(radius_km, size, piece)))
-    at = cells.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(*keys, bin_of(F.col("lat"), F.col("lon"), size).alias("_bin"), *[x.alias(n) for n, x in _parts(unit_vector(F.col("lat"), F.col("lon")), "_p").items()])
+    known = cells.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(*keys, F.col("lat").cast("double").alias("_lat"), F.col("lon").cast("double").alias("_lon")).distinct()
+    places = known.select("_lat", "_lon").distinct()
+    at = places.select("_lat", "_lon", bin_of(F.col("_lat"), F.col("_lon"), size).alias("_bin"), *[x.alias(n) for n, x in _parts(unit_vector(F.col("_lat"), F.col("_lon")), "_p").items()])
     met = cut.join(at, "_bin").withColumn("_km", distance_km()).where(F.col("_km") <= radius_km)
-    return met.groupBy(storm, *keys).agg(F.min("_km").alias("closest_approach_km"), F.max(F.greatest("wind0", "wind1")).alias("max_wind_kt"), F.to_date(F.min("t0")).alias("exposure_start"), F.to_date(F.max("t1")).alias("exposure_end"))
-
-
+    found = met.groupBy(storm, "_lat", "_lon").agg(F.min("_km").alias("closest_approach_km"), F.max(F.greatest("wind0", "wind1")).alias("max_wind_kt"), F.to_date(F.min("t0")).alias("exposure_start"), F.to_date(F.max("t1")).alias("exposure_end"))
+    return found.join(known, ["_lat", "_lon"]).select(storm, *keys, "closest_approach_km", "max_wind_kt", "exposure_start", "exposure_end")

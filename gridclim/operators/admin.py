@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 from gridclim.functions import grid
 from gridclim.functions.special import let
+from gridclim.operators.dealing import dealt
 
 _INSIDE = r"[-+0-9.eE,()\s]*"
 _WKT = rf"(?i)^\s*(POLYGON\s*(Z\s*)?(EMPTY|\(\s*\({_INSIDE}\)\s*\))|MULTIPOLYGON\s*(Z\s*)?(EMPTY|\(\s*\(\s*\({_INSIDE}\)\s*\)\s*\)))\s*$"
 #: A share below this is none.
 LEAST = 1e-9
+#: Units of a task.
+UNITS = 4000
 
 
 def rings(units: DataFrame, unit: str = "admin_id", wkt: str = "wkt") -> DataFrame:
@@ -61,8 +64,11 @@ def admin_cells(units: DataFrame, unit: str = "admin_id", wkt: str = "wkt") -> D
     Rings may begin anywhere and turn either way, the last point may repeat the first; the first ring of a polygon is the outer one, and
     polygons of a unit do not overlap. Longitudes go on beyond 180 where a unit crosses the antimeridian; a cell that
     straddles it adds up both sides. Rows that repeat a unit add up too. Cells touched without area are left out.
+
+    Units are dealt to tasks before their texts are cut, UNITS at a time, and all sums are within a unit, whose cells are at most the
+    grid's: a task holds the same however many units there are.
     """
-    e = edges(rings(units, unit, wkt), unit)
+    e = edges(rings(dealt(units.select(unit, wkt), UNITS, unit), unit, wkt), unit)
     last = lambda low, high: F.greatest(low, F.ceil(high) - 1)
     by_row = e.withColumn("r", F.explode(F.sequence(F.floor(F.least("y0", "y1")), last(F.floor(F.least("y0", "y1")), F.greatest("y0", "y1")))))
     at = lambda y: F.col("x0") + (F.col("x1") - F.col("x0")) * ((y - F.col("y0")) / (F.col("y1") - F.col("y0")))

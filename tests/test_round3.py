@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from gridclim.operators import cyclones
+from gridclim.operators import admin, cyclones
 
 
 @pytest.fixture
@@ -54,3 +54,16 @@ def test_cells_of_one_place_are_measured_once(spark):
     # the cells' side of the join on bins holds distinct places, and keys come in by a join after the sums
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"Aggregate \[storm_id#\d+, _lat#", plan) and not re.search(r"Aggregate \[storm_id#\d+, key#", plan)
+
+
+def tasks_of(rows) -> int:
+    return rows.rdd.getNumPartitions()
+
+
+def test_tasks_grow_with_the_units_and_their_cells_stay_in_them(spark, monkeypatch):
+    units = spark.range(600).select(F.col("id").alias("unit"), F.format_string("POLYGON ((%d 0, %d 0, %d 1))", F.col("id") % 90, F.col("id") % 90 + 1, F.col("id") % 90).alias("wkt"))
+    monkeypatch.setattr(admin, "UNITS", 50, raising=False)
+    found = admin.admin_cells(units, "unit")
+    assert tasks_of(found) == 12
+    area = found.groupBy("unit").agg((F.sum("area_fraction") * 0.0625).alias("a")).agg(F.count("*"), F.min("a"), F.max("a")).first()
+    assert area[0] == 600 and area[1] == pytest.approx(0.5) and area[2] == pytest.approx(0.5)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: An argument is raised by so much before the asymptotic series of log gamma.
 _RAISE = 12
+#: Terms of a step of the series of the incomplete gamma function.
+_STEPS = 8
 # fixed values: coefficients of the asymptotic series, B(2k) / (2k (2k - 1))
 _STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188)
 # fixed values: the rational approximations of algorithm AS 241 (Wichura 1988), lowest power first: near the middle, outside of it, in the tails
@@ -56,20 +58,23 @@ def log_gamma(a: Column) -> Column:
 def gamma_p(a: Column, x: Column) -> Column:
     """The regularised lower incomplete gamma function P(a, x) for a > 0 and x >= 0, by its series of positive terms.
 
-    Terms are added until they no longer count: they shrink once their number passes x - a. Beyond 40 standard
+    Terms that no longer count are left out: they grow up to number x - a and shrink from there like a normal curve whose variance is the
+    larger of a and x. They are added from the last to the first, by Horner's scheme, _STEPS at a time. Beyond 40 standard
     deviations above the mean it is 1.
     """
 
     def value(v: Column) -> Column:
         a, x = v["a"], v["x"]
-        terms = F.ceil(F.greatest(x - a, F.lit(0.0)) + 12 * F.sqrt(a + x) + 60).cast("int")
-        start = F.struct((1 / a).alias("term"), (1 / a).alias("sum"))
+        terms = F.greatest(x - a, F.lit(0.0)) + 9 * F.sqrt(F.greatest(a, x)) + 24
+        batches = F.sequence(F.ceil(terms / _STEPS).cast("int"), F.lit(0), F.lit(-1))
 
-        def add(s: Column, k: Column) -> Column:
-            term = s["term"] * x / (a + k)
-            return F.struct(term.alias("term"), (s["sum"] + term).alias("sum"))
+        def add(s: Column, batch: Column) -> Column:
+            first = a + batch * _STEPS
+            for k in range(_STEPS, 0, -1):
+                s = 1 + s * x / (first + k)
+            return s
 
-        total = F.aggregate(F.sequence(F.lit(1), terms), start, add)["sum"]
+        total = F.aggregate(batches, F.lit(1.0), add) / a
         inside = F.least(F.lit(1.0), total * F.exp(a * F.log(x) - x - log_gamma(a)))
         return F.when(x <= 0, F.lit(0.0)).when(x > a + 40 * F.sqrt(a) + 200, F.lit(1.0)).otherwise(inside)
 

@@ -130,14 +130,27 @@ def gamma_fit(sums: DataFrame, keys: list[str], baseline: tuple[int, int] | None
 
     alpha is null where fewer than two different sums are positive.
     """
-    inside = sums if baseline is None else sums.where(F.col("month").between(baseline[0] * 12, baseline[1] * 12 + 11))
-    wet = F.col("total") > 0
-    fit = inside.groupBy(*keys, "scale", (F.col("month") % 12 + 1).alias("calendar")).agg(
-        F.count("*").alias("n"), F.count_if(~wet).alias("_dry"), F.avg(F.when(wet, F.col("total"))).alias("_mean"), F.avg(F.when(wet, F.log("total"))).alias("_log"), F.min(F.when(wet, F.col("total"))).alias("_a"), F.max(F.when(wet, F.col("total"))).alias("_b")
-    )
+    inside = sums if baseline is None else sums.where(_in_years(baseline))
+    by = [*keys, "scale", "calendar"]
+    fit = inside.withColumn("calendar", F.col("month") % 12 + 1).groupBy(*by).agg(*[x.alias(n) for n, x in _moments(F.lit(True)).items()])
+    return fit.select(*by, "n", *[x.alias(n) for n, x in _gamma().items()])
+
+
+def _in_years(baseline: tuple[int, int]) -> Column:
+    return F.col("month").between(baseline[0] * 12, baseline[1] * 12 + 11)
+
+
+def _moments(inside: Column) -> dict[str, Column]:
+    """What a gamma distribution takes of the totals that are inside."""
+    wet = inside & (F.col("total") > 0)
+    x, log = F.when(wet, F.col("total")), F.when(wet, F.log("total"))
+    return {"n": F.count_if(inside), "_dry": F.count_if(inside & ~(F.col("total") > 0)), "_mean": F.avg(x), "_log": F.avg(log), "_a": F.min(x), "_b": F.max(x)}
+
+
+def _gamma() -> dict[str, Column]:
     gap = F.log("_mean") - F.col("_log")
     alpha = F.when((F.col("_a") < F.col("_b")) & (gap > 0), (1 + F.sqrt(1 + 4 * gap / 3)) / (4 * gap))
-    return fit.withColumn("alpha", alpha).select(*keys, "scale", "calendar", "n", (F.col("_dry") / F.col("n")).alias("dry"), "alpha", (F.col("_mean") / F.col("alpha")).alias("beta"))
+    return {"dry": F.col("_dry") / F.col("n"), "alpha": alpha, "beta": F.col("_mean") / alpha}
 
 
 def drought_index(monthly: DataFrame, keys: list[str], value: str = "precip", scales=SCALES, baseline: tuple[int, int] | None = None) -> DataFrame:
@@ -147,11 +160,12 @@ def drought_index(monthly: DataFrame, keys: list[str], value: str = "precip", sc
     the normal's quantile of it. Null where there is no fit, or where nothing is as low: a sum of zero with no dry ones in the baseline.
     """
     sums = rolling_sums(monthly, keys, value, scales)
-    fit = gamma_fit(sums, keys, baseline).drop("n")
-    by = [*keys, "scale", "calendar"]
-    met = sums.withColumn("calendar", F.col("month") % 12 + 1).alias("s").join(fit.alias("f"), [F.col(f"s.{k}").eqNullSafe(F.col(f"f.{k}")) for k in by], "left")
+    # a window and no join: a key's months of one name are as many as its years, and the sums are not computed twice
+    years = Window.partitionBy(*keys, "scale", "calendar")
+    moments = {n: x.over(years) for n, x in _moments(F.lit(True) if baseline is None else _in_years(baseline)).items()}
+    fit = sums.withColumn("calendar", F.col("month") % 12 + 1).withColumns(moments).withColumns({n: F.when(F.col("n") > 0, x) for n, x in _gamma().items()})
     chance = F.col("dry") + (1 - F.col("dry")) * special.gamma_p(F.col("alpha"), F.col("total") / F.col("beta"))
-    found = met.select(*[f"s.{k}" for k in keys], "month", "s.scale", "total", F.when(F.col("alpha").isNotNull(), chance).alias("_p"))
+    found = fit.select(*keys, "month", "scale", "total", F.when(F.col("alpha").isNotNull(), chance).alias("_p"))
     return found.withColumn("spi", special.normal_quantile(F.col("_p"))).drop("_p")
 
 
@@ -168,8 +182,11 @@ def drought_alerts(index: DataFrame, shares: DataFrame, keys: list[str], unit: s
 
     shares: keys, unit, share. Cells without an index do not count.
     """
-    met = index.where(F.col("spi").isNotNull()).join(shares, keys)
-    found = met.groupBy(unit, F.col("month").alias("_m"), "scale").agg((F.sum(F.col("spi") * F.col(share)) / F.sum(share)).alias("spi"), F.count("*").alias("n_cells"))
+    # no filter before the sums, which would compute each index once more
+    met = index.join(shares, keys)
+    known = F.when(F.col("spi").isNotNull(), F.col(share))
+    sums = met.groupBy(unit, F.col("month").alias("_m"), "scale").agg(F.sum(F.col("spi") * F.col(share)).alias("_s"), F.sum(known).alias("_w"), F.count("spi").alias("n_cells"))
+    found = sums.where("n_cells > 0").select(unit, "_m", "scale", (F.col("_s") / F.col("_w")).alias("spi"), "n_cells")
     return found.select(unit, month_start("_m").alias("as_of"), "scale", "spi", "n_cells", alert_status(F.col("spi")).alias("status"))
 
 

@@ -42,7 +42,7 @@ P._NEEDS["spi"] = ["chances"]
 
 
 def days(spark, d):
-    return P.table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("u"), F.to_date("l_shipdate").alias("date")).agg(F.sum("l_quantity").alias("precip"), (F.avg("l_discount") / 0.0033).alias("tmax"))
+    return P.lines(spark, d, "l_shipdate", "l_quantity", "l_discount").groupBy(F.col("l_suppkey").alias("u"), F.to_date("l_shipdate").alias("date")).agg(F.sum("l_quantity").alias("precip"), (F.avg("l_discount") / 0.0033).alias("tmax"))
 
 
 def rain_months(spark, d):

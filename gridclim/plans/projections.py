@@ -14,12 +14,22 @@ from pyspark.sql import functions as F
 
 from gridclim.functions import grid
 from gridclim.operators import daily
+from gridclim.operators.dealing import dealt
+
+#: Lines of a task.
+LINES = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Columns of order lines dealt by supplier, LINES to a task: sums by supplier and date, which are nearly as many as the lines, take as
+    much of a task's memory whatever the table's size, and those by supplier and month follow without another shuffle."""
+    return dealt(table(spark, sf_dir, "lineitem").select("l_suppkey", *columns), LINES, "l_suppkey")
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A folder of its own below the warehouse, for queries that write and read back."""
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_gridclim/{name}-{uuid.uuid4().hex}"
@@ -83,8 +93,8 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alt_rain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fine_id, fparent_id, date, source, precip: order lines as product rain of suppliers' fine cells."""
-    lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("u"), F.to_date("l_shipdate").alias("date"), (F.col("l_linenumber") % 3 + 2).alias("source"), F.col("l_quantity").alias("q"))
-    rows = lines.groupBy("u", "date", "source").agg(F.sum("q").alias("precip")).select("*", *place_of("u"))
+    sold = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("u"), F.to_date("l_shipdate").alias("date"), (F.col("l_linenumber") % 3 + 2).alias("source"), F.col("l_quantity").alias("q"))
+    rows = sold.groupBy("u", "date", "source").agg(F.sum("q").alias("precip")).select("*", *place_of("u"))
     return rows.select("u", grid.fine_code("lat", "lon").alias("fine_id"), grid.fine_parent_code("lat", "lon").alias("fparent_id"), "date", "source", "precip")
 
 

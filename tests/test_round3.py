@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from gridclim.functions import special
 from gridclim.operators import admin, climate, cyclones
+from gridclim.plans import projections
 
 
 @pytest.fixture
@@ -72,6 +73,16 @@ def test_tasks_grow_with_the_units_and_their_cells_stay_in_them(spark, monkeypat
     assert area[0] == 600 and area[1] == pytest.approx(0.5) and area[2] == pytest.approx(0.5)
 
 
+@pytest.mark.parametrize("name", ["c_rolling_rain", "c_drought_alerts"])
+def test_order_lines_are_dealt_by_their_number(spark, monkeypatch, name):
+    monkeypatch.setattr(projections, "LINES", 400, raising=False)
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    # about 6,000 lines: one shuffle of the lines by supplier, whose tasks hold all sums by supplier and date or month
+    assert re.search(r"Exchange hashpartitioning\(l_suppkey#\d+L?, 15\), REPARTITION_BY_NUM", plan)
+    if name != "a_source_totals":  # which reads events too
+        assert not re.search(r"Exchange hashpartitioning\((l_suppkey|u)#\d+L?, [^)]*(date|month|scale)", plan)
+
+
 def test_gamma_series_and_alerts_compute_an_index_once(spark):
     rows = spark.createDataFrame([(a, x) for a in (0.3, 1.0, 7.5, 60.0, 900.0, 40000.0) for x in (a / 9, a * 0.9, a, a + 1, a * 1.1, a * 1.4 + 3)], "a double, x double")
     for r in rows.select("a", "x", special.gamma_p(F.col("a"), F.col("x")).alias("p")).collect():

@@ -93,7 +93,7 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alt_rain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fine_id, fparent_id, date, source, precip: order lines as product rain of suppliers' fine cells."""
-    sold = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("u"), F.to_date("l_shipdate").alias("date"), (F.col("l_linenumber") % 3 + 2).alias("source"), F.col("l_quantity").alias("q"))
+    sold = lines(spark, sf_dir, "l_shipdate", "l_linenumber", "l_quantity").select(F.col("l_suppkey").alias("u"), F.to_date("l_shipdate").alias("date"), (F.col("l_linenumber") % 3 + 2).alias("source"), F.col("l_quantity").alias("q"))
     rows = sold.groupBy("u", "date", "source").agg(F.sum("q").alias("precip")).select("*", *place_of("u"))
     return rows.select("u", grid.fine_code("lat", "lon").alias("fine_id"), grid.fine_parent_code("lat", "lon").alias("fparent_id"), "date", "source", "precip")
 

@@ -73,7 +73,7 @@ def test_tasks_grow_with_the_units_and_their_cells_stay_in_them(spark, monkeypat
     assert area[0] == 600 and area[1] == pytest.approx(0.5) and area[2] == pytest.approx(0.5)
 
 
-@pytest.mark.parametrize("name", ["c_rolling_rain", "c_drought_alerts"])
+@pytest.mark.parametrize("name", ["c_rolling_rain", "a_source_totals", "j_compare_sources", "c_drought_alerts"])
 def test_order_lines_are_dealt_by_their_number(spark, monkeypatch, name):
     monkeypatch.setattr(projections, "LINES", 400, raising=False)
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
